@@ -64,8 +64,10 @@ def relative_humidity(t, q, p) -> Column:
 
 def dewpoint(q, p) -> Column:
     """MET-5: invert saturation pressure over water at the vapour pressure."""
-    ln = F.log(vapour_pressure(q, p) / F.lit(fixed.ES_A1))
-    return (F.lit(fixed.ES_A3_WATER * fixed.T_ZERO) - F.lit(fixed.ES_A4_WATER) * ln) / (F.lit(fixed.ES_A3_WATER) - ln)
+    e = vapour_pressure(q, p)
+    ln = F.log(e / F.lit(fixed.ES_A1))
+    td = (F.lit(fixed.ES_A3_WATER * fixed.T_ZERO) - F.lit(fixed.ES_A4_WATER) * ln) / (F.lit(fixed.ES_A3_WATER) - ln)
+    return F.when(e > F.lit(0.0), td)  # no vapour: dewpoint undefined (NULL)
 
 
 def geopotential_height(z) -> Column:
@@ -108,7 +110,7 @@ def full_level_pressure(levels: DataFrame, surface: DataFrame, coef: DataFrame,
     c = coef
     up = c.select(F.col("half_level").alias("_hu"), F.col("a").alias("_au"), F.col("b").alias("_bu"))
     dn = c.select(F.col("half_level").alias("_hd"), F.col("a").alias("_ad"), F.col("b").alias("_bd"))
-    j = levels.join(surface.select(*keys, "lnsp"), list(keys))
+    j = levels.join(surface, list(keys))
     j = j.join(F.broadcast(up), F.col(k) - 1 == F.col("_hu")).join(F.broadcast(dn), F.col(k) == F.col("_hd"))
     ps = F.exp(F.col("lnsp"))
     j = j.withColumn("p_above", F.col("_au") + F.col("_bu") * ps) \
