@@ -42,3 +42,151 @@ def ar_path_region(spark: SparkSession, paths: DataFrame, init: str) -> DataFram
                    (start + F.lit(24)).alias("region_end"))
     return out.join(dims.level_group(spark, "full_37"), "level", "left") \
         .select("path", "date", "variable", "level", "region_start", "region_end", "level_index")
+
+
+# ------------------------------------------------------------------ templates
+def hourly_template(spark: SparkSession, start: str, end: str, keys: DataFrame,
+                    end_inclusive: bool = False, dtype: str = "float") -> DataFrame:
+    """SNK-1: every hour of [start, end) (or through ``end`` inclusive) x every
+    row of ``keys`` (variables, levels, cells), value NULL.
+
+    Time is generated from one row with ``sequence``; ``keys`` is a dimension
+    whose size is fixed by the store layout, crossed by broadcast.
+    """
+    s = F.lit(start).cast("timestamp_ntz")
+    e = F.lit(end).cast("timestamp_ntz")
+    stop = e if end_inclusive else F.timestamp_add("HOUR", F.lit(-1), e)
+    axis = spark.range(1).select(F.explode(F.sequence(s, stop, F.expr("INTERVAL 1 HOUR"))).alias("time"))
+    return dims.checked_product(axis, keys).withColumn("value", F.lit(None).cast(dtype))
+
+
+def chunk_template(spark: SparkSession, start: str, end: str, var_levels: DataFrame, n_cells: int,
+                   end_inclusive: bool = False) -> DataFrame:
+    """SNK-1 in chunk layout: one row per (time, variable, level) holding an
+    array of ``n_cells`` missing values — a store skeleton without any data."""
+    t = hourly_template(spark, start, end, var_levels, end_inclusive).drop("value")
+    return t.withColumn("values", F.array_repeat(F.lit(None).cast("float"), n_cells))
+
+
+# ------------------------------------------------------------------ writes
+SALT_BUCKETS = 4
+MAX_RECORDS_PER_FILE = 20_000_000
+
+
+def write_store(df: DataFrame, path: str, partition_by=("variable", "date"), mode: str = "errorifexists",
+                salt_buckets: int = SALT_BUCKETS) -> None:
+    """SNK-3 / SNK-15: bulk write, partitioned like the archive's regions.
+
+    ``errorifexists`` refuses to overwrite an existing store on a full build.
+    Rows are clustered by the partition columns plus a deterministic salt
+    (hash of the row's other keys), so a region is written by at most
+    ``salt_buckets`` tasks: few files per region, and a hot region is still
+    split across tasks.  The salt is a hash, not ``rand()``, so a retried
+    task sends every row to the same place.
+    """
+    cols = list(partition_by)
+    others = [c for c in df.columns if c not in cols]
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in others]), F.lit(salt_buckets)) if others else F.lit(0)
+    (df.repartition(*[F.col(c) for c in cols], salt).write.mode(mode)
+     .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .partitionBy(*cols).parquet(path))
+
+
+def overwrite_regions(df: DataFrame, path: str, partition_by=("variable", "date")) -> None:
+    """SNK-5 / SNK-6 / SNK-8: replace exactly the partitions present in ``df``.
+
+    Dynamic partition overwrite: idempotent (rewriting the same region gives
+    the same store) and order-independent for disjoint regions.
+    """
+    write_store(df, path, partition_by, mode="overwrite")
+
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-14: lazy store scan; filters on partition columns prune directories."""
+    return spark.read.option("basePath", path).parquet(path)
+
+
+def overwrite_steps(spark: SparkSession, path: str, new: DataFrame, keys, step_col: str = "time",
+                    partition_by=("variable", "date"), staging: str | None = None) -> None:
+    """SNK-7: overwrite single time steps inside day partitions.
+
+    Reads the touched partitions, drops the steps being replaced
+    (``left_anti``), adds the new rows, stages the result and overwrites the
+    partitions from the staged copy — a job never reads and writes one path.
+    """
+    from ..session import scratch_path
+    cols = list(partition_by)
+    touched = new.select(*cols).distinct()
+    current = read_store(spark, path).join(touched, cols, "left_semi")
+    kept = current.join(new.select(*cols, *keys, step_col), cols + list(keys) + [step_col], "left_anti")
+    merged = kept.unionByName(new.select(*current.columns))
+    stage = staging or scratch_path(spark, "stage")
+    merged.write.mode("errorifexists").partitionBy(*cols).parquet(stage)
+    overwrite_regions(read_store(spark, stage), path, partition_by)
+
+
+def extend_time_axis(store: DataFrame, init: str, end_date: str, keys, steps_per_day: int = 24,
+                     time_col: str = "time") -> DataFrame:
+    """SNK-9: rows to append so the axis holds (days + 1) * steps_per_day steps
+    from ``init`` through ``end_date``; existing steps are not repeated, so a
+    second run appends nothing (idempotent)."""
+    spark = store.sparkSession
+    hours = 24 // steps_per_day
+    n_steps = F.datediff(F.lit(end_date).cast("date"), F.lit(init).cast("date")) * steps_per_day + steps_per_day
+    axis = spark.range(1).select(F.explode(F.sequence(F.lit(0), n_steps - 1)).alias("_i")).select(
+        F.timestamp_add("HOUR", F.col("_i") * F.lit(hours), F.lit(init).cast("timestamp_ntz")).alias(time_col))
+    existing = store.select(time_col).distinct()
+    new_times = axis.join(existing, time_col, "left_anti")
+    key_rows = store.select(*keys).distinct()
+    return new_times.crossJoin(key_rows)
+
+
+def upsert_attrs(attrs: DataFrame, time_end, mode, last_updated, attrs_col: str = "attrs") -> DataFrame:
+    """SNK-10 / MAP-1: set valid_time_start, last_updated and the stop key of the
+    mode (final -> valid_time_stop, else valid_time_stop_era5t), keeping every
+    other key.  Old values of these keys are filtered out first because
+    ``map_concat`` refuses duplicate keys."""
+    stop_key = F.when(F.col("_mode") == fixed.MODE_FINAL, F.lit("valid_time_stop")) \
+        .otherwise(F.lit("valid_time_stop_era5t"))
+    a = attrs.withColumn("_mode", mode if not isinstance(mode, str) else F.lit(mode))
+    new = F.map_from_arrays(
+        F.array(F.lit("valid_time_start"), F.lit("last_updated"), stop_key),
+        F.array(F.lit(fixed.VALID_TIME_START), (last_updated if not isinstance(last_updated, str)
+                                                else F.lit(last_updated)),
+                (time_end if not isinstance(time_end, str) else F.lit(time_end)).cast("string")))
+    kept = F.map_filter(F.col(attrs_col), lambda k, v: ~k.isin("valid_time_start", "last_updated") & (k != stop_key))
+    return a.withColumn(attrs_col, F.map_concat(kept, new)).drop("_mode")
+
+
+def resize_metadata(doc, total, keep_chunk) -> "F.Column":
+    """SNK-11: set the time array's shape (and chunk unless kept) in a metadata
+    document; only those fields change (no text replacement over the document)."""
+    schema = "struct<shape: array<bigint>, chunks: array<bigint>>"
+    z = F.from_json(doc if not isinstance(doc, str) else F.col(doc), schema)
+    tot = total if not isinstance(total, (int, str)) else (F.lit(total) if isinstance(total, int) else F.col(total))
+    keep = keep_chunk if not isinstance(keep_chunk, bool) else F.lit(keep_chunk)
+    shape = F.concat(F.array(tot.cast("bigint")), F.slice(z["shape"], 2, 1000))
+    chunks = F.when(keep, z["chunks"]).otherwise(F.concat(F.array(tot.cast("bigint")), F.slice(z["chunks"], 2, 1000)))
+    return F.to_json(F.struct(shape.alias("shape"), chunks.alias("chunks")))
+
+
+def audit_status(old_blocks: DataFrame, equal: DataFrame, block_keys) -> DataFrame:
+    """SNK-13 / D8: audit row per current block: ratified (staged copy equal),
+    data_changed (different, promoted) or absent (no staged copy)."""
+    j = old_blocks.select(*block_keys).distinct().join(equal, list(block_keys), "left")
+    status = F.when(F.col("equal").isNull(), F.lit("absent")) \
+        .when(F.col("equal"), F.lit("ratified")).otherwise(F.lit("data_changed"))
+    return j.select(*block_keys, status.alias("status"))
+
+
+def rechunk_time(df: DataFrame, keys, time_index: str, steps: int, value: str = "value") -> DataFrame:
+    """SNK-14: re-block along time into chunks of ``steps`` (must divide 24);
+    one row per (keys, chunk) with a dense array ordered by time."""
+    if 24 % steps:
+        raise ValueError(f"time chunk size {steps} must divide 24")
+    c = (F.floor(F.col(time_index) / steps)).cast("long")
+    pos = (F.col(time_index) - c * steps).cast("int")
+    g = df.groupBy(*keys, c.alias("chunk")).agg(
+        F.map_from_entries(F.collect_list(F.struct(pos.alias("k"), F.col(value).alias("v")))).alias("_m"))
+    return g.select(*keys, "chunk", F.transform(F.sequence(F.lit(0), F.lit(steps - 1)),
+                                                lambda i: F.element_at(F.col("_m"), i)).alias("values"))
