@@ -20,10 +20,17 @@ from pyspark.sql import functions as F
 
 def pivot_wide(df: DataFrame, keys: Sequence[str], variable: str = "variable", value: str = "value",
                variables: Sequence[str] | None = None) -> DataFrame:
-    """long -> wide: one column per variable (missing cells are NULL)."""
-    g = df.groupBy(*keys)
-    g = g.pivot(variable, list(variables)) if variables is not None else g.pivot(variable)
-    return g.agg(F.max(value))
+    """long -> wide: one column per variable (missing cells are NULL).
+
+    With a known variable list this is one conditional aggregation (partial
+    aggregation map-side, a single shuffle on ``keys``); Spark's ``pivot``
+    would plan two aggregations.  Without the list, ``pivot`` discovers the
+    values first.
+    """
+    if variables is None:
+        return df.groupBy(*keys).pivot(variable).agg(F.max(value))
+    return df.groupBy(*keys).agg(*[F.max(F.when(F.col(variable) == F.lit(v), F.col(value))).alias(v)
+                                   for v in variables])
 
 
 def unpivot_long(df: DataFrame, keys: Sequence[str], variables: Sequence[str],

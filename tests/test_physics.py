@@ -104,3 +104,23 @@ def test_parcel_indices_unstable_column(spark):
     assert 85000 < r["lcl_p"] < 100000
     assert r["cape"] > 0
     assert r["cin"] <= 0
+
+
+def test_vectorised_ascent_matches_single_column():
+    import numpy as np
+    from gridloom.operators.parcel import batch_indices, column_indices
+    rng = np.random.default_rng(7)
+    cols = []
+    for _ in range(20):
+        p = np.sort(rng.uniform(20000, 101000, 9))[::-1]
+        t = 300 - (101000 - p) / 1000 * rng.uniform(0.5, 0.9) + rng.normal(0, 1, 9)
+        q = np.clip(0.02 * (p / 101000) ** 3 * rng.uniform(0.2, 1.0, 9), 0, None)
+        if rng.random() < 0.3:
+            t[3] = np.nan
+        cols.append((p, t, q))
+    for mode in ("surface", "most_unstable"):
+        b = batch_indices([c[0] for c in cols], [c[1] for c in cols], [c[2] for c in cols], mode)
+        for i, (p, t, q) in enumerate(cols):
+            one = column_indices(p, t, q, mode)
+            for k, v in one.items():
+                assert np.allclose(b[k][i], v, equal_nan=True, rtol=1e-9, atol=1e-9), (mode, i, k)
