@@ -124,3 +124,19 @@ def test_stream_equals_batch(spark, sf_dir):
     streamed = entry.queries()["stream_ingest"](spark, sf_dir)
     batch = S.v_grid(spark, sf_dir).withColumn("date", F.col("time").cast("date"))
     assert _sorted(streamed.select(*batch.columns)) == _sorted(batch)
+
+
+def test_hourly_grid_stream_equals_batch(spark, sf_dir):
+    from gridloom.operators.aggregate import hourly_buckets
+    from gridloom.streaming.windows import hourly_grid_stream
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    rows = ev.select("ts", (F.col("user_id") % 24).cast("int").alias("cell"), "value")
+    landing = scratch_path(spark, "t-ev")
+    ev.write.parquet(landing)
+    stream = spark.readStream.schema(ev.schema).parquet(landing) \
+        .select("ts", (F.col("user_id") % 24).cast("int").alias("cell"), "value")
+    q = hourly_grid_stream(stream, "ts", ["cell"], lateness="1000 days").writeStream.outputMode("update") \
+        .format("memory").queryName("hourly_grid_test").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = spark.sql("SELECT * FROM hourly_grid_test")
+    assert _sorted(got) == _sorted(hourly_buckets(rows, "ts", ["cell"]))
