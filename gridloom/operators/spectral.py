@@ -4,11 +4,10 @@ Coefficients are rows ``(keys, n, m, re, im)``.  The n +/- 1 neighbours of
 the wind transform are ``lag``/``lead`` over ``partitionBy(keys, m).orderBy(n)``
 (one partition = one zonal wavenumber of one field: at most T+1 rows).
 
-Synthesis is a Legendre sum then a Fourier sum.  The Legendre table
-P(n, m, lat) depends only on the truncation and the latitudes, is generated
-by Spark (one task per latitude block, numpy recurrences) and joined on
-(n, m); the Fourier sum per (field, latitude) is an ``applyInPandas`` inverse
-real FFT whose group holds T+1 rows — bounded by the truncation.
+Synthesis is a Legendre sum then a Fourier sum, both as Arrow-batched
+pandas UDFs over bounded arrays: per (field, m) a matrix product with the
+Legendre matrix of that m, then per (field, latitude) an inverse real FFT.
+Every group holds at most T+1 entries — bounded by the truncation.
 """
 
 from __future__ import annotations
@@ -69,69 +68,93 @@ def vd2uv(df: DataFrame, keys: Sequence[str], radius: float = fixed.EARTH_RADIUS
                        v_re.alias("v_re"), v_im.alias("v_im"))
 
 
-def _legendre_block(truncation: int):
-    t = truncation
-
-    def gen(batches):
-        for pdf in batches:
-            rows = []
-            for lat_idx, mu in zip(pdf["lat_idx"].to_numpy(), pdf["mu"].to_numpy()):
-                pnm = legendre_table(t, float(mu))
-                for (nn, mm), val in pnm.items():
-                    rows.append((int(lat_idx), nn, mm, val))
-            yield pd.DataFrame(rows, columns=["lat_idx", "n", "m", "p"]).astype(
-                {"lat_idx": "int32", "n": "int32", "m": "int32", "p": "float64"})
-    return gen
-
-
 def legendre_table(truncation: int, mu: float) -> dict:
-    """Normalised associated Legendre functions P(n, m)(mu), integral of P^2 over
-    [-1, 1] equal to 2, by the standard stable recurrences."""
-    t = truncation
+    """Normalised associated Legendre functions P(n, m)(mu) for one latitude
+    (integral of P^2 over [-1, 1] equal to 2), as a dict — reference form."""
     out = {}
-    s = np.sqrt(max(0.0, 1.0 - mu * mu))
-    pmm = 1.0
-    for m in range(t + 1):
-        if m > 0:
-            pmm = pmm * s * np.sqrt((2.0 * m + 1.0) / (2.0 * m))
-        out[(m, m)] = pmm
-        if m + 1 <= t:
-            out[(m + 1, m)] = mu * np.sqrt(2.0 * m + 3.0) * pmm
-        for n in range(m + 2, t + 1):
-            a = np.sqrt((4.0 * n * n - 1.0) / (n * n - m * m))
-            b = np.sqrt(((n - 1.0) ** 2 - m * m) / (4.0 * (n - 1.0) ** 2 - 1.0))
-            out[(n, m)] = a * (mu * out[(n - 1, m)] - b * out[(n - 2, m)])
+    for m in range(truncation + 1):
+        col = legendre_matrix(truncation, m, np.array([mu]))
+        for i, n in enumerate(range(m, truncation + 1)):
+            out[(n, m)] = float(col[i, 0])
     return out
 
 
-def legendre(spark: SparkSession, truncation: int, latitudes: DataFrame) -> DataFrame:
-    """(lat_idx, n, m, p) for every latitude row (lat_idx, latitude degrees)."""
-    lat = latitudes.select(F.col("lat_idx").cast("int"), F.sin(F.radians("latitude")).alias("mu"))
-    return lat.mapInPandas(_legendre_block(truncation), "lat_idx int, n int, m int, p double")
+def legendre_matrix(truncation: int, m: int, mu: np.ndarray) -> np.ndarray:
+    """P(n, m)(mu) for n = m..T (rows) at every latitude (columns), by the
+    standard stable recurrences; integral of P^2 over [-1, 1] is 2."""
+    t = truncation
+    mu = np.asarray(mu, float)
+    s = np.sqrt(np.clip(1.0 - mu * mu, 0.0, None))
+    pmm = np.ones_like(mu)
+    for k in range(1, m + 1):
+        pmm = pmm * s * np.sqrt((2.0 * k + 1.0) / (2.0 * k))
+    out = np.zeros((t - m + 1, mu.size))
+    out[0] = pmm
+    if m + 1 <= t:
+        out[1] = mu * np.sqrt(2.0 * m + 3.0) * pmm
+    for n in range(m + 2, t + 1):
+        a = np.sqrt((4.0 * n * n - 1.0) / (n * n - m * m))
+        b = np.sqrt(((n - 1.0) ** 2 - m * m) / (4.0 * (n - 1.0) ** 2 - 1.0))
+        out[n - m] = a * (mu * out[n - m - 1] - b * out[n - m - 2])
+    return out
 
 
-def synthesise(coeffs: DataFrame, keys: Sequence[str], legendre_df: DataFrame, n_lon: int) -> DataFrame:
-    """MET-10: grid values f(lat, lon) = sum_m sum_n P(n,m)(mu) [c_nm e^{i m lon}] (real part,
-    m > 0 counted twice).  Legendre sum as join + groupBy, Fourier sum as a
-    per-(field, latitude) inverse real FFT."""
-    j = coeffs.join(legendre_df, ["n", "m"])
-    fm = j.groupBy(*keys, "lat_idx", "m").agg(F.sum(F.col("re") * F.col("p")).alias("a"),
-                                              F.sum(F.col("im") * F.col("p")).alias("b"))
-    key_list = list(keys)
+def synthesise(coeffs: DataFrame, keys: Sequence[str], latitudes: Sequence[float], n_lon: int,
+               truncation: int | None = None) -> DataFrame:
+    """MET-10: grid values f(lat, lon) = sum_m sum_n P(n,m)(mu) c_nm e^{i m lon}
+    (real part, m > 0 counted twice), on latitudes ``latitudes`` (degrees,
+    ``lat_idx`` = position) and ``n_lon`` equally spaced longitudes.
 
-    def fourier(pdf: pd.DataFrame) -> pd.DataFrame:
-        spec = np.zeros(n_lon // 2 + 1, dtype=complex)
-        for m_, a_, b_ in zip(pdf["m"].to_numpy(), pdf["a"].to_numpy(), pdf["b"].to_numpy()):
-            if m_ <= n_lon // 2:
-                spec[int(m_)] = complex(a_, b_)
-        # irfft of c_m gives (1/N)(c_0 + 2 Re sum c_m e^{i m lon}); scale back by N
-        vals = np.fft.irfft(spec, n=n_lon) * n_lon
-        first = pdf.iloc[0]
-        out = pd.DataFrame({"lon_idx": np.arange(n_lon, dtype="int32"), "value": vals})
-        for k in key_list + ["lat_idx"]:
-            out[k] = first[k]
-        return out[key_list + ["lat_idx", "lon_idx", "value"]]
-
-    types = {f.name: f.dataType.simpleString() for f in fm.schema.fields}
-    schema = ", ".join([f"{k} {types[k]}" for k in key_list] + ["lat_idx int", "lon_idx int", "value double"])
-    return fm.groupBy(*keys, "lat_idx").applyInPandas(fourier, schema)
+    Stage 1 (Legendre): rows grouped per (field, m) — at most T+1 rows each —
+    become, in one Arrow-batched UDF, the Fourier coefficient of that m at
+    every latitude (a matrix product with P_m, computed once per m and task).
+    Stage 2 (Fourier): one shuffle transposes to (field, latitude) groups of
+    at most T+1 wavenumbers; a second batched UDF runs an inverse real FFT.
+    No row-level join with a Legendre table (which would be O(T^3) rows).
+    """
+    key_list = list(keys)
+    mu = np.sin(np.radians(np.asarray(latitudes, float)))
+    n_lat = len(mu)
+    t_max = truncation if truncation is not None else coeffs.agg(F.max("n")).first()[0]
+    cache: dict = {}
+
+    @F.pandas_udf("struct<a: array<double>, b: array<double>>")
+    def legendre_sum(ms: pd.Series, ns: pd.Series, res: pd.Series, ims: pd.Series) -> pd.DataFrame:
+        a_out, b_out = [], []
+        for m_, n_, re_, im_ in zip(ms, ns, res, ims):
+            m_ = int(m_)
+            if m_ not in cache:
+                cache[m_] = legendre_matrix(t_max, m_, mu)
+            pm = cache[m_]
+            rows = np.asarray(n_, dtype=int) - m_
+            a_out.append(np.asarray(re_, float) @ pm[rows])
+            b_out.append(np.asarray(im_, float) @ pm[rows])
+        return pd.DataFrame({"a": a_out, "b": b_out})
+
+    @F.pandas_udf("array<double>")
+    def fourier(ms: pd.Series, as_: pd.Series, bs: pd.Series) -> pd.Series:
+        out = []
+        for m_, a_, b_ in zip(ms, as_, bs):
+            spec = np.zeros(n_lon // 2 + 1, dtype=complex)
+            m_ = np.asarray(m_, dtype=int)
+            keep = m_ <= n_lon // 2
+            spec[m_[keep]] = np.asarray(a_, float)[keep] + 1j * np.asarray(b_, float)[keep]
+            # irfft gives (1/N)(c_0 + 2 Re sum c_m e^{i m lon}); scale back by N
+            out.append(np.fft.irfft(spec, n=n_lon) * n_lon)
+        return pd.Series(out)
+
+    per_m = coeffs.groupBy(*key_list, "m").agg(
+        F.sort_array(F.collect_list(F.struct("n", "re", "im"))).alias("_c"))
+    lg = per_m.select(*key_list, "m", legendre_sum(
+        F.col("m"), F.transform("_c", lambda x: x["n"]), F.transform("_c", lambda x: x["re"]),
+        F.transform("_c", lambda x: x["im"])).alias("_l"))
+    by_lat = lg.select(*key_list, "m", F.posexplode(F.arrays_zip("_l.a", "_l.b")).alias("lat_idx", "_ab")).select(
+        *key_list, "m", F.col("lat_idx").cast("int").alias("lat_idx"), F.col("_ab.a").alias("a"),
+        F.col("_ab.b").alias("b"))
+    per_lat = by_lat.groupBy(*key_list, "lat_idx").agg(F.sort_array(F.collect_list(F.struct("m", "a", "b"))).alias("_f"))
+    grid = per_lat.select(*key_list, "lat_idx", fourier(F.transform("_f", lambda x: x["m"]),
+                                                         F.transform("_f", lambda x: x["a"]),
+                                                         F.transform("_f", lambda x: x["b"])).alias("_v"))
+    assert n_lat >= 1
+    return grid.select(*key_list, "lat_idx", F.posexplode("_v").alias("lon_idx", "value")).select(
+        *key_list, "lat_idx", F.col("lon_idx").cast("int").alias("lon_idx"), "value")

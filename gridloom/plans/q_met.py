@@ -400,10 +400,8 @@ def q_spectral_synthesis(spark, sf_dir):
     """MET-10: spectral vorticity -> values on a 4 x 8 latitude/longitude grid."""
     co = spectral_coefficients(spark, sf_dir).select("vec_id", "level", "n", "m",
                                                      F.col("vo_re").alias("re"), F.col("vo_im").alias("im"))
-    lats = spark.range(4).select(F.col("id").cast("int").alias("lat_idx"),
-                                 (F.lit(67.5) - F.lit(45.0) * F.col("id")).alias("latitude"))
-    leg = spectral.legendre(spark, TRUNC, lats)
-    return spectral.synthesise(co, ["vec_id", "level"], F.broadcast(leg), 16)
+    lats = [67.5, 22.5, -22.5, -67.5]
+    return spectral.synthesise(co, ["vec_id", "level"], lats, 16, truncation=TRUNC)
 
 
 @register("regrid_linear", with_views("""

@@ -138,7 +138,8 @@ def extend_time_axis(store: DataFrame, init: str, end_date: str, keys, steps_per
     existing = store.select(time_col).distinct()
     new_times = axis.join(existing, time_col, "left_anti")
     key_rows = store.select(*keys).distinct()
-    return new_times.crossJoin(key_rows)
+    # the new steps are few (axis growth); they are the broadcast side when bounded
+    return dims.checked_product(key_rows, new_times).select(time_col, *keys)
 
 
 def upsert_attrs(attrs: DataFrame, time_end, mode, last_updated, attrs_col: str = "attrs") -> DataFrame:

@@ -37,8 +37,7 @@ def test_relative_humidity_is_100_at_saturation(spark):
 def test_single_harmonic_synthesis(spark):
     # P(1,0) = sqrt(3) mu ; P(1,1) = sqrt(3/2) cos(lat); m > 0 counted twice
     co = spark.createDataFrame([(0, 1, 0, 1.0, 0.0), (0, 1, 1, 0.5, 0.0)], "f int, n int, m int, re double, im double")
-    lats = spark.createDataFrame([(0, 40.0), (1, -10.0)], "lat_idx int, latitude double")
-    grid = spectral.synthesise(co, ["f"], spectral.legendre(spark, 2, lats), 8).collect()
+    grid = spectral.synthesise(co, ["f"], [40.0, -10.0], 8).collect()
     for r in grid:
         lat = math.radians({0: 40.0, 1: -10.0}[r["lat_idx"]])
         lon = 2 * math.pi * r["lon_idx"] / 8
@@ -124,3 +123,12 @@ def test_vectorised_ascent_matches_single_column():
             one = column_indices(p, t, q, mode)
             for k, v in one.items():
                 assert np.allclose(b[k][i], v, equal_nan=True, rtol=1e-9, atol=1e-9), (mode, i, k)
+
+
+def test_legendre_normalisation():
+    import numpy as np
+    x, w = np.polynomial.legendre.leggauss(40)
+    for m in range(0, 6):
+        pm = spectral.legendre_matrix(8, m, x)
+        gram = (pm * w) @ pm.T
+        assert np.allclose(gram, 2 * np.eye(pm.shape[0]), atol=1e-10)
