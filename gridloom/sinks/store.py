@@ -69,25 +69,21 @@ def chunk_template(spark: SparkSession, start: str, end: str, var_levels: DataFr
 
 
 # ------------------------------------------------------------------ writes
-SALT_BUCKETS = 4
 MAX_RECORDS_PER_FILE = 20_000_000
 
 
-def write_store(df: DataFrame, path: str, partition_by=("variable", "date"), mode: str = "errorifexists",
-                salt_buckets: int = SALT_BUCKETS) -> None:
+def write_store(df: DataFrame, path: str, partition_by=("variable", "date"), mode: str = "errorifexists") -> None:
     """SNK-3 / SNK-15: bulk write, partitioned like the archive's regions.
 
     ``errorifexists`` refuses to overwrite an existing store on a full build.
-    Rows are clustered by the partition columns plus a deterministic salt
-    (hash of the row's other keys), so a region is written by at most
-    ``salt_buckets`` tasks: few files per region, and a hot region is still
-    split across tasks.  The salt is a hash, not ``rand()``, so a retried
-    task sends every row to the same place.
+    Rows are shuffled with the ``rebalance`` hint on the partition columns:
+    each region lands in one task (one file) when it is small, AQE coalesces
+    small regions together and splits a hot region over several tasks
+    (advisory partition size), so neither small files nor one oversized
+    task appear.  The shuffle is by hash, so a retried task sees the same rows.
     """
     cols = list(partition_by)
-    others = [c for c in df.columns if c not in cols]
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in others]), F.lit(salt_buckets)) if others else F.lit(0)
-    (df.repartition(*[F.col(c) for c in cols], salt).write.mode(mode)
+    (df.hint("rebalance", *cols).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .partitionBy(*cols).parquet(path))
 
