@@ -63,11 +63,21 @@ def _lit_ts(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x).cast("timestamp_ntz")
 
 
-def time_label(df: DataFrame, label: str, column: str = "time", unit: str = "HOUR") -> DataFrame:
-    """PRJ-6: partial label (``'2017-10-09T06'``) = every step inside that hour,
-    stated as ``[t, t + 1 unit)`` so the predicate prunes."""
-    start = F.lit(label.replace("T", " ") + (":00" if unit == "HOUR" and len(label) <= 13 else "")) \
-        .cast("timestamp_ntz")
+def time_label(df: DataFrame, label: str, column: str = "time") -> DataFrame:
+    """PRJ-6: partial label -> every step inside it.
+
+    ``'2017'``, ``'2017-10'``, ``'2017-10-09'`` and ``'2017-10-09T06'`` select a
+    year, month, day or hour.  The label becomes a half-open range
+    ``[start, start + 1 unit)`` on the raw column, so the predicate reaches
+    the Parquet scan (pushed filter / row-group pruning) instead of a
+    ``date_trunc`` that would not prune.
+    """
+    text = label.replace("T", " ")
+    unit = {4: "YEAR", 7: "MONTH", 10: "DAY", 13: "HOUR"}.get(len(text))
+    if unit is None:
+        raise ValueError(f"unsupported partial label {label!r}")
+    full = {4: "-01-01 00:00:00", 7: "-01 00:00:00", 10: " 00:00:00", 13: ":00:00"}[len(text)]
+    start = F.lit(text + full).cast("timestamp_ntz")
     end = F.timestamp_add(unit, F.lit(1), start)
     t = F.col(column)
     return df.where((t >= start) & (t < end))

@@ -159,12 +159,12 @@ def q_time_slice(spark, sf_dir):
 
 @register("time_label", with_views("""
 SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem
-WHERE l_shipdate >= TIMESTAMP '1996-03-01 00:00:00' AND l_shipdate < TIMESTAMP '1996-03-01 00:00:00' + INTERVAL 1 DAY"""))
+WHERE l_shipdate >= TIMESTAMP '1996-03-01 00:00:00' AND l_shipdate < TIMESTAMP '1996-03-01 00:00:00' + INTERVAL 1 MONTH"""))
 def q_time_label(spark, sf_dir):
     """PRJ-6: partial label -> every step inside it, as a half-open range that
     reaches the Parquet scan as a pushed filter."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
-    return fields.time_label(li, "1996-03-01 00:00:00", "l_shipdate", unit="DAY")
+    return fields.time_label(li, "1996-03", "l_shipdate")
 
 
 PLEVEL = f"element_at(array({', '.join(map(str, fixed.PRESSURE_LEVEL_GROUPS['full_37']))}), CAST((cell + k * 5) % 37 AS INT) + 1)"

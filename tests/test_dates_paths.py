@@ -71,3 +71,13 @@ def test_slugify_and_url(spark):
     assert one(spark, P.slugify(F.lit("Job_Name 2024"))) == "-ob--ame-2024"
     assert one(spark, P.normalize_url(F.lit("https://example.com/data/file.txt"))) == "example.com/data/file.txt"
     assert one(spark, P.url_scheme(F.lit("gs://bucket/data/file.txt"))) == "gs"
+
+
+def test_partial_labels(spark):
+    from gridloom.operators.fields import time_label
+    df = spark.createDataFrame([(f"2017-10-09 0{h}:30:00",) for h in range(5, 8)] + [("2017-11-01 00:00:00",)],
+                               "t string").select(F.col("t").cast("timestamp_ntz").alias("time"))
+    assert time_label(df, "2017-10-09T06").count() == 1
+    assert time_label(df, "2017-10-09").count() == 3
+    assert time_label(df, "2017-10").count() == 3
+    assert time_label(df, "2017").count() == 4

@@ -140,3 +140,22 @@ def test_hourly_grid_stream_equals_batch(spark, sf_dir):
     q.awaitTermination()
     got = spark.sql("SELECT * FROM hourly_grid_test")
     assert _sorted(got) == _sorted(hourly_buckets(rows, "ts", ["cell"]))
+
+
+def test_complete_dates_stream(spark):
+    from gridloom.streaming.windows import complete_dates_stream
+    landing = scratch_path(spark, "t-landed")
+    rows = [("a/1", "2024-01-01", "2024-01-01 03:00:00"), ("a/2", "2024-01-01", "2024-01-01 04:00:00"),
+            ("a/2", "2024-01-01", "2024-01-01 05:00:00"), ("b/1", "2024-01-02", "2024-01-02 06:00:00")]
+    spark.createDataFrame(rows, "path string, date string, ts string") \
+        .select("path", F.col("date").cast("date").alias("date"), F.col("ts").cast("timestamp_ntz").alias("ts")) \
+        .write.parquet(landing)
+    expected = spark.createDataFrame([("2024-01-01", 2), ("2024-01-02", 3)], "date string, n_expected int") \
+        .select(F.col("date").cast("date").alias("date"), "n_expected")
+    stream = spark.readStream.schema("path string, date date, ts timestamp_ntz").parquet(landing)
+    q = complete_dates_stream(stream, expected, "ts", lateness="1 hour").writeStream.outputMode("append").format("memory") \
+        .queryName("complete_dates_test").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = {str(r["date"]): (r["n_present"], r["complete"]) for r in spark.sql("SELECT * FROM complete_dates_test").collect()}
+    # the first day's window has closed (watermark passed); the duplicate arrival counts once
+    assert got.get("2024-01-01") == (2, True)
