@@ -395,13 +395,42 @@ def q_vd2uv(spark, sf_dir):
     return uv.select("vec_id", "level", "n", "m", *[F.round(c, 3).alias(c) for c in ("u_re", "u_im", "v_re", "v_im")])
 
 
-@register("spectral_synthesis", None)
+SYN_LATS = [67.5, 22.5, -22.5, -67.5]
+SYN_NLON = 16
+
+
+def _sql_synthesis() -> str:
+    """Oracle: the same field by a direct Legendre and Fourier sum.
+
+    The Legendre values are generated by rule (recurrence) for the test
+    truncation and latitudes — (T+1)(T+2)/2 x 4 = 112 values."""
+    import numpy as np
+    mu = np.sin(np.radians(SYN_LATS))
+    rows = []
+    for m in range(TRUNC + 1):
+        pm = spectral.legendre_matrix(TRUNC, m, mu)
+        for i, n in enumerate(range(m, TRUNC + 1)):
+            for j in range(len(SYN_LATS)):
+                rows.append(f"({n}, {m}, {j}, {d(pm[i, j])})")
+    co = _sql_vd2uv().split("c2 AS")[0].rstrip().rstrip(",")
+    return f"""{co},
+leg AS (SELECT * FROM (VALUES {", ".join(rows)}) t(n, m, lat_idx, p)),
+fm AS (SELECT co.vec_id, co.level, leg.lat_idx, co.m, sum(co.vo_re * leg.p) AS a, sum(co.vo_im * leg.p) AS b
+       FROM co JOIN leg ON co.n = leg.n AND co.m = leg.m GROUP BY 1, 2, 3, 4),
+lon AS (SELECT CAST(j AS INT) AS lon_idx FROM range({SYN_NLON}) r(j))
+SELECT vec_id, level, CAST(lat_idx AS INT) AS lat_idx, lon_idx,
+       round(sum(CASE WHEN m = 0 THEN a ELSE 2.0 * (a * cos(2 * pi() * m * lon_idx / {SYN_NLON})
+                                                     - b * sin(2 * pi() * m * lon_idx / {SYN_NLON})) END), 6) AS value
+FROM fm, lon GROUP BY 1, 2, 3, 4"""
+
+
+@register("spectral_synthesis", _sql_synthesis())
 def q_spectral_synthesis(spark, sf_dir):
-    """MET-10: spectral vorticity -> values on a 4 x 8 latitude/longitude grid."""
+    """MET-10: spectral vorticity -> values on a 4 x 16 latitude/longitude grid."""
     co = spectral_coefficients(spark, sf_dir).select("vec_id", "level", "n", "m",
                                                      F.col("vo_re").alias("re"), F.col("vo_im").alias("im"))
-    lats = [67.5, 22.5, -22.5, -67.5]
-    return spectral.synthesise(co, ["vec_id", "level"], lats, 16, truncation=TRUNC)
+    g = spectral.synthesise(co, ["vec_id", "level"], SYN_LATS, SYN_NLON, truncation=TRUNC)
+    return g.withColumn("value", F.round("value", 6))
 
 
 @register("regrid_linear", with_views("""
@@ -424,13 +453,20 @@ def q_regrid_linear(spark, sf_dir):
     return out.select("time", "variable", "dst_cell", F.round("value", 6).alias("value"))
 
 
-@register("assemble_hour", None)
+@register("assemble_hour", with_views(f"""WITH {GEO}
+SELECT time, cell, k, t AS temperature, q AS specific_humidity, w AS vertical_velocity,
+       u AS u_component_of_wind, v AS v_component_of_wind, round(z, 3) AS geopotential, round(p, 4) AS p,
+       round({d(100.0)} * {_e('q', 'p')} / {_es('t')}, 6) AS r, round({_td('q', 'p')}, 6) AS td,
+       sqrt(u * u + v * v) AS ws
+FROM gz""", "v_levels", "v_surface"))
 def q_assemble_hour(spark, sf_dir):
     """MET-19: the derived field set of every time step — pressure, geopotential,
     humidity, dewpoint, wind — merged and renamed to long names."""
     g = levels_with_geopotential(spark, sf_dir)
-    out = g.select("time", "cell", "k", "t", "q", "w", "u", "v", "z", "p",
-                   met.relative_humidity("t", "q", "p").alias("r"), met.dewpoint("q", "p").alias("td"),
+    out = g.select("time", "cell", "k", "t", "q", "w", "u", "v", F.round("z", 3).alias("z"),
+                   F.round("p", 4).alias("p"),
+                   F.round(met.relative_humidity("t", "q", "p"), 6).alias("r"),
+                   F.round(met.dewpoint("q", "p"), 6).alias("td"),
                    met.wind_speed("u", "v").alias("ws"))
     from ..operators.fields import rename_columns
     return rename_columns(out, fixed.SHORT_TO_LONG)

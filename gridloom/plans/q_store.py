@@ -204,6 +204,31 @@ def q_extend_axis(spark, sf_dir):
     return new.withColumn("value", F.lit(None).cast("double"))
 
 
+SQL_FC = """fc AS (SELECT DISTINCT CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_hours(CASE WHEN hour(ts) < 12 THEN 6 ELSE 18 END) AS time,
+                  CAST(user_id % 24 AS INT) AS cell FROM events)"""
+
+
+@register("extend_axis_forecast", f"""
+WITH {SQL_FC},
+w AS (SELECT CAST(min(time) AS DATE) AS s, CAST(max(time) AS DATE) + 3 AS e FROM fc),
+axis AS (SELECT unnest(generate_series(CAST(s AS TIMESTAMP) + INTERVAL 6 HOUR, CAST(e AS TIMESTAMP) + INTERVAL 18 HOUR,
+                                       INTERVAL 12 HOUR)) AS time FROM w),
+new_t AS (SELECT time FROM axis EXCEPT SELECT DISTINCT time FROM fc),
+k AS (SELECT DISTINCT cell FROM fc)
+SELECT new_t.time, k.cell, [new_t.time + to_hours(CAST(i AS BIGINT)) FOR i IN range({fixed.FORECAST_STEPS})] AS valid_time
+FROM new_t, k""")
+def q_extend_axis_forecast(spark, sf_dir):
+    """SNK-9 (forecast form): twice-daily bases 06/18 UTC through end = last day + 3,
+    each appended base with its 19 valid times."""
+    e = table(spark, sf_dir, "events")
+    base = F.timestamp_add("HOUR", F.when(F.hour("ts") < 12, F.lit(6)).otherwise(F.lit(18)),
+                           F.col("ts").cast("date").cast("timestamp_ntz"))
+    fc = e.select(base.alias("time"), (F.col("user_id") % 24).cast("int").alias("cell")).distinct()
+    w = fc.agg(F.min("time").cast("date").alias("s"), F.date_add(F.max("time").cast("date"), 3).alias("e")).first()
+    new = ST.extend_time_axis(fc, str(w["s"]), str(w["e"]), ["cell"], steps_per_day=2, first_hour=6)
+    return new.select("time", "cell", ST.valid_times("time").alias("valid_time"))
+
+
 @register("store_attrs_upsert", """
 WITH a AS (SELECT event_type AS store, CAST(max(CAST(json_extract_string(props, '$.k') AS INT)) AS VARCHAR) AS k_max,
                   CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS time_end FROM events GROUP BY event_type)

@@ -122,15 +122,17 @@ def overwrite_steps(spark: SparkSession, path: str, new: DataFrame, keys, step_c
 
 
 def extend_time_axis(store: DataFrame, init: str, end_date: str, keys, steps_per_day: int = 24,
-                     time_col: str = "time") -> DataFrame:
+                     time_col: str = "time", first_hour: int = 0) -> DataFrame:
     """SNK-9: rows to append so the axis holds (days + 1) * steps_per_day steps
     from ``init`` through ``end_date``; existing steps are not repeated, so a
-    second run appends nothing (idempotent)."""
+    second run appends nothing (idempotent).  Forecast stores use
+    ``steps_per_day=2, first_hour=6`` (bases 06 and 18 UTC)."""
     spark = store.sparkSession
     hours = 24 // steps_per_day
     n_steps = F.datediff(F.lit(end_date).cast("date"), F.lit(init).cast("date")) * steps_per_day + steps_per_day
+    t0 = F.timestamp_add("HOUR", F.lit(first_hour), F.lit(init).cast("timestamp_ntz"))
     axis = spark.range(1).select(F.explode(F.sequence(F.lit(0), n_steps - 1)).alias("_i")).select(
-        F.timestamp_add("HOUR", F.col("_i") * F.lit(hours), F.lit(init).cast("timestamp_ntz")).alias(time_col))
+        F.timestamp_add("HOUR", F.col("_i") * F.lit(hours), t0).alias(time_col))
     existing = store.select(time_col).distinct()
     new_times = axis.join(existing, time_col, "left_anti")
     key_rows = store.select(*keys).distinct()
@@ -138,6 +140,12 @@ def extend_time_axis(store: DataFrame, init: str, end_date: str, keys, steps_per
     return dims.checked_product(key_rows, new_times).select(time_col, *keys)
 
 
+def valid_times(base, steps: int = fixed.FORECAST_STEPS) -> "F.Column":
+    """SNK-9 / DT-7: the forecast valid-time row of a base time (base + 0..steps-1 hours)."""
+    b = base if not isinstance(base, str) else F.col(base)
+    return F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), lambda s: F.timestamp_add("HOUR", s, b))
+
+
 def upsert_attrs(attrs: DataFrame, time_end, mode, last_updated, attrs_col: str = "attrs") -> DataFrame:
     """SNK-10 / MAP-1: set valid_time_start, last_updated and the stop key of the
     mode (final -> valid_time_stop, else valid_time_stop_era5t), keeping every
