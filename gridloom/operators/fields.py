@@ -34,7 +34,7 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 def rename_values(col, mapping: Mapping[str, str]) -> Column:
     """PRJ-2 (long): map a name column through ``mapping``; unknown names kept."""
     m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    return F.coalesce(F.element_at(m, _c(col)), _c(col))
+    return F.coalesce(F.try_element_at(m, _c(col)), _c(col))
 
 
 def align_coords(df: DataFrame, keys: Sequence[str], variables: Sequence[str],

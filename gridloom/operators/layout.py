@@ -59,7 +59,7 @@ def chunk_pack(df: DataFrame, keys: Sequence[str], n_lat: int, n_lon: int,
     packed = df.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(pos.alias("k"),
                                                                                F.col(value).alias("v")))).alias("_m"))
     return packed.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                                            lambda i: F.element_at(F.col("_m"), i)).alias("values"))
+                                            lambda i: F.try_element_at(F.col("_m"), i)).alias("values"))
 
 
 def array_region_get(arr, offset, length) -> Column:

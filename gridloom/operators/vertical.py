@@ -39,7 +39,8 @@ def interpolate_to_targets(df: DataFrame, keys: Sequence[str], coord: str, targe
     inside = b.where(F.col("_c1").isNotNull()).select(
         "*", F.explode(F.filter(tgt, lambda t: (t >= F.col("_c0")) & (
             (t < F.col("_c1")) | ((t == F.col("_c1")) & F.col("_last"))))).alias(target_name))
-    frac = (_f(F.col(target_name), log) - _f(F.col("_c0"), log)) / (_f(F.col("_c1"), log) - _f(F.col("_c0"), log))
+    span = _f(F.col("_c1"), log) - _f(F.col("_c0"), log)
+    frac = F.when(span != 0, (_f(F.col(target_name), log) - _f(F.col("_c0"), log)) / span).otherwise(F.lit(0.0))
     out = inside.select(*keys, target_name, *[
         (F.col(f"_v0_{v}") + (F.col(f"_v1_{v}") - F.col(f"_v0_{v}")) * frac).alias(v) for v in values])
     if extrapolate:

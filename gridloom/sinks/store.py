@@ -194,4 +194,4 @@ def rechunk_time(df: DataFrame, keys, time_index: str, steps: int, value: str =
     g = df.groupBy(*keys, c.alias("chunk")).agg(
         F.map_from_entries(F.collect_list(F.struct(pos.alias("k"), F.col(value).alias("v")))).alias("_m"))
     return g.select(*keys, "chunk", F.transform(F.sequence(F.lit(0), F.lit(steps - 1)),
-                                                lambda i: F.element_at(F.col("_m"), i)).alias("values"))
+                                                lambda i: F.try_element_at(F.col("_m"), i)).alias("values"))
