@@ -215,7 +215,7 @@ def q_assert_levels(spark, sf_dir):
 
 
 @register("climatology", with_views("""
-SELECT month(time) AS month, hour(time) AS hour, lat_idx, lon_idx, variable, round(avg(value), 6) AS mean_value,
+SELECT CAST(month(time) AS INT) AS month, CAST(hour(time) AS INT) AS hour, lat_idx, lon_idx, variable, round(avg(value), 6) AS mean_value,
        count(value) AS n
 FROM v_grid GROUP BY 1, 2, 3, 4, 5""", "v_grid"))
 def q_climatology(spark, sf_dir):

@@ -28,7 +28,12 @@ def register(name: str, sql: str | None):
 def sql_list(values) -> str:
     items = []
     for v in values:
-        items.append(f"'{v}'" if isinstance(v, str) else str(v))
+        if isinstance(v, str):
+            items.append(f"'{v}'")
+        elif isinstance(v, float):
+            items.append(f"CAST('{v!r}' AS DOUBLE)")   # DOUBLE, not DECIMAL
+        else:
+            items.append(str(v))
     return "[" + ", ".join(items) + "]"
 
 
