@@ -45,3 +45,49 @@ def test_check_availability_flags_missing(spark):
     variables = spark.createDataFrame([("t", True), ("z", False)], "variable string, is_multilevel boolean")
     r = jobs.check_availability(spark, "2023-07-18", "daily", listing, "/r", variables).first()
     assert r["data_is_missing"] is True and r["n_missing"] == 4 + 37 + 1
+
+
+def test_build_store_normalises_and_refuses_overwrite(spark, sf_dir):
+    import pytest
+    path = scratch_path(spark, "t-build")
+    raw = S.v_grid(spark, sf_dir).select(
+        F.concat_ws("/", F.date_format("time", "yyyy/MM/dd"), "variable").alias("path"), "variable",
+        F.col("time").alias("valid_time"), "lat_idx", "lon_idx", F.lit(0).alias("number"),
+        F.when(F.col("value") > 40, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"))
+    jobs.build_store(raw, path)
+    got = ST.read_store(spark, path)
+    assert got.count() == raw.count()
+    assert got.where(F.isnan("value")).count() == 0 and got.where(F.col("value").isNull()).count() > 0
+    with pytest.raises(Exception):
+        jobs.build_store(raw, path)
+
+
+def test_update_files_writes_only_chunk_variables_inside_region(spark):
+    path = scratch_path(spark, "t-files")
+    files = spark.createDataFrame([("r/ERA5GRIB/HRES/Daily/2024/20240102_hres_tw.grb2",)], "path string")
+    rows = [("r/ERA5GRIB/HRES/Daily/2024/20240102_hres_tw.grb2", sn, f"2024-01-0{d} 0{h}:00:00", 0, 1.0)
+            for sn in ("t", "w", "q") for d in (2, 3) for h in (0, 6)]
+    raw = spark.createDataFrame(rows, "path string, short_name string, time string, cell int, value double") \
+        .withColumn("time", F.col("time").cast("timestamp_ntz"))
+    jobs.update_files(spark, files, raw, path, "2024-01-01")
+    got = ST.read_store(spark, path)
+    assert sorted(r[0] for r in got.select("variable").distinct().collect()) == ["t", "w"]
+    assert got.where(F.dayofmonth("time") != 2).count() == 0 and got.count() == 4
+
+
+def test_consistency_and_find_missing(spark):
+    years = spark.createDataFrame([(2001,)], "year int")
+    listing = spark.createDataFrame([("raw/ERA5GRIB/HRES/Daily/2001/20010101_hres_dve.grb2",),
+                                     ("raw/ERA5GRIB/HRES/Daily/2001/stray.tmp",)], "name string")
+    extra = [r[0] for r in jobs.check_consistency(spark, years, listing).collect()]
+    assert extra == ["raw/ERA5GRIB/HRES/Daily/2001/stray.tmp"]
+    pattern = spark.createDataFrame([("a",), ("b",)], "path string")
+    assert [r[0] for r in jobs.find_missing(pattern, spark.createDataFrame([("a",)], "path string")).collect()] == ["b"]
+
+
+def test_derive_field_set(spark, sf_dir):
+    from gridloom.operators import met
+    lv = S.v_levels(spark, sf_dir)
+    out = jobs.derive(spark, lv, S.v_surface(lv), met.hybrid_coefficients(spark, 7))
+    assert {"temperature", "specific_humidity", "geopotential", "r", "td"} <= set(out.columns)
+    assert out.where(F.col("geopotential").isNull()).count() == 0
