@@ -26,33 +26,38 @@ def interpolate_to_targets(df: DataFrame, keys: Sequence[str], coord: str, targe
     Linear in ``coord`` (or in ln(coord) with ``log``).  Targets outside the
     column are NULL, except the columns listed in ``extrapolate`` which take
     the nearest level's value (constant extrapolation).
+
+    One window pass: each level row gets its upper neighbour (``lead``), then
+    explodes the targets it is responsible for — those inside its bracket,
+    plus, when extrapolating, those below the first level (first row) or
+    above the last one (last row).  No union, no second scan of the column.
     """
     tgt = F.array(*[F.lit(float(t)) for t in sorted(targets)])
     w = Window.partitionBy(*keys).orderBy("_c0")
     b = df.select(*keys, F.col(coord).alias("_c0"), *[F.col(v).alias(f"_v0_{v}") for v in values])
     b = b.where(F.col("_c0").isNotNull())
-    b = b.withColumn("_c1", F.lead("_c0").over(w))
-    for v in values:
-        b = b.withColumn(f"_v1_{v}", F.lead(f"_v0_{v}").over(w))
-    b = b.withColumn("_last", F.lead("_c0", 2).over(w).isNull()) \
-        .withColumn("_first", F.lag("_c0").over(w).isNull())
-    inside = b.where(F.col("_c1").isNotNull()).select(
-        "*", F.explode(F.filter(tgt, lambda t: (t >= F.col("_c0")) & (
-            (t < F.col("_c1")) | ((t == F.col("_c1")) & F.col("_last"))))).alias(target_name))
-    span = _f(F.col("_c1"), log) - _f(F.col("_c0"), log)
-    frac = F.when(span != 0, (_f(F.col(target_name), log) - _f(F.col("_c0"), log)) / span).otherwise(F.lit(0.0))
-    out = inside.select(*keys, target_name, *[
-        (F.col(f"_v0_{v}") + (F.col(f"_v1_{v}") - F.col(f"_v0_{v}")) * frac).alias(v) for v in values])
+    b = b.select("*", F.lead("_c0").over(w).alias("_c1"),
+                 *[F.lead(f"_v0_{v}").over(w).alias(f"_v1_{v}") for v in values],
+                 F.lead("_c0", 2).over(w).isNull().alias("_last"),
+                 F.lag("_c0").over(w).isNull().alias("_first"))
+    c0, c1 = F.col("_c0"), F.col("_c1")
+    inside = F.filter(tgt, lambda t: c1.isNotNull() & (t >= c0) & ((t < c1) | ((t == c1) & F.col("_last"))))
+    picks = inside
     if extrapolate:
-        # constant extrapolation below the first and above the last level
-        lo = b.where(F.col("_first")).select(
-            "*", F.explode(F.filter(tgt, lambda t: t < F.col("_c0"))).alias(target_name))
-        hi = b.where(F.col("_c1").isNull()).select(
-            "*", F.explode(F.filter(tgt, lambda t: t > F.col("_c0"))).alias(target_name))
-        ext = lo.unionByName(hi).select(*[F.col(k) for k in keys], target_name, *[
-            (F.col(f"_v0_{v}") if v in extrapolate else F.lit(None).cast("double")).alias(v) for v in values])
-        out = out.unionByName(ext)
-    return out
+        below = F.filter(tgt, lambda t: F.col("_first") & (t < c0))
+        above = F.filter(tgt, lambda t: c1.isNull() & (t > c0))
+        picks = F.concat(below, inside, above)
+    rows = b.select("*", F.explode(picks).alias(target_name))
+    t = F.col(target_name)
+    outside = c1.isNull() | (t < c0)
+    span = _f(c1, log) - _f(c0, log)
+    frac = F.when(span != 0, (_f(t, log) - _f(c0, log)) / span).otherwise(F.lit(0.0))
+    cols = []
+    for v in values:
+        interp = F.col(f"_v0_{v}") + (F.col(f"_v1_{v}") - F.col(f"_v0_{v}")) * frac
+        const = F.col(f"_v0_{v}") if v in extrapolate else F.lit(None).cast("double")
+        cols.append(F.when(outside, const).otherwise(interp).alias(v))
+    return rows.select(*keys, target_name, *cols)
 
 
 def hodograph_bins(df: DataFrame, keys: Sequence[str], level: str, p: str, u: str, v: str,
