@@ -159,3 +159,15 @@ def test_complete_dates_stream(spark):
     got = {str(r["date"]): (r["n_present"], r["complete"]) for r in spark.sql("SELECT * FROM complete_dates_test").collect()}
     # the first day's window has closed (watermark passed); the duplicate arrival counts once
     assert got.get("2024-01-01") == (2, True)
+
+
+def test_disjoint_region_writes_commute(spark, sf_dir):
+    g = S.v_grid(spark, sf_dir).withColumn("date", F.col("time").cast("date"))
+    base = g.withColumn("value", F.lit(0.0))
+    a, b = g.where(F.dayofmonth("time") == 5), g.where(F.dayofmonth("time") == 6)
+    p1, p2 = scratch_path(spark, "t-ab"), scratch_path(spark, "t-ba")
+    for path, order in ((p1, (a, b)), (p2, (b, a))):
+        ST.write_store(base, path)
+        for region in order:
+            ST.overwrite_regions(region, path)
+    assert _sorted(ST.read_store(spark, p1)) == _sorted(ST.read_store(spark, p2))
