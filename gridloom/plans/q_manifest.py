@@ -9,7 +9,6 @@ from ..functions import fixed
 from ..functions import dates as D
 from ..functions import paths as P
 from ..operators import dims, manifest
-from ..session import ensure_session_defaults
 from ..sources import standins as S
 from ..sources.tables import table
 from .registry import register, sql_ar_path, sql_grouped_path, sql_list, with_views

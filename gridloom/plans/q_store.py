@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.dates import time_offset_hours
-from ..operators import dims, layout, manifest, release
+from ..operators import layout, manifest, release
 from ..session import scratch_path
 from ..sinks import store as ST
 from ..sources import standins as S
