@@ -103,3 +103,47 @@ def derive(spark: SparkSession, levels: DataFrame, surface: DataFrame, coef: Dat
     if "u" in levels.columns and "v" in levels.columns:
         out = out.withColumn("ws", met.wind_speed("u", "v"))
     return fields.rename_columns(out, fixed.SHORT_TO_LONG)
+
+
+def init_native(spark: SparkSession, path: str, start: str, end: str, cells: DataFrame, n_levels: int,
+                variables: Sequence[str]) -> None:
+    """Native-vertical store skeleton: every hour of [start, end] (whole end day) x
+    hybrid levels x cells x variables, values missing."""
+    hy = spark.range(1, n_levels + 1).select(F.col("id").cast("int").alias("k"))
+    var = spark.createDataFrame([(v,) for v in variables], "variable string")
+    keys = var.crossJoin(hy).crossJoin(cells)
+    end_excl = F.date_add(F.lit(end).cast("date"), 1)
+    day_after = spark.range(1).select(end_excl.cast("string").alias("e")).first()["e"]
+    t = ST.hourly_template(spark, start, day_after, keys)
+    ST.write_store(t.withColumn("date", F.col("time").cast("date")), path)
+
+
+def update_native(spark: SparkSession, levels: DataFrame, surface: DataFrame, coef: DataFrame, path: str,
+                  start: str, end: str, n_levels: int, on_error: str = "fail",
+                  keys: Sequence[str] = ("time", "cell")) -> DataFrame:
+    """Derive the native-vertical fields for every hour of [start, end] and
+    overwrite those hours in the store.
+
+    An hour is incomplete when a column lacks a level or its surface fields.
+    ``on_error="fail"`` (default) raises; ``"skip"`` leaves those hours
+    untouched and reports them — the returned DataFrame lists the skipped hours.
+    """
+    hours = spark.range(1).select(F.explode(D.hour_axis(F.lit(start), F.lit(end))).alias("time"))
+    lv = levels.join(hours, "time", "left_semi")
+    sf = surface.join(hours, "time", "left_semi")
+    per_col = lv.groupBy(*keys).agg(F.count_distinct("k").alias("n")).join(
+        sf.select(*keys, F.lit(True).alias("_sf")), list(keys), "full_outer")
+    bad_hours = per_col.where((F.col("n").isNull()) | (F.col("n") != n_levels) | F.col("_sf").isNull()) \
+        .select("time").distinct()
+    if on_error == "fail":
+        first_bad = bad_hours.limit(1).collect()
+        if first_bad:
+            raise ValueError(f"incomplete input for hour {first_bad[0]['time']}")
+    elif on_error != "skip":
+        raise ValueError(f"on_error must be 'fail' or 'skip', not {on_error!r}")
+    good = lv.join(bad_hours, "time", "left_anti")
+    derived = derive(spark, good, sf, coef, keys)
+    names = [c for c in derived.columns if c not in (*keys, "k") and c not in ("p_above", "p_below", "z_half", "lnsp", "zs")]
+    long = derived.unpivot([*keys, "k"], names, "variable", "value").withColumn("date", F.col("time").cast("date"))
+    ST.overwrite_steps(spark, path, long, ["cell", "k"])
+    return bad_hours
