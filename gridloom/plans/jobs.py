@@ -26,12 +26,18 @@ def build_store(raw: DataFrame, path: str, keys: Sequence[str] = ("time", "lat_i
 
 
 def update_daily(raw_releases: DataFrame, path: str, start: str, end: str,
-                 keys: Sequence[str] = ("time", "lat_idx", "lon_idx")) -> None:
-    """Days [start, end]: combine releases (final over preliminary), overwrite those day regions."""
+                 keys: Sequence[str] = ("time", "lat_idx", "lon_idx"), attrs_path: str | None = None,
+                 store_name: str = "store", mode: str = fixed.MODE_DAILY, now: str | None = None) -> None:
+    """Days [start, end]: combine releases (final over preliminary), overwrite those
+    day regions, then record the new validity end in the store's attributes."""
     window = raw_releases.where(F.col("time").cast("date").between(F.lit(start).cast("date"),
                                                                    F.lit(end).cast("date")))
     comb = release.combine_releases(window, list(keys) + ["variable"]).drop("expver_used")
     ST.overwrite_regions(comb.withColumn("date", F.col("time").cast("date")), path)
+    if attrs_path:
+        import datetime
+        stamp = now or str(datetime.datetime.now(datetime.timezone.utc))
+        ST.upsert_store_attrs_table(raw_releases.sparkSession, attrs_path, store_name, end, mode, stamp)
 
 
 def update_files(spark: SparkSession, files: DataFrame, raw: DataFrame, path: str, init: str,

@@ -195,3 +195,29 @@ def rechunk_time(df: DataFrame, keys, time_index: str, steps: int, value: str =
         F.map_from_entries(F.collect_list(F.struct(pos.alias("k"), F.col(value).alias("v")))).alias("_m"))
     return g.select(*keys, "chunk", F.transform(F.sequence(F.lit(0), F.lit(steps - 1)),
                                                 lambda i: F.try_element_at(F.col("_m"), i)).alias("values"))
+
+
+def upsert_store_attrs_table(spark: SparkSession, attrs_path: str, store: str, time_end: str, mode: str,
+                             last_updated: str) -> None:
+    """SNK-10 on the ``store_attrs`` table (store STRING, attrs MAP<STRING,STRING>):
+    upsert the validity keys of one store after a write, keeping its other keys.
+
+    The current row (if any) is read, merged and staged; the table is then
+    rewritten from the staged copy (Parquet has no MERGE; the table holds one
+    row per store, so the rewrite is small).
+    """
+    from ..session import scratch_path
+    from pyspark.errors import AnalysisException
+    new = spark.createDataFrame([(store, {})], "store string, attrs map<string,string>")
+    try:
+        cur = spark.read.parquet(attrs_path)
+        mine = cur.where(F.col("store") == store)
+        others = cur.where(F.col("store") != store)
+        base = mine.unionByName(new.join(mine.select("store"), "store", "left_anti"))
+    except AnalysisException:  # the table does not exist yet
+        others, base = None, new
+    row = upsert_attrs(base, time_end, mode, last_updated)
+    out = row if others is None else others.unionByName(row)
+    stage = scratch_path(spark, "attrs-stage")
+    out.write.parquet(stage)
+    spark.read.parquet(stage).coalesce(1).write.mode("overwrite").parquet(attrs_path)

@@ -115,3 +115,17 @@ def test_native_init_and_hourly_update_with_skip(spark):
     assert st.where((F.hour("time") == 1) & F.col("value").isNotNull()).count() == 2 * 3 * len(names)
     assert st.where((F.hour("time") == 2) & F.col("value").isNotNull()).count() == 0
     assert st.count() == 24 * 3 * 2 * len(names)
+
+
+def test_store_attrs_table_upserts(spark, sf_dir):
+    attrs = scratch_path(spark, "t-attrs")
+    path = scratch_path(spark, "t-daily-attrs")
+    r = S.v_release(spark, sf_dir).select("time", "variable", F.col("cell").alias("lat_idx"),
+                                          F.lit(0).alias("lon_idx"), "expver", "value")
+    jobs.update_daily(r, path, "2024-01-03", "2024-01-04", attrs_path=attrs, store_name="ar", now="t1")
+    jobs.update_daily(r, path, "2024-01-05", "2024-01-05", attrs_path=attrs, store_name="ar", mode="era5", now="t2")
+    ST.upsert_store_attrs_table(spark, attrs, "other", "2024-02-01", "monthly", "t3")
+    rows = {x["store"]: x["attrs"] for x in spark.read.parquet(attrs).collect()}
+    assert rows["ar"] == {"valid_time_start": "1940-01-01", "last_updated": "t2",
+                          "valid_time_stop_era5t": "2024-01-04", "valid_time_stop": "2024-01-05"}
+    assert rows["other"]["valid_time_stop_era5t"] == "2024-02-01"
