@@ -99,11 +99,13 @@ def legendre_matrix(truncation: int, m: int, mu: np.ndarray) -> np.ndarray:
     return out
 
 
-def synthesise(coeffs: DataFrame, keys: Sequence[str], latitudes: Sequence[float], n_lon: int,
+def synthesise(coeffs: DataFrame, keys: Sequence[str], latitudes: Sequence[float], n_lon,
                truncation: int | None = None) -> DataFrame:
     """MET-10: grid values f(lat, lon) = sum_m sum_n P(n,m)(mu) c_nm e^{i m lon}
     (real part, m > 0 counted twice), on latitudes ``latitudes`` (degrees,
-    ``lat_idx`` = position) and ``n_lon`` equally spaced longitudes.
+    ``lat_idx`` = position) and ``n_lon`` equally spaced longitudes — one
+    number for a regular grid, or one per latitude for a reduced Gaussian
+    grid (e.g. ``regrid.reduced_gaussian_grid``).
 
     Stage 1 (Legendre): rows grouped per (field, m) — at most T+1 rows each —
     become, in one Arrow-batched UDF, the Fourier coefficient of that m at
@@ -131,16 +133,19 @@ def synthesise(coeffs: DataFrame, keys: Sequence[str], latitudes: Sequence[float
             b_out.append(np.asarray(im_, float) @ pm[rows])
         return pd.DataFrame({"a": a_out, "b": b_out})
 
+    lon_counts = [int(n_lon)] * n_lat if np.isscalar(n_lon) else [int(x) for x in n_lon]
+
     @F.pandas_udf("array<double>")
-    def fourier(ms: pd.Series, as_: pd.Series, bs: pd.Series) -> pd.Series:
+    def fourier(lat_ids: pd.Series, ms: pd.Series, as_: pd.Series, bs: pd.Series) -> pd.Series:
         out = []
-        for m_, a_, b_ in zip(ms, as_, bs):
-            spec = np.zeros(n_lon // 2 + 1, dtype=complex)
+        for li, m_, a_, b_ in zip(lat_ids, ms, as_, bs):
+            nl = lon_counts[int(li)]
+            spec = np.zeros(nl // 2 + 1, dtype=complex)
             m_ = np.asarray(m_, dtype=int)
-            keep = m_ <= n_lon // 2
+            keep = m_ <= nl // 2
             spec[m_[keep]] = np.asarray(a_, float)[keep] + 1j * np.asarray(b_, float)[keep]
             # irfft gives (1/N)(c_0 + 2 Re sum c_m e^{i m lon}); scale back by N
-            out.append(np.fft.irfft(spec, n=n_lon) * n_lon)
+            out.append(np.fft.irfft(spec, n=nl) * nl)
         return pd.Series(out)
 
     per_m = coeffs.groupBy(*key_list, "m").agg(
@@ -152,7 +157,7 @@ def synthesise(coeffs: DataFrame, keys: Sequence[str], latitudes: Sequence[float
         *key_list, "m", F.col("lat_idx").cast("int").alias("lat_idx"), F.col("_ab.a").alias("a"),
         F.col("_ab.b").alias("b"))
     per_lat = by_lat.groupBy(*key_list, "lat_idx").agg(F.sort_array(F.collect_list(F.struct("m", "a", "b"))).alias("_f"))
-    grid = per_lat.select(*key_list, "lat_idx", fourier(F.transform("_f", lambda x: x["m"]),
+    grid = per_lat.select(*key_list, "lat_idx", fourier(F.col("lat_idx"), F.transform("_f", lambda x: x["m"]),
                                                          F.transform("_f", lambda x: x["a"]),
                                                          F.transform("_f", lambda x: x["b"])).alias("_v"))
     assert n_lat >= 1

@@ -470,3 +470,42 @@ def q_assemble_hour(spark, sf_dir):
                    met.wind_speed("u", "v").alias("ws"))
     from ..operators.fields import rename_columns
     return rename_columns(out, fixed.SHORT_TO_LONG)
+
+
+GG_HALF, GG_NLAT, GG_NLON = 4, 5, 8          # N4 octahedral grid (208 cells) -> 5 x 8 regular grid
+
+
+def _gg_weights_rows():
+    """The same weights the Spark job generates, computed locally for the oracle."""
+    import pandas as pd
+    lats, counts, offsets = regrid.reduced_gaussian_grid(GG_HALF)
+    n_dst = GG_NLAT * GG_NLON
+    block = regrid._gaussian_weight_block(lats, counts, offsets, GG_NLAT, GG_NLON, 90.0, 180.0 / (GG_NLAT - 1))
+    return next(block([pd.DataFrame({"dst_cell": list(range(n_dst))})])), int(counts.sum())
+
+
+def _sql_regrid_gaussian() -> str:
+    w, n_src = _gg_weights_rows()
+    values = ", ".join(f"({int(s)}, {int(t)}, {d(x)})" for s, t, x in zip(w["src_cell"], w["dst_cell"], w["w"]))
+    return f"""
+WITH f AS (SELECT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS time, CAST(l_partkey % {n_src} AS BIGINT) AS src_cell,
+                  max(l_extendedprice) / 1000.0 AS value FROM lineitem GROUP BY 1, 2),
+wt AS (SELECT * FROM (VALUES {values}) t(src_cell, dst_cell, w))
+SELECT f.time, CAST(wt.dst_cell AS BIGINT) AS dst_cell,
+       round(CASE WHEN sum(wt.w) > 0 THEN sum(wt.w * f.value) / sum(wt.w) END, 6) AS value
+FROM f JOIN wt ON f.src_cell = wt.src_cell GROUP BY 1, 2"""
+
+
+@register("regrid_gaussian", _sql_regrid_gaussian())
+def q_regrid_gaussian(spark, sf_dir):
+    """MET-11 at true geometry: a field on an octahedral reduced Gaussian grid
+    regridded to a regular lat/lon grid (weights generated by Spark)."""
+    from ..functions.dates import trunc_ntz
+    n_src = int(regrid.reduced_gaussian_grid(GG_HALF)[1].sum())
+    li = table(spark, sf_dir, "lineitem")
+    f = li.groupBy(trunc_ntz("month", "l_shipdate").alias("time"),
+                   (F.col("l_partkey") % n_src).cast("long").alias("src_cell")).agg(
+        (F.max("l_extendedprice") / F.lit(1000.0)).alias("value"))
+    w = regrid.gaussian_to_regular_weights(spark, GG_HALF, GG_NLAT, GG_NLON)
+    out = regrid.apply_weights(f, w, ["time"], "src_cell", "dst_cell", ["value"], n_weights=4 * GG_NLAT * GG_NLON)
+    return out.select("time", "dst_cell", F.round("value", 6).alias("value"))

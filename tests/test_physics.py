@@ -132,3 +132,32 @@ def test_legendre_normalisation():
         pm = spectral.legendre_matrix(8, m, x)
         gram = (pm * w) @ pm.T
         assert np.allclose(gram, 2 * np.eye(pm.shape[0]), atol=1e-10)
+
+
+def test_gaussian_to_regular_weights(spark):
+    import numpy as np
+    lats, counts, offsets = regrid.reduced_gaussian_grid(8)
+    assert counts.sum() == 2 * sum(20 + 4 * i for i in range(8))
+    w = regrid.gaussian_to_regular_weights(spark, 8, 19, 36)
+    sums = {r["dst_cell"]: r["s"] for r in w.groupBy("dst_cell").agg(F.sum("w").alias("s")).collect()}
+    assert len(sums) == 19 * 36 and all(abs(s - 1) < 1e-12 for s in sums.values())
+    # a field linear in latitude (inside the outermost rings) is reproduced exactly
+    src_lat = np.repeat(lats, counts)
+    field = spark.createDataFrame([(int(i), float(v)) for i, v in enumerate(src_lat)], "src_cell long, value double")
+    out = regrid.apply_weights(field, w, [], "src_cell", "dst_cell", ["value"]).collect()
+    for r in out:
+        lat = 90.0 - 10.0 * (r["dst_cell"] // 36)
+        if lats[-1] <= lat <= lats[0]:
+            assert r["value"] == pytest.approx(lat, abs=1e-9)
+
+
+def test_synthesis_on_reduced_gaussian_grid(spark):
+    import numpy as np
+    lats, counts, _ = regrid.reduced_gaussian_grid(3)
+    co = spark.createDataFrame([(0, 1, 1, 0.5, 0.0)], "f int, n int, m int, re double, im double")
+    grid = spectral.synthesise(co, ["f"], list(lats), list(counts), truncation=2).collect()
+    assert len(grid) == counts.sum()
+    for r in grid:
+        lat = math.radians(lats[r["lat_idx"]])
+        lon = 2 * math.pi * r["lon_idx"] / counts[r["lat_idx"]]
+        assert r["value"] == pytest.approx(2 * 0.5 * math.sqrt(1.5) * math.cos(lat) * math.cos(lon), abs=1e-12)
