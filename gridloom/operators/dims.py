@@ -55,3 +55,9 @@ def checked_product(left: DataFrame, right: DataFrame, max_rows: int = MAX_BROAD
     if n <= max_rows:
         return left.crossJoin(F.broadcast(right))
     return left.crossJoin(right)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint when its row count is within ``max_rows``
+    (a count of a small side), else unchanged so Spark shuffles both sides."""
+    return F.broadcast(df) if df.count() <= max_rows else df

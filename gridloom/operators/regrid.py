@@ -73,10 +73,12 @@ def sample_points(field: DataFrame, neighbours: DataFrame, point_keys: Sequence[
                   keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Interpolate ``values`` of a (keys, lat_idx, lon_idx) field at points.
 
-    The neighbour table (points x 4) is small and broadcast; the field is
-    not moved.
+    The neighbour table (points x 4) is broadcast when its counted size is
+    within the bound — the usual case (a line, a station list) — so the field
+    is not moved; otherwise both sides are shuffled on the cell.
     """
-    j = field.join(F.broadcast(neighbours), ["lat_idx", "lon_idx"])
+    from .dims import broadcast_if_small
+    j = field.join(broadcast_if_small(neighbours), ["lat_idx", "lon_idx"])
     aggs = []
     for v in values:
         present = F.col(v).isNotNull()

@@ -246,7 +246,8 @@ def q_point_profile(spark, sf_dir):
         (F.col("n_regionkey").cast("double") * F.lit(70.0) + F.lit(5.0)).alias("lon"))
     nc = regrid.nearest_cell(pts, ["n_nationkey"], **GRID)
     p = _cell_xy(levels_with_pressure(spark, sf_dir))
-    return p.join(F.broadcast(nc), ["lat_idx", "lon_idx"]).select(
+    from ..operators.dims import broadcast_if_small
+    return p.join(broadcast_if_small(nc), ["lat_idx", "lon_idx"]).select(
         "n_nationkey", "time", "k", "t", "q", "u", "v", F.round("p", 4).alias("p"))
 
 
