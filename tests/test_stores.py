@@ -171,3 +171,24 @@ def test_disjoint_region_writes_commute(spark, sf_dir):
         for region in order:
             ST.overwrite_regions(region, path)
     assert _sorted(ST.read_store(spark, p1)) == _sorted(ST.read_store(spark, p2))
+
+
+def test_hot_region_is_split_across_tasks(spark):
+    import glob
+    path = scratch_path(spark, "t-hot")
+    hot = spark.range(300_000).select(F.lit("hot").alias("variable"), F.lit("2024-01-01").cast("date").alias("date"),
+                                      F.col("id").alias("cell"), (F.col("id") * 0.5).alias("value"))
+    cold = spark.range(3_000).select(F.concat(F.lit("v"), (F.col("id") % 5).cast("string")).alias("variable"),
+                                     F.lit("2024-01-02").cast("date").alias("date"), F.col("id").alias("cell"),
+                                     F.col("id").cast("double").alias("value"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        ST.write_store(hot.unionByName(cold), path)
+    finally:
+        spark.conf.set(key, old)
+    local = path.replace("file:", "")
+    files = glob.glob(f"{local}/variable=hot/date=2024-01-01/*.parquet")
+    assert len(files) > 1                                  # the hot region was written by several tasks
+    assert ST.read_store(spark, path).count() == 303_000   # and nothing was dropped
