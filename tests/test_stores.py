@@ -192,3 +192,18 @@ def test_hot_region_is_split_across_tasks(spark):
     files = glob.glob(f"{local}/variable=hot/date=2024-01-01/*.parquet")
     assert len(files) > 1                                  # the hot region was written by several tasks
     assert ST.read_store(spark, path).count() == 303_000   # and nothing was dropped
+
+
+def test_stream_ingest_resumes_from_checkpoint(spark, sf_dir):
+    from gridloom.streaming import ingest
+    landing, store, ckpt = (scratch_path(spark, n) for n in ("t-land", "t-store", "t-ckpt"))
+    g = S.v_grid(spark, sf_dir).withColumn("date", F.col("time").cast("date"))
+    schema = ("time timestamp_ntz, variable string, lat_idx int, lon_idx int, latitude float, longitude float, "
+              "value double, date date")
+    g.where(F.dayofmonth("time") <= 10).write.mode("append").parquet(landing)
+    ingest.ingest_new_blocks(spark, landing, schema, store, ckpt)
+    first = ST.read_store(spark, store).count()
+    g.where(F.dayofmonth("time") > 10).write.mode("append").parquet(landing)
+    ingest.ingest_new_blocks(spark, landing, schema, store, ckpt)      # same checkpoint: only the new files
+    assert first == g.where(F.dayofmonth("time") <= 10).count()
+    assert _sorted(ST.read_store(spark, store).select(*g.columns)) == _sorted(g)
