@@ -97,6 +97,21 @@ def store_manifest(spark: SparkSession, window: DataFrame, root: str, stores=Non
     return out.select("store", "date", "chunk", "path")
 
 
+def raw_paths(spark: SparkSession, window: DataFrame, store: str, root: str,
+              variables: DataFrame | None = None) -> DataFrame:
+    """SRC-5 router: expected raw files of one store over the window — the
+    per-variable files for the analysis-ready store (``"ar"``), the grouped
+    chunk files (daily or monthly by store) otherwise."""
+    if store == "ar":
+        if variables is None:
+            raise ValueError("the analysis-ready manifest needs the variable list")
+        dates = window.select(F.explode(date_axis("start", "end", "D")).alias("date"))
+        return ar_manifest(spark, dates, variables, root).select("path")
+    if store not in fixed.STORE_CHUNKS:
+        raise ValueError(f"unknown store {store!r}")
+    return store_manifest(spark, window, root, [store]).select("path")
+
+
 def availability_manifest(spark: SparkSession, window: DataFrame, mode: str, root: str,
                           variables: DataFrame) -> DataFrame:
     """SET-3: union of the manifests one processing mode depends on.

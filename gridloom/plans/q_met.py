@@ -236,7 +236,7 @@ pts AS (SELECT n_nationkey, CAST(n_nationkey AS DOUBLE) * {d(7.3)} - {d(80.1)} A
 nc AS (SELECT n_nationkey, CAST(least(greatest(round(({d(90.0)} - lat) / {d(60.0)}), 0), 3) AS INT) AS lat_idx,
               CAST(((CAST(round((((lon % {d(360.0)}) + {d(360.0)}) % {d(360.0)}) / {d(60.0)}) AS INT) % 6) + 6) % 6 AS INT) AS lon_idx
        FROM pts)
-SELECT nc.n_nationkey, pf.time, pf.k, pf.t, pf.q, pf.u, pf.v, round(pf.p, 4) AS p
+SELECT nc.n_nationkey, pf.time, pf.k, pf.t, pf.q, pf.u, pf.v, pf.lnsp, round(pf.p, 4) AS p
 FROM pf JOIN nc ON pf.cell // 6 = nc.lat_idx AND pf.cell % 6 = nc.lon_idx""",
                                       "v_levels", "v_surface"))
 def q_point_profile(spark, sf_dir):
@@ -248,7 +248,7 @@ def q_point_profile(spark, sf_dir):
     p = _cell_xy(levels_with_pressure(spark, sf_dir))
     from ..operators.dims import broadcast_if_small
     return p.join(broadcast_if_small(nc), ["lat_idx", "lon_idx"]).select(
-        "n_nationkey", "time", "k", "t", "q", "u", "v", F.round("p", 4).alias("p"))
+        "n_nationkey", "time", "k", "t", "q", "u", "v", "lnsp", F.round("p", 4).alias("p"))
 
 
 @register("sample_line", with_views(f"""WITH {_sql_line_neighbours()}

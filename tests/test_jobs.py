@@ -129,3 +129,17 @@ def test_store_attrs_table_upserts(spark, sf_dir):
     assert rows["ar"] == {"valid_time_start": "1940-01-01", "last_updated": "t2",
                           "valid_time_stop_era5t": "2024-01-04", "valid_time_stop": "2024-01-05"}
     assert rows["other"]["valid_time_stop_era5t"] == "2024-02-01"
+
+
+def test_raw_paths_router(spark):
+    from gridloom.operators import manifest
+    w = spark.createDataFrame([("2024-01-30", "2024-02-02")], "start string, end string")
+    wind = manifest.raw_paths(spark, w, "model-level-wind", "/r")
+    assert wind.count() == 4 * 2                                   # 4 days x (dve, tw)
+    surf = manifest.raw_paths(spark, w, "single-level-surface", "/r")
+    assert sorted(r[0] for r in surf.collect()) == [
+        "/r/ERA5GRIB/HRES/Month/2024/202402_hres_lnsp.grb2", "/r/ERA5GRIB/HRES/Month/2024/202402_hres_zs.grb2"]
+    v = spark.createDataFrame([("t", True), ("geopotential_at_surface", False)], "variable string, is_multilevel boolean")
+    ar = manifest.raw_paths(spark, w, "ar", "/r", v)
+    assert ar.count() == 4 * (37 + 1)
+    assert ar.where(F.col("path").endswith("/geopotential/surface.nc")).count() == 4
