@@ -50,7 +50,10 @@ def checked_product(left: DataFrame, right: DataFrame, max_rows: int = MAX_BROAD
 
     ``right`` is a dimension; it is broadcast only when its row count is within
     ``max_rows``.  Beyond that Spark plans a distributed cartesian product.
+    The dimension is persisted before counting so its source (possibly a
+    large table reduced by ``distinct``) is scanned once, not twice.
     """
+    right = right.persist()
     n = right.count()
     if n <= max_rows:
         return left.crossJoin(F.broadcast(right))
@@ -60,4 +63,5 @@ def checked_product(left: DataFrame, right: DataFrame, max_rows: int = MAX_BROAD
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint when its row count is within ``max_rows``
     (a count of a small side), else unchanged so Spark shuffles both sides."""
+    df = df.persist()      # counted then used: scan the source once
     return F.broadcast(df) if df.count() <= max_rows else df
