@@ -207,3 +207,13 @@ def test_stream_ingest_resumes_from_checkpoint(spark, sf_dir):
     ingest.ingest_new_blocks(spark, landing, schema, store, ckpt)      # same checkpoint: only the new files
     assert first == g.where(F.dayofmonth("time") <= 10).count()
     assert _sorted(ST.read_store(spark, store).select(*g.columns)) == _sorted(g)
+
+
+def test_chunk_layout_store_round_trip(spark, sf_dir):
+    path = scratch_path(spark, "t-chunkstore")
+    g = S.v_grid(spark, sf_dir).select("time", "variable", "lat_idx", "lon_idx", "value")
+    packed = layout.chunk_pack(g, ["time", "variable"], 4, 6).withColumn("date", F.col("time").cast("date"))
+    ST.write_store(packed, path)
+    back = layout.chunk_explode(ST.read_store(spark, path), "values", 6, ["time", "variable"]) \
+        .where(F.col("value").isNotNull()).select("time", "variable", "lat_idx", "lon_idx", "value")
+    assert _sorted(back) == _sorted(g)
