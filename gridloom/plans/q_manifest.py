@@ -36,6 +36,7 @@ WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders),
 {SQL_VAR_LEVELS}
 SELECT date, variable, level, {sql_ar_path(ROOT, 'date', 'variable', 'level')} AS path FROM d, vl""")
 def q_manifest_ar(spark, sf_dir):
+    """SRC-1: expected analysis-ready raw files for every order date (variables x levels)."""
     dates = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("date")).distinct()
     return manifest.ar_manifest(spark, dates, _grid_variables(spark, sf_dir), ROOT)
 
@@ -57,6 +58,7 @@ SELECT date, chunk, {sql_grouped_path(ROOT, 'date', 'chunk', False)} AS path FRO
 UNION ALL
 SELECT date, chunk, {sql_grouped_path(ROOT, 'date', 'chunk', True)} AS path FROM months, sl""")
 def q_manifest_co(spark, sf_dir):
+    """SRC-2: expected grouped files over the order-date window (daily model-level, monthly single-level)."""
     w = _window(table(spark, sf_dir, "orders"), "o_orderdate")
     ml = manifest.grouped_manifest(w, dims.chunk_list(spark, fixed.MODEL_LEVEL_CHUNKS), ROOT, False)
     sl = manifest.grouped_manifest(w, dims.chunk_list(spark, fixed.SINGLE_LEVEL_CHUNKS), ROOT, True)
@@ -97,6 +99,7 @@ FROM m, sfx"""
 
 @register("manifest_year", _sql_year_manifest())
 def q_manifest_year(spark, sf_dir):
+    """SRC-4: names the consistency check expects for every year with orders."""
     years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"))
     return manifest.year_manifest(spark, years, "raw")
 
@@ -116,6 +119,7 @@ SELECT store, date, chunk, {sql_grouped_path(ROOT, 'date', 'chunk', True)} AS pa
 
 @register("manifest_store", _sql_store_manifest())
 def q_manifest_store(spark, sf_dir):
+    """SRC-5: expected raw files of every grouped store over the ship-date window."""
     w = _window(table(spark, sf_dir, "lineitem"), "l_shipdate")
     return manifest.store_manifest(spark, w, ROOT)
 
@@ -123,6 +127,7 @@ def q_manifest_store(spark, sf_dir):
 @register("missing_files", with_views(
     "SELECT date, chunk FROM v_expected EXCEPT ALL SELECT date, chunk FROM v_actual", "v_expected", "v_actual"))
 def q_missing_files(spark, sf_dir):
+    """JN-5: expected (date, chunk) files with no actual file."""
     return manifest.missing(S.v_expected(spark, sf_dir), S.v_actual(spark, sf_dir), ["date", "chunk"])
 
 
@@ -143,6 +148,7 @@ def q_extra_files(spark, sf_dir):
 SELECT count(*) AS n_missing, count(*) > 0 AS data_is_missing
 FROM (SELECT date, chunk FROM v_expected EXCEPT ALL SELECT date, chunk FROM v_actual) m""", "v_expected", "v_actual"))
 def q_missing_flag(spark, sf_dir):
+    """AG-7: number of missing files and the any-missing flag."""
     return manifest.missing_flag(S.v_expected(spark, sf_dir), S.v_actual(spark, sf_dir), ["date", "chunk"])
 
 
@@ -166,6 +172,7 @@ def q_manifest_mode(spark, sf_dir):
 SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem
 EXCEPT SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders""")
 def q_set_difference(spark, sf_dir):
+    """SET-1: ship dates that are not order dates (set semantics)."""
     a = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("date"))
     b = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
     return manifest.set_difference(a, b)
@@ -176,6 +183,7 @@ SELECT e.date, count(*) AS n_expected, count(a.chunk) AS n_present
 FROM v_expected e LEFT JOIN v_actual a ON e.date = a.date AND e.chunk = a.chunk
 GROUP BY e.date HAVING count(*) = count(a.chunk)""", "v_expected", "v_actual"))
 def q_complete_dates(spark, sf_dir):
+    """STM-3 (batch form): dates whose every expected file is present."""
     return manifest.complete_dates(S.v_expected(spark, sf_dir), S.v_actual(spark, sf_dir))
 
 
