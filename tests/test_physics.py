@@ -161,3 +161,30 @@ def test_synthesis_on_reduced_gaussian_grid(spark):
         lat = math.radians(lats[r["lat_idx"]])
         lon = 2 * math.pi * r["lon_idx"] / counts[r["lat_idx"]]
         assert r["value"] == pytest.approx(2 * 0.5 * math.sqrt(1.5) * math.cos(lat) * math.cos(lon), abs=1e-12)
+
+
+def test_spectral_wind_chain_solid_body(spark):
+    """vorticity (spectral) -> U = u cos(lat) (MET-9) -> reduced Gaussian grid (MET-10)
+    -> regular lat/lon grid (MET-11): u = U0 cos(lat) everywhere."""
+    import numpy as np
+    a, u0 = fixed.EARTH_RADIUS, 20.0
+    zeta10 = 2 * u0 / a / math.sqrt(3)
+    rows = [(0, n, m, zeta10 if (n, m) == (1, 0) else 0.0, 0.0, 0.0, 0.0) for m in range(4) for n in range(m, 4)]
+    co = spark.createDataFrame(rows, "f int, n int, m int, vo_re double, vo_im double, d_re double, d_im double")
+    uv = spectral.vd2uv(co, ["f"]).select("f", "n", "m", F.col("u_re").alias("re"), F.col("u_im").alias("im"))
+    lats, counts, offsets = regrid.reduced_gaussian_grid(4)
+    g = spectral.synthesise(uv, ["f"], list(lats), list(counts), truncation=3)
+    cell = F.element_at(F.array(*[F.lit(int(o)) for o in offsets]), F.col("lat_idx") + 1) + F.col("lon_idx")
+    big_u = g.select(cell.cast("long").alias("src_cell"), "value")
+    w = regrid.gaussian_to_regular_weights(spark, 4, 7, 12)
+    out = regrid.apply_weights(big_u, w, [], "src_cell", "dst_cell", ["value"]).collect()
+    for r in out:
+        lat = 90.0 - 30.0 * (r["dst_cell"] // 12)
+        if lats[-1] <= lat <= lats[0]:
+            # U is exact on the Gaussian rings; between rings the linear
+            # interpolation of cos^2 leaves a small, bounded error
+            assert abs(r["value"] - u0 * math.cos(math.radians(lat)) ** 2) < 0.05 * u0
+    on_rings = {rr["src_cell"]: rr["value"] for rr in big_u.collect()}
+    for j, lat in enumerate(lats):
+        for i in range(counts[j]):
+            assert on_rings[int(offsets[j] + i)] == pytest.approx(u0 * math.cos(math.radians(lat)) ** 2, abs=1e-9)
