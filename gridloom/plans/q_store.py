@@ -403,3 +403,25 @@ def q_stream_replace(spark, sf_dir):
     r.where(F.col("expver") == fixed.RELEASE_FINAL).write.mode("append").parquet(landing)
     ingest.ingest_releases(spark, landing, schema, store, ckpt, ["time", "cell"])
     return ST.read_store(spark, store).select("time", "variable", "cell", "value", "expver_used", "date")
+
+
+@register("hourly_grid_stream", """
+SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS window_start,
+       CAST(date_trunc('hour', ts) + INTERVAL 1 HOUR AS TIMESTAMP) AS window_end,
+       CAST(user_id % 24 AS INT) AS cell, count(*) AS n, max(value) AS max_value,
+       CAST(date_trunc('hour', ts) AS DATE) AS date
+FROM events GROUP BY 1, 2, 3, 6""")
+def q_hourly_grid_stream(spark, sf_dir):
+    """STM-4 (streaming form): event files landing in two drops are bucketed on
+    the hourly axis with a watermark; each micro-batch's updated windows are
+    merged into a date-partitioned store.  Equal to the batch form."""
+    from ..streaming.windows import hourly_grid_to_store
+    landing, store, ckpt = (scratch_path(spark, n) for n in ("hg-landing", "hg-store", "hg-ckpt"))
+    ev = table(spark, sf_dir, "events").select("ts", (F.col("user_id") % 24).cast("int").alias("cell"), "value")
+    half = F.dayofmonth("ts") <= 15
+    ev.where(half).write.mode("append").parquet(landing)
+    schema = "ts timestamp_ntz, cell int, value double"
+    hourly_grid_to_store(spark, landing, schema, store, ckpt, "ts", ["cell"], lateness="1000 days")
+    ev.where(~half).write.mode("append").parquet(landing)
+    hourly_grid_to_store(spark, landing, schema, store, ckpt, "ts", ["cell"], lateness="1000 days")
+    return ST.read_store(spark, store).select("window_start", "window_end", "cell", "n", "max_value", "date")

@@ -48,3 +48,41 @@ def complete_dates_stream(landed: DataFrame, expected_per_date: DataFrame, ts: s
               .agg(F.count(F.lit(1)).alias("n_present")))
     return counts.join(expected_per_date, key).select(
         key, "n_present", "n_expected", (F.col("n_present") >= F.col("n_expected")).alias("complete"))
+
+
+def hourly_grid_to_store(spark, landing: str, schema, store: str, checkpoint: str, ts: str,
+                         cell_keys: Sequence[str], value: str = "value", lateness: str = "2 hours") -> None:
+    """Run :func:`hourly_grid_stream` over new landing files and keep its result
+    in a store partitioned by date.
+
+    Update mode hands each micro-batch the windows whose aggregate changed,
+    with their full current value (kept in watermarked state). Each batch is
+    merged into the store by replacing exactly those (window, cell) rows,
+    staged and then overwritten per date, so a replayed batch leaves the
+    same store.
+    """
+    from pyspark.errors import AnalysisException
+
+    from ..sinks.store import overwrite_steps, write_store
+
+    src = spark.readStream.schema(schema).parquet(landing)
+    agg = hourly_grid_stream(src, ts, cell_keys, value, lateness)
+    keys = list(cell_keys)
+
+    def batch(df: DataFrame, epoch_id: int) -> None:
+        rows = df.withColumn("date", F.col("window_start").cast("date"))
+        if rows.isEmpty():
+            return
+        sp = df.sparkSession
+        try:
+            sp.read.parquet(store)
+        except AnalysisException:  # first batch: the store does not exist yet
+            write_store(rows, store, ("date",))
+            return
+        overwrite_steps(sp, store, rows, keys, step_col="window_start", partition_by=("date",))
+
+    q = (agg.writeStream.outputMode("update").foreachBatch(batch)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
