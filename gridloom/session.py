@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+PACKAGE_PARENT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 # Settings every job relies on: AQE for runtime re-planning and skew splits,
 # UTC so NTZ <-> LTZ round trips (date_trunc) are exact, no web UI.
 BASE_CONF = {
@@ -47,6 +49,12 @@ def ensure_session_defaults(spark: SparkSession) -> None:
     """Settings a query needs for exact results, applied to a given session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    # Python workers must find this package too; a cluster without a shared source
+    # folder ships it with --py-files
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_PARENT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([PACKAGE_PARENT, *paths])
 
 
 def checkpoint_root(spark: SparkSession) -> str:
