@@ -100,13 +100,12 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows.append((doc_id, len(s), a, b, signature(s) if first else b""))
         if first:
             seen.add((a, b))
-            # only the low part of the hash range can come to stand in a prefix
-            held.append(s[:np.searchsorted(s, np.uint64(int(0.36 * 2 ** 64)))])
+            held.append(s)
             total += len(held[-1])
         if len(rows) >= 5000:
             yield out(rows)
             rows = []
-        if total >= 4_000_000:
+        if total >= 3_000_000:
             counted, held, total = _add_up([counted, *((x, None) for x in held)]), [], 0
     if rows:
         yield out(rows)
@@ -136,8 +135,8 @@ def _postings(frequent: np.ndarray, pct: int):
         seen, out, size = set(), [], 0
 
         def flush():
-            cols = [np.concatenate([x[i] for x in out]) for i in range(5)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["s", "cls", "n", "rich", "hot"])
+            cols = [np.concatenate([x[i] for x in out]) for i in range(6)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["s", "cls", "n", "rest", "hot", "rich"])
 
         for _, s in _shingled(batches):
             key = class_key(s)
@@ -149,9 +148,12 @@ def _postings(frequent: np.ndarray, pct: int):
             rare = s[~hot][:p]
             tail = s[hot][:p - len(rare)]
             k = len(rare) + len(tail)
+            # shingles from this one on, in the common order: the most that a text met here
+            # for the first time can share
+            at = np.arange(len(s), len(s) - k, -1, dtype=np.int32)
             out.append((T.as_signed(np.concatenate((rare, tail))), np.full(k, key[0], dtype=np.int64),
-                        np.full(k, len(s), dtype=np.int32), np.full(k, hot.sum(), dtype=np.int32),
-                        np.repeat(np.array([False, True]), [len(rare), len(tail)])))
+                        np.full(k, len(s), dtype=np.int32), at, np.repeat(np.array([False, True]), [len(rare), len(tail)]),
+                        np.full(k, hot.sum(), dtype=np.int32)))
             size += k
             if size >= 200_000:
                 yield flush()
@@ -161,32 +163,48 @@ def _postings(frequent: np.ndarray, pct: int):
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shared(pct: int):
     """Of a partition that holds whole tiles of rarer shingles: rows of tiles with two
-    classes or more, each class once, with the tile's pivot."""
-    parts = [b for b in batches if b.num_rows]
-    if not parts:
-        return
-    t = pa.Table.from_batches(parts)
-    s, cls, n, rich = (t.column(c).to_numpy() for c in ("s", "cls", "n", "rich"))
-    order = np.argsort(s, kind="stable")
-    s, cls, n, rich = s[order], cls[order], n[order], rich[order]
-    start = np.concatenate(([True], s[1:] != s[:-1]))
-    many = ~(start & np.concatenate((start[1:], [True])))
-    s, cls, n, rich = s[many], cls[many], n[many], rich[many]
-    if not len(s):
-        return
-    order = np.lexsort((cls, n, rich, s))
-    s, cls, n, rich = s[order], cls[order], n[order], rich[order]
-    # a class comes once from each task that holds a copy of it
-    once = np.concatenate(([True], (s[1:] != s[:-1]) | (cls[1:] != cls[:-1])))
-    s, cls, n, rich = s[once], cls[once], n[once], rich[once]
-    first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-    size = np.diff(np.append(first, len(s)))
-    top = np.repeat(first + size - 1, size)
-    keep = np.repeat(size > 1, size)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(x[keep]) for x in (s, cls, n, cls[top], n[top])], names=["s", "cls", "n", "pivot", "pn"])
+    classes or more that can be linked there, each class once, with the tile's pivot."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        t = pa.Table.from_batches(parts)
+        s, cls, n, rest = (t.column(c).to_numpy() for c in ("s", "cls", "n", "rest"))
+        order = np.argsort(s, kind="stable")
+        s, cls, n, rest = s[order], cls[order], n[order], rest[order]
+        start = np.concatenate(([True], s[1:] != s[:-1]))
+        many = ~(start & np.concatenate((start[1:], [True])))
+        s, cls, n, rest = s[many], cls[many], n[many].astype(np.int64), rest[many]
+        if not len(s):
+            return
+        order = np.lexsort((cls, n, s))
+        s, cls, n, rest = s[order], cls[order], n[order], rest[order]
+        # a class comes once from each task that holds a copy of it
+        once = np.concatenate(([True], (s[1:] != s[:-1]) | (cls[1:] != cls[:-1])))
+        s, cls, n, rest = s[once], cls[once], n[once], rest[once]
+        for _ in range(2):                          # the second time without those dropped first
+            if not len(s):
+                return
+            first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+            size = np.diff(np.append(first, len(s)))
+            least, most = np.repeat(n[first], size), np.repeat(n[first + size - 1], size)
+            mate = np.maximum(least, -((-pct * n) // 100))
+            fit = (np.repeat(size, size) > 1) & (needed_overlap(n, mate, pct) <= rest) & (100 * n >= pct * least)
+            fit &= mate <= most
+            s, cls, n, rest = s[fit], cls[fit], n[fit], rest[fit]
+        if not len(s):
+            return
+        first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+        size = np.diff(np.append(first, len(s)))
+        top = np.repeat(first + size - 1, size)
+        keep = np.repeat(size > 1, size)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x[keep].astype(k)) for x, k in ((s, np.int64), (cls, np.int64), (n, np.int32), (rest, np.int32),
+                                                      (cls[top], np.int64), (n[top], np.int32))],
+            names=["s", "cls", "n", "rest", "pivot", "pn"])
+    return run
 
 
 def _bound(pct: int):
@@ -294,20 +312,26 @@ def jaccard_components(documents: DataFrame, pct: int = SIMILARITY, frequent: in
         raise RuntimeError("two different sets share a 64-bit class hash; change the constants of class_key")
 
     post = T.map_batches(docs.where("doc_id IS NOT NULL"), ["doc_id", "text"],
-                         "s long, cls long, n int, rich int, hot boolean", _postings(bits, pct))
+                         "s long, cls long, n int, rest int, hot boolean, rich int", _postings(bits, pct))
     # tiles of rarer shingles meet whole in one task; those of frequent ones are only
-    # aggregated (partial maxima) and joined, so none of them is ever gathered
-    tail = cut(post.where("hot").select("s", "cls", "n", "rich").distinct())
-    rare = cut(post.where("NOT hot").select("s", "cls", "n", "rich").repartition(F.col("s"))
-               .mapInArrow(_shared, "s long, cls long, n int, pivot long, pn int"))
+    # aggregated (partial minima and maxima) and joined, so none of them is ever gathered
+    rare = cut(post.where("NOT hot").select("s", "cls", "n", "rest").repartition(F.col("s"))
+               .mapInArrow(_shared(pct), "s long, cls long, n int, rest int, pivot long, pn int"))
+    tail = cut(post.where("hot").select("s", "cls", "n", "rest", "rich").distinct())
+    low = tail.groupBy("s").agg(F.min("n").alias("low"), F.count("cls").alias("k")).where("k > 1").drop("k")
+    mate = f"greatest(low, cast(ceil({pct} * n / 100) AS int))"
+    tail = cut(tail.join(low, "s").where(F.expr(f"rest * {100 + pct} >= {pct} * (n + {mate})")).drop("low"))
     pivots = (tail.groupBy("s").agg(F.max(F.struct("rich", "n", "cls")).alias("p"), F.count("cls").alias("k"))
               .where("k > 1").select("s", F.col("p.cls").alias("pivot"), F.col("p.n").alias("pn")))
-    tiles = rare.union(tail.join(pivots, "s").select("s", "cls", "n", "pivot", "pn"))
+    tiles = rare.union(tail.join(pivots, "s").select("s", "cls", "n", "rest", "pivot", "pn"))
 
     check = _Verifier(docs, classes, pct)
+    # each class with the pivot that it meets in most tiles
     stars = cut(tiles.where("cls <> pivot").where(_in_band("n", "pn", pct))
-                .groupBy(F.col("cls").alias("a"), F.col("pivot").alias("b"))
-                .agg(F.max("n").cast("long").alias("na"), F.max("pn").cast("long").alias("nb")))
+                .groupBy("cls", "pivot").agg(F.count(F.lit(1)).alias("k"), F.max("n").cast("long").alias("na"),
+                                             F.max("pn").cast("long").alias("nb"))
+                .groupBy(F.col("cls").alias("a")).agg(F.max(F.struct("k", "nb", "pivot", "na")).alias("m"))
+                .select("a", F.col("m.pivot").alias("b"), "m.na", "m.nb"))
     first = check.links(check.bounded(stars))
     label = connected(first)
 
@@ -319,19 +343,23 @@ def jaccard_components(documents: DataFrame, pct: int = SIMILARITY, frequent: in
                                                                F.col("nb").alias("ln"))).alias("m"))
            .select("cls", "m.d", "m.lead", "m.ln"))
     known = cut(label.withColumnRenamed("node", "cls").join(arm, "cls", "left"))
-    named = (tiles.select("s", "cls", F.col("n").cast("long").alias("n")).join(known, "cls", "left")
-             .select("s", "cls", "n", F.coalesce("label", "cls").alias("label"),
+    named = (tiles.select("s", "cls", F.col("n").cast("long").alias("n"), "rest").join(known, "cls", "left")
+             .select("s", "cls", "n", "rest", F.coalesce("label", "cls").alias("label"),
                      F.coalesce("lead", "cls").alias("lead"), F.coalesce("ln", "n").alias("ln"),
                      F.coalesce("d", F.lit(0.0)).alias("d")))
     split = (named.groupBy("s").agg(F.min("label").alias("l1"), F.max("label").alias("l2"))
              .where("l1 <> l2").select("s"))
     open_ = cut(named.join(split, "s"))
-    lead = open_.groupBy("s", "lead", "ln", "label").agg(F.max("d").alias("r"))
-    x = lead.select("s", F.col("lead").alias("a"), F.col("ln").alias("na"), F.col("label").alias("la"), F.col("r").alias("ra"))
-    y = lead.select("s", F.col("lead").alias("b"), F.col("ln").alias("nb"), F.col("label").alias("lb"), F.col("r").alias("rb"))
+    lead = open_.groupBy("s", "lead", "ln", "label").agg(F.max("d").alias("r"), F.max("rest").alias("rest"))
+    # a row that stands for itself alone obeys the bounds of its own tile
+    x = lead.select("s", F.col("lead").alias("a"), F.col("ln").alias("na"), F.col("label").alias("la"), F.col("r").alias("ra"),
+                    F.when(F.col("r") == 0, F.col("rest")).alias("ta"))
+    y = lead.select("s", F.col("lead").alias("b"), F.col("ln").alias("nb"), F.col("label").alias("lb"), F.col("r").alias("rb"),
+                    F.when(F.col("r") == 0, F.col("rest")).alias("tb"))
+    alone = f"(ra + rb > 0 OR least(ta, tb) * {100 + pct} >= {pct} * (na + nb))"
     # two rows of r(p) and r(q) at most 0.25 from their pivots are in one band only if
     # the pivots are in a band wider by as much on either side
-    leads = (x.join(y, "s").where("a < b AND la <> lb")
+    leads = (x.join(y, "s").where("a < b AND la <> lb").where(alone)
              .where(f"(ra + rb > 0 AND 100 * least(na, nb) >= {pct} * greatest(na, nb) * 0.5) OR "
                     + _in_band("na", "nb", pct))
              .groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"),
@@ -341,13 +369,16 @@ def jaccard_components(documents: DataFrame, pct: int = SIMILARITY, frequent: in
             .where(F.expr(f"1 - most / (na + nb - most) - ra - rb <= {(100 - pct) / 100} + 1e-9"))
             .select(F.col("a").alias("pa"), F.col("b").alias("pb")))
     near = cut(near)
-    m = open_.select("s", "cls", "n", "label", "lead")
-    m1 = m.select("s", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("lead").alias("pa"))
-    m2 = m.select("s", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("lead").alias("pb"))
+    m = open_.select("s", "cls", "n", "rest", "label", "lead")
+    m1 = m.select("s", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("lead").alias("pa"),
+                  F.col("rest").alias("ta"))
+    m2 = m.select("s", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("lead").alias("pb"),
+                  F.col("rest").alias("tb"))
     touched = near.select(F.explode(F.array("pa", "pb")).alias("p")).distinct()
     m1 = m1.join(touched.select(F.col("p").alias("pa")), "pa", "left_semi")
     m2 = m2.join(touched.select(F.col("p").alias("pb")), "pb", "left_semi")
     rest = (m1.join(m2, "s").where("la <> lb AND pa < pb").where(_in_band("na", "nb", pct))
+            .where(f"least(ta, tb) * {100 + pct} >= {pct} * (na + nb)")
             .join(near, ["pa", "pb"], "left_semi")
             .groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb")))
     second = check.links(check.bounded(cut(rest)))
