@@ -54,10 +54,15 @@ def in_set(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63))) & np.uint64(1) == 1
 
 
-def sample_texts(documents: DataFrame, pattern: str, rows: int, most_chars: int) -> list[str]:
-    """At most ``rows`` texts that hold ``pattern`` and have at most ``most_chars`` code points,
-    those smallest by hash: what a tagger learns from, bounded whatever the corpus."""
+def sample_texts(documents: DataFrame, pattern: str, rows: int, most_chars: int, spare: int = 4) -> list[str]:
+    """At most ``rows`` texts that hold ``pattern`` and have at most ``most_chars`` code points:
+    what a tagger learns from, bounded whatever the corpus.  About ``spare * rows`` rows, picked
+    by hash, are looked at; all rows where there are no more."""
+    n = documents.count()
     text = F.col("text").cast("string")
-    few = (documents.select(text.alias("text")).where(text.rlike(pattern) & (F.length("text") <= most_chars))
-           .orderBy(F.xxhash64("text"), "text").limit(rows))
+    pick = F.xxhash64("doc_id", "text")
+    share = min(1.0, spare * rows / max(1, n))
+    few = (documents.select(pick.alias("h"), text.alias("text"))
+           .where(F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20)))
+           .where((F.length("text") <= most_chars) & F.col("text").rlike(pattern)).orderBy("h", "text").limit(rows))
     return [r["text"] for r in few.collect()]
