@@ -190,7 +190,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = LEAS
         shared = docs.sparkSession.sparkContext.broadcast(items)       # bounded, see item_blocks
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in T.slices(batches):
                 ids = b.column("doc_id").to_pylist()
                 rows = [(ids[i], *g) for i, got in _held(shared.value, b.column("text").to_pylist(), least) for g in got]
                 cols = list(zip(*rows)) if rows else [[]] * 5
@@ -208,7 +208,7 @@ def clean(documents: DataFrame, benchmark: DataFrame, least: float = LEAST) -> D
         shared = documents.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in T.slices(batches):
                 keep = np.ones(b.num_rows, dtype=bool)
                 for i, _ in _held(shared.value, b.column("text").cast(pa.string()).to_pylist(), least):
                     keep[i] = False

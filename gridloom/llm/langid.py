@@ -35,7 +35,7 @@ LANGUAGES = 200               # most frequent languages kept
 LONGEST = 4                   # character n-grams of this many letters, and shorter
 DISCOUNT = 0.85               # per step from words down to single letters
 SPREAD = 20                   # words whose evidence a confidence adds up
-CACHE = 400_000               # unseen words kept per process
+CACHE = 150_000               # unseen words kept per process
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -51,18 +51,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out():
         for lang, c in held.items():
             keys, n = list(c.keys()), list(c.values())
-            for i in range(0, len(keys), 50_000):
-                k = keys[i:i + 50_000]
+            for i in range(0, len(keys), 20_000):
+                k = keys[i:i + 20_000]
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array(k, pa.string()),
-                                                  pa.array(n[i:i + 50_000], pa.int64())], names=["lang", "word", "n"])
+                                                  pa.array(n[i:i + 20_000], pa.int64())], names=["lang", "word", "n"])
 
-    for batch in batches:
+    for batch in T.slices(batches):
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             c = held.setdefault(lang, Counter())
             before = len(c)
             c.update(words(text))
             size += len(c) - before
-            if size > 1_000_000:      # bounds a task's memory; counts are added up later
+            if size > 250_000:        # bounds a task's memory; counts are added up later
                 yield from out()
                 held, size = {}, 0
     yield from out()
@@ -169,10 +169,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for b in batches:
+        for b in T.slices(batches):
             texts = b.column("text").to_pylist()
             got = []
-            for _, held in T.chunks(texts, 2_000_000):
+            for _, held in T.chunks(texts, 500_000):
                 got += scorer.score(held)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([g[0] for g in got], pa.string()),
                                               pa.array([g[1] for g in got], pa.float64())],
@@ -187,9 +187,9 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for b in batches:
+        for b in T.slices(batches):
             got = []
-            for _, held in T.chunks(b.column("text").cast(pa.string()).to_pylist(), 2_000_000):
+            for _, held in T.chunks(b.column("text").cast(pa.string()).to_pylist(), 500_000):
                 got += scorer.score(held)
             keep = pa.array([g[0] != UNKNOWN and g[1] >= least for g in got], pa.bool_())
             yield b.filter(keep)

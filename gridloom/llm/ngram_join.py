@@ -15,8 +15,8 @@ still hold two components, compares their pivots, and opens the members of two p
 where the triangle inequality of the Jaccard distance leaves room:
 ``d(p, q) - r(p) - r(q) <= 0.25``.  So thousands of near copies cost one comparison each,
 and no link is lost.  Frequent shingles go to the end of the order.  They are found
-from shingles seen twice or more within a task: one held by d texts over t tasks gathers
-about d * d / t sightings, so the cut-off follows the square root of the task count.
+from shingles seen twice or more within a block of texts: one held by d texts over t blocks
+gathers about d * d / t sightings, so the cut-off follows the square root of their number.
 The order, being one and the same for all texts, is free to be any; only speed hangs on it.
 
 Edge cases: null, empty or blank text has no shingles, is linked with nothing and is
@@ -39,6 +39,7 @@ from gridloom.llm.io import cut, hashed_set, in_set
 
 SIMILARITY = 75               # percent
 FREQUENT = 64                 # sightings from which a shingle counts as frequent
+BLOCK_SHINGLES = 2_000_000    # shingles counted together in a task
 NARROW, WIDE = 1024, 8192     # bits of a signature: up to NARROW shingles, and beyond
 
 
@@ -69,7 +70,7 @@ def signature(s: np.ndarray) -> bytes:
 
 def _shingled(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None = None):
     """(doc_id, sorted set) of each row; ``wanted``: only ids whose bit is set."""
-    for batch in batches:
+    for batch in T.slices(batches):
         ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
         if wanted is not None:
             at = [i for i, x in enumerate(ids) if x is not None]
@@ -82,7 +83,7 @@ def _shingled(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None = Non
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text: size, class and signature; at the end the shingles seen twice or more."""
+    """Per text: size, class and signature; per block of texts the shingles seen twice or more."""
     rows, seen, held, total = [], set(), [], 0
 
     def out(rows):
@@ -93,7 +94,16 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64())],
             names=["doc_id", "n", "cls", "cls2", "bits", "hot", "seen"])
 
-    counted = (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))
+    def repeats(held):
+        keys, n = _counts(np.concatenate(held)) if held else (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))
+        keys, n = keys[n >= 2], n[n >= 2]
+        for i in range(0, len(keys), 100_000):
+            k, c = T.as_signed(keys[i:i + 100_000]), n[i:i + 100_000]
+            none = pa.nulls(len(k), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(k), pa.binary()),
+                                              pa.array(k), pa.array(c)],
+                                             names=["doc_id", "n", "cls", "cls2", "bits", "hot", "seen"])
+
     for doc_id, s in _shingled(batches):
         a, b = class_key(s)
         first = len(s) and (a, b) not in seen
@@ -102,32 +112,22 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen.add((a, b))
             held.append(s)
             total += len(held[-1])
-        if len(rows) >= 5000:
+        if len(rows) >= 2000:
             yield out(rows)
             rows = []
-        if total >= 3_000_000:
-            counted, held, total = _add_up([counted, *((x, None) for x in held)]), [], 0
+        if total >= BLOCK_SHINGLES:
+            yield from repeats(held)
+            held, total = [], 0
     if rows:
         yield out(rows)
-    keys, n = _add_up([counted, *((x, None) for x in held)])
-    keys, n = keys[n >= 2], n[n >= 2]
-    for i in range(0, len(keys), 100_000):
-        k, c = T.as_signed(keys[i:i + 100_000]), n[i:i + 100_000]
-        none = pa.nulls(len(k), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(k), pa.binary()),
-                                          pa.array(k), pa.array(c)],
-                                         names=["doc_id", "n", "cls", "cls2", "bits", "hot", "seen"])
-
-
-def _add_up(parts) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([k for k, _ in parts])
-    n = np.concatenate([np.ones(len(k), dtype=np.int64) if c is None else c for k, c in parts])
-    if not len(keys):
-        return keys, n
-    order = np.argsort(keys, kind="stable")
-    keys, n = keys[order], n[order]
-    at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return keys[at], np.add.reduceat(n, at)
+    yield from repeats(held)
+
+
+def _counts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and how often each comes."""
+    x = np.sort(x)
+    at = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+    return x[at], np.diff(np.append(at, len(x)))
 
 
 def _postings(frequent: np.ndarray, pct: int):

@@ -34,7 +34,7 @@ from gridloom.llm.io import cut
 
 CAPACITY = 2048
 TOKENIZER = "byte_bpe_50k"
-CACHE_ENTRIES = 1_500_000     # pre-tokens kept per process
+CACHE_ENTRIES = 500_000       # pre-tokens kept per process
 
 _UNUSUAL = re.compile("[^\t\n\r -~¡-ɏ]|<\\|endoftext\\|>")
 _LETTER, _NUMBER, _OTHER, _BLANK, _END = 1, 2, 3, 4, 0
@@ -88,9 +88,8 @@ class Encoder:
     def __init__(self, name: str = TOKENIZER):
         import public_tokenizers as P
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(P.path(f"{name}.json"))
+        self.path, self.whole = P.path(f"{name}.json"), None     # read only when a text needs it
         with open(P.path(f"{name}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.piece = tiktoken.Encoding("pieces", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -168,6 +167,9 @@ class Encoder:
         rest = [i for i in range(len(texts)) if i not in set(odd)]
         for i, x in zip(rest, self._usual([texts[i] for i in rest])):
             out[i] = x
+        if self.whole is None:
+            from tokenizers import Tokenizer
+            self.whole = Tokenizer.from_file(self.path)
         for i in odd:
             out[i] = np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, dtype=np.uint32)
         return out
@@ -195,10 +197,10 @@ def _pieces(capacity: int, name: str):
         part = TaskContext.get().partitionId()
         tok = encoder(name)
         zero = np.zeros(1, dtype="<u4")
-        for batch in batches:
+        for batch in T.slices(batches):
             doc_ids = batch.column("doc_id").to_pylist()
             rows = []
-            for begin, held in T.chunks(batch.column("text").to_pylist(), 600_000):
+            for begin, held in T.chunks(batch.column("text").to_pylist(), 300_000):
                 for i, ids in enumerate(tok.encode(held)):
                     raw = np.concatenate((ids, zero)).astype("<u4").tobytes()
                     for k, (a, n) in enumerate(piece_bounds(len(raw) // 4, capacity)):

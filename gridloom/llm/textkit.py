@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 SHINGLE_WORDS = 5
-CHUNK_CHARS = 1_500_000      # code points handled at once; bounds a task's memory
+CHUNK_CHARS = 800_000        # code points handled at once; bounds a task's memory
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15
 _MIX_K = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
@@ -110,6 +110,13 @@ def chunks(texts: list[str | None], limit: int = CHUNK_CHARS) -> Iterator[tuple[
         yield begin, held
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches (views, no copies): bounds what is held as objects."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def sequence_hash(words: np.ndarray) -> np.uint64:
     """One hash of a short word sequence (fewer than five words)."""
     acc = (words * _MIX_K[:len(words)]).sum(dtype=np.uint64) + np.uint64(len(words))
