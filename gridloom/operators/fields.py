@@ -195,7 +195,7 @@ def assert_one_variable_per_file(df: DataFrame, file_col: str = "path", variable
 def nan_to_null(x) -> Column:
     """D1: NaN is missing; inside the engine missing is NULL."""
     c = _c(x)
-    return F.when(F.isnan(c), F.lit(None).cast(T.DoubleType())).otherwise(c)
+    return F.when(~F.isnan(c), c)
 
 
 def json_field(doc, path: str) -> Column:
@@ -204,9 +204,9 @@ def json_field(doc, path: str) -> Column:
 
 
 def json_set_fields(doc, updates: Mapping[str, Column]) -> Column:
-    """JSN-1 edit: parse as a map, replace/add keys, serialise again."""
-    m = F.from_json(_c(doc), T.MapType(T.StringType(), T.StringType()))
-    keys = list(updates)
-    kept = F.map_filter(m, lambda k, v: ~k.isin(keys))
-    new = F.create_map(*[x for k in keys for x in (F.lit(k), updates[k].cast("string"))])
+    """JSN-1 edit: set top-level keys; every value keeps its JSON type and nesting."""
+    m = F.from_json(_c(doc), "map<string,variant>")
+    kept = F.map_filter(m, lambda k, v: ~k.isin(list(updates)))
+    whole = F.create_map(*[x for k, v in updates.items() for x in (F.lit(k), F.parse_json(F.to_json(F.struct(v.alias("v")))))])
+    new = F.transform_values(whole, lambda k, v: F.variant_get(v, "$.v", "variant"))
     return F.to_json(F.map_concat(kept, new))

@@ -27,12 +27,14 @@ def _priority(expver: str = "expver") -> Column:
 
 
 def combine_releases(df: DataFrame, keys: Sequence[str], value: str = "value",
-                     expver: str = "expver") -> DataFrame:
-    """JN-4: final first, else preliminary (missing = NULL is skipped)."""
-    present = df.where(F.col(value).isNotNull())
-    return present.groupBy(*keys).agg(
-        F.max_by(F.col(value), _priority(expver)).alias(value),
-        F.max_by(F.col(expver), _priority(expver)).alias("expver_used"))
+                     expver: str = "expver", arrival: str | None = None) -> DataFrame:
+    """JN-4: final first, else preliminary; a missing (NULL) value gives way to the other
+    release, and a cell missing in both stays, as missing.  Of two deliveries of one
+    release the later ``arrival`` wins, without one (or at a tie) the larger value."""
+    rank = [_priority(expver), *([F.col(arrival)] if arrival else []), F.col(value)]
+    order = F.when(F.col(value).isNotNull(), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(rank)]))
+    return df.groupBy(*keys).agg(F.max_by(F.col(value), order).alias(value),
+                                 F.max_by(F.col(expver), order).alias("expver_used"))
 
 
 def release_gaps(df: DataFrame, time_keys: Sequence[str], n_cells: int, cell: str = "cell",

@@ -19,8 +19,16 @@ from ..sinks import store as ST
 
 def build_store(raw: DataFrame, path: str, keys: Sequence[str] = ("time", "lat_idx", "lon_idx"),
                 partition_by=("variable", "date")) -> None:
-    """Normalise raw blocks, align coordinates, write the store (refuses an existing one)."""
-    n = fields.normalize_raw(raw)
+    """Normalise raw blocks, combine releases where they are marked (one row per cell), write
+    the store (refuses an existing one)."""
+    if "expver" in raw.columns:
+        time_col = "time" if "time" in raw.columns else "valid_time"
+        cell = [time_col if k == "time" else k for k in keys]
+        if "path" in raw.columns:
+            fields.assert_one_variable_per_file(raw)
+        raw = release.combine_releases(raw.withColumn("value", fields.nan_to_null("value")), [*cell, "variable"])
+        raw = raw.drop("expver_used")
+    n = fields.normalize_raw(raw, check="path" in raw.columns)
     n = n.withColumn("date", F.col("time").cast("date"))
     ST.write_store(n.select(*keys, "variable", "value", "date"), path, partition_by)
 
@@ -49,11 +57,13 @@ def update_files(spark: SparkSession, files: DataFrame, raw: DataFrame, path: st
     """
     reg = ST.file_region(files, init, steps_per_day).select("path", "chunk", "region_start", "region_end")
     rows = raw.join(reg, "path").join(dims.chunk_variables(spark), ["chunk", "short_name"])
-    idx = D.time_offset_hours(F.lit(init).cast("timestamp_ntz"), "time")
+    # the file's region counts steps of the axis, not hours
+    idx = F.floor(D.time_offset_hours(F.lit(init).cast("timestamp_ntz"), "time") / (24 // steps_per_day))
     rows = rows.where((idx >= F.col("region_start")) & (idx < F.col("region_end")))
-    out = rows.select(F.col("short_name").alias("variable"), "time", "cell", "value",
+    inner = [c for c in ("level", "step") if c in raw.columns]
+    out = rows.select(F.col("short_name").alias("variable"), "time", *inner, "cell", "value",
                       F.col("time").cast("date").alias("date"))
-    ST.overwrite_regions(out, path)
+    ST.replace_regions(spark, path, out, inner)
 
 
 def reconcile_release(spark: SparkSession, current: DataFrame, staged: DataFrame, path: str,
@@ -72,9 +82,11 @@ def reconcile_release(spark: SparkSession, current: DataFrame, staged: DataFrame
     paired = current.join(staged_blocks, list(block), "left_semi")
     eq = release.blocks_equal(paired, staged, list(block), list(cell_keys))
     audit_path = scratch_path(spark, "audit")
-    ST.audit_status(current, eq, list(block)).write.parquet(audit_path)
+    added = (staged_blocks.join(current.select(*block).distinct(), list(block), "left_anti")
+             .withColumn("status", F.lit("added")))
+    ST.audit_status(current, eq.join(added, list(block), "left_anti"), list(block)).unionByName(added).write.parquet(audit_path)
     audit = spark.read.parquet(audit_path)
-    changed = audit.where(F.col("status") == "data_changed").select(*block)
+    changed = audit.where(F.col("status").isin("data_changed", "added")).select(*block)
     new_rows = staged.join(changed, list(block), "left_semi")
     ST.overwrite_regions(new_rows.select(*current.columns), path)
     return audit
@@ -151,5 +163,5 @@ def update_native(spark: SparkSession, levels: DataFrame, surface: DataFrame, co
     derived = derive(spark, good, sf, coef, keys)
     names = [c for c in derived.columns if c not in (*keys, "k") and c not in ("p_above", "p_below", "z_half", "lnsp", "zs")]
     long = derived.unpivot([*keys, "k"], names, "variable", "value").withColumn("date", F.col("time").cast("date"))
-    ST.overwrite_steps(spark, path, long, ["cell", "k"])
+    ST.overwrite_steps(spark, path, long)
     return bad_hours

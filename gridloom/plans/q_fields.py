@@ -324,8 +324,7 @@ def q_fields_union(spark, sf_dir):
 
 @register("json_attrs", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k,
-       json_object('k', json_extract_string(props, '$.k'),
-                   'k2', CAST(CAST(json_extract_string(props, '$.k') AS INT) * 2 AS VARCHAR))::VARCHAR AS edited
+       json_object('k', json_extract(props, '$.k'), 'k2', CAST(json_extract_string(props, '$.k') AS INT) * 2)::VARCHAR AS edited
 FROM events""")
 def q_json_attrs(spark, sf_dir):
     """JSN-1: read a metadata field and edit the document (add k2 = 2k)."""

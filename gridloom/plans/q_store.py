@@ -166,7 +166,7 @@ def q_region_write_hour(spark, sf_dir):
     path = scratch_path(spark, "hour")
     g = S.v_grid(spark, sf_dir).withColumn("date", F.col("time").cast("date"))
     ST.write_store(g.withColumn("value", F.col("value") * F.lit(0.0)), path)
-    ST.overwrite_steps(spark, path, g.where(F.hour("time") == 12), GRID_KEYS)
+    ST.overwrite_steps(spark, path, g.where(F.hour("time") == 12))
     return ST.read_store(spark, path)
 
 
@@ -186,7 +186,7 @@ def q_region_write_level(spark, sf_dir):
         "date", F.col("time").cast("date"))
     ST.write_store(p.withColumn("value", F.col("value") * F.lit(0.0)), path)
     # (time, level) regions merged into their (variable, date) partitions, staged
-    ST.overwrite_steps(spark, path, p.where(F.col("level").isin(500, 850)), ["cell", "level"])
+    ST.overwrite_steps(spark, path, p.where(F.col("level").isin(500, 850)), ["level"])
     return ST.read_store(spark, path).select("time", "cell", "variable", "value", "date", "level")
 
 
@@ -215,18 +215,18 @@ axis AS (SELECT unnest(generate_series(CAST(s AS TIMESTAMP) + INTERVAL 6 HOUR, C
                                        INTERVAL 12 HOUR)) AS time FROM w),
 new_t AS (SELECT time FROM axis EXCEPT SELECT DISTINCT time FROM fc),
 k AS (SELECT DISTINCT cell FROM fc)
-SELECT new_t.time, k.cell, [new_t.time + to_hours(CAST(i AS BIGINT)) FOR i IN range({fixed.FORECAST_STEPS})] AS valid_time
-FROM new_t, k""")
+SELECT new_t.time, k.cell, CAST(i AS INT) AS step, new_t.time + to_hours(CAST(i AS BIGINT)) AS valid_time
+FROM new_t, k, (SELECT unnest(range({fixed.FORECAST_STEPS})) AS i) i""")
 def q_extend_axis_forecast(spark, sf_dir):
     """SNK-9 (forecast form): twice-daily bases 06/18 UTC through end = last day + 3,
-    each appended base with its 19 valid times."""
+    each appended base with its 19 valid times, one row per step."""
     e = table(spark, sf_dir, "events")
     base = F.timestamp_add("HOUR", F.when(F.hour("ts") < 12, F.lit(6)).otherwise(F.lit(18)),
                            F.col("ts").cast("date").cast("timestamp_ntz"))
     fc = e.select(base.alias("time"), (F.col("user_id") % 24).cast("int").alias("cell")).distinct()
     w = fc.agg(F.min("time").cast("date").alias("s"), F.date_add(F.max("time").cast("date"), 3).alias("e")).first()
     new = ST.extend_time_axis(fc, str(w["s"]), str(w["e"]), ["cell"], steps_per_day=2, first_hour=6)
-    return new.select("time", "cell", ST.valid_times("time").alias("valid_time"))
+    return new.select("time", "cell", F.posexplode(ST.valid_times("time")).alias("step", "valid_time"))
 
 
 @register("store_attrs_upsert", """
@@ -258,15 +258,21 @@ def q_store_attrs_upsert(spark, sf_dir):
 
 @register("metadata_resize", with_views("""
 WITH n AS (SELECT variable, count(DISTINCT time) AS n FROM v_grid GROUP BY variable)
-SELECT variable, n + 24 AS shape0, CASE WHEN variable < 'm' THEN n ELSE n + 24 END AS chunk0 FROM n""", "v_grid"))
+SELECT variable, n + 24 AS shape0, CASE WHEN variable < 'm' THEN n ELSE n + 24 END AS chunk0,
+       CAST(6 AS BIGINT) AS shape1, '{"id":"zlib","level":4}' AS compressor, '<f4' AS dtype FROM n""", "v_grid"))
 def q_metadata_resize(spark, sf_dir):
     """SNK-11: set the time length in each array's metadata document (optionally keep the chunk)."""
     n = S.v_grid(spark, sf_dir).groupBy("variable").agg(F.count_distinct("time").alias("n"))
-    doc = n.select("variable", "n", F.to_json(F.struct(F.array("n").alias("shape"),
-                                                       F.array("n").alias("chunks"))).alias("doc"))
+    six = F.lit(6).cast("long")
+    doc = n.select("variable", "n", F.to_json(F.struct(
+        F.array("n", six).alias("shape"), F.array("n", six).alias("chunks"), F.lit("<f4").alias("dtype"),
+        F.struct(F.lit("zlib").alias("id"), F.lit(4).alias("level")).alias("compressor"))).alias("doc"))
     out = doc.select("variable", ST.resize_metadata(F.col("doc"), F.col("n") + 24, F.col("variable") < "m").alias("doc"))
     return out.select("variable", F.get_json_object("doc", "$.shape[0]").cast("long").alias("shape0"),
-                      F.get_json_object("doc", "$.chunks[0]").cast("long").alias("chunk0"))
+                      F.get_json_object("doc", "$.chunks[0]").cast("long").alias("chunk0"),
+                      F.get_json_object("doc", "$.shape[1]").cast("long").alias("shape1"),
+                      F.get_json_object("doc", "$.compressor").alias("compressor"),
+                      F.get_json_object("doc", "$.dtype").alias("dtype"))
 
 
 @register("split_mixed", with_views("""

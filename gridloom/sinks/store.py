@@ -10,6 +10,8 @@ without locks.  At full scale the partition key is (variable, month) and
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from ..functions import fixed
 from ..functions import dates as D
 from ..functions.paths import parse_ar_path, parse_grouped_path
 from ..operators import dims
+from ..operators.fields import json_set_fields
 
 
 # ------------------------------------------------------------------ regions
@@ -50,13 +53,12 @@ def hourly_template(spark: SparkSession, start: str, end: str, keys: DataFrame,
     """SNK-1: every hour of [start, end) (or through ``end`` inclusive) x every
     row of ``keys`` (variables, levels, cells), value NULL.
 
-    Time is generated from one row with ``sequence``; ``keys`` is a dimension
-    whose size is fixed by the store layout, crossed by broadcast.
+    Time is a distributed ``range`` of hours, so the skeleton is made by as many tasks as
+    the session runs; ``keys`` is a dimension whose size is fixed by the store layout.
     """
-    s = F.lit(start).cast("timestamp_ntz")
-    e = F.lit(end).cast("timestamp_ntz")
-    stop = e if end_inclusive else F.timestamp_add("HOUR", F.lit(-1), e)
-    axis = spark.range(1).select(F.explode(F.sequence(s, stop, F.expr("INTERVAL 1 HOUR"))).alias("time"))
+    hours = (datetime.fromisoformat(str(end)) - datetime.fromisoformat(str(start))) // timedelta(hours=1)
+    axis = spark.range(hours + 1 if end_inclusive else hours).select(
+        F.timestamp_add("HOUR", F.col("id"), F.lit(str(start)).cast("timestamp_ntz")).alias("time"))
     return dims.checked_product(axis, keys).withColumn("value", F.lit(None).cast(dtype))
 
 
@@ -102,25 +104,68 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
-def overwrite_steps(spark: SparkSession, path: str, new: DataFrame, keys, step_col: str = "time",
+MAX_TOUCHED_PARTITIONS = 50_000
+
+
+def store_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the store's folder is there, asked of its file system: other errors of a
+    read (a missing column, a refused access) are not taken for a missing store."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def read_touched(spark: SparkSession, path: str, new: DataFrame, partition_by) -> DataFrame:
+    """Rows of the store in the partitions that ``new`` has rows in.
+
+    The partition values come to the driver (one row per touched partition, checked
+    against a bound) and are stated as literal filters, so only those
+    directories are scanned, however large the store."""
+    cols = list(partition_by)
+    touched = new.select(*cols).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    if len(touched) > MAX_TOUCHED_PARTITIONS:
+        raise ValueError(f"one write touches over {MAX_TOUCHED_PARTITIONS} partitions; write it in parts")
+    store = read_store(spark, path)
+    for c in cols:
+        values = sorted({r[c] for r in touched if r[c] is not None}, key=str)
+        match = F.col(c).isin(values) if values else F.lit(False)
+        store = store.where(match | F.col(c).isNull() if any(r[c] is None for r in touched) else match)
+    if len(cols) > 1:        # the filters allow every combination of values
+        store = store.join(F.broadcast(spark.createDataFrame(touched, new.select(*cols).schema)), cols, "left_semi")
+    return store
+
+
+def replace_regions(spark: SparkSession, path: str, new: DataFrame, region=(),
                     partition_by=("variable", "date"), staging: str | None = None) -> None:
-    """SNK-7: overwrite single time steps inside day partitions.
+    """Replace exactly the regions that ``new`` has rows in: a region is one value of the
+    partition columns and of ``region`` (``time``, ``level``, ``step``).  All stored rows of
+    those regions go, also cells that ``new`` lacks; all others stay.
 
-    Reads the touched partitions, drops the steps being replaced
-    (``left_anti``), adds the new rows, stages the result and overwrites the
-    partitions from the staged copy — a job never reads and writes one path.
+    Reads the touched partitions, drops the regions (``left_anti`` on one row per region),
+    adds the new rows, stages the result and overwrites the partitions from the staged
+    copy — a job never reads and writes one path.  Without a store it is created.
     """
     from ..session import scratch_path
     cols = list(partition_by)
-    touched = new.select(*cols).distinct()
-    current = read_store(spark, path).join(touched, cols, "left_semi")
-    kept = current.join(new.select(*cols, *keys, step_col), cols + list(keys) + [step_col], "left_anti")
+    if not store_exists(spark, path) or not region:
+        overwrite_regions(new, path, partition_by)
+        return
+    current = read_touched(spark, path, new, cols)
+    # the store's partition columns may have been read back in another type
+    key = [*cols, *region]
+    kept = current.join(new.select(*key).distinct(), key, "left_anti")
     merged = kept.unionByName(new.select(*current.columns))
     stage = staging or scratch_path(spark, "stage")
     merged.write.mode("errorifexists").partitionBy(*cols).parquet(stage)
     overwrite_regions(read_store(spark, stage), path, partition_by)
 
 
+def overwrite_steps(spark: SparkSession, path: str, new: DataFrame, region=(), step_col: str = "time",
+                    partition_by=("variable", "date"), staging: str | None = None) -> None:
+    """SNK-7 / SNK-8: overwrite single time steps (with ``region`` also single levels)
+    inside day partitions."""
+    replace_regions(spark, path, new, [*region, step_col], partition_by, staging)
+
+
 def extend_time_axis(store: DataFrame, init: str, end_date: str, keys, steps_per_day: int = 24,
                      time_col: str = "time", first_hour: int = 0) -> DataFrame:
     """SNK-9: rows to append so the axis holds (days + 1) * steps_per_day steps
@@ -165,14 +210,14 @@ def upsert_attrs(attrs: DataFrame, time_end, mode, last_updated, attrs_col: str
 
 def resize_metadata(doc, total, keep_chunk) -> "F.Column":
     """SNK-11: set the time array's shape (and chunk unless kept) in a metadata
-    document; only those fields change (no text replacement over the document)."""
-    schema = "struct<shape: array<bigint>, chunks: array<bigint>>"
-    z = F.from_json(doc if not isinstance(doc, str) else F.col(doc), schema)
+    document; every other field keeps its value, type and nesting."""
+    source = doc if not isinstance(doc, str) else F.col(doc)
+    z = F.from_json(source, "struct<shape: array<bigint>, chunks: array<bigint>>")
     tot = total if not isinstance(total, (int, str)) else (F.lit(total) if isinstance(total, int) else F.col(total))
     keep = keep_chunk if not isinstance(keep_chunk, bool) else F.lit(keep_chunk)
-    shape = F.concat(F.array(tot.cast("bigint")), F.slice(z["shape"], 2, 1000))
-    chunks = F.when(keep, z["chunks"]).otherwise(F.concat(F.array(tot.cast("bigint")), F.slice(z["chunks"], 2, 1000)))
-    return F.to_json(F.struct(shape.alias("shape"), chunks.alias("chunks")))
+    shape = F.concat(F.array(tot.cast("bigint")), F.slice(z["shape"], F.lit(2), F.greatest(F.size(z["shape"]) - 1, F.lit(0))))
+    chunks = F.when(keep, z["chunks"]).otherwise(F.concat(F.array(tot.cast("bigint")), F.slice(z["chunks"], F.lit(2), F.greatest(F.size(z["chunks"]) - 1, F.lit(0)))))
+    return json_set_fields(source, {"shape": shape, "chunks": chunks})
 
 
 def audit_status(old_blocks: DataFrame, equal: DataFrame, block_keys) -> DataFrame:
@@ -207,14 +252,13 @@ def upsert_store_attrs_table(spark: SparkSession, attrs_path: str, store: str, t
     row per store, so the rewrite is small).
     """
     from ..session import scratch_path
-    from pyspark.errors import AnalysisException
     new = spark.createDataFrame([(store, {})], "store string, attrs map<string,string>")
-    try:
+    if store_exists(spark, attrs_path):
         cur = spark.read.parquet(attrs_path)
         mine = cur.where(F.col("store") == store)
         others = cur.where(F.col("store") != store)
         base = mine.unionByName(new.join(mine.select("store"), "store", "left_anti"))
-    except AnalysisException:  # the table does not exist yet
+    else:
         others, base = None, new
     row = upsert_attrs(base, time_end, mode, last_updated)
     out = row if others is None else others.unionByName(row)

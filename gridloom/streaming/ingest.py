@@ -18,11 +18,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
+from ..functions import fixed
 from ..operators.release import combine_releases
 from ..session import scratch_path
-from ..sinks.store import overwrite_regions, read_store
+from ..sinks.store import overwrite_regions, read_store, read_touched, replace_regions, store_exists
 
 
 def _run(stream_df: DataFrame, batch_fn, checkpoint: str) -> None:
@@ -35,13 +35,19 @@ def _run(stream_df: DataFrame, batch_fn, checkpoint: str) -> None:
 
 
 def ingest_new_blocks(spark: SparkSession, landing: str, schema, store: str, checkpoint: str,
-                      transform=None, partition_by=("variable", "date")) -> None:
-    """STM-1: ingest every new landing file into the store (region overwrite)."""
+                      transform=None, partition_by=("variable", "date"), region=None) -> None:
+    """STM-1: ingest every new landing file into the store (region overwrite).
+
+    A region is a partition and, where the rows have them, a level and a forecast step
+    (``region`` names other columns): a file of one level leaves the other levels alone."""
     src = spark.readStream.schema(schema).parquet(landing)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         out = transform(df) if transform else df
-        overwrite_regions(out, store, partition_by)
+        if out.isEmpty():
+            return
+        within = [c for c in ("level", "step") if c in out.columns] if region is None else list(region)
+        replace_regions(out.sparkSession, store, out, within, partition_by)
 
     _run(src, batch, checkpoint)
 
@@ -60,13 +66,14 @@ def ingest_releases(spark: SparkSession, landing: str, schema, store: str, check
     def batch(df: DataFrame, epoch_id: int) -> None:
         sp = df.sparkSession
         incoming = df.select(*keys, *cols, "value", "expver")
-        try:
-            current = read_store(sp, store).join(incoming.select(*cols).distinct(), cols, "left_semi")
-            current = current.select(*keys, *cols, "value", F.col("expver_used").alias("expver"))
-            rows = incoming.unionByName(current)
-        except AnalysisException:  # the store does not exist before the first batch
-            rows = incoming
-        merged = combine_releases(rows, list(keys) + cols)
+        rows = incoming.withColumn("arrival", F.lit(1))
+        if store_exists(sp, store):
+            current = read_touched(sp, store, incoming, cols)
+            # a store written without release marks gives way to whatever arrives later
+            held = F.col("expver_used") if "expver_used" in current.columns else F.lit(fixed.RELEASE_PRELIMINARY)
+            rows = rows.unionByName(current.select(*keys, *cols, "value", held.cast(incoming.schema["expver"].dataType)
+                                                   .alias("expver"), F.lit(0).alias("arrival")))
+        merged = combine_releases(rows, list(keys) + cols, arrival="arrival")
         stage = scratch_path(sp, "release-stage")
         merged.write.mode("errorifexists").partitionBy(*cols).parquet(stage)
         overwrite_regions(read_store(sp, stage), store, partition_by)

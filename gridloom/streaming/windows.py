@@ -61,9 +61,7 @@ def hourly_grid_to_store(spark, landing: str, schema, store: str, checkpoint: st
     staged and then overwritten per date, so a replayed batch leaves the
     same store.
     """
-    from pyspark.errors import AnalysisException
-
-    from ..sinks.store import overwrite_steps, write_store
+    from ..sinks.store import overwrite_steps, store_exists, write_store
 
     src = spark.readStream.schema(schema).parquet(landing)
     agg = hourly_grid_stream(src, ts, cell_keys, value, lateness)
@@ -74,9 +72,7 @@ def hourly_grid_to_store(spark, landing: str, schema, store: str, checkpoint: st
         if rows.isEmpty():
             return
         sp = df.sparkSession
-        try:
-            sp.read.parquet(store)
-        except AnalysisException:  # first batch: the store does not exist yet
+        if not store_exists(sp, store):  # first batch
             write_store(rows, store, ("date",))
             return
         overwrite_steps(sp, store, rows, keys, step_col="window_start", partition_by=("date",))
