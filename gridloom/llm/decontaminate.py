@@ -197,7 +197,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = LEAS
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
                                                  names=["doc_id", "item_id", "similarity", "first_word", "n_words"])
-        got = docs.mapInArrow(run, "doc_id long, item_id long, similarity double, first_word long, n_words long")
+        got = docs.mapInArrow(T.bounded(run), "doc_id long, item_id long, similarity double, first_word long, n_words long")
         out = got if out is None else out.union(got)
     return out
 
@@ -213,5 +213,5 @@ def clean(documents: DataFrame, benchmark: DataFrame, least: float = LEAST) -> D
                 for i, _ in _held(shared.value, b.column("text").cast(pa.string()).to_pylist(), least):
                     keep[i] = False
                 yield b.filter(pa.array(keep))
-        documents = documents.mapInArrow(run, documents.schema)
+        documents = documents.mapInArrow(T.bounded(run), documents.schema)
     return documents

@@ -193,4 +193,4 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
                 got += scorer.score(held)
             keep = pa.array([g[0] != UNKNOWN and g[1] >= least for g in got], pa.bool_())
             yield b.filter(keep)
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(T.bounded(run), docs.schema)

@@ -271,7 +271,7 @@ class _Verifier:
         side = lambda x: c.select(F.col("cls").alias(x), F.col("bits").alias(f"bits_{x}"))
         return (pairs.join(side("a"), "a").join(side("b"), "b")
                 .select("a", "b", "na", "nb", "bits_a", "bits_b")
-                .mapInArrow(_bound(self.pct), "a long, b long, na long, nb long, most long"))
+                .mapInArrow(T.bounded(_bound(self.pct)), "a long, b long, na long, nb long, most long"))
 
     def links(self, bounded: DataFrame) -> DataFrame:
         """Linked pairs (a, b, na, nb, both)."""
@@ -287,7 +287,7 @@ class _Verifier:
         side = lambda x: sets.select(F.col("cls").alias(x), F.col("set").alias(f"set_{x}"))
         return cut(left.join(side("a"), "a").join(side("b"), "b")
                    .select("a", "b", "na", "nb", "set_a", "set_b")
-                   .mapInArrow(_overlaps, "a long, b long, na long, nb long, both long")
+                   .mapInArrow(T.bounded(_overlaps), "a long, b long, na long, nb long, both long")
                    .where(F.expr(f"both * {100 + p} >= {p} * (na + nb)")))
 
 
@@ -316,7 +316,7 @@ def jaccard_components(documents: DataFrame, pct: int = SIMILARITY, frequent: in
     # tiles of rarer shingles meet whole in one task; those of frequent ones are only
     # aggregated (partial minima and maxima) and joined, so none of them is ever gathered
     rare = cut(post.where("NOT hot").select("s", "cls", "n", "rest").repartition(F.col("s"))
-               .mapInArrow(_shared(pct), "s long, cls long, n int, rest int, pivot long, pn int"))
+               .mapInArrow(T.bounded(_shared(pct)), "s long, cls long, n int, rest int, pivot long, pn int"))
     tail = cut(post.where("hot").select("s", "cls", "n", "rest", "rich").distinct())
     low = tail.groupBy("s").agg(F.min("n").alias("low"), F.count("cls").alias("k")).where("k > 1").drop("k")
     mate = f"greatest(low, cast(ceil({pct} * n / 100) AS int))"

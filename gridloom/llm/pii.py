@@ -311,7 +311,7 @@ def find(documents: DataFrame, field: Field) -> DataFrame:
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     kind = "array<struct<kind:string,start:long,end:long>>"
-    return docs.mapInArrow(run, f"doc_id long, base {kind}, added {kind}")
+    return docs.mapInArrow(T.bounded(run), f"doc_id long, base {kind}, added {kind}")
 
 
 def digest(found: DataFrame, kinds: tuple[str, ...] = KINDS, by_kind: bool = True) -> DataFrame:

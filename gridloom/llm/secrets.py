@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm import textkit as T
 from gridloom.llm.io import sample_texts
 
 KINDS = ("assign", "access", "hex")
@@ -265,7 +266,7 @@ def find(documents: DataFrame, field: Field) -> DataFrame:
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     kind = "array<struct<kind:string,start:long,end:long>>"
-    return docs.mapInArrow(run, f"doc_id long, base {kind}, added {kind}")
+    return docs.mapInArrow(T.bounded(run), f"doc_id long, base {kind}, added {kind}")
 
 
 def masked(documents: DataFrame, field: Field, mark: str = "[secret]") -> DataFrame:
@@ -298,4 +299,4 @@ def masked(documents: DataFrame, field: Field, mark: str = "[secret]") -> DataFr
                 n = [c if x is y or x == y else len(y) for c, x, y in zip(b.column(k).to_pylist(), before, after)]
                 b = b.set_column(k, b.schema.field(k), pa.array(n, b.schema.field(k).type))
             yield b
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(T.bounded(run), schema)

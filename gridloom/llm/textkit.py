@@ -8,15 +8,19 @@ into the next text.  Words are the maximal runs of anything but 0x20 and
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 SHINGLE_WORDS = 5
 CHUNK_CHARS = 800_000        # code points handled at once; bounds a task's memory
+BATCH_ROWS = 2_000           # rows of a batch between Spark and its Python workers
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15
 _MIX_K = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
@@ -161,10 +165,35 @@ def text_shingles(texts: list[str]) -> Iterator[np.ndarray]:
             yield shingles(hashes[a:b])
 
 
+def give_back() -> None:
+    """Returns free memory to the system.  Spark reuses its Python workers, and what one
+    stage freed would else stay with the process while later stages take more."""
+    _tables.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def bounded(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``fn`` for ``mapInArrow``: texts come in batches of at most ``BATCH_ROWS`` rows, and
+    memory is given back when the task ends."""
+    SparkSession.active().conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+    @functools.wraps(fn)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+    return run
+
+
 def map_batches(df: DataFrame, columns: list[str], schema: StructType | str,
                 fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
     """``mapInArrow`` over just the named columns."""
-    return df.select(*columns).mapInArrow(fn, schema)
+    return df.select(*columns).mapInArrow(bounded(fn), schema)
 
 
 def as_signed(x: np.ndarray) -> np.ndarray:

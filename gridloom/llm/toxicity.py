@@ -235,7 +235,7 @@ def train(documents: DataFrame, labels: DataFrame, per_label: int = SAMPLE, most
                                               pa.array(out, pa.binary())],
                                              names=["doc_id", "toxic", "lang", "held", "words"])
 
-    hashed = rows.mapInArrow(run, "doc_id long, toxic int, lang string, held boolean, words binary")
+    hashed = rows.mapInArrow(T.bounded(run), "doc_id long, toxic int, lang string, held boolean, words binary")
     got = []
     for label in (0, 1):
         got += hashed.where(F.col("toxic") == label).orderBy(*by, "words").limit(per_label).collect()
@@ -254,6 +254,6 @@ def classify(documents: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.concatenate(got))], names=["doc_id", "score"])
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = docs.mapInArrow(run, "doc_id long, score double")
+    scored = docs.mapInArrow(T.bounded(run), "doc_id long, score double")
     return scored.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
