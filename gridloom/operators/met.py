@@ -105,12 +105,13 @@ def full_level_pressure(levels: DataFrame, surface: DataFrame, coef: DataFrame,
     """MET-2 / WN-2: attach p_above (k-1/2), p_below (k+1/2) and p (their mean).
 
     The coefficient table is tiny and broadcast; the adjacent-pair lookup is
-    two equi-join columns (a and b of half levels k-1 and k), no window.
+    two equi-join columns (a and b of half levels k-1 and k), no window.  Levels of a
+    column without surface fields stay, with NULL pressures.
     """
     c = coef
     up = c.select(F.col("half_level").alias("_hu"), F.col("a").alias("_au"), F.col("b").alias("_bu"))
     dn = c.select(F.col("half_level").alias("_hd"), F.col("a").alias("_ad"), F.col("b").alias("_bd"))
-    j = levels.join(surface, list(keys))
+    j = levels.join(surface, list(keys), "left")
     j = j.join(F.broadcast(up), F.col(k) - 1 == F.col("_hu")).join(F.broadcast(dn), F.col(k) == F.col("_hd"))
     ps = F.exp(F.col("lnsp"))
     j = j.withColumn("p_above", F.col("_au") + F.col("_bu") * ps) \
@@ -128,6 +129,10 @@ def geopotential_on_levels(levels: DataFrame, keys: Sequence[str] = ("time", "ce
     levels below k of Rd Tv ln(p_below / p_above) — a window sum from the
     surface up, excluding the current row.  Then phi_k = phi_{k+1/2} + alpha_k Rd Tv_k,
     alpha_1 = ln 2, else 1 - p_above / dp ln(p_below / p_above).
+
+    Only whole columns are integrated: where a level between k and the surface is missing
+    or has no value, z_half and z are NULL from there up.  The lowest level is the one whose
+    p_below is the surface pressure.
     """
     rd = F.lit(fixed.R_DRY)
     tv = virtual_temperature(t, q)
@@ -137,5 +142,10 @@ def geopotential_on_levels(levels: DataFrame, keys: Sequence[str] = ("time", "ce
         F.lit(1.0) - F.col("p_above") / (F.col("p_below") - F.col("p_above")) * dlogp)
     w = Window.partitionBy(*keys).orderBy(F.col(k).desc()).rowsBetween(Window.unboundedPreceding, -1)
     out = levels.withColumn("_tv", tv).withColumn("_term", rd * F.col("_tv") * dlogp)
-    out = out.withColumn("z_half", F.col(zs) + F.coalesce(F.sum("_term").over(w), F.lit(0.0)))
-    return out.withColumn("z", F.col("z_half") + alpha * rd * F.col("_tv")).drop("_tv", "_term")
+    lower = F.lag(k).over(Window.partitionBy(*keys).orderBy(F.col(k).desc()))
+    out = out.withColumn("_next", F.coalesce(F.when(lower.isNull(), F.col("p_below") == F.exp(F.col("lnsp")))
+                                             .otherwise(lower == F.col(k) + 1), F.lit(False)))
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = F.bool_and("_next").over(upto) & F.coalesce(F.bool_and(F.col("_term").isNotNull()).over(w), F.lit(True))
+    out = out.withColumn("z_half", F.when(whole, F.col(zs) + F.coalesce(F.sum("_term").over(w), F.lit(0.0))))
+    return out.withColumn("z", F.col("z_half") + alpha * rd * F.col("_tv")).drop("_tv", "_term", "_next")

@@ -52,9 +52,11 @@ def vd2uv(df: DataFrame, keys: Sequence[str], radius: float = fixed.EARTH_RADIUS
                      (inv * F.col("d_re")).alias("chi_re"), (inv * F.col("d_im")).alias("chi_im"))
     w = Window.partitionBy(*keys, "m").orderBy("n")
     for c in ("psi_re", "psi_im", "chi_re", "chi_im"):
-        # neighbours must be exactly n-1 / n+1 (rows are dense in n per m)
-        base = base.withColumn(f"{c}_dn", F.coalesce(F.lag(c).over(w), F.lit(0.0))) \
-                   .withColumn(f"{c}_up", F.coalesce(F.lead(c).over(w), F.lit(0.0)))
+        # a neighbour counts only if it is exactly n-1 / n+1; a missing one is zero
+        dn = F.when(F.lag("n").over(w) == F.col("n") - 1, F.lag(c).over(w))
+        up = F.when(F.lead("n").over(w) == F.col("n") + 1, F.lead(c).over(w))
+        base = base.withColumn(f"{c}_dn", F.coalesce(dn, F.lit(0.0))) \
+                   .withColumn(f"{c}_up", F.coalesce(up, F.lit(0.0)))
     e_n = _eps(n, m)
     e_n1 = _eps(n + F.lit(1.0), m)
     c_dn = (n - F.lit(1.0)) * e_n

@@ -295,11 +295,12 @@ def q_field_meta(spark, sf_dir):
 
 
 @register("stack_levels", with_views("""
-SELECT time, cell, list(k ORDER BY k) AS ks, list(t ORDER BY k) AS t, list(q ORDER BY k) AS q
+SELECT time, cell, list(k ORDER BY k) AS ks, list(t ORDER BY k) AS t, list(q ORDER BY k) AS q,
+       list(w ORDER BY k) AS w, list(x ORDER BY k) AS x
 FROM v_levels GROUP BY time, cell""", "v_levels"))
 def q_stack_levels(spark, sf_dir):
     """SO-1: stack level fields on a level axis, in level order."""
-    return layout.stack_levels(S.v_levels(spark, sf_dir), ["time", "cell"], "k", ["t", "q"])
+    return layout.stack_levels(S.v_levels(spark, sf_dir), ["time", "cell"], "k", ["t", "q", "w", "x"])
 
 
 @register("sample_var", with_views("""

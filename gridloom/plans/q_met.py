@@ -57,14 +57,15 @@ COEF = (f"coef AS (SELECT CAST(h AS INT) AS half_level, "
 PRES = f"""{COEF},
 pl AS (SELECT l.time, l.cell, l.k, l.t, l.q, l.w, l.x, s.lnsp, s.zs,
               cu.a + cu.b * exp(s.lnsp) AS p_above, cd.a + cd.b * exp(s.lnsp) AS p_below
-       FROM v_levels l JOIN v_surface s ON l.time = s.time AND l.cell = s.cell
+       FROM v_levels l LEFT JOIN v_surface s ON l.time = s.time AND l.cell = s.cell
        JOIN coef cu ON cu.half_level = l.k - 1 JOIN coef cd ON cd.half_level = l.k),
 pf AS (SELECT *, (p_above + p_below) / {d(2.0)} AS p, x / {d(1000.0)} - {d(50.0)} AS u, t - {d(255.0)} AS v FROM pl)"""
 TV = f"({d(1.0)} + {d(fixed.R_VAP / fixed.R_DRY - 1.0)} * q) * t"
 GEO = f"""{PRES},
 g AS (SELECT *, {TV} AS tv, CASE WHEN p_above <= {d(0.0)} THEN NULL ELSE ln(p_below / p_above) END AS dlogp FROM pf),
-g2 AS (SELECT *, zs + coalesce(sum({d(fixed.R_DRY)} * tv * dlogp) OVER (PARTITION BY time, cell ORDER BY k DESC
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), {d(0.0)}) AS z_half FROM g),
+g2 AS (SELECT *, CASE WHEN count(tv * dlogp) OVER below = {N_LEVELS} - k
+                 THEN zs + coalesce(sum({d(fixed.R_DRY)} * tv * dlogp) OVER below, {d(0.0)}) END AS z_half
+       FROM g WINDOW below AS (PARTITION BY time, cell ORDER BY k DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 gz AS (SELECT *, z_half + CASE WHEN p_above <= {d(0.0)} THEN {d(0.6931471805599453)}
                   ELSE {d(1.0)} - p_above / (p_below - p_above) * dlogp END * {d(fixed.R_DRY)} * tv AS z FROM g2)"""
 

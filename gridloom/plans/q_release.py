@@ -102,22 +102,23 @@ def q_audit_counts(spark, sf_dir):
     return release.audit_counts(release.blocks_equal(old, new, ["variable", "date"], ["time", "cell"]))
 
 
-@register("merge_conflicts", with_views("""
-WITH a AS (SELECT time, cell, max(value) FILTER (WHERE variable = 'click') AS click,
-                  max(value) FILTER (WHERE variable = 'view') AS view FROM v_release WHERE expver = 1 GROUP BY 1, 2),
-b AS (SELECT time, cell, max(value) FILTER (WHERE variable = 'click') AS click,
-                  max(value) FILTER (WHERE variable = 'view') AS view FROM v_release WHERE expver = 5 GROUP BY 1, 2)
-SELECT count(*) FILTER (WHERE a.click IS NOT NULL AND b.click IS NOT NULL) AS click_both,
-       count(*) FILTER (WHERE a.click IS NOT NULL AND b.click IS NOT NULL AND a.click <> b.click) AS click_conflicts,
-       count(*) FILTER (WHERE a.view IS NOT NULL AND b.view IS NOT NULL) AS view_both,
-       count(*) FILTER (WHERE a.view IS NOT NULL AND b.view IS NOT NULL AND a.view <> b.view) AS view_conflicts
+KINDS = ("click", "error", "purchase", "signup", "view")      # the variables of v_release
+_KIND_COLUMNS = ", ".join(f"max(value) FILTER (WHERE variable = '{v}') AS {v}" for v in KINDS)
+
+
+@register("merge_conflicts", with_views(f"""
+WITH a AS (SELECT time, cell, {_KIND_COLUMNS} FROM v_release WHERE expver = 1 GROUP BY 1, 2),
+b AS (SELECT time, cell, {_KIND_COLUMNS} FROM v_release WHERE expver = 5 GROUP BY 1, 2)
+SELECT {", ".join(f"count(*) FILTER (WHERE a.{v} IS NOT NULL AND b.{v} IS NOT NULL) AS {v}_both, "
+                  f"count(*) FILTER (WHERE a.{v} IS NOT NULL AND b.{v} IS NOT NULL AND a.{v} <> b.{v}) AS {v}_conflicts"
+                  for v in KINDS)}
 FROM a JOIN b ON a.time = b.time AND a.cell = b.cell""", "v_release"))
 def q_merge_conflicts(spark, sf_dir):
     """JN-9: where both sources hold a same-named variable, do they agree?"""
     r = S.v_release(spark, sf_dir)
-    a = layout.pivot_wide(r.where(F.col("expver") == 1), ["time", "cell"], variables=["click", "view"])
-    b = layout.pivot_wide(r.where(F.col("expver") == 5), ["time", "cell"], variables=["click", "view"])
-    return release.merge_conflicts(a, b, ["time", "cell"], ["click", "view"])
+    a = layout.pivot_wide(r.where(F.col("expver") == 1), ["time", "cell"], variables=list(KINDS))
+    b = layout.pivot_wide(r.where(F.col("expver") == 5), ["time", "cell"], variables=list(KINDS))
+    return release.merge_conflicts(a, b, ["time", "cell"], list(KINDS))
 
 
 @register("merge_groups", with_views("""
@@ -132,13 +133,13 @@ def q_merge_groups(spark, sf_dir):
 @register("merge_stores", with_views("""
 WITH sp AS (SELECT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS time, CAST(l_partkey % 24 AS INT) AS cell,
                    CAST(max(l_quantity) AS DOUBLE) AS sp
-            FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2)
+            FROM lineitem GROUP BY 1, 2)
 SELECT coalesce(l.time, sp.time) AS time, coalesce(l.cell, sp.cell) AS cell, l.k, l.t, sp.sp
 FROM v_levels l FULL OUTER JOIN sp ON l.time = sp.time AND l.cell = sp.cell""", "v_levels"))
 def q_merge_stores(spark, sf_dir):
     """JN-2: native-vertical store merged with another store's surface part."""
     lv = S.v_levels(spark, sf_dir).select("time", "cell", "k", "t")
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
+    li = table(spark, sf_dir, "lineitem")
     from ..functions.dates import trunc_ntz
     sp = li.groupBy(trunc_ntz("month", "l_shipdate").alias("time"),
                     (F.col("l_partkey") % 24).cast("int").alias("cell")).agg(
@@ -146,14 +147,11 @@ def q_merge_stores(spark, sf_dir):
     return lv.join(sp, ["time", "cell"], "full_outer")
 
 
-@register("align_outer", with_views("""
-SELECT time, cell, max(value) FILTER (WHERE variable = 'click') AS click,
-       max(value) FILTER (WHERE variable = 'error') AS error, max(value) FILTER (WHERE variable = 'view') AS view
-FROM v_release WHERE expver = 1 AND variable IN ('click', 'error', 'view') GROUP BY time, cell""", "v_release"))
+@register("align_outer", with_views(f"""
+SELECT expver, time, cell, {_KIND_COLUMNS} FROM v_release GROUP BY expver, time, cell""", "v_release"))
 def q_align_outer(spark, sf_dir):
-    """JN-3: outer-align per-variable arrays on their coords (as one pivot)."""
-    r = S.v_release(spark, sf_dir).where((F.col("expver") == 1) & F.col("variable").isin("click", "error", "view"))
-    return layout.pivot_wide(r, ["time", "cell"], variables=["click", "error", "view"])
+    """JN-3: outer-align per-variable arrays of both releases on their coords (as one pivot)."""
+    return layout.pivot_wide(S.v_release(spark, sf_dir), ["expver", "time", "cell"], variables=list(KINDS))
 
 
 def _chunk_rows():

@@ -356,7 +356,7 @@ def q_scan_store(spark, sf_dir):
 
 # ------------------------------------------------------------------ specs / listings
 @register("expand_selection", """
-WITH s AS (SELECT o_orderpriority AS spec_id, CAST(min(o_orderdate) AS DATE) AS d0 FROM orders GROUP BY 1),
+WITH s AS (SELECT o_orderkey AS spec_id, CAST(o_orderdate AS DATE) AS d0 FROM orders),
 sp AS (SELECT spec_id, strftime(d0, '%Y-%m-%d') || '/to/' || strftime(d0 + 9, '%Y-%m-%d') AS date,
               '00/to/23/by/6' AS time, '1/to/10' AS levelist, 'd/vo' AS param FROM s)
 SELECT spec_id, strftime(unnest(generate_series(CAST(split_part(date, '/', 1) AS DATE), CAST(split_part(date, '/', 3) AS DATE), INTERVAL 1 DAY)), '%Y-%m-%d') AS date,
@@ -365,7 +365,7 @@ FROM sp, (SELECT unnest(['d', 'vo']) AS param) pr""")
 def q_expand_selection(spark, sf_dir):
     """SRC-13: retrieval spec rows -> one task row per (date, param); time / levels stay lists."""
     o = table(spark, sf_dir, "orders")
-    s = o.groupBy(F.col("o_orderpriority").alias("spec_id")).agg(F.min("o_orderdate").cast("date").alias("d0"))
+    s = o.select(F.col("o_orderkey").alias("spec_id"), F.col("o_orderdate").cast("date").alias("d0"))
     sp = s.select("spec_id", F.concat(F.date_format("d0", "yyyy-MM-dd"), F.lit("/to/"),
                                       F.date_format(F.date_add("d0", 9), "yyyy-MM-dd")).alias("date"),
                   F.lit("00/to/23/by/6").alias("time"), F.lit("1/to/10").alias("levelist"), F.lit("d/vo").alias("param"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -32,7 +33,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     """Local / test session.  On a cluster the launcher supplies master and sizing."""
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     builder = SparkSession.builder.appName(app_name)
-    builder = builder.master(master or f"local[{cpus}]")
+    if master or "PYSPARK_GATEWAY_PORT" not in os.environ:      # set where spark-submit started us
+        builder = builder.master(master or f"local[{cpus}]")
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
     conf.setdefault("spark.driver.memory", "16g")
@@ -60,13 +62,15 @@ def ensure_session_defaults(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when nothing is configured (unit tests, a laptop) do we pick a local
-    folder ourselves and register it as the checkpoint dir.
+    Only a local master (unit tests, a laptop) without one gets a local folder; elsewhere
+    executors would each write to their own disk, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="gridloom-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():

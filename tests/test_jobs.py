@@ -90,7 +90,14 @@ def test_derive_field_set(spark, sf_dir):
     lv = S.v_levels(spark, sf_dir)
     out = jobs.derive(spark, lv, S.v_surface(lv), met.hybrid_coefficients(spark, 7))
     assert {"temperature", "specific_humidity", "geopotential", "r", "td"} <= set(out.columns)
-    assert out.where(F.col("geopotential").isNull()).count() == 0
+    # every level row stays; geopotential is there exactly where all levels below are
+    columns = {}
+    for r in lv.select("time", "cell", "k").collect():
+        columns.setdefault((r["time"], r["cell"]), set()).add(r["k"])
+    whole = {(*c, k) for c, ks in columns.items() for k in ks if ks >= set(range(k, 8))}
+    rows = out.select("time", "cell", "k", "geopotential").collect()
+    assert len(rows) == sum(map(len, columns.values()))
+    assert {(r["time"], r["cell"], r["k"]) for r in rows if r["geopotential"] is not None} == whole
 
 
 def test_native_init_and_hourly_update_with_skip(spark):

@@ -188,3 +188,24 @@ def test_spectral_wind_chain_solid_body(spark):
     for j, lat in enumerate(lats):
         for i in range(counts[j]):
             assert on_rings[int(offsets[j] + i)] == pytest.approx(u0 * math.cos(math.radians(lat)) ** 2, abs=1e-9)
+
+
+def test_incomplete_columns_keep_their_rows_and_give_null(spark):
+    rows = [(c, k, 280.0, 0.0) for c in (0, 1, 2) for k in (1, 2, 3, 4) if (c, k) != (1, 3)]
+    levels = spark.createDataFrame(rows, "cell int, k int, t double, q double")
+    surface = spark.createDataFrame([(0, 11.5, 0.0), (1, 11.5, 0.0)], "cell int, lnsp double, zs double")
+    p = met.full_level_pressure(levels, surface, met.hybrid_coefficients(spark, 4), keys=["cell"])
+    z = {(r["cell"], r["k"]): r["z"] for r in met.geopotential_on_levels(p, keys=["cell"]).collect()}
+    assert len(z) == len(rows)
+    assert all(z[0, k] is not None for k in (1, 2, 3, 4))
+    assert z[1, 4] == z[0, 4] and z[1, 2] is None and z[1, 1] is None      # nothing above the missing level
+    assert all(z[2, k] is None for k in (1, 2, 3, 4))                      # no surface
+
+
+def test_spectral_wind_takes_only_true_neighbours(spark):
+    one = [("f", n, 0, float(n), 0.0, 0.0, 0.0) for n in (1, 2, 4)]
+    co = "f string, n int, m int, vo_re double, vo_im double, d_re double, d_im double"
+    got = {r["n"]: r["u_re"] for r in spectral.vd2uv(spark.createDataFrame(one, co), ["f"]).collect()}
+    alone = spectral.vd2uv(spark.createDataFrame(one[2:], co), ["f"]).first()["u_re"]
+    assert got[4] == alone                                                 # n = 3 is absent, n = 2 is no neighbour
+    assert got[1] != spectral.vd2uv(spark.createDataFrame(one[:1], co), ["f"]).first()["u_re"]
