@@ -18,13 +18,6 @@ PRESSURE_LEVEL_GROUPS = {
                 825, 850, 875, 900, 925, 950, 975, 1000),
 }
 
-# Raw-file layout of the analysis-ready archive (one file per day/variable[/level]).
-SINGLE_LEVEL_FILE = "date-variable-single_level/{yyyy}/{MM}/{dd}/{variable}/surface.nc"
-MULTILEVEL_FILE = "date-variable-pressure_level/{yyyy}/{MM}/{dd}/{variable}/{level}.nc"
-
-# Raw-file layout of the grouped (GRIB) archive.
-MONTHLY_GROUPED_FILE = "ERA5GRIB/HRES/Month/{yyyy}/{yyyyMM}_hres_{chunk}.grb2"
-DAILY_GROUPED_FILE = "ERA5GRIB/HRES/Daily/{yyyy}/{yyyyMMdd}_hres_{chunk}.grb2"
 # A chunk "a_b_c" was split into one file per level type and short name:
 #   <...>_hres_a.grb2_b_c.grib
 SPLIT_SUFFIX = ".grib"
@@ -159,7 +152,6 @@ SHORT_TO_LONG = {
 }
 
 # Store time axes: hourly analysis; forecasts twice a day (06, 18 UTC), 19 steps.
-STEPS_PER_DAY = {"hourly": 24, "forecast": 2}
 FORECAST_BASE_HOURS = (6, 18)
 FORECAST_STEPS = 19
 VALID_TIME_START = "1940-01-01"

@@ -1,9 +1,8 @@
 """Small dimension tables and size-checked products (JN-10, JN-11).
 
 Dimension tables built from the fixed values have a size known when the plan
-is built, so broadcasting them is always safe.  Dimensions derived from data
-are counted first and only broadcast below a row bound; above it the product
-is planned without a hint and Spark distributes it.
+is built, so broadcasting them is always safe.  Dimensions derived from data carry
+no hint: Spark broadcasts them only when their size in bytes is below its threshold.
 """
 
 from __future__ import annotations
@@ -13,10 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 
-# Broadcast bound for dimensions derived from data (rows).
-MAX_BROADCAST_ROWS = 1_000_000
-
-
 def chunk_variables(spark: SparkSession) -> DataFrame:
     """(chunk, short_name): 40 chunks, 73 rows."""
     rows = [(c, v) for c, vs in fixed.CHUNK_VARIABLES.items() for v in vs]
@@ -40,28 +35,11 @@ def level_group(spark: SparkSession, group: str = "full_37") -> DataFrame:
                                              "level int, level_index int"))
 
 
-def short_to_long(spark: SparkSession) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(list(fixed.SHORT_TO_LONG.items()),
-                                             "short_name string, long_name string"))
-
+def checked_product(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every row of ``left`` with every row of ``right`` (a manifest or template product).
 
-def checked_product(left: DataFrame, right: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Every row of ``left`` with every row of ``right`` (a manifest product).
-
-    ``right`` is a dimension; it is broadcast only when its row count is within
-    ``max_rows``.  Beyond that Spark plans a distributed cartesian product.
-    The dimension is persisted before counting so its source (possibly a
-    large table reduced by ``distinct``) is scanned once, not twice.
+    No hint and no count: Spark broadcasts a side whose size it knows to be below
+    ``spark.sql.autoBroadcastJoinThreshold`` (for a side behind a shuffle, AQE knows it
+    when that stage has run) and else plans the distributed product.
     """
-    right = right.persist()
-    n = right.count()
-    if n <= max_rows:
-        return left.crossJoin(F.broadcast(right))
     return left.crossJoin(right)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint when its row count is within ``max_rows``
-    (a count of a small side), else unchanged so Spark shuffles both sides."""
-    df = df.persist()      # counted then used: scan the source once
-    return F.broadcast(df) if df.count() <= max_rows else df

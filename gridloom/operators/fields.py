@@ -149,13 +149,6 @@ def drop_dims(df: DataFrame, dim: str) -> DataFrame:
     return df.drop(*gone)
 
 
-def schema_table(df: DataFrame) -> DataFrame:
-    """A (name, dims) table describing a DataFrame's arrays."""
-    spark = df.sparkSession
-    rows = [(name, ds) for name, ds in column_dims(df).items()]
-    return spark.createDataFrame(rows, "name string, dims array<string>")
-
-
 def data_vars(schema: DataFrame) -> DataFrame:
     """PRJ-16 / AG-9: array names that are not dimension names, and whether they
     have a time axis.  ``schema`` is (name, dims)."""

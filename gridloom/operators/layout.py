@@ -51,15 +51,20 @@ def chunk_pack(df: DataFrame, keys: Sequence[str], n_lat: int, n_lon: int,
                lat: str = "lat_idx", lon: str = "lon_idx", value: str = "value") -> DataFrame:
     """long -> chunk: a dense row-major array per key; cells without a value are NULL.
 
-    Cells are collected as (pos, value) entries of one chunk, then laid out on
-    ``sequence(0, n-1)`` so the array is dense regardless of sparsity.
+    Cells are collected as (pos, value) entries of one chunk, the positions without one are
+    added as missing, and the entries sorted by position: n log n steps for a chunk of n
+    cells.  Two values for one cell, or a cell outside the grid, raise.
     """
     n = n_lat * n_lon
     pos = (F.col(lat) * n_lon + F.col(lon)).cast("int")
-    packed = df.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(pos.alias("k"),
-                                                                               F.col(value).alias("v")))).alias("_m"))
-    return packed.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                                            lambda i: F.try_element_at(F.col("_m"), i)).alias("values"))
+    packed = df.groupBy(*keys).agg(F.collect_list(F.struct(pos.alias("k"), F.col(value).alias("v"))).alias("_e"))
+    nothing = F.lit(None).cast(df.schema[value].dataType)
+    rest = F.transform(F.array_except(F.sequence(F.lit(0), F.lit(n - 1)), F.transform("_e", lambda e: e["k"])),
+                       lambda k: F.struct(k.alias("k"), nothing.alias("v")))
+    cells = packed.select(*keys, F.sort_array(F.concat("_e", rest)).alias("_e"))
+    return cells.select(*keys, F.when(F.size("_e") == n, F.transform("_e", lambda e: e["v"]))
+                        .otherwise(F.raise_error(F.lit(f"a chunk of {n} cells holds a cell twice or one outside it")))
+                        .alias("values"))
 
 
 def array_region_get(arr, offset, length) -> Column:

@@ -93,13 +93,6 @@ def hybrid_coefficients(spark, n_levels: int) -> DataFrame:
                                  (eta * eta).alias("b")))
 
 
-def half_level_pressure(columns: DataFrame, coef: DataFrame, keys: Sequence[str] = ("time", "cell"),
-                        lnsp: str = "lnsp") -> DataFrame:
-    """(keys, half_level, p_half): p = a + b exp(lnsp) for every half level of every column."""
-    return columns.select(*keys, lnsp).crossJoin(coef).select(
-        *keys, "half_level", (F.col("a") + F.col("b") * F.exp(F.col(lnsp))).alias("p_half"))
-
-
 def full_level_pressure(levels: DataFrame, surface: DataFrame, coef: DataFrame,
                         keys: Sequence[str] = ("time", "cell"), k: str = "k") -> DataFrame:
     """MET-2 / WN-2: attach p_above (k-1/2), p_below (k+1/2) and p (their mean).

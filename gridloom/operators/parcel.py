@@ -52,53 +52,6 @@ def _moist_step(t, p0, p1, n_sub: int = 8):
     return t
 
 
-def column_indices(p: np.ndarray, t: np.ndarray, q: np.ndarray, mode: str = "surface") -> dict:
-    """Indices of one column; arrays ordered from the surface upwards."""
-    ok = ~(np.isnan(p) | np.isnan(t) | np.isnan(q))
-    p, t, q = p[ok], t[ok], q[ok]
-    out = dict(lcl_p=np.nan, lcl_t=np.nan, lfc_p=np.nan, el_p=np.nan, cape=0.0, cin=0.0)
-    if len(p) < 2:
-        return out
-    start = 0
-    if mode == "most_unstable":
-        low = p >= p[0] - 30000.0
-        td = _dewpoint(q, p)
-        theta_e = t * (100000.0 / p) ** (fixed.R_DRY / fixed.CP_DRY) * np.exp(
-            LV * _mixing_ratio_sat(td, p) / (fixed.CP_DRY * t))
-        start = int(np.argmax(np.where(low, theta_e, -np.inf)))
-    p0, t0, q0 = p[start], t[start], q[start]
-    td0 = min(_dewpoint(q0, p0), t0)
-    t_lcl = 1.0 / (1.0 / (td0 - 56.0) + np.log(t0 / td0) / 800.0) + 56.0
-    p_lcl = p0 * (t_lcl / t0) ** (fixed.CP_DRY / fixed.R_DRY)
-    out["lcl_p"], out["lcl_t"] = float(p_lcl), float(t_lcl)
-    tp = np.full(len(p), np.nan)
-    prev_p, prev_t = p_lcl, t_lcl
-    for i in range(start, len(p)):
-        if p[i] >= p_lcl:
-            tp[i] = t0 * (p[i] / p0) ** (fixed.R_DRY / fixed.CP_DRY)
-        else:
-            prev_t = _moist_step(prev_t, prev_p, p[i])
-            prev_p = p[i]
-            tp[i] = prev_t
-    buoy = tp - t
-    lnp = np.log(p)
-    cape = cin = 0.0
-    lfc = el = np.nan
-    for i in range(start + 1, len(p)):
-        b = 0.5 * (buoy[i] + buoy[i - 1])
-        layer = fixed.R_DRY * b * (lnp[i - 1] - lnp[i])
-        if p[i] <= p_lcl and buoy[i] > 0:
-            if np.isnan(lfc):
-                lfc = p[i]
-            el = p[i]
-        if layer > 0 and not np.isnan(lfc):
-            cape += layer
-        elif layer < 0 and np.isnan(lfc):
-            cin += layer
-    out.update(lfc_p=float(lfc), el_p=float(el), cape=float(cape), cin=float(cin))
-    return out
-
-
 RESULT_FIELDS = ("lcl_p", "lcl_t", "lfc_p", "el_p", "cape", "cin")
 
 
@@ -116,7 +69,7 @@ def _pack(rows) -> tuple[np.ndarray, np.ndarray]:
 
 
 def batch_indices(ps, ts, qs, mode: str = "surface") -> dict:
-    """:func:`column_indices` for a batch of columns, vectorised across columns.
+    """Indices of a batch of columns, vectorised across columns.
 
     Rows with a missing p, t or q are dropped per column first (compacted),
     so layers always join adjacent valid levels.

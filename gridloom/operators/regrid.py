@@ -2,9 +2,9 @@
 
 Interpolation is a sparse linear map: a weights table (src, dst, w) joined to
 the field on the source cell, then ``groupBy(dst).agg(sum(w v) / sum(w))``
-over the present sources (NULL-aware renormalisation).  The weights depend
-only on the two grids, so their size is known from the grid shapes; they are
-broadcast below a bound and shuffle-joined above it.
+over the present sources (NULL-aware renormalisation).  In the row layout Spark
+broadcasts the weights when their size in bytes allows and else shuffles.  Whole fields
+in the chunk layout need neither: :func:`gaussian_to_regular` maps array to array.
 
 Point sampling needs no theta join: the four neighbours of a point follow
 from index arithmetic on a regular grid, so sampling is an equi-join.
@@ -14,23 +14,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_WEIGHTS = 2_000_000
-
 
 def apply_weights(field: DataFrame, weights: DataFrame, keys: Sequence[str], src: str, dst: str,
-                  values: Sequence[str], n_weights: int | None = None) -> DataFrame:
-    """Linear map of ``values`` from ``src`` cells to ``dst`` cells.
-
-    ``n_weights`` (rows of the weights table, known from the grid shapes)
-    decides the broadcast; pass None to let AQE choose.
-    """
+                  values: Sequence[str]) -> DataFrame:
+    """Linear map of ``values`` from ``src`` cells to ``dst`` cells (row layout)."""
     wt = weights.select(F.col(src).alias("_src"), F.col(dst).alias("_dst"), F.col("w").alias("_w"))
-    if n_weights is not None and n_weights <= MAX_BROADCAST_WEIGHTS:
-        wt = F.broadcast(wt)
     j = field.join(wt, field[src] == wt["_src"])
     aggs = []
     for v in values:
@@ -73,12 +66,11 @@ def sample_points(field: DataFrame, neighbours: DataFrame, point_keys: Sequence[
                   keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Interpolate ``values`` of a (keys, lat_idx, lon_idx) field at points.
 
-    The neighbour table (points x 4) is broadcast when its counted size is
-    within the bound — the usual case (a line, a station list) — so the field
-    is not moved; otherwise both sides are shuffled on the cell.
+    The neighbour table (points x 4) is broadcast by Spark when its size allows — the
+    usual case (a line, a station list) — so the field is not moved; otherwise both
+    sides are shuffled on the cell.
     """
-    from .dims import broadcast_if_small
-    j = field.join(broadcast_if_small(neighbours), ["lat_idx", "lon_idx"])
+    j = field.join(neighbours, ["lat_idx", "lon_idx"])
     aggs = []
     for v in values:
         present = F.col(v).isNotNull()
@@ -110,72 +102,127 @@ def ring_weights(spark: SparkSession, n_src: int, refine: int) -> DataFrame:
 
 
 # ------------------------------------------------------------------ reduced Gaussian grids
-def reduced_gaussian_grid(n_half: int) -> tuple:
-    """Octahedral reduced Gaussian grid with ``n_half`` latitudes per hemisphere.
+def octahedral_counts(n_half: int) -> list[int]:
+    """Points per latitude of an octahedral grid: 20 + 4 i on ring i from either pole."""
+    north = [20 + 4 * i for i in range(n_half)]
+    return north + north[::-1]
 
-    Returns (latitudes in degrees, north to south; points per latitude;
-    index of each latitude's first cell).  Latitudes are the roots of the
-    Legendre polynomial of degree 2 n_half; ring i from the pole holds
-    20 + 4 i points (a rule, so no table is stored).
+
+def reduced_gaussian_grid(n_half: int, counts: Sequence[int] | None = None) -> tuple:
+    """Reduced Gaussian grid with ``n_half`` latitudes per hemisphere.
+
+    Returns (latitudes in degrees, north to south; points per latitude; index of each
+    latitude's first cell).  Latitudes are the roots of the Legendre polynomial of degree
+    2 n_half.  ``counts`` are the points per latitude of the grid at hand, north to south
+    (an archive's own list, for its classic or regular grids; one hemisphere will do, the
+    other is its mirror); without them the grid is octahedral.
     """
-    import numpy as np
     x, _ = np.polynomial.legendre.leggauss(2 * n_half)
     lats = np.degrees(np.arcsin(x))[::-1]                 # north -> south
-    north = [20 + 4 * i for i in range(n_half)]
-    counts = np.array(north + north[::-1], dtype=np.int64)
-    offsets = np.concatenate([[0], np.cumsum(counts)[:-1]])
-    return lats, counts, offsets
+    given = list(octahedral_counts(n_half) if counts is None else counts)
+    if len(given) == n_half:
+        given += given[::-1]
+    if len(given) != 2 * n_half or min(given) < 1:
+        raise ValueError(f"{len(given)} counts given for {2 * n_half} latitudes")
+    counts = np.array(given, dtype=np.int64)
+    return lats, counts, np.concatenate([[0], np.cumsum(counts)[:-1]])
+
+
+def _gaussian_neighbours(grid: tuple, d: np.ndarray, n_lon_dst: int, lat0: float, dlat: float) -> tuple:
+    """(4, len(d)) source cells and weights of destination cells ``d``."""
+    lats, counts, offsets = grid
+    lat = lat0 - dlat * (d // n_lon_dst)
+    lon = 360.0 * (d % n_lon_dst) / n_lon_dst
+    # ring above (j) and below (j + 1): latitudes are descending
+    j = np.searchsorted(-lats, -lat, side="right") - 1
+    top, bottom = j < 0, j >= len(lats) - 1
+    j0 = np.clip(j, 0, len(lats) - 1)
+    j1 = np.clip(j + 1, 0, len(lats) - 1)
+    span = lats[j0] - lats[j1]
+    wy = np.where(top | bottom | (span == 0), np.where(top, 1.0, 0.0),
+                  (lats[j0] - lat) / np.where(span == 0, 1.0, span))
+    src, w = [], []
+    for ring, wr in ((j0, 1.0 - wy), (j1, wy)):
+        x = lon / 360.0 * counts[ring]
+        i0 = np.floor(x).astype(np.int64)
+        for i, wi in ((i0 % counts[ring], 1.0 - (x - i0)), ((i0 + 1) % counts[ring], x - i0)):
+            src.append(offsets[ring] + i)
+            w.append(wr * wi)
+    return np.stack(src), np.stack(w)
 
 
-def _gaussian_weight_block(lats, counts, offsets, n_lat_dst: int, n_lon_dst: int, lat0: float, dlat: float):
-    import numpy as np
+def gaussian_to_regular_weights(spark: SparkSession, n_half: int, n_lat_dst: int, n_lon_dst: int,
+                                lat0: float = 90.0, dlat: float | None = None, n_partitions: int | None = None,
+                                counts: Sequence[int] | None = None) -> DataFrame:
+    """MET-11 weights from a reduced Gaussian grid (``counts``: see
+    :func:`reduced_gaussian_grid`) to a regular lat/lon grid (lat = lat0 - i dlat,
+    lon = 360 j / n_lon): bilinear between the two bracketing latitude rings and, on each
+    ring, the two bracketing points (longitude wraps; beyond the outermost rings the
+    nearest ring).
+
+    Generated by Spark, one task per block of destination cells (vectorised
+    numpy searches); rows = 4 x destination cells.
+    """
+    grid = reduced_gaussian_grid(n_half, counts)
+    dlat = (2 * lat0) / (n_lat_dst - 1) if dlat is None else dlat
+    n_dst = n_lat_dst * n_lon_dst
+    parts = n_partitions or max(1, min(n_dst // 200_000 + 1, 10_000))
 
     def gen(batches):
         for pdf in batches:
             d = pdf["dst_cell"].to_numpy()
-            lat = lat0 - dlat * (d // n_lon_dst)
-            lon = 360.0 * (d % n_lon_dst) / n_lon_dst
-            # ring above (j) and below (j + 1): latitudes are descending
-            j = np.searchsorted(-lats, -lat, side="right") - 1
-            j = np.clip(j, -1, len(lats) - 1)
-            top = j < 0
-            bottom = j >= len(lats) - 1
-            j0 = np.clip(j, 0, len(lats) - 1)
-            j1 = np.clip(j + 1, 0, len(lats) - 1)
-            span = lats[j0] - lats[j1]
-            wy = np.where(top | bottom | (span == 0), np.where(top, 1.0, 0.0),
-                          (lats[j0] - lat) / np.where(span == 0, 1.0, span))
-            out_src, out_dst, out_w = [], [], []
-            for ring, wr in ((j0, 1.0 - wy), (j1, wy)):
-                x = lon / 360.0 * counts[ring]
-                i0 = np.floor(x).astype(np.int64)
-                wx = x - i0
-                for i, wi in ((i0 % counts[ring], 1.0 - wx), ((i0 + 1) % counts[ring], wx)):
-                    out_src.append(offsets[ring] + i)
-                    out_dst.append(d)
-                    out_w.append(wr * wi)
-            src, dst, w = (np.concatenate(a) for a in (out_src, out_dst, out_w))
-            keep = w > 0
-            yield pd.DataFrame({"src_cell": src[keep].astype("int64"), "dst_cell": dst[keep].astype("int64"),
-                                "w": w[keep]})
-    return gen
+            src, w = _gaussian_neighbours(grid, d, n_lon_dst, lat0, dlat)
+            keep = w.ravel() > 0
+            yield pd.DataFrame({"src_cell": src.ravel()[keep], "dst_cell": np.tile(d, 4)[keep], "w": w.ravel()[keep]})
 
+    dst = spark.range(0, n_dst, 1, parts).select(F.col("id").alias("dst_cell"))
+    return dst.mapInPandas(gen, "src_cell long, dst_cell long, w double")
 
-def gaussian_to_regular_weights(spark: SparkSession, n_half: int, n_lat_dst: int, n_lon_dst: int,
-                                lat0: float = 90.0, dlat: float | None = None,
-                                n_partitions: int | None = None) -> DataFrame:
-    """MET-11 weights from an octahedral reduced Gaussian grid to a regular
-    lat/lon grid (lat = lat0 - i dlat, lon = 360 j / n_lon): bilinear between
-    the two bracketing latitude rings and, on each ring, the two bracketing
-    points (longitude wraps; beyond the outermost rings the nearest ring).
 
-    Generated by Spark, one task per block of destination cells (vectorised
-    numpy searches); rows = 4 x destination cells.
+DST_BLOCK = 1 << 17          # destination cells whose neighbours are held at a time
+
+
+def gaussian_to_regular(fields: DataFrame, values: str, n_half: int, n_lat_dst: int, n_lon_dst: int,
+                        lat0: float = 90.0, dlat: float | None = None,
+                        counts: Sequence[int] | None = None) -> DataFrame:
+    """MET-11 in chunk layout: each row's ``values`` (one field on the reduced Gaussian
+    grid, north to south) becomes the row's field on the regular grid, row-major.
+
+    The same weights as :func:`gaussian_to_regular_weights`, applied inside an
+    Arrow-batched UDF: rows neither leave their partition nor multiply, and no weights
+    table is sent.  A task keeps the neighbours of one block of destination cells at a
+    time (8 MB), whatever the grid; memory beyond that is the batch of fields
+    itself, so wide grids want small ``spark.sql.execution.arrow.maxRecordsPerBatch``.
+    Missing sources are left out and the weights of the others renormalised; a cell
+    without any present source, or a null field, is missing.
     """
-    lats, counts, offsets = reduced_gaussian_grid(n_half)
+    grid = reduced_gaussian_grid(n_half, counts)
+    n_src = int(grid[1].sum())
     dlat = (2 * lat0) / (n_lat_dst - 1) if dlat is None else dlat
     n_dst = n_lat_dst * n_lon_dst
-    parts = n_partitions or max(1, min(n_dst // 200_000 + 1, 10_000))
-    dst = spark.range(0, n_dst, 1, parts).select(F.col("id").alias("dst_cell"))
-    return dst.mapInPandas(_gaussian_weight_block(lats, counts, offsets, n_lat_dst, n_lon_dst, lat0, dlat),
-                           "src_cell long, dst_cell long, w double")
+
+    @F.pandas_udf("array<double>")
+    def regridded(column: pd.Series) -> pd.Series:
+        at = [i for i, v in enumerate(column) if v is not None]
+        out: list = [None] * len(column)
+        if not at:
+            return pd.Series(out)
+        rows = [np.asarray(column.iloc[i], dtype=float) for i in at]
+        if any(len(r) != n_src for r in rows):
+            raise ValueError(f"a field of this grid has {n_src} cells")
+        done = [np.empty(n_dst) for _ in at]
+        for lo in range(0, n_dst, DST_BLOCK):
+            d = np.arange(lo, min(lo + DST_BLOCK, n_dst))
+            src, w = _gaussian_neighbours(grid, d, n_lon_dst, lat0, dlat)
+            for field, res in zip(rows, done):
+                v = field[src]
+                have = np.where(np.isnan(v), 0.0, w)
+                den = have.sum(axis=0)
+                num = (have * np.nan_to_num(v)).sum(axis=0)
+                res[lo:lo + len(d)] = np.where(den > 0, num / np.where(den > 0, den, 1.0), np.nan)
+        for i, res in zip(at, done):
+            out[i] = res
+        return pd.Series(out)
+
+    missing = F.lit(None).cast("double")
+    return fields.withColumn(values, F.transform(regridded(values), lambda x: F.nanvl(x, missing)))

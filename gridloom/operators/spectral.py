@@ -22,6 +22,11 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 
 
+# Legendre matrices a Python worker keeps; one has at most (T + 1) x latitudes doubles
+# (3.3 MB at T639 and 640 latitudes)
+LEGENDRE_KEPT = 32
+
+
 def spectral_index(spark: SparkSession, truncation: int) -> DataFrame:
     """(idx, n, m) in the archive's m-major order: for m in 0..T, for n in m..T."""
     t = truncation
@@ -70,17 +75,6 @@ def vd2uv(df: DataFrame, keys: Sequence[str], radius: float = fixed.EARTH_RADIUS
                        v_re.alias("v_re"), v_im.alias("v_im"))
 
 
-def legendre_table(truncation: int, mu: float) -> dict:
-    """Normalised associated Legendre functions P(n, m)(mu) for one latitude
-    (integral of P^2 over [-1, 1] equal to 2), as a dict — reference form."""
-    out = {}
-    for m in range(truncation + 1):
-        col = legendre_matrix(truncation, m, np.array([mu]))
-        for i, n in enumerate(range(m, truncation + 1)):
-            out[(n, m)] = float(col[i, 0])
-    return out
-
-
 def legendre_matrix(truncation: int, m: int, mu: np.ndarray) -> np.ndarray:
     """P(n, m)(mu) for n = m..T (rows) at every latitude (columns), by the
     standard stable recurrences; integral of P^2 over [-1, 1] is 2."""
@@ -107,11 +101,13 @@ def synthesise(coeffs: DataFrame, keys: Sequence[str], latitudes: Sequence[float
     (real part, m > 0 counted twice), on latitudes ``latitudes`` (degrees,
     ``lat_idx`` = position) and ``n_lon`` equally spaced longitudes — one
     number for a regular grid, or one per latitude for a reduced Gaussian
-    grid (e.g. ``regrid.reduced_gaussian_grid``).
+    grid (e.g. ``regrid.reduced_gaussian_grid``); a ring of N points takes the
+    wavenumbers below N / 2.
 
     Stage 1 (Legendre): rows grouped per (field, m) — at most T+1 rows each —
     become, in one Arrow-batched UDF, the Fourier coefficient of that m at
-    every latitude (a matrix product with P_m, computed once per m and task).
+    every latitude (a matrix product with P_m; rows come sorted by m within a
+    partition, so a bounded number of P_m is kept).
     Stage 2 (Fourier): one shuffle transposes to (field, latitude) groups of
     at most T+1 wavenumbers; a second batched UDF runs an inverse real FFT.
     No row-level join with a Legendre table (which would be O(T^3) rows).
@@ -120,16 +116,21 @@ def synthesise(coeffs: DataFrame, keys: Sequence[str], latitudes: Sequence[float
     mu = np.sin(np.radians(np.asarray(latitudes, float)))
     n_lat = len(mu)
     t_max = truncation if truncation is not None else coeffs.agg(F.max("n")).first()[0]
-    cache: dict = {}
+    kept: dict = {}
+
+    def matrix(m: int) -> np.ndarray:
+        if m not in kept:
+            if len(kept) >= LEGENDRE_KEPT:
+                kept.clear()
+            kept[m] = legendre_matrix(t_max, m, mu)
+        return kept[m]
 
     @F.pandas_udf("struct<a: array<double>, b: array<double>>")
     def legendre_sum(ms: pd.Series, ns: pd.Series, res: pd.Series, ims: pd.Series) -> pd.DataFrame:
         a_out, b_out = [], []
         for m_, n_, re_, im_ in zip(ms, ns, res, ims):
             m_ = int(m_)
-            if m_ not in cache:
-                cache[m_] = legendre_matrix(t_max, m_, mu)
-            pm = cache[m_]
+            pm = matrix(m_)
             rows = np.asarray(n_, dtype=int) - m_
             a_out.append(np.asarray(re_, float) @ pm[rows])
             b_out.append(np.asarray(im_, float) @ pm[rows])
@@ -144,7 +145,7 @@ def synthesise(coeffs: DataFrame, keys: Sequence[str], latitudes: Sequence[float
             nl = lon_counts[int(li)]
             spec = np.zeros(nl // 2 + 1, dtype=complex)
             m_ = np.asarray(m_, dtype=int)
-            keep = m_ <= nl // 2
+            keep = 2 * m_ < nl           # a ring resolves no shorter waves
             spec[m_[keep]] = np.asarray(a_, float)[keep] + 1j * np.asarray(b_, float)[keep]
             # irfft gives (1/N)(c_0 + 2 Re sum c_m e^{i m lon}); scale back by N
             out.append(np.fft.irfft(spec, n=nl) * nl)
@@ -152,7 +153,7 @@ def synthesise(coeffs: DataFrame, keys: Sequence[str], latitudes: Sequence[float
 
     per_m = coeffs.groupBy(*key_list, "m").agg(
         F.sort_array(F.collect_list(F.struct("n", "re", "im"))).alias("_c"))
-    lg = per_m.select(*key_list, "m", legendre_sum(
+    lg = per_m.sortWithinPartitions("m").select(*key_list, "m", legendre_sum(
         F.col("m"), F.transform("_c", lambda x: x["n"]), F.transform("_c", lambda x: x["re"]),
         F.transform("_c", lambda x: x["im"])).alias("_l"))
     by_lat = lg.select(*key_list, "m", F.posexplode(F.arrays_zip("_l.a", "_l.b")).alias("lat_idx", "_ab")).select(

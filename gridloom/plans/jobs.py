@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions import dates as D
-from ..operators import dims, fields, manifest, met, release
+from ..operators import dims, fields, layout, manifest, met, regrid, release, spectral
 from ..sinks import store as ST
 
 
@@ -123,6 +124,43 @@ def derive(spark: SparkSession, levels: DataFrame, surface: DataFrame, coef: Dat
     return fields.rename_columns(out, fixed.SHORT_TO_LONG)
 
 
+def assemble_native(wind: DataFrame, levels: DataFrame, surface: DataFrame, coef: DataFrame, truncation: int,
+                    n_half: int, n_lat: int, n_lon: int, counts: Sequence[int] | None = None,
+                    keys: Sequence[str] = ("time",), k: str = "k") -> DataFrame:
+    """MET-19: the native-level fields of every time step in the data, on a regular grid.
+
+    Spectral vorticity and divergence (``wind``: keys, k, n, m, vo_re, vo_im, d_re, d_im)
+    -> spectral (U, V) -> values on the reduced Gaussian grid (``n_half``, ``counts``: its
+    points per latitude) -> divided by cos(latitude); geopotential from the grid's columns
+    (``levels``: keys, k, cell, t, q and any further field; ``surface``: keys, cell, lnsp,
+    zs); all fields -> regular grid -> long names.  Returns chunk rows (keys, k,
+    variable, values), north to south.  A field that lacks levels or surface keeps its
+    row, with missing values; wind and levels need not cover the same steps.
+    """
+    row = [*keys, k]
+    uv = spectral.vd2uv(wind, row)
+    parts = uv.select(*row, "n", "m", F.inline(F.array(
+        F.struct(F.lit("u").alias("variable"), F.col("u_re").alias("re"), F.col("u_im").alias("im")),
+        F.struct(F.lit("v").alias("variable"), F.col("v_re").alias("re"), F.col("v_im").alias("im")))))
+    lats, per_lat, first = regrid.reduced_gaussian_grid(n_half, counts)
+    on_grid = spectral.synthesise(parts, [*row, "variable"], list(lats), list(per_lat), truncation=truncation)
+    at = lambda a, x: F.element_at(F.array(*[F.lit(y.item()) for y in a]), x + 1)
+    fields_uv = on_grid.select(*row, "variable", (at(first, F.col("lat_idx")) + F.col("lon_idx")).alias("cell"),
+                               (F.col("value") / at(np.cos(np.radians(lats)), F.col("lat_idx"))).alias("value"))
+    column = [*keys, "cell"]
+    z = met.geopotential_on_levels(met.full_level_pressure(levels, surface, coef, column, k), column, k)
+    names = [c for c in (*levels.columns, "z") if c not in (*column, k)]
+    fields_z = z.select(*row, "cell", *[F.col(c).cast("double").alias(c) for c in names]).unpivot(
+        [*row, "cell"], names, "variable", "value").select(*row, "variable", "cell", "value")
+    cells = fields_uv.unionByName(fields_z)
+    packed = layout.chunk_pack(cells.withColumn("_ring", F.lit(0)), [*row, "variable"], 1, int(per_lat.sum()),
+                               "_ring", "cell")
+    out = regrid.gaussian_to_regular(packed, "values", n_half, n_lat, n_lon, counts=counts)
+    long_name = F.coalesce(*[F.when(F.col("variable") == s, F.lit(n)) for s, n in fixed.SHORT_TO_LONG.items()],
+                           F.col("variable"))
+    return out.withColumn("variable", long_name)
+
+
 def init_native(spark: SparkSession, path: str, start: str, end: str, cells: DataFrame, n_levels: int,
                 variables: Sequence[str]) -> None:
     """Native-vertical store skeleton: every hour of [start, end] (whole end day) x

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.numeric import round_scaled
-from ..operators import met, parcel, regrid, release, spectral, vertical
+from ..operators import layout, met, parcel, regrid, release, spectral, vertical
 from ..sources import standins as S
 from ..sources.tables import table
 from .registry import register, sql_list, with_views
@@ -247,8 +247,7 @@ def q_point_profile(spark, sf_dir):
         (F.col("n_regionkey").cast("double") * F.lit(70.0) + F.lit(5.0)).alias("lon"))
     nc = regrid.nearest_cell(pts, ["n_nationkey"], **GRID)
     p = _cell_xy(levels_with_pressure(spark, sf_dir))
-    from ..operators.dims import broadcast_if_small
-    return p.join(broadcast_if_small(nc), ["lat_idx", "lon_idx"]).select(
+    return p.join(nc, ["lat_idx", "lon_idx"]).select(
         "n_nationkey", "time", "k", "t", "q", "u", "v", "lnsp", F.round("p", 4).alias("p"))
 
 
@@ -401,22 +400,28 @@ SYN_LATS = [67.5, 22.5, -22.5, -67.5]
 SYN_NLON = 16
 
 
-def _sql_synthesis() -> str:
-    """Oracle: the same field by a direct Legendre and Fourier sum.
+def _sql_legendre(truncation: int, rings: str) -> str:
+    """CTE ``leg`` (n, m, lat_idx, p): Legendre values at the ``rings`` (lat_idx, lat) by their
+    closed sum over factorials (the operator uses recurrences)."""
+    return f"""leg AS (
+  SELECT n, m, lat_idx, sqrt(CAST((2 * n + 1) * factorial(n - m) AS DOUBLE) / CAST(factorial(n + m) AS DOUBLE))
+         * pow(1.0 - mu * mu, m / 2.0) / pow(2.0, n)
+         * sum((CASE WHEN i % 2 = 0 THEN 1.0 ELSE -1.0 END) * CAST(factorial(2 * n - 2 * i) AS DOUBLE)
+               / CAST(factorial(i) * factorial(n - i) * factorial(n - m - 2 * i) AS DOUBLE) * pow(mu, n - m - 2 * i)) AS p
+  FROM (SELECT CAST(n AS INT) AS n, CAST(m AS INT) AS m, CAST(i AS INT) AS i
+        FROM range({truncation + 1}) r1(n), range({truncation + 1}) r2(m), range({truncation // 2 + 1}) r3(i)
+        WHERE m <= n AND 2 * i <= n - m) nmi,
+       (SELECT lat_idx, sin(radians(lat)) AS mu FROM {rings}) la
+  GROUP BY n, m, lat_idx, mu)"""
 
-    The Legendre values are generated by rule (recurrence) for the test
-    truncation and latitudes — (T+1)(T+2)/2 x 4 = 112 values."""
-    import numpy as np
-    mu = np.sin(np.radians(SYN_LATS))
-    rows = []
-    for m in range(TRUNC + 1):
-        pm = spectral.legendre_matrix(TRUNC, m, mu)
-        for i, n in enumerate(range(m, TRUNC + 1)):
-            for j in range(len(SYN_LATS)):
-                rows.append(f"({n}, {m}, {j}, {d(pm[i, j])})")
+
+def _sql_synthesis() -> str:
+    """Oracle: the same field by a direct Legendre and Fourier sum."""
+    lats = ", ".join(f"({j}, {d(x)})" for j, x in enumerate(SYN_LATS))
     co = _sql_vd2uv().split("c2 AS")[0].rstrip().rstrip(",")
     return f"""{co},
-leg AS (SELECT * FROM (VALUES {", ".join(rows)}) t(n, m, lat_idx, p)),
+lats AS (SELECT * FROM (VALUES {lats}) t(lat_idx, lat)),
+{_sql_legendre(TRUNC, "lats")},
 fm AS (SELECT co.vec_id, co.level, leg.lat_idx, co.m, sum(co.vo_re * leg.p) AS a, sum(co.vo_im * leg.p) AS b
        FROM co JOIN leg ON co.n = leg.n AND co.m = leg.m GROUP BY 1, 2, 3, 4),
 lon AS (SELECT CAST(j AS INT) AS lon_idx FROM range({SYN_NLON}) r(j))
@@ -451,7 +456,7 @@ def q_regrid_linear(spark, sf_dir):
     comb = release.combine_releases(S.v_release(spark, sf_dir), ["time", "variable", "cell"])
     wts = regrid.ring_weights(spark, 24, 2)
     out = regrid.apply_weights(comb.withColumnRenamed("cell", "src_cell"), wts, ["time", "variable"],
-                               "src_cell", "dst_cell", ["value"], n_weights=96)
+                               "src_cell", "dst_cell", ["value"])
     return out.select("time", "variable", "dst_cell", F.round("value", 6).alias("value"))
 
 
@@ -477,22 +482,42 @@ def q_assemble_hour(spark, sf_dir):
 GG_HALF, GG_NLAT, GG_NLON = 4, 5, 8          # N4 octahedral grid (208 cells) -> 5 x 8 regular grid
 
 
-def _gg_weights_rows():
-    """The same weights the Spark job generates, computed locally for the oracle."""
-    import pandas as pd
-    lats, counts, offsets = regrid.reduced_gaussian_grid(GG_HALF)
-    n_dst = GG_NLAT * GG_NLON
-    block = regrid._gaussian_weight_block(lats, counts, offsets, GG_NLAT, GG_NLON, 90.0, 180.0 / (GG_NLAT - 1))
-    return next(block([pd.DataFrame({"dst_cell": list(range(n_dst))})])), int(counts.sum())
+def _sql_ring(n_half: int, counts) -> str:
+    """CTE ``ring`` (lat_idx, lat, n_lon, first): the Gaussian latitudes and their points."""
+    import numpy as np
+    x, _ = np.polynomial.legendre.leggauss(2 * n_half)
+    lats, first, rows = sorted(np.degrees(np.arcsin(x)), reverse=True), 0, []
+    for j, (lat, n) in enumerate(zip(lats, counts)):
+        rows.append(f"({j}, {d(lat)}, {n}, {first})")
+        first += n
+    return f"ring AS (SELECT * FROM (VALUES {', '.join(rows)}) t(lat_idx, lat, n_lon, first))"
+
+
+def _sql_gaussian_weights(n_lat: int, n_lon: int) -> str:
+    """CTE ``wt`` (src_cell, dst_cell, w): bilinear between the bracketing rings and points."""
+    return f"""dst AS (SELECT CAST(i AS INT) AS dst_cell, 90.0 - {d(180.0 / (n_lat - 1))} * (i // {n_lon}) AS lat,
+               {d(360.0)} * (i % {n_lon}) / {n_lon} AS lon FROM range({n_lat * n_lon}) r(i)),
+near AS (SELECT d.dst_cell, d.lat, d.lon, max(CASE WHEN r.lat >= d.lat THEN r.lat_idx END) AS up,
+                min(CASE WHEN r.lat < d.lat THEN r.lat_idx END) AS down FROM dst d, ring r GROUP BY 1, 2, 3),
+two AS (SELECT n.dst_cell, n.lon, n.up AS lat_idx, CASE WHEN b.lat IS NULL THEN 1.0 ELSE (n.lat - b.lat) / (a.lat - b.lat) END AS wy
+        FROM near n JOIN ring a ON a.lat_idx = n.up LEFT JOIN ring b ON b.lat_idx = n.down
+        UNION ALL
+        SELECT n.dst_cell, n.lon, n.down, CASE WHEN a.lat IS NULL THEN 1.0 ELSE (a.lat - n.lat) / (a.lat - b.lat) END
+        FROM near n JOIN ring b ON b.lat_idx = n.down LEFT JOIN ring a ON a.lat_idx = n.up),
+px AS (SELECT t.dst_cell, t.wy, r.n_lon, r.first, t.lon / 360.0 * r.n_lon AS x FROM two t JOIN ring r USING (lat_idx)),
+wt AS (SELECT * FROM (
+         SELECT CAST(first + CAST(floor(x) AS INT) % n_lon AS BIGINT) AS src_cell, dst_cell, wy * (1.0 - (x - floor(x))) AS w FROM px
+         UNION ALL
+         SELECT CAST(first + (CAST(floor(x) AS INT) + 1) % n_lon AS BIGINT), dst_cell, wy * (x - floor(x)) FROM px) WHERE w > 0)"""
 
 
 def _sql_regrid_gaussian() -> str:
-    w, n_src = _gg_weights_rows()
-    values = ", ".join(f"({int(s)}, {int(t)}, {d(x)})" for s, t, x in zip(w["src_cell"], w["dst_cell"], w["w"]))
+    counts = [20, 24, 28, 32, 32, 28, 24, 20]
     return f"""
-WITH f AS (SELECT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS time, CAST(l_partkey % {n_src} AS BIGINT) AS src_cell,
+WITH f AS (SELECT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS time, CAST(l_partkey % {sum(counts)} AS BIGINT) AS src_cell,
                   max(l_extendedprice) / 1000.0 AS value FROM lineitem GROUP BY 1, 2),
-wt AS (SELECT * FROM (VALUES {values}) t(src_cell, dst_cell, w))
+{_sql_ring(GG_HALF, counts)},
+{_sql_gaussian_weights(GG_NLAT, GG_NLON)}
 SELECT f.time, CAST(wt.dst_cell AS BIGINT) AS dst_cell,
        round(CASE WHEN sum(wt.w) > 0 THEN sum(wt.w * f.value) / sum(wt.w) END, 6) AS value
 FROM f JOIN wt ON f.src_cell = wt.src_cell GROUP BY 1, 2"""
@@ -509,5 +534,78 @@ def q_regrid_gaussian(spark, sf_dir):
                    (F.col("l_partkey") % n_src).cast("long").alias("src_cell")).agg(
         (F.max("l_extendedprice") / F.lit(1000.0)).alias("value"))
     w = regrid.gaussian_to_regular_weights(spark, GG_HALF, GG_NLAT, GG_NLON)
-    out = regrid.apply_weights(f, w, ["time"], "src_cell", "dst_cell", ["value"], n_weights=4 * GG_NLAT * GG_NLON)
+    out = regrid.apply_weights(f, w, ["time"], "src_cell", "dst_cell", ["value"])
     return out.select("time", "dst_cell", F.round("value", 6).alias("value"))
+
+
+# ------------------------------------------------------------ the native-level job
+NAT_HALF, NAT_COUNTS, NAT_NLAT, NAT_NLON = 2, [8, 12, 12, 8], 5, 8        # 40 cells -> 5 x 8
+
+
+def native_inputs(spark, sf_dir):
+    """Stand-in inputs of the native-level job: seven vectors make an hour, one a level; its
+    64 numbers give the spectral fields, the 40 cells' t, q, w and (lowest level) surface."""
+    e = S.v_chunks(spark, sf_dir)
+    hour = F.timestamp_add("HOUR", F.floor(F.col("vec_id") / 7), F.lit("2020-01-01 00:00:00").cast("timestamp_ntz"))
+    at = e.select("vec_id", hour.alias("time"), (F.col("vec_id") % 7 + 1).cast("int").alias("k"), "embedding")
+    co = spectral_coefficients(spark, sf_dir).join(at.drop("embedding"), "vec_id")
+    wind = co.select("time", "k", "n", "m", *[(F.col(c) * F.lit(1e-5)).alias(c) for c in ("vo_re", "vo_im", "d_re", "d_im")])
+    el = lambda off: F.element_at("embedding", off.cast("int")).cast("double")
+    c = F.col("cell")
+    cells = at.select("time", "k", "embedding", F.explode(F.sequence(F.lit(0), F.lit(sum(NAT_COUNTS) - 1))).alias("cell"))
+    levels = cells.select("time", "k", "cell", (F.lit(250.0) + F.lit(10.0) * el(c + 1)).alias("t"),
+                          (F.abs(el(F.lit(64) - c)) / F.lit(100.0)).alias("q"), el(c + 20).alias("w"))
+    surface = cells.where(F.col("k") == 7).select(
+        "time", "cell", F.log(F.lit(100000.0) + F.lit(1000.0) * el(c + 1)).alias("lnsp"), (F.lit(100.0) * el(c + 11)).alias("zs"))
+    return wind, levels, surface
+
+
+def _sql_assemble_native() -> str:
+    uv = _sql_vd2uv().rsplit("SELECT vec_id, level, n, m,", 1)[0].rstrip()
+    a = fixed.EARTH_RADIUS
+    n_cells = sum(NAT_COUNTS)
+    geo = with_views(f"WITH {GEO}").removeprefix("WITH ")
+    names = fixed.SHORT_TO_LONG
+    fields_sql = " UNION ALL ".join(f"SELECT time, k, cell, '{names[c]}' AS variable, {c} AS value FROM {src}"
+                                    for c, src in (("t", "gz"), ("q", "gz"), ("w", "gz"), ("z", "gz"), ("u", "wind"), ("v", "wind")))
+    wave = lambda c: (f"sum(CASE WHEN m = 0 THEN {c}a ELSE 2.0 * ({c}a * cos(2 * pi() * m * i / n_lon) "
+                      f"- {c}b * sin(2 * pi() * m * i / n_lon)) END) / cos(radians(lat))")
+    return f"""{uv},
+uv AS (SELECT vec_id, n, m, {d(1e-5 / a)} * (-mm * chi_im + c_dn * psi_re_dn - c_up * psi_re_up) AS u_re,
+              {d(1e-5 / a)} * (mm * chi_re + c_dn * psi_im_dn - c_up * psi_im_up) AS u_im,
+              {d(1e-5 / a)} * (-mm * psi_im - c_dn * chi_re_dn + c_up * chi_re_up) AS v_re,
+              {d(1e-5 / a)} * (mm * psi_re - c_dn * chi_im_dn + c_up * chi_im_up) AS v_im FROM cc),
+{_sql_ring(NAT_HALF, NAT_COUNTS)},
+{_sql_legendre(TRUNC, "ring")},
+{_sql_gaussian_weights(NAT_NLAT, NAT_NLON)},
+e0 AS (SELECT vec_id, TIMESTAMP '2020-01-01 00:00:00' + to_hours(CAST(vec_id // 7 AS BIGINT)) AS time,
+              CAST(vec_id % 7 + 1 AS INT) AS k, embedding AS x FROM embeddings),
+fm AS (SELECT vec_id, lat_idx, m, sum(u_re * p) AS ua, sum(u_im * p) AS ub, sum(v_re * p) AS va, sum(v_im * p) AS vb
+       FROM uv JOIN leg USING (n, m) GROUP BY 1, 2, 3),
+wind AS (SELECT e0.time, e0.k, ring.first + i AS cell, {wave('u')} AS u, {wave('v')} AS v
+         FROM fm JOIN ring USING (lat_idx) JOIN e0 USING (vec_id), range({max(NAT_COUNTS)}) r(i)
+         WHERE i < n_lon AND 2 * m < n_lon GROUP BY e0.time, e0.k, ring.first, i, n_lon, lat),
+th AS (SELECT time, k, c AS cell, 250.0 + 10.0 * CAST(x[c + 1] AS DOUBLE) AS t, abs(CAST(x[64 - c] AS DOUBLE)) / 100.0 AS q,
+              CAST(x[c + 20] AS DOUBLE) AS w, ln(100000.0 + 1000.0 * CAST(x[c + 1] AS DOUBLE)) AS lnsp,
+              100.0 * CAST(x[c + 11] AS DOUBLE) AS zs FROM e0, range({n_cells}) r(c)),
+v_levels AS (SELECT time, cell, k, t, q, w, {d(0.0)} AS x FROM th),
+v_surface AS (SELECT time, cell, lnsp, zs FROM th WHERE k = 7),
+{geo},
+f AS ({fields_sql})
+SELECT f.time, f.k, f.variable, CAST(wt.dst_cell // {NAT_NLON} AS INT) AS lat_idx, CAST(wt.dst_cell % {NAT_NLON} AS INT) AS lon_idx,
+       round(sum(wt.w * f.value) / sum(CASE WHEN f.value IS NOT NULL THEN wt.w END),
+             CASE WHEN f.variable = '{names["z"]}' THEN 2 ELSE 6 END) AS value
+FROM f JOIN wt ON f.cell = wt.src_cell GROUP BY f.time, f.k, f.variable, wt.dst_cell"""
+
+
+@register("assemble_native", _sql_assemble_native())
+def q_assemble_native(spark, sf_dir):
+    """MET-19 whole: spectral wind -> reduced Gaussian grid -> geopotential -> regular grid ->
+    merged under long names, every hour and level of the data."""
+    from . import jobs
+    out = jobs.assemble_native(*native_inputs(spark, sf_dir), met.hybrid_coefficients(spark, N_LEVELS), TRUNC,
+                               NAT_HALF, NAT_NLAT, NAT_NLON, counts=NAT_COUNTS)
+    z = F.col("variable") == fixed.SHORT_TO_LONG["z"]
+    return layout.chunk_explode(out, "values", NAT_NLON, ["time", "k", "variable"]).select(
+        "time", "k", "variable", "lat_idx", "lon_idx",
+        F.when(z, F.round("value", 2)).otherwise(F.round("value", 6)).alias("value"))

@@ -6,10 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from gridloom.plans.registry import ORACLE, QUERIES as OWN
 from gridloom.sources.tables import TABLES
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in OWN}
 
 
 def _norm(v):
