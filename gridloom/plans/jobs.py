@@ -36,12 +36,22 @@ def build_store(raw: DataFrame, path: str, keys: Sequence[str] = ("time", "lat_i
 
 def update_daily(raw_releases: DataFrame, path: str, start: str, end: str,
                  keys: Sequence[str] = ("time", "lat_idx", "lon_idx"), attrs_path: str | None = None,
-                 store_name: str = "store", mode: str = fixed.MODE_DAILY, now: str | None = None) -> None:
+                 store_name: str = "store", mode: str = fixed.MODE_DAILY, now: str | None = None,
+                 levels: DataFrame | None = None) -> None:
     """Days [start, end]: combine releases (final over preliminary), overwrite those
-    day regions, then record the new validity end in the store's attributes."""
-    window = raw_releases.where(F.col("time").cast("date").between(F.lit(start).cast("date"),
-                                                                   F.lit(end).cast("date")))
-    comb = release.combine_releases(window, list(keys) + ["variable"]).drop("expver_used")
+    day regions, then record the new validity end in the store's attributes.
+
+    ``raw_releases`` are the single-level fields, ``levels`` (with a ``level`` column) the
+    multi-level ones; both are merged (JN-1) into one set of rows, coordinates aligned (PRJ-3),
+    level NULL for single-level fields, and written together.
+    """
+    raw, own = raw_releases, list(keys)
+    if levels is not None:
+        raw, own = raw.unionByName(levels, allowMissingColumns=True), [*own, "level"]
+    coords = [c for c in ("latitude", "longitude") if c in raw.columns]
+    raw = fields.align_coords(raw, [*own, *coords], [c for c in raw.columns if c not in (*own, *coords)])
+    window = raw.where(F.col("time").cast("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    comb = release.combine_releases(window, [*own, *coords, "variable"]).drop("expver_used")
     ST.overwrite_regions(comb.withColumn("date", F.col("time").cast("date")), path)
     if attrs_path:
         import datetime
@@ -69,14 +79,19 @@ def update_files(spark: SparkSession, files: DataFrame, raw: DataFrame, path: st
 
 def reconcile_release(spark: SparkSession, current: DataFrame, staged: DataFrame, path: str,
                       block: Sequence[str] = ("variable", "date"),
-                      cell_keys: Sequence[str] = ("time", "lat_idx", "lon_idx")) -> DataFrame:
+                      cell_keys: Sequence[str] = ("time", "lat_idx", "lon_idx"), audit_table: str | None = None,
+                      staged_path: str | None = None, attrs_path: str | None = None, store_name: str = "store",
+                      time_end: str | None = None, now: str | None = None) -> DataFrame:
     """Compare every current block with its staged final-release copy, rewrite the
     changed blocks only, and return the audit (block, status) with counters.
 
     One null-safe full outer join for all blocks; the overwrite touches only
     the partitions of changed blocks.  The audit is written (under the shared
     checkpoint folder) before the store changes, because it is computed from
-    the files the overwrite replaces.
+    the files the overwrite replaces.  Promotion (SNK-13) is complete with
+    ``audit_table`` (the audit is appended to it), ``staged_path`` (the staged store: the
+    copies of blocks now ratified, replaced or added are removed from it) and
+    ``attrs_path`` with ``time_end`` (the store's final validity end is recorded).
     """
     from ..session import scratch_path
     staged_blocks = staged.select(*block).distinct()
@@ -90,6 +105,14 @@ def reconcile_release(spark: SparkSession, current: DataFrame, staged: DataFrame
     changed = audit.where(F.col("status").isin("data_changed", "added")).select(*block)
     new_rows = staged.join(changed, list(block), "left_semi")
     ST.overwrite_regions(new_rows.select(*current.columns), path)
+    if audit_table:
+        audit.write.mode("append").parquet(audit_table)
+    if staged_path:
+        ST.drop_blocks(spark, staged_path, audit.where(F.col("status") != "absent").select(*block))
+    if attrs_path and time_end:
+        import datetime
+        stamp = now or str(datetime.datetime.now(datetime.timezone.utc))
+        ST.upsert_store_attrs_table(spark, attrs_path, store_name, time_end, fixed.MODE_FINAL, stamp)
     return audit
 
 

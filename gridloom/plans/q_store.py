@@ -387,11 +387,15 @@ GRID_SCHEMA = ("time timestamp_ntz, variable string, lat_idx int, lon_idx int, l
 
 @register("stream_ingest", with_views("SELECT *, CAST(time AS DATE) AS date FROM v_grid", "v_grid"))
 def q_stream_ingest(spark, sf_dir):
-    """STM-1: raw blocks landing day by day are ingested incrementally into the store."""
+    """STM-1: raw blocks landing in three drops, by date, are ingested incrementally into the store."""
     landing, store, ckpt = (scratch_path(spark, n) for n in ("landing", "store", "ckpt"))
     g = S.v_grid(spark, sf_dir).withColumn("date", F.col("time").cast("date"))
-    g.write.parquet(landing)
-    ingest.ingest_new_blocks(spark, landing, GRID_SCHEMA, store, ckpt)
+    first, end = _events_window(spark, sf_dir)
+    third = F.floor(3 * F.datediff("date", F.lit(first).cast("date"))
+                    / F.datediff(F.lit(end).cast("date"), F.lit(first).cast("date")))
+    for drop in range(3):
+        g.where(third == drop).write.mode("append").parquet(landing)
+        ingest.ingest_new_blocks(spark, landing, GRID_SCHEMA, store, ckpt)
     return ST.read_store(spark, store)
 
 
@@ -424,10 +428,39 @@ def q_hourly_grid_stream(spark, sf_dir):
     from ..streaming.windows import hourly_grid_to_store
     landing, store, ckpt = (scratch_path(spark, n) for n in ("hg-landing", "hg-store", "hg-ckpt"))
     ev = table(spark, sf_dir, "events").select("ts", (F.col("user_id") % 24).cast("int").alias("cell"), "value")
-    half = F.dayofmonth("ts") <= 15
-    ev.where(half).write.mode("append").parquet(landing)
+    # the first half lands first, but for a fifth of its last two days, which comes late
+    # with the second half; state older than three days has gone by then
+    first, end = (F.lit(x).cast("date") for x in _events_window(spark, sf_dir))
+    middle = F.date_add(first, (F.datediff(end, first) / 2).cast("int"))
+    late = (F.col("cell") % 5 == 0) & (F.col("ts").cast("date") >= F.date_sub(middle, 2))
+    drop = (F.col("ts").cast("date") < middle) & ~late
     schema = "ts timestamp_ntz, cell int, value double"
-    hourly_grid_to_store(spark, landing, schema, store, ckpt, "ts", ["cell"], lateness="1000 days")
-    ev.where(~half).write.mode("append").parquet(landing)
-    hourly_grid_to_store(spark, landing, schema, store, ckpt, "ts", ["cell"], lateness="1000 days")
+    for rows in (ev.where(drop), ev.where(~drop)):
+        rows.write.mode("append").parquet(landing)
+        hourly_grid_to_store(spark, landing, schema, store, ckpt, "ts", ["cell"], lateness="3 days")
     return ST.read_store(spark, store).select("window_start", "window_end", "cell", "n", "max_value", "date")
+
+
+@register("complete_dates_stream", with_views("""
+SELECT CAST(e.date AS DATE) AS date, count(*) AS n_expected, count(a.chunk) AS n_present
+FROM v_expected e LEFT JOIN v_actual a ON e.date = a.date AND e.chunk = a.chunk
+GROUP BY e.date HAVING count(*) = count(a.chunk)""", "v_expected", "v_actual"))
+def q_complete_dates_stream(spark, sf_dir):
+    """STM-3 (streaming form): files land in two drops; a month of dates gets its files partly
+    in the first and partly in the second, ten days land twice.  Equal to the batch form."""
+    from ..streaming.windows import record_complete_dates
+    landing, out, ckpt = (scratch_path(spark, n) for n in ("cd-landing", "cd-dates", "cd-ckpt"))
+    file = F.concat_ws("/", F.date_format("date", "yyyyMMdd"), "chunk").alias("path")
+    landed = S.v_actual(spark, sf_dir).select(file, F.col("date").cast("date").alias("date"), "chunk")
+    expected = S.v_expected(spark, sf_dir).groupBy(F.col("date").cast("date").alias("date")).agg(
+        F.count(F.lit(1)).alias("n_expected"))
+    w = table(spark, sf_dir, "orders").agg(F.min("o_orderdate").cast("date").alias("s"),
+                                           F.max("o_orderdate").cast("date").alias("e")).first()
+    middle = w["s"] + (w["e"] - w["s"]) / 2
+    days = F.datediff("date", F.lit(middle))
+    early = (days < 0) | ((days < 30) & (F.col("chunk") < "3"))
+    again = (days < 0) & (days >= -10)
+    for drop in (landed.where(early), landed.where(~early | again)):
+        drop.select("path", "date").write.mode("append").parquet(landing)
+        record_complete_dates(spark, landing, "path string, date date", expected, out, ckpt, lateness="60 days")
+    return spark.read.parquet(out)

@@ -134,6 +134,21 @@ def read_touched(spark: SparkSession, path: str, new: DataFrame, partition_by) -
     return store
 
 
+def drop_blocks(spark: SparkSession, path: str, blocks: DataFrame) -> None:
+    """Remove whole partitions of a store: ``blocks`` has its partition columns, one row a
+    partition.  Their folders (checked against the same bound) are found from the store's own
+    file names, so a block that is not there is no error and a second run changes nothing."""
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    found = (read_store(spark, path).withColumn("_folder", folder).join(blocks, blocks.columns, "left_semi")
+             .select("_folder").distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect())
+    if len(found) > MAX_TOUCHED_PARTITIONS:
+        raise ValueError(f"one call drops over {MAX_TOUCHED_PARTITIONS} partitions; drop them in parts")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for r in found:
+        target = hadoop.Path(spark.sparkContext._jvm.java.net.URI.create(r["_folder"]))
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def replace_regions(spark: SparkSession, path: str, new: DataFrame, region=(),
                     partition_by=("variable", "date"), staging: str | None = None) -> None:
     """Replace exactly the regions that ``new`` has rows in: a region is one value of the

@@ -33,21 +33,45 @@ def hourly_grid_stream(rows: DataFrame, ts: str, cell_keys: Sequence[str], value
                       F.col("w.end").cast("timestamp_ntz").alias("window_end"), *cell_keys, "n", "max_value")
 
 
-def complete_dates_stream(landed: DataFrame, expected_per_date: DataFrame, ts: str, key: str = "date",
-                          file_col: str = "path", lateness: str = "1 day") -> DataFrame:
-    """STM-3 streaming gate: dates whose landed files reach the expected count.
-
-    ``landed`` is a stream of (path, date, ts arrival); ``expected_per_date``
-    is a static (date, n_expected) table (a manifest aggregate).  The distinct
-    file count per date is kept in watermarked state; a date is emitted once
-    its window closes, with the completeness flag.
+def complete_dates_stream(landed: DataFrame, expected_per_date: DataFrame, key: str = "date",
+                          file_col: str = "path", lateness: str = "120 days") -> DataFrame:
+    """STM-3 streaming gate: a date as soon as its landed files reach the expected count.
+
+    ``landed`` is a stream of (path, date); ``expected_per_date`` a static
+    (date, n_expected) table (a manifest aggregate).  State is kept by date alone, so a
+    date's files may arrive in any number of drops, on either side of midnight, and more
+    than once: it is the set of the date's paths, as many as the file layout has.
+    The watermark runs on the date itself: state of dates older than the newest one minus
+    ``lateness`` is dropped, and files that arrive for them later are not counted (the
+    batch form, ``manifest.complete_dates``, decides those).  For update mode; a
+    complete date comes again when a further file of it lands, so sinks keep one row a date.
     """
-    counts = (_as_event_time(landed, ts).withWatermark(ts, lateness)
-              .dropDuplicatesWithinWatermark([file_col])
-              .groupBy(F.window(ts, "1 day").alias("w"), key)
-              .agg(F.count(F.lit(1)).alias("n_present")))
-    return counts.join(expected_per_date, key).select(
-        key, "n_present", "n_expected", (F.col("n_present") >= F.col("n_expected")).alias("complete"))
+    day = F.col(key).cast("timestamp").alias("_day")
+    seen = (landed.select(day, F.col(file_col).alias("_file")).withWatermark("_day", lateness)
+            .groupBy("_day").agg(F.size(F.collect_set("_file")).cast("long").alias("n_present")))
+    return (seen.select(F.col("_day").cast("date").alias(key), "n_present").join(expected_per_date, key)
+            .where(F.col("n_present") >= F.col("n_expected")).select(key, "n_present", "n_expected"))
+
+
+def record_complete_dates(spark, landing: str, schema, expected_per_date: DataFrame, out: str, checkpoint: str,
+                          key: str = "date", file_col: str = "path", lateness: str = "120 days") -> None:
+    """Run :func:`complete_dates_stream` over new landing files and append each date to the
+    table ``out`` once; a replayed batch finds its dates there and adds nothing."""
+    from ..sinks.store import store_exists
+
+    dates = complete_dates_stream(spark.readStream.schema(schema).parquet(landing), expected_per_date, key,
+                                  file_col, lateness)
+
+    def batch(df: DataFrame, epoch_id: int) -> None:
+        sp = df.sparkSession
+        new = df.join(sp.read.parquet(out).select(key), key, "left_anti") if store_exists(sp, out) else df
+        new.write.mode("append").parquet(out)
+
+    q = (dates.writeStream.outputMode("update").foreachBatch(batch)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
 
 
 def hourly_grid_to_store(spark, landing: str, schema, store: str, checkpoint: str, ts: str,
