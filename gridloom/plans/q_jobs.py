@@ -122,12 +122,16 @@ long AS (SELECT time, cell, k, variable, round(value, 3) AS value FROM nat UNPIV
 bad AS (SELECT time FROM v_levels GROUP BY time, cell HAVING count(DISTINCT k) <> {N_LEVELS})
 SELECT time, cell, k, CASE variable WHEN 't' THEN '{fixed.SHORT_TO_LONG["t"]}' WHEN 'q' THEN '{fixed.SHORT_TO_LONG["q"]}'
        WHEN 'w' THEN '{fixed.SHORT_TO_LONG["w"]}' WHEN 'z' THEN '{fixed.SHORT_TO_LONG["z"]}' ELSE variable END AS variable,
-       value, CAST(time AS DATE) AS date
-FROM long WHERE time NOT IN (SELECT time FROM bad)""", "v_levels", "v_surface"))
+       CASE WHEN time NOT IN (SELECT time FROM bad) THEN value END AS value, CAST(time AS DATE) AS date
+FROM long""", "v_levels", "v_surface"))
 def q_job_update_native(spark, sf_dir):
-    """Job update_native over all hours of the data; hours with an incomplete column are skipped."""
+    """Job update_native over all hours of the data, into a store of missing values; hours with an
+    incomplete column are skipped and stay as they were."""
     path = scratch_path(spark, "job-native")
     lv = S.v_levels(spark, sf_dir)
+    names = [fixed.SHORT_TO_LONG.get(c, c) for c in ("t", "q", "w", "x", "z", "p", "r", "td")]
+    ST.write_store(lv.select("time", "cell", "k", F.explode(F.array(*[F.lit(n) for n in names])).alias("variable"),
+                             F.lit(None).cast("double").alias("value"), F.col("time").cast("date").alias("date")), path)
     w = lv.agg(F.min("time").cast("date").cast("string").alias("s"), F.max("time").cast("date").cast("string").alias("e")).first()
     jobs.update_native(spark, lv, S.v_surface(lv), met.hybrid_coefficients(spark, N_LEVELS), path, w["s"], w["e"],
                        N_LEVELS, on_error="skip")
