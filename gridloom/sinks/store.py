@@ -104,6 +104,11 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
+def read_staged(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A staged copy of ``like``; without rows (nothing was staged) it is empty, not an error."""
+    return spark.read.schema(like.schema).option("basePath", path).parquet(path)
+
+
 MAX_TOUCHED_PARTITIONS = 50_000
 
 
@@ -161,7 +166,10 @@ def replace_regions(spark: SparkSession, path: str, new: DataFrame, region=(),
     """
     from ..session import scratch_path
     cols = list(partition_by)
-    if not store_exists(spark, path) or not region:
+    known = store_exists(spark, path)
+    if not known and new.isEmpty():          # no rows: no store either
+        return
+    if not known or not region:
         overwrite_regions(new, path, partition_by)
         return
     current = read_touched(spark, path, new, cols)
@@ -171,7 +179,7 @@ def replace_regions(spark: SparkSession, path: str, new: DataFrame, region=(),
     merged = kept.unionByName(new.select(*current.columns))
     stage = staging or scratch_path(spark, "stage")
     merged.write.mode("errorifexists").partitionBy(*cols).parquet(stage)
-    overwrite_regions(read_store(spark, stage), path, partition_by)
+    overwrite_regions(read_staged(spark, stage, merged), path, partition_by)
 
 
 def overwrite_steps(spark: SparkSession, path: str, new: DataFrame, region=(), step_col: str = "time",

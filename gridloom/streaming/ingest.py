@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..operators.release import combine_releases
 from ..session import scratch_path
-from ..sinks.store import overwrite_regions, read_store, read_touched, replace_regions, store_exists
+from ..sinks.store import overwrite_regions, read_staged, read_touched, replace_regions, store_exists
 
 
 def _run(stream_df: DataFrame, batch_fn, checkpoint: str) -> None:
@@ -66,6 +66,8 @@ def ingest_releases(spark: SparkSession, landing: str, schema, store: str, check
     def batch(df: DataFrame, epoch_id: int) -> None:
         sp = df.sparkSession
         incoming = df.select(*keys, *cols, "value", "expver")
+        if incoming.isEmpty():
+            return
         rows = incoming.withColumn("arrival", F.lit(1))
         if store_exists(sp, store):
             current = read_touched(sp, store, incoming, cols)
@@ -76,6 +78,6 @@ def ingest_releases(spark: SparkSession, landing: str, schema, store: str, check
         merged = combine_releases(rows, list(keys) + cols, arrival="arrival")
         stage = scratch_path(sp, "release-stage")
         merged.write.mode("errorifexists").partitionBy(*cols).parquet(stage)
-        overwrite_regions(read_store(sp, stage), store, partition_by)
+        overwrite_regions(read_staged(sp, stage, merged), store, partition_by)
 
     _run(src, batch, checkpoint)

@@ -97,3 +97,13 @@ def test_missing_store_is_not_any_error(spark, tmp_path):
     with pytest.raises(Exception):
         ST.upsert_store_attrs_table(spark, str(bad), "s", "2020-01-01", "daily", "now")
     assert (bad / "part.parquet").exists()
+
+
+def test_a_write_without_rows_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "s")
+    none = spark.createDataFrame([], SCHEMA)
+    ST.replace_regions(spark, path, none, ["time"])
+    assert not ST.store_exists(spark, path)
+    ST.write_store(spark.createDataFrame(rows(500, 1.0), SCHEMA), path)
+    ST.replace_regions(spark, path, none, ["time"])
+    assert spark.read.parquet(path).count() == 3
