@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from gridloom.llm import textkit as T
 
 WORDS = 20_000                # most frequent words kept per language
+SHARES = 64                   # parts in which a language's words are ranked first
 LANGUAGES = 200               # most frequent languages kept
 LONGEST = 4                   # character n-grams of this many letters, and shorter
 DISCOUNT = 0.85               # per step from words down to single letters
@@ -153,8 +154,14 @@ def train(rows: DataFrame, words_kept: int = WORDS) -> Model:
     usable = rows.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "text")
     counts = (T.map_batches(usable, ["lang", "text"], "lang string, word string, n long", _count)
               .groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    best = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    kept = counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= words_kept)
+    # a language's words are ranked in shares by hash first: one of its best is among the best
+    # of its share, so no task ranks more than SHARES * words_kept words of a language
+    order = [F.desc("n"), "word"]
+    share = F.pmod(F.xxhash64("word"), F.lit(SHARES))
+    kept = counts
+    for by in (["lang", share], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        kept = kept.withColumn("place", place).where(F.col("place") <= words_kept).drop("place")
     found = kept.select("lang", "word", "n").collect()        # at most words_kept rows a language
     total = Counter()
     for r in found:

@@ -344,3 +344,14 @@ def test_word_hash_does_not_depend_on_the_place():
     a = textkit.word_hashes(textkit.utf8(["x yy Zz"])[0])[0]
     b = textkit.word_hashes(textkit.utf8(["", "zz  yy é", "x"])[0])[0]
     assert len(set(a.tolist()) & set(b.tolist())) == 3
+
+
+def test_language_words_kept_are_the_most_frequent(spark):
+    from gridloom.llm import langid
+    words = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    rows = [(" ".join([w] * (i % 7 + 1)), "en") for i, w in enumerate(words)] + [("uno dos dos", "es")]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"), words_kept=40)
+    want = sorted(((i % 7 + 1, w) for i, w in enumerate(words)), key=lambda x: (-x[0], x[1]))[:40]
+    whole = langid.Model(sorted([("en", w, n) for n, w in want] + [("es", "dos", 2), ("es", "uno", 1)]))
+    docs = spark.createDataFrame([(i, w) for i, w in enumerate(words)] + [(999, "dos aa")], "doc_id long, text string")
+    assert langid.predict(docs, model).orderBy("doc_id").collect() == langid.predict(docs, whole).orderBy("doc_id").collect()
