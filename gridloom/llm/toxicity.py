@@ -5,13 +5,17 @@ hashed rows, one of the whole word and one of its stem (the first ``STEM`` bytes
 inflected forms not met in training are still placed.  Filters of several widths slide over
 the embedded words; each keeps its maximum over the whole text, and a logistic layer reads
 the maxima.  The network is trained in numpy (Adam) on a bounded sample of labelled rows.
-Thresholds are calibrated by language on a part of that sample held back from the fit: a
+Thresholds are calibrated by language on all labelled rows of a fold kept out of the fit: a
 small word-count model guesses the language from the text alone, each language's threshold
-becomes logit 0, and so score >= 0.5 means "toxic" in every language.
+becomes logit 0, and so score >= 0.5 means "toxic" in every language.  Tasks score the
+fold's texts, Spark counts them by language, label and logit (steps of 1 / ``STEPS``), and the
+thresholds follow from the counts; a language with fewer than ``ENOUGH`` rows of a label in
+the fold takes the threshold of all languages together.
 
-The bound: at most ``SAMPLE`` rows of each label, those smallest by hash of the id, among
-texts of at most ``SAMPLE_WORDS`` words; the driver then holds at most
-2 * SAMPLE * SAMPLE_WORDS words.  Scoring covers every word of every text.
+The bound, for fit and language guess only: at most ``SAMPLE`` rows of each label, those
+smallest by hash of the id, among texts of at most ``SAMPLE_WORDS`` words; the driver then
+holds at most 2 * SAMPLE * SAMPLE_WORDS words.  Calibration and scoring cover every word of
+every text.
 
 Edge cases: a null, empty or word-less text is scored from the bias alone; without labels of
 both kinds every score is 0; repeated rows are scored as often as they come; an empty table
@@ -20,6 +24,7 @@ gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import textkit as T
+from gridloom.llm.io import hashed_set, rows_in_set
 
 SAMPLE = 4000
 SAMPLE_WORDS = 4000
@@ -38,6 +44,8 @@ FILTERS = 8
 DIM = 6                       # per table
 EPOCHS = 14
 CHUNK = 600_000
+STEPS, FARTHEST = 64, 40      # steps of a logit that are counted apart, up to this size
+ENOUGH = 20                   # rows of each label for a threshold of a language's own
 
 _APART = np.ones(256, dtype=bool)
 _APART[48:58] = _APART[65:91] = _APART[97:123] = False
@@ -153,46 +161,57 @@ class Net:
                     self.p[name][u] -= rate * fix * m[name][u] / (np.sqrt(v[name][u]) + 1e-7)
 
 
-def threshold(z: np.ndarray, y: np.ndarray) -> float:
-    """The logit with the best F1, in the middle of its gap."""
-    order = np.argsort(-z, kind="stable")
-    hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(z) + 1) + y.sum())
-    same = np.append(z[order][1:] == z[order][:-1], False)
-    f1[same] = -1
+def step_of(z: np.ndarray) -> np.ndarray:
+    """The counted step that each logit lies in."""
+    return np.floor(np.clip(z.astype(np.float64), -FARTHEST, FARTHEST) * STEPS).astype(np.int64)
+
+
+def threshold(counts: dict[int, tuple[int, int]]) -> float:
+    """The logit with the best F1, in the middle of its gap; ``counts``: rows of label 0 and
+    of label 1 by step."""
+    steps = sorted(counts, reverse=True)
+    n = np.array([counts[x] for x in steps], dtype=np.float64)
+    f1 = 2 * np.cumsum(n[:, 1]) / (np.cumsum(n.sum(axis=1)) + n[:, 1].sum())
     best = int(np.argmax(f1))
-    low = z[order][best]
-    nxt = z[order][best + 1] if best + 1 < len(z) else low - 2
-    return float((low + nxt) / 2)
+    low = steps[best] / STEPS
+    below = (steps[best + 1] + 1) / STEPS if best + 1 < len(steps) else low - 2
+    return (low + below) / 2
 
 
 class Model:
     """Network, language guess and a threshold per language."""
 
-    def __init__(self, sample: list[tuple[np.ndarray, int, str | None, bool]]):
+    def __init__(self, sample: list[tuple[np.ndarray, int, str | None]]):
         y = np.array([s[1] for s in sample], dtype=np.float32)
         self.trained = len(set(y.tolist())) == 2
         self.langs = sorted({s[2] for s in sample if s[2] is not None})
         self.words = np.zeros((BUCKETS, max(1, len(self.langs))), dtype=np.float32)
         if not self.trained:
             return
-        for h, _, lang, _ in sample:
+        for h, _, lang in sample:
             if lang is not None:
                 np.add.at(self.words[:, self.langs.index(lang)], h[0], 1)
         self.words = np.log((self.words + 0.1) / (self.words.sum(axis=0) + 0.1 * BUCKETS))
-        fit = [i for i, s in enumerate(sample) if not s[3]]
-        held = [i for i, s in enumerate(sample) if s[3]] or fit
         self.net = Net()
-        self.net.fit([sample[i][0] for i in fit], y[fit])
-        cuts = np.concatenate(([0], np.cumsum([sample[i][0].shape[1] for i in held])))
-        b = np.concatenate([sample[i][0] for i in held], axis=1)
-        z, lang = self.net.logits(b, cuts), self.guess(b, cuts)
-        every = threshold(z, y[held])
-        self.cut = np.full(max(1, len(self.langs)), every, dtype=np.float32)
-        for k in range(len(self.langs)):
-            own = lang == k
-            if (y[held][own] == 1).sum() >= 20 and (y[held][own] == 0).sum() >= 20:
-                self.cut[k] = threshold(z[own], y[held][own])
+        self.net.fit([s[0] for s in sample], y)
+        cuts = np.concatenate(([0], np.cumsum([s[0].shape[1] for s in sample])))
+        b = np.concatenate([s[0] for s in sample], axis=1)
+        # holds until calibrated, and where the fold has not both labels
+        self.calibrate(Counter(zip(self.guess(b, cuts).tolist(), step_of(self.net.logits(b, cuts)).tolist(),
+                                   y.astype(int).tolist())))
+
+    def calibrate(self, counts: dict[tuple[int, int, int], int]) -> None:
+        """Thresholds from the rows by (language, step, label), if there are rows of both labels."""
+        if len({label for _, _, label in counts}) < 2:
+            return
+        by: dict[int, dict[int, list[int]]] = {}
+        for (lang, step, label), n in counts.items():
+            for k in (-1, lang):                           # -1: all languages together
+                by.setdefault(k, {}).setdefault(step, [0, 0])[label] += n
+        self.cut = np.full(max(1, len(self.langs)), threshold(by[-1]), dtype=np.float32)
+        for k, own in by.items():
+            if k >= 0 and min(sum(n[label] for n in own.values()) for label in (0, 1)) >= ENOUGH:
+                self.cut[k] = threshold(own)
 
     def guess(self, b: np.ndarray, cuts: np.ndarray) -> np.ndarray:
         """Index of the likeliest language of each text, from its words alone."""
@@ -208,17 +227,19 @@ class Model:
 
 
 def train(documents: DataFrame, labels: DataFrame, per_label: int = SAMPLE, most_words: int = SAMPLE_WORDS) -> Model:
-    """Model from labelled rows whose crc32 of the id modulo 5 is not 0."""
+    """Model from labelled rows: fitted to a sample of those whose crc32 of the id modulo 5 is
+    2, 3 or 4, calibrated on all of those where it is 1."""
     rest = F.crc32(F.col("doc_id").cast("string")) % 5
     ids = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(rest != 0)
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     by = (F.xxhash64("doc_id"), "doc_id")
     # twice the bound of ids: some texts are too long or missing
-    few = ids.where("toxic = 1").orderBy(*by).limit(2 * per_label).union(
-        ids.where("toxic = 0").orderBy(*by).limit(2 * per_label)).dropDuplicates(["doc_id"])
+    fit = ids.where(rest > 1)
+    few = fit.where("toxic = 1").orderBy(*by).limit(2 * per_label).union(
+        fit.where("toxic = 0").orderBy(*by).limit(2 * per_label)).dropDuplicates(["doc_id"])
     rows = (documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
             .join(F.broadcast(few), "doc_id")                 # bounded by per_label
-            .select("doc_id", "toxic", "lang", "text", (rest == 1).alias("held")))
+            .select("doc_id", "toxic", "lang", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -231,15 +252,42 @@ def train(documents: DataFrame, labels: DataFrame, per_label: int = SAMPLE, most
                         out.append(ids[:, cuts[i]:cuts[i + 1]].astype(np.int32).tobytes())
                         keep.append(first + i)
             b = b.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "toxic", "lang", "held")),
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "toxic", "lang")),
                                               pa.array(out, pa.binary())],
-                                             names=["doc_id", "toxic", "lang", "held", "words"])
+                                             names=["doc_id", "toxic", "lang", "words"])
 
-    hashed = rows.mapInArrow(T.bounded(run), "doc_id long, toxic int, lang string, held boolean, words binary")
+    hashed = rows.mapInArrow(T.bounded(run), "doc_id long, toxic int, lang string, words binary")
     got = []
     for label in (0, 1):
         got += hashed.where(F.col("toxic") == label).orderBy(*by, "words").limit(per_label).collect()
-    return Model([(np.frombuffer(r["words"], dtype=np.int32).reshape(2, -1), r["toxic"], r["lang"], r["held"]) for r in got])
+    model = Model([(np.frombuffer(r["words"], dtype=np.int32).reshape(2, -1), r["toxic"], r["lang"]) for r in got])
+    if model.trained:
+        model.calibrate(fold_counts(documents, ids.where(rest == 1).distinct(), model))
+    return model
+
+
+def fold_counts(documents: DataFrame, labelled: DataFrame, model: Model) -> dict[tuple[int, int, int], int]:
+    """Rows by (guessed language, step of the logit, label) of all ``labelled`` (doc_id, toxic);
+    at most 2 * (2 * STEPS * FARTHEST + 1) for each language of the sample."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, steps = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+            for _, held in T.chunks(batch.column("text").to_pylist(), CHUNK):
+                b, cuts = word_ids(held)
+                langs.append(shared.value.guess(b, cuts))
+                steps.append(step_of(shared.value.net.logits(b, cuts)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(langs)),
+                                              pa.array(np.concatenate(steps))], names=["doc_id", "guessed", "step"])
+
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 == 1)
+    # texts stay where they are: only places in the count are joined with the labels
+    scored = rows_in_set(docs, "doc_id", hashed_set(labelled, "doc_id"), True).mapInArrow(
+        T.bounded(run), "doc_id long, guessed long, step long")
+    found = scored.join(labelled, "doc_id").groupBy("guessed", "step", "toxic").count().collect()
+    return {(r["guessed"], r["step"], r["toxic"]): r["count"] for r in found}
 
 
 def classify(documents: DataFrame, model: Model) -> DataFrame:

@@ -355,3 +355,27 @@ def test_language_words_kept_are_the_most_frequent(spark):
     whole = langid.Model(sorted([("en", w, n) for n, w in want] + [("es", "dos", 2), ("es", "uno", 1)]))
     docs = spark.createDataFrame([(i, w) for i, w in enumerate(words)] + [(999, "dos aa")], "doc_id long, text string")
     assert langid.predict(docs, model).orderBy("doc_id").collect() == langid.predict(docs, whole).orderBy("doc_id").collect()
+
+
+def test_toxicity_thresholds_cover_all_labelled_rows(spark):
+    """Far more labelled rows than the sample holds, few of them toxic, two languages."""
+    rng = np.random.default_rng(8)
+    docs, labels = [], []
+    for i in range(6000):
+        lang = "ab"[i % 4 == 0]
+        w = [f"{lang}{x}" for x in rng.integers(0, 200, 20)]
+        bad = rng.random() < 0.12
+        if rng.random() < (0.7 if bad else 0.06):
+            w[0] = f"{lang}vile"
+        docs.append((i, " ".join(w), lang))
+        labels.append((i, int(bad)))
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = toxicity.train(d, spark.createDataFrame(labels, "doc_id long, toxic int"), per_label=100)
+    fold = [i for i in range(6000) if zlib.crc32(str(i).encode()) % 5 == 1]
+    b, cuts = toxicity.word_ids([docs[i][1] for i in fold])
+    z, guess = model.net.logits(b, cuts), model.guess(b, cuts)
+    y = np.array([labels[i][1] for i in fold])
+    for k in range(2):
+        zk, yk = z[guess == k], y[guess == k]
+        f1 = lambda c: 2 * yk[zk >= c].sum() / ((zk >= c).sum() + yk.sum())  # noqa: E731, B023
+        assert f1(model.cut[k]) >= max(map(f1, zk)) - 0.02
