@@ -6,10 +6,14 @@ mean of their log frequencies, times a discount per step down.  A text's score p
 language is the sum over its words; the answer is the best one, its confidence the
 posterior over the mean word, spread with the number of words up to ``SPREAD``.
 
-Word counts cover every training row: tasks count their own words, Spark adds them up
-(partial sums, so a language with a third of all rows is no burden) and keeps the
-``WORDS`` most frequent words of each language, which bounds the model whatever the corpus.
-The n-gram counts follow from those words.
+Counts cover every word of every training row: tasks count their own words, Spark adds them
+up (partial sums, so a language with a third of all rows is no burden), counts the n-grams of
+all words with their multiplicity, and totals both per language.  Only the table of whole
+words is bounded: it holds the ``WORDS`` most frequent of each language (fewer where there
+are so many languages that this exceeds ``ENTRIES``); all others go by their n-grams.  The
+n-gram tables hold every n-gram met.  Languages are totalled in Spark before anything is
+collected; ``LANGUAGES``, more than there are language codes, only stops a column that does
+not hold languages.  Counts are held sparsely, as (language, count) of each word or n-gram.
 
 Words are runs of letters, lower-cased.  Edge cases: a null text or one without letters is
 ``und`` with score 0; a model without languages answers ``und``; rows with a null language
@@ -25,18 +29,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm import textkit as T
+from gridloom.llm.io import cut
 
-WORDS = 20_000                # most frequent words kept per language
+WORDS = 20_000                # most frequent words of a language that are looked up whole
+ENTRIES = 4_000_000           # the same, of all languages together
 SHARES = 64                   # parts in which a language's words are ranked first
-LANGUAGES = 200               # most frequent languages kept
+LANGUAGES = 8_000             # ISO 639-3 has fewer codes
 LONGEST = 4                   # character n-grams of this many letters, and shorter
 DISCOUNT = 0.85               # per step from words down to single letters
 SPREAD = 20                   # words whose evidence a confidence adds up
 CACHE = 150_000               # unseen words kept per process
+CACHE_ENTRIES = 4_000_000     # and their entries
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -69,56 +77,172 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
+def _grams(word: str, m: int) -> list[str]:
+    padded = f"^{word}$"
+    return [padded[j:j + m] for j in range(len(padded) - m + 1)]
+
+
+def _count_grams(longest: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+
+        def out():
+            pairs, n = list(held.keys()), list(held.values())
+            for i in range(0, len(pairs), 20_000):
+                lang, gram = zip(*pairs[i:i + 20_000])
+                yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(gram, pa.string()),
+                                                  pa.array(n[i:i + 20_000], pa.int64())], names=["lang", "gram", "n"])
+
+        for batch in T.slices(batches):
+            for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n"))):
+                for m in range(1, longest + 1):
+                    for g in _grams(word, m):
+                        held[lang, g] += n
+                if len(held) > 250_000:       # bounds a task's memory; counts are added up later
+                    yield from out()
+                    held.clear()
+        yield from out()
+    return run
+
+
+def _places(starts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all entries of these rows, and for each the index into ``rows``."""
+    n = starts[rows + 1] - starts[rows]
+    which = np.repeat(np.arange(len(rows)), n)
+    return np.arange(len(which)) + np.repeat(starts[rows] - np.cumsum(n) + n, n), which
+
+
+class Table:
+    """Log frequencies, held as what an entry adds to the value of a missing one."""
+
+    def __init__(self, grams: pa.Array, langs: np.ndarray, counts: np.ndarray, totals: np.ndarray, size: int | None = None):
+        """Each (gram, language) once; ``totals`` by language and ``size``, the number of
+        distinct grams, of all there are, held here or not."""
+        order = np.lexsort((langs, codes := np.asarray((every := grams.dictionary_encode()).indices)))
+        rows = len(every.dictionary)
+        self.index = {g: i for i, g in enumerate(every.dictionary.to_pylist())}
+        self.starts = np.searchsorted(codes[order], np.arange(rows + 1)).astype(np.int64)
+        self.langs = langs[order].astype(np.int32)
+        self.more = np.log(2.0 * counts[order] + 1).astype(np.float32)      # log of (n + 0.5) / 0.5
+        self.missing = np.log(0.5 / (totals + 0.5 * (rows if size is None else size) + 1))
+
+    def __getitem__(self, row: int) -> np.ndarray:
+        out = self.missing.copy()
+        at = slice(self.starts[row], self.starts[row + 1])
+        out[self.langs[at]] += self.more[at]
+        return out
+
+
 class Model:
     """Log frequencies of words and n-grams by language."""
 
     def __init__(self, rows: list[tuple[str, str, int]], longest: int = LONGEST, discount: float = DISCOUNT):
-        self.langs = sorted({r[0] for r in rows})
-        self.discount = discount
-        at = {x: i for i, x in enumerate(self.langs)}
-        k = len(self.langs)
-        tables: list[dict[str, np.ndarray]] = [{} for _ in range(longest + 1)]     # 0: whole words
+        held: Counter = Counter()
+        grams: Counter = Counter()
         for lang, word, n in rows:
-            i = at[lang]
-            tables[0].setdefault(word, np.zeros(k))[i] += n
-            padded = f"^{word}$"
+            held[lang, word] += n
             for m in range(1, longest + 1):
-                table = tables[m]
-                for j in range(len(padded) - m + 1):
-                    g = padded[j:j + m]
-                    if g not in table:
-                        table[g] = np.zeros(k)
-                    table[g][i] += n
-        self.tables: list[tuple[dict[str, int], np.ndarray]] = []
-        for table in tables:
-            counts = np.array(list(table.values())).reshape(len(table), k)
-            totals = counts.sum(axis=0) + 0.5 * len(table) + 1
-            self.tables.append(({g: j for j, g in enumerate(table)},
-                                np.log((counts + 0.5) / totals).astype(np.float32)))
-
-    def unseen(self, word: str) -> np.ndarray:
-        padded = f"^{word}$"
-        for down, m in enumerate(range(len(self.tables) - 1, 0, -1), start=1):
-            index, logs = self.tables[m]
-            got = [index[g] for g in {padded[j:j + m] for j in range(len(padded) - m + 1)} if g in index]
-            if got:
-                return logs[got].mean(axis=0) * self.discount ** down
-        return np.zeros(len(self.langs), dtype=np.float32)
+                for g in _grams(word, m):
+                    grams[lang, g] += n
+        total = Counter()
+        for (lang, _), n in held.items():
+            total[lang] += n
+        as_table = lambda c: pa.table({"lang": pa.array([x for x, _ in c], pa.string()),
+                                       "gram": pa.array([g for _, g in c], pa.string()),
+                                       "n": pa.array(list(c.values()), pa.int64())})
+        self._fill(as_table(held), as_table(grams), total, None, longest, discount)
+
+    @classmethod
+    def counted(cls, held: pa.Table, grams: pa.Table, total: dict[str, int], size: int,
+                longest: int = LONGEST, discount: float = DISCOUNT) -> Model:
+        """From words to look up and all n-grams (lang, gram, n), with the words of each
+        language and the distinct words counted over all of them."""
+        out = cls.__new__(cls)
+        out._fill(held, grams, total, size, longest, discount)
+        return out
+
+    def _fill(self, held: pa.Table, grams: pa.Table, total: dict[str, int], size: int | None, longest: int,
+              discount: float) -> None:
+        self.langs, self.discount = sorted(total), discount
+        k = len(self.langs)
+        names = pa.array(self.langs, pa.string())
+
+        def table(t: pa.Table, totals: np.ndarray | None, size: int | None) -> Table:
+            langs = pc.index_in(t["lang"], names).to_numpy().astype(np.int64)
+            n = t["n"].to_numpy().astype(np.float64)
+            totals = np.bincount(langs, n, k) if totals is None else totals
+            return Table(t["gram"].combine_chunks(), langs, n, totals, size)
+
+        every = [table(held, np.array([total[x] for x in self.langs], dtype=np.float64), size)]
+        length = pc.utf8_length(grams["gram"])
+        every += [table(grams.filter(pc.equal(length, m)), None, None) for m in range(1, longest + 1)]
+        self.tables: list[tuple[dict[str, int], Table]] = [(t.index, t) for t in every]       # 0: whole words
 
 
 class Scorer(dict):
-    """Row of a growing score matrix for each word met."""
+    """Row of each word met in growing sparse tables.
+
+    A word's scores are the base of its level (whole word, n-gram length, or nothing known)
+    and what its entries add to that."""
 
     def __init__(self, model: Model):
-        super().__init__(model.tables[0][0])
         self.model, self.rows = model, model.tables[0][1]
-        self.known, self.new = len(self), []
+        deepest = len(model.tables) - 1
+        self.factor = [model.discount ** (deepest + 1 - m) if m else 1.0 for m in range(deepest + 1)]
+        self.base = np.stack([t.missing * f for (_, t), f in zip(model.tables, self.factor)]
+                             + [np.zeros(len(model.langs))])
+        self.known = len(self.rows.index)
+        super().__init__()
+        self._reset()
+
+    def _reset(self) -> None:
+        self.clear()
+        self.update(self.rows.index)
+        self.level = np.zeros(self.known, dtype=np.int8)
+        self.starts, self.langs, self.more = self.rows.starts, self.rows.langs, self.rows.more
+        self.new: list[str] = []
 
     def __missing__(self, word: str) -> int:
-        self.new.append(self.model.unseen(word))
-        self[word] = at = len(self.rows) + len(self.new) - 1
+        self[word] = at = len(self.level) + len(self.new)
+        self.new.append(word)
         return at
 
+    def _learn(self) -> None:
+        """Rows of the new words, from the longest n-grams of which any is known."""
+        k, tables = len(self.model.langs), self.model.tables
+        level = np.full(len(self.new), len(tables), dtype=np.int8)
+        rows: list[list[int]] = [[] for _ in tables]
+        words_: list[list[int]] = [[] for _ in tables]
+        share = np.ones(len(self.new))
+        for i, word in enumerate(self.new):
+            for m in range(len(tables) - 1, 0, -1):
+                index = tables[m][0]
+                got = [index[g] for g in dict.fromkeys(_grams(word, m)) if g in index]
+                if got:
+                    level[i] = m
+                    rows[m] += got
+                    words_[m] += [i] * len(got)
+                    share[i] = self.factor[m] / len(got)
+                    break
+        keys, sums = [np.empty(0, dtype=np.int64)], [np.empty(0)]
+        for m in range(1, len(tables)):
+            if rows[m]:
+                t = tables[m][1]
+                at, which = _places(t.starts, np.array(rows[m]))
+                key, back = np.unique(np.array(words_[m])[which] * k + t.langs[at], return_inverse=True)
+                keys.append(key)
+                sums.append(np.bincount(back, t.more[at], len(key)))
+        key, more = np.concatenate(keys), np.concatenate(sums)
+        order = np.argsort(key)
+        key, more = key[order], more[order]
+        word = key // max(1, k)
+        self.langs = np.concatenate((self.langs, (key % max(1, k)).astype(np.int32)))
+        self.more = np.concatenate((self.more, (more * share[word]).astype(np.float32)))
+        ends = np.searchsorted(word, np.arange(len(self.new)), side="right") + self.starts[-1]
+        self.starts = np.concatenate((self.starts, ends))
+        self.level = np.concatenate((self.level, level))
+        self.new = []
+
     def score(self, texts: list[str | None]) -> list[tuple[str, float]]:
         ids, ends = [], []
         for t in texts:
@@ -126,53 +250,68 @@ class Scorer(dict):
                 ids.extend(map(self.__getitem__, words(t)))
             ends.append(len(ids))
         if self.new:
-            self.rows = np.concatenate((self.rows, np.stack(self.new)))
-            self.new = []
-        out = []
+            self._learn()
         k = len(self.model.langs)
-        begin = 0
+        if not k:
+            return [(UNKNOWN, 0.0)] * len(texts)
         flat = np.array(ids, dtype=np.int64)
-        for end in ends:
-            n = end - begin
-            if not n or not k:
+        n = np.diff(np.array([0, *ends]))
+        text = np.repeat(np.arange(len(texts)), n)
+        deep = len(self.base)
+        levels = np.bincount(text * deep + self.level[flat], minlength=len(texts) * deep).reshape(-1, deep)
+        at, which = _places(self.starts, flat)
+        sums = np.bincount(text[which] * k + self.langs[at], self.more[at], len(texts) * k).reshape(-1, k)
+        sums = sums + levels @ self.base
+        out = []
+        for total, count in zip(sums, n.tolist()):
+            if not count:
                 out.append((UNKNOWN, 0.0))
-            else:
-                mean = self.rows[flat[begin:end]].sum(axis=0, dtype=np.float64) / n
-                p = np.exp((mean - mean.max()) * min(n, SPREAD))
-                best = int(np.argmax(p))
-                out.append((self.model.langs[best], float(p[best] / p.sum())))
-            begin = end
-        if len(self) > self.known + CACHE:
-            self.clear()
-            self.update(self.model.tables[0][0])
-            self.rows = self.rows[:self.known]
+                continue
+            mean = total / count
+            p = np.exp((mean - mean.max()) * min(count, SPREAD))
+            best = int(np.argmax(p))
+            out.append((self.model.langs[best], float(p[best] / p.sum())))
+        if len(self) > self.known + CACHE or len(self.more) > len(self.rows.more) + CACHE_ENTRIES:
+            self._reset()
         return out
 
 
-def train(rows: DataFrame, words_kept: int = WORDS) -> Model:
-    """Model of the (text, lang) rows; null languages or texts do not count."""
-    usable = rows.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "text")
-    counts = (T.map_batches(usable, ["lang", "text"], "lang string, word string, n long", _count)
-              .groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    # a language's words are ranked in shares by hash first: one of its best is among the best
-    # of its share, so no task ranks more than SHARES * words_kept words of a language
-    order = [F.desc("n"), "word"]
+def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows of each language's ``most`` most frequent words.  They are ranked in shares by
+    hash first: one of the best is among the best of its share, so no task ranks more than
+    SHARES * most words of a language."""
     share = F.pmod(F.xxhash64("word"), F.lit(SHARES))
-    kept = counts
     for by in (["lang", share], ["lang"]):
-        place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-        kept = kept.withColumn("place", place).where(F.col("place") <= words_kept).drop("place")
-    found = kept.select("lang", "word", "n").collect()        # at most words_kept rows a language
-    total = Counter()
-    for r in found:
-        total[r.lang] += r.n
-    langs = {x for x, _ in sorted(total.items(), key=lambda y: (-y[1], y[0]))[:LANGUAGES]}
-    return Model(sorted((r.lang, r.word, r.n) for r in found if r.lang in langs))
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "word"))
+        counts = counts.withColumn("place", place).where(F.col("place") <= most).drop("place")
+    return counts
+
+
+def train(rows: DataFrame, words_kept: int | None = None, looked_up: int = WORDS, languages: int = LANGUAGES) -> Model:
+    """Model of the (text, lang) rows; null languages or texts do not count.  ``words_kept``:
+    learn from so many words of each language alone; all words where it is not given."""
+    usable = rows.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "text")
+    counts = cut(T.map_batches(usable, ["lang", "text"], "lang string, word string, n long", _count)
+                 .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    if words_kept is not None:
+        counts = _most_frequent(counts, words_kept)
+    found = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
+    total = {r["lang"]: r["n"] for r in found}
+    if counts.select("lang").distinct().count() > len(total):
+        names = rows.sparkSession.createDataFrame([(x,) for x in total], "lang string")
+        counts = counts.join(F.broadcast(names), "lang", "left_semi")      # at most ``languages``
+    size = counts.select("word").distinct().count()
+    held = _most_frequent(counts, max(1, min(looked_up, ENTRIES // max(1, len(total))))).select("word").distinct()
+    held = counts.join(held, "word", "left_semi").select("lang", F.col("word").alias("gram"), "n").toArrow()
+    grams = (T.map_batches(counts, ["lang", "word", "n"], "lang string, gram string, n long", _count_grams(LONGEST))
+             .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
+    order = [("gram", "ascending"), ("lang", "ascending")]     # rows, and so sums, in one order
+    return Model.counted(held.sort_by(order), grams.sort_by(order), total, size)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred and score added (doc_id, text in; doc_id, lang_pred, score out)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: see WORDS, LANGUAGES, LONGEST
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # words: see ENTRIES; n-grams: all of up to LONGEST letters
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)

@@ -379,3 +379,24 @@ def test_toxicity_thresholds_cover_all_labelled_rows(spark):
         zk, yk = z[guess == k], y[guess == k]
         f1 = lambda c: 2 * yk[zk >= c].sum() / ((zk >= c).sum() + yk.sum())  # noqa: E731, B023
         assert f1(model.cut[k]) >= max(map(f1, zk)) - 0.02
+
+
+def test_language_counts_cover_all_words(spark):
+    """The n-grams of words beyond those looked up count, and no language is left out."""
+    rng = np.random.default_rng(3)
+    word = lambda letters: "".join(rng.choice(list(letters), size=5))
+    rows = [("the the the", "en"), ("los los los", "es")]
+    rows += [(word("abcdef"), "en") for _ in range(300)] + [(word("qwxyzk"), "es") for _ in range(300)]
+    rows += [(f"l{chr(97 + i // 26)}{chr(97 + i % 26)}" * 2, f"x{i}") for i in range(230)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    model = langid.train(df, looked_up=1)
+    want = langid.Model([(lang, w, 1) for text, lang in rows for w in text.split()])
+    assert model.langs == want.langs and len(model.langs) == 232
+    for (index, t), (whole, u) in zip(model.tables, want.tables):
+        assert np.allclose(t.missing, u.missing)
+        assert set(index) <= set(whole) and all(np.allclose(t[index[g]], u[whole[g]]) for g in index)
+    assert [set(x) for x, _ in model.tables[1:]] == [set(x) for x, _ in want.tables[1:]]
+    assert len(model.tables[0][0]) < len(want.tables[0][0])
+    fresh = [(i, word(("abcdef", "qwxyzk")[i % 2])) for i in range(60)]
+    got = langid.predict(spark.createDataFrame(fresh, "doc_id long, text string"), model).collect()
+    assert sum(r.lang_pred == ("en", "es")[r.doc_id % 2] for r in got) >= 58
