@@ -106,7 +106,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for doc_id, s in _shingled(batches):
         a, b = class_key(s)
-        first = len(s) and (a, b) not in seen
+        # rows without id are in no class: their signature would be lost with them
+        first = doc_id is not None and len(s) and (a, b) not in seen
         rows.append((doc_id, len(s), a, b, signature(s) if first else b""))
         if first:
             seen.add((a, b))

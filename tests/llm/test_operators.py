@@ -400,3 +400,12 @@ def test_language_counts_cover_all_words(spark):
     fresh = [(i, word(("abcdef", "qwxyzk")[i % 2])) for i in range(60)]
     got = langid.predict(spark.createDataFrame(fresh, "doc_id long, text string"), model).collect()
     assert sum(r.lang_pred == ("en", "es")[r.doc_id % 2] for r in got) >= 58
+
+
+def test_jaccard_row_without_id_before_its_copy(spark):
+    base = [f"n{i}" for i in range(60)]
+    near = " ".join(base[:30] + ["changed"] + base[31:])
+    rows = [(None, " ".join(base)), (2, " ".join(base)), (1, near)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(df).collect()}
+    assert got == {None: None, **{i: c for i, (_, c) in components(rows).items()}} == {None: None, 1: 1, 2: 1}
