@@ -11,7 +11,10 @@ so the others get no fingerprint; the rolling sums behind the fingerprints make
 cost the same whatever its size.
 
 The benchmark is small beside the corpus; still its size is counted first, and beyond
-``ITEM_WORDS`` words it is taken in blocks of that size, one pass each.
+``ITEM_WORDS`` words it is taken in blocks of that size, one pass each.  Weights always come
+from the whole benchmark: Spark counts the items of each shingle, and every block gets the
+counts of those held by two items or more, 16 bytes each; a shingle of one item, of this
+block or another, weighs as much as one of none.  So the blocks do not change the result.
 
 Edge cases: null, empty and blank documents and items match nothing; a text of fewer than
 five words is one shingle; repeated rows are answered as often as they come; of equally
@@ -36,19 +39,41 @@ RADIUS, BLOCKS = 20, 8
 ITEM_WORDS = 2_000_000        # words of items that a task holds at once
 
 
+class Weights:
+    """Weight of a shingle: ln(1 + items / items that hold it)."""
+
+    def __init__(self, items: int, several: np.ndarray, held: np.ndarray):
+        """``several``: shingles that two items or more hold, sorted, and how many hold each."""
+        n = max(1, items)
+        self.several = several
+        kinds, at = np.unique(held, return_inverse=True)
+        self.weight = np.array([math.log(1 + n / k) for k in kinds.tolist()], dtype=np.float64)[at]
+        self.other = math.log(1 + n)           # held by one, or by none
+
+    def __call__(self, s: np.ndarray) -> np.ndarray:
+        out = np.full(len(s), self.other)
+        if len(self.several):
+            at = np.minimum(np.searchsorted(self.several, s), len(self.several) - 1)
+            same = self.several[at] == s
+            out[same] = self.weight[at[same]]
+        return out
+
+
 class Items:
     """Benchmark items by size, with the index of their fingerprints."""
 
-    def __init__(self, rows: list[tuple[int, str]], radius: int = RADIUS, weights: dict | None = None):
+    def __init__(self, rows: list[tuple[int, str]], radius: int = RADIUS, weights: Weights | None = None):
         self.radius = radius
         self.ids, self.bags, sizes = [], [], []
         words = [T.word_hashes(T.utf8([text or ""])[0])[0] for _, text in rows]
-        df: Counter = Counter()
-        for w in words:
-            df.update(set(T.shingles(w).tolist()))
-        n = max(1, len(rows))
-        self.weight = {s: math.log(1 + n / k) for s, k in df.items()} if weights is None else weights
-        self.other = math.log(1 + n)
+        if weights is None:
+            df: Counter = Counter()
+            for w in words:
+                df.update(set(T.shingles(w).tolist()))
+            several = sorted(s for s, k in df.items() if k > 1)
+            weights = Weights(len(rows), np.array(several, dtype=np.uint64),
+                              np.array([df[s] for s in several], dtype=np.int64))
+        self.weights = weights
         prints = []
         for (item_id, _), w in zip(rows, words):
             if not len(w):
@@ -57,7 +82,7 @@ class Items:
             self.ids.append(item_id)
             self.bags.append(Counter(s.tolist()))
             sizes.append(len(w))
-            prints.append(_fingerprints(s, self._weights(s), np.array([0]), np.array([len(s)]))[0])
+            prints.append(_fingerprints(s, weights(s), np.array([0]), np.array([len(s)]))[0])
         self.sizes = np.array(sizes, dtype=np.int64)
         self.prints = np.array(prints, dtype=np.uint64)
         self.by_size: dict[int, dict] = {}
@@ -71,15 +96,12 @@ class Items:
         self.sieve = np.zeros(1 << 22, dtype=bool)
         self.sieve[(self.shingles & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
 
-    def _weights(self, s: np.ndarray) -> np.ndarray:
-        return np.fromiter((self.weight.get(x, self.other) for x in s.tolist()), dtype=np.float64, count=len(s))
-
     def similarity(self, item: int, window: np.ndarray) -> float:
         """Weighted Jaccard similarity of an item and a window's shingles, with multiplicity."""
         a, b = self.bags[item], Counter(window.tolist())
-        w = lambda s: self.weight.get(s, self.other)
-        both = sum(min(k, b[s]) * w(s) for s, k in a.items() if s in b)
-        every = sum(k * w(s) for s, k in a.items()) + sum(k * w(s) for s, k in b.items()) - both
+        wa, wb = (self.weights(np.fromiter(x, dtype=np.uint64, count=len(x))).tolist() for x in (a, b))
+        both = sum(min(k, b[s]) * w for (s, k), w in zip(a.items(), wa) if s in b)
+        every = sum(k * w for k, w in zip(a.values(), wa)) + sum(k * w for k, w in zip(b.values(), wb)) - both
         return both / every if every else 0.0
 
 
@@ -89,6 +111,7 @@ _SHIFT = np.arange(64, dtype=np.uint64)
 def _fingerprints(s: np.ndarray, weight: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """SimHash of the shingles begin:end for each pair, from running sums."""
     signs = ((s[:, None] >> _SHIFT) & np.uint64(1)).astype(np.float64) * 2 - 1
+    weight = np.round(weight * (1 << 20)) / (1 << 20)         # sums are exact wherever they start
     run = np.concatenate((np.zeros((1, 64)), np.cumsum(signs * weight[:, None], axis=0)))
     bits = (run[end] - run[begin]) > 0
     return (bits.astype(np.uint64) << _SHIFT).sum(axis=1, dtype=np.uint64)
@@ -136,7 +159,7 @@ def matches(items: Items, words: np.ndarray, least: float = LEAST) -> list[tuple
         for piece in np.split(begin, np.flatnonzero(np.diff(begin) > wide) + 1):
             a, b = int(piece[0]), int(piece[-1]) + wide
             part = s[a:b]
-            prints = _fingerprints(part, items._weights(part), piece - a, piece - a + wide)
+            prints = _fingerprints(part, items.weights(part), piece - a, piece - a + wide)
             for at, fp in zip(piece.tolist(), prints):
                 cand: set[int] = set()
                 for j in range(BLOCKS):
@@ -162,13 +185,29 @@ def _runs(words: np.ndarray, k: int) -> np.ndarray:
 
 
 def item_blocks(benchmark: DataFrame, most_words: int = ITEM_WORDS) -> Iterator[Items]:
-    """The benchmark in blocks of bounded size; weights come from all of it where it is one."""
+    """The benchmark in blocks of bounded size; weights come from all of it."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // (2 * most_words)))          # a word has two characters or more, with its space
+    weights = benchmark_weights(rows)
     for k in range(blocks):
         part = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        yield Items([(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()])
+        yield Items([(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()], weights=weights)
+
+
+def benchmark_weights(rows: DataFrame) -> Weights:
+    """Weights from all ``rows`` (text): the driver gets the shingles of two items or more."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in T.slices(batches):
+            for text in b.column("text").to_pylist():
+                s = T.distinct(T.shingles(T.word_hashes(T.utf8([text or ""])[0])[0]))
+                yield pa.RecordBatch.from_arrays([pa.array(T.as_signed(s))], names=["s"])
+
+    several = (T.map_batches(rows, ["text"], "s long", run).groupBy("s").agg(F.count("s").alias("k"))
+               .where("k > 1").toArrow())
+    s, k = T.as_unsigned(several["s"].to_numpy()), several["k"].to_numpy()
+    order = np.argsort(s)
+    return Weights(rows.count(), s[order], k[order])
 
 
 def _held(items: Items, texts: list[str | None], least: float):
@@ -182,11 +221,11 @@ def _held(items: Items, texts: list[str | None], least: float):
                 yield first + i, got
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
+def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = LEAST, most_words: int = ITEM_WORDS) -> DataFrame:
     """One row per document row and item it holds: doc_id, item_id, similarity, first_word, n_words."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = None
-    for items in item_blocks(benchmark):
+    for items in item_blocks(benchmark, most_words):
         shared = docs.sparkSession.sparkContext.broadcast(items)       # bounded, see item_blocks
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -409,3 +409,24 @@ def test_jaccard_row_without_id_before_its_copy(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(df).collect()}
     assert got == {None: None, **{i: c for i, (_, c) in components(rows).items()}} == {None: None, 1: 1, 2: 1}
+
+
+def test_decontamination_blocks_change_nothing(spark):
+    """Passages that many items share weigh less, whichever block holds those items."""
+    rng = np.random.default_rng(2)
+    shared = [[f"s{k}x{i}" for i in range(25)] for k in range(4)]
+    items = [(i, " ".join(shared[i % 4] + [f"i{i}w{j}" for j in range(30)])) for i in range(40)]
+    docs = []
+    for i, text in items:
+        for cut in (0, 3, 6, 9, 12, 15):
+            w = text.split()
+            for at in rng.choice(25, size=cut // 3, replace=False):
+                w[at] = f"d{at}"
+            docs.append((len(docs), " ".join(["before", *w[:len(w) - cut // 3], *w[:3], "after"])))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    size = sum(len(t) for _, t in items)
+    assert len(list(decontaminate.item_blocks(b, -(-size // 6)))) == 3
+    one, three = (sorted(map(tuple, decontaminate.contaminated(d, b, most_words=m).collect()))
+                  for m in (decontaminate.ITEM_WORDS, -(-size // 6)))
+    assert one == three and 0 < len(one) < 10 * len(docs)
