@@ -1,13 +1,16 @@
 """Secret scan: fixed patterns and a linear-chain conditional random field (operator 6).
 
-Tokens are runs of ``[A-Za-z0-9+/_.=~-]``.  Tokens that are short, or have no digit and are not
-long, are outside by a hard constraint, so a text's chain falls apart, without any change to
-its best path, into the stretches of the other ("open") tokens between them.  An open
-token sees its own shape, the words and signs around it and its file's make-up.  Tags are
-begin, inside and outside; training maximises the likelihood of the chains (forward-backward
-in numpy) on tags that the fixed patterns give to a bounded sample, and decoding is
-Viterbi.  Decoded secrets that no pattern has claimed become further spans, of kind
-``tagged``.
+Tokens are runs of ``[A-Za-z0-9+/_.=~-]``.  Open are, whatever their length, the token after a
+key word (``_NEAR``, with quotes, blanks and a colon or equals sign between them, or only
+some of these) and one that holds a key word, an equals sign and a value; elsewhere those of ``SHORTEST``
+characters with a digit and those of ``LONG``.  All other tokens are outside by a hard
+constraint, so a text's chain falls apart, without any change to its best path, into the
+stretches of open tokens between them.  An open token sees its own shape, the words and
+signs around it and its file's make-up.  Tags are begin, inside and outside; training
+maximises the likelihood of the chains (forward-backward in numpy) on tags that the fixed
+patterns give to a bounded sample, where a value with a digit counts at any length, and
+decoding is Viterbi.  Decoded secrets that no pattern has claimed become further spans, of
+kind ``tagged``.
 
 Pattern spans stay as they are.  Edge cases: null and empty texts have no spans; repeated
 rows are answered as often as they come; an empty table gives no rows; extra columns are
@@ -32,7 +35,7 @@ from gridloom.llm.io import sample_texts
 KINDS = ("assign", "access", "hex")
 ALL_KINDS = (*KINDS, "tagged")
 SAMPLE_ROWS, SAMPLE_CHARS = 3000, 20_000
-SHORTEST, LONG = 12, 20       # an open token has so many characters and a digit, or this many
+SHORTEST, LONG = 12, 20       # away from key words an open token has so many characters and a digit, or this many
 
 _ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 _KEYS = ("password", "passwd", "secret", "token", "api_key", "apikey")
@@ -41,8 +44,11 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_.=~-]{12,}")
 _DIGIT = re.compile(r"[0-9]")
 _NEAR = re.compile(r"(?i)(pass|pwd|secret|token|key|auth|bearer|cred|private|api)", re.A)
+# the next token after a key word, and what is glued to one by an equals sign
+_AFTER = re.compile(r"""(?i:pass|pwd|secret|token|key|auth|bearer|cred|private|api|\bpin\b)[A-Za-z0-9_-]{0,40}"""
+                    r"""(?:["']?[ \t]{0,8}(?:[:=]|=>|:=)[ \t]{0,8}["']?|["']?[ \t]{1,8}["']?)(?=[A-Za-z0-9+/_.~-])""", re.A)
 _CODE = re.compile(r"[={};<>]")
-_WORD = re.compile(r"[A-Za-z0-9+/_.=~-]+")
+_WORD = _TOKEN = re.compile(r"[A-Za-z0-9+/_.=~-]+")
 
 
 def base_spans(text: str, runs: list[tuple[int, int]] | None = None) -> list[tuple[str, int, int]]:
@@ -64,6 +70,31 @@ def base_spans(text: str, runs: list[tuple[int, int]] | None = None) -> list[tup
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def open_runs(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Open tokens: of ``runs``, those of 12 characters or more, and of any length by a key word."""
+    found = {(a, b) for a, b in runs if b - a >= LONG or _DIGIT.search(text, a, b)}
+    at = done = 0
+    while (m := _AFTER.search(text, at)) is not None:
+        a = b = at = m.end()
+        if a < done:                                       # in the token found last
+            continue
+        while a and _TOKEN.match(text, a - 1):             # a token glued to its key is one token
+            a -= 1
+        b = done = _TOKEN.match(text, b).end()
+        found.add((a, b))
+    return sorted(found)
+
+
+def taught_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """What the field learns from: pattern spans, and values of the assign pattern that are
+    shorter but have a digit."""
+    if not any(k in text.lower() for k in _KEYS):
+        return base
+    short = [("assign", *m.span()) for m in _ASSIGN.finditer(text)
+             if len(m.group(1)) < SHORTEST and _DIGIT.search(m.group(1))]
+    return sorted(base + short, key=lambda s: s[1])
+
+
 # ------------------------------------------------------------------ features
 def _names() -> dict[str, int]:
     n = ["bias", "upper", "lower", "digit", "all3", "hexlow", "hexup", "alldigits", "base64", "dot", "slash2", "hyphen2",
@@ -108,7 +139,7 @@ def _features(text: str, a: int, b: int, file: list[str]) -> list[int]:
 
 def chains(text: str, runs: list[tuple[int, int]]) -> list[list[tuple[int, int, list[int]]]]:
     """Stretches of open tokens that follow one another: (start, end, features)."""
-    open_ = [(a, b) for a, b in runs if b - a >= LONG or _DIGIT.search(text, a, b)]
+    open_ = open_runs(text, runs)
     if not open_:
         return []
     file = [name for name, yes in (("file_code", len(_CODE.findall(text)) * 200 > len(text)),
@@ -213,7 +244,7 @@ def learn(texts: list[str]) -> Field:
     data = []
     for text in texts:
         runs = [m.span() for m in _RUN.finditer(text)]
-        base = base_spans(text, runs)
+        base = taught_spans(text, base_spans(text, runs))
         for chain in chains(text, runs):
             for i in range(0, len(chain), 50):
                 part, tags, own = chain[i:i + 50], [], None
@@ -226,15 +257,13 @@ def learn(texts: list[str]) -> Field:
 
 
 def train(documents: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Field:
-    return learn(sample_texts(documents, r"[A-Za-z0-9+/_.=~-]{20}|[0-9][A-Za-z0-9+/_.=~-]{11}|[A-Za-z0-9+/_.=~-]{11}[0-9]",
-                              rows, chars))
+    return learn(sample_texts(documents, r"[A-Za-z0-9+/_.=~-]{20}|[0-9][A-Za-z0-9+/_.=~-]{11}|[A-Za-z0-9+/_.=~-]{11}[0-9]|"
+                              + _AFTER.pattern, rows, chars))
 
 
 def spans(field: Field, text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """(pattern spans, spans that the field adds)."""
     runs = [m.span() for m in _RUN.finditer(text)]
-    if not runs:
-        return [], []
     base = base_spans(text, runs)
     more = []
     for chain in chains(text, runs):

@@ -430,3 +430,18 @@ def test_decontamination_blocks_change_nothing(spark):
     one, three = (sorted(map(tuple, decontaminate.contaminated(d, b, most_words=m).collect()))
                   for m in (decontaminate.ITEM_WORDS, -(-size // 6)))
     assert one == three and 0 < len(one) < 10 * len(docs)
+
+
+def test_short_secrets_by_a_key_word_are_open_and_learned():
+    rng = np.random.default_rng(7)
+    value = lambda n: "".join(rng.choice(list("abcdefghkmnpqrstuvwxyzABCDEFGH23456789"), size=n - 1)) + "7"
+    prose = "the token was here and a key to the house with some secret of old times 12 or 2024 words"
+    texts = [f"{k}{s}{value(int(n))} {prose}\n" for n in rng.integers(8, 30, 40) for k, s in
+             (("password", ": "), ("secret", " = "), ("token", '": "'))] + [prose] * 40
+    field = secrets.learn(texts)
+    for text, want in (("login\npassword: Tr0ub4dor\n", "Tr0ub4dor"), ('{"pwd": "hunter2-xy"}', "hunter2-xy"),
+                       ("api_key = a7Bd93kq\n", "a7Bd93kq"), ("password=Tr0ub4d7\n", "password=Tr0ub4d7")):
+        assert want in [text[a:b] for _, a, b in secrets.spans(field, text)[1]]
+    for text, want in (("pin: 4711", "4711"), ("password: correcthorsebatter", "correcthorsebatter"), ("Bearer abc", "abc")):
+        assert want in [text[a:b] for a, b in secrets.open_runs(text, [])]
+    assert secrets.spans(field, prose) == ([], [])
