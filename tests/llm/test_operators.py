@@ -445,3 +445,12 @@ def test_short_secrets_by_a_key_word_are_open_and_learned():
     for text, want in (("pin: 4711", "4711"), ("password: correcthorsebatter", "correcthorsebatter"), ("Bearer abc", "abc")):
         assert want in [text[a:b] for a, b in secrets.open_runs(text, [])]
     assert secrets.spans(field, prose) == ([], [])
+
+
+def test_language_bound_holds_before_collecting(spark):
+    """Beyond the bound the languages with most words stay; entries are held for them alone."""
+    rows = [(" ".join(["ab"] * (i + 1)), f"l{i:02}") for i in range(30)] + [("cd", "l29")]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"), languages=4)
+    assert model.langs == ["l26", "l27", "l28", "l29"]
+    words_, table = model.tables[0]
+    assert len(table.langs) == len(table.more) == 5 and set(words_) == {"ab", "cd"}   # no dense rows
