@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import decontaminate, langid, ngram_join, packing, pii, secrets, sharding, tool_calls, topk_search, toxicity
+from gridloom.llm import (decontaminate, langid, line_dedup, ngram_join, packing, pii, resampling, secrets, sharding,
+                          source_audit, tool_calls, topk_search, toxicity)
 from gridloom.llm.io import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +115,22 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of nearly equal bytes."""
     return sharding.shard(read(spark, sf_dir, "documents"))
+
+
+@_query("op11_resample", resampling.SQL)
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents drawn towards the benchmark's word distribution, with ranks."""
+    return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@_query("op12_source_audit", source_audit.SQL)
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of a language, and each source's own terms."""
+    return source_audit.audit(read(spark, sf_dir, "documents"))
+
+
+@_query("op13_line_dedup", line_dedup.SQL)
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that three documents or more hold, dropped from all but the largest doc_id."""
+    docs = read(spark, sf_dir, "documents")
+    return line_dedup.digest(docs, line_dedup.keep_bitmaps(docs))
