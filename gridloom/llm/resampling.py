@@ -193,15 +193,15 @@ def radix_ranks(rows: DataFrame, score: str, key: str, digit_bits: int = DIGIT_B
 
     ``rows`` must have fixed partitions and order (a checkpoint).  Only digits in which rows
     differ take a pass: one exchange of the rows each, and one row a (block, digit)."""
-    top = F.lit(2 ** 63 - 1).cast("long")
-    u = F.coalesce(F.col(key).bitwiseXOR(F.lit(-2 ** 63)), F.lit(-1).cast("long"))           # unsigned order, null last
-    n, low, high, most, least = rows.agg(
-        F.count(F.lit(1)), F.min(F.coalesce(F.col(key), top)), F.max(F.coalesce(F.col(key), top)),
+    n, keys, low, high, most, least = rows.agg(
+        F.count(F.lit(1)), F.count(key), F.coalesce(F.min(key), F.lit(0)), F.coalesce(F.max(key), F.lit(0)),
         F.max(score), F.min(score)).first()
     if not n:
         return rows.withColumn("rank", F.lit(None).cast("long"))
     digits = []
-    for column, bits in ((u, (low ^ high).bit_length() if (low < 0) == (high < 0) else 64),
+    unsigned = F.coalesce(F.col(key), F.lit(high)).bitwiseXOR(F.lit(-2 ** 63))
+    for column, bits in ((unsigned, (low ^ high).bit_length() if (low < 0) == (high < 0) else 64),
+                         (F.col(key).isNull().cast("int"), int(keys < n)),
                          (F.lit(most) - F.col(score), (most - least).bit_length())):
         passes = -(-bits // digit_bits)
         width = -(-bits // passes) if passes else 0
