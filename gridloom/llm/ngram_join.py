@@ -236,21 +236,35 @@ def _fold(bits: bytes, width: int) -> np.ndarray:
 
 def _sets(wanted: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, sets, size = [], [], 0
-        for doc_id, s in _shingled(batches, wanted):
-            ids.append(doc_id)
+        keys, sets, size = [], [], 0
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], names=["cls", "set"])
+
+        for _, s in _shingled(batches, wanted):
+            keys.append(class_key(s)[0])
             sets.append(s.tobytes())
             size += len(sets[-1])
             if size >= 8_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())],
-                                                 names=["rep", "set"])
-                ids, sets, size = [], [], 0
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())],
-                                             names=["rep", "set"])
+                yield out()
+                keys, sets, size = [], [], 0
+        if keys:
+            yield out()
     return run
 
 
+def with_class(documents: DataFrame) -> DataFrame:
+    """``documents`` with ``class_id``, the class of each text; null without words."""
+    schema = ", ".join(f"`{n}` {t}" for n, t in documents.dtypes) + ", class_id long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in T.slices(batches):
+            found = [class_key(s)[0] if len(s) else None for _, held in T.chunks(b.column("text").to_pylist())
+                     for s in T.text_shingles(held)]
+            yield b.append_column("class_id", pa.array(found, pa.int64()))
+    return documents.mapInArrow(T.bounded(run), schema)
+
+
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         both = [len(np.intersect1d(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64),
@@ -283,8 +297,8 @@ class _Verifier:
         if need.isEmpty():
             return left.select("a", "b", "na", "nb", F.lit(0).cast("long").alias("both")).limit(0)
         wanted = hashed_set(need, "rep")
-        sets = cut(T.map_batches(self.docs, ["doc_id", "text"], "rep long, set binary", _sets(wanted))
-                   .join(need, "rep").groupBy("cls").agg(F.first("set").alias("set")))
+        sets = cut(T.map_batches(self.docs, ["doc_id", "text"], "cls long, set binary", _sets(wanted))
+                   .join(need.select("cls"), "cls").groupBy("cls").agg(F.first("set").alias("set")))
         side = lambda x: sets.select(F.col("cls").alias(x), F.col("set").alias(f"set_{x}"))
         return cut(left.join(side("a"), "a").join(side("b"), "b")
                    .select("a", "b", "na", "nb", "set_a", "set_b")
@@ -297,7 +311,8 @@ def _in_band(na: str, nb: str, pct: int) -> str:
 
 
 def jaccard_components(documents: DataFrame, pct: int = SIMILARITY, frequent: int = FREQUENT) -> DataFrame:
-    """One row per row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id."""
+    """One row per row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id, class_id (of
+    equal sets) and component_class (which tells components apart where an id has several texts)."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = cut(T.map_batches(docs, ["doc_id", "text"],
                                "doc_id long, n long, cls long, cls2 long, bits binary, hot long, seen long", _sketch))
@@ -388,9 +403,10 @@ def jaccard_components(documents: DataFrame, pct: int = SIMILARITY, frequent: in
     ids = (classes.select("cls", "rep").join(final.withColumnRenamed("node", "cls"), "cls", "left")
            .select("cls", "rep", F.coalesce("label", "cls").alias("label")))
     least = ids.groupBy("label").agg(F.min("rep").alias("component_id"))
-    named = ids.join(least, "label").select("cls", "component_id")
+    named = ids.join(least, "label").select("cls", "component_id", "label")
     own = F.when(F.col("n") == 0, F.col("doc_id"))
     return (rows.select("doc_id", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls"))
             .join(named, "cls", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", own)).alias("component_id")))
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", own)).alias("component_id"),
+                    F.col("cls").alias("class_id"), F.col("label").alias("component_class")))

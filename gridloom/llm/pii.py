@@ -67,7 +67,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
         for i in range(0, len(parts) - 3, 4):
             four = parts[i:i + 4]
             b = a + sum(map(len, four)) + 3
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in four):
+            if all(len(d := p.lstrip("0")) <= 3 and int(d or "0") <= 255 for p in four):
                 ips.append(("ip", a, b))
             a = b + 1
     for m in _DIGITS.finditer(text):

@@ -80,7 +80,7 @@ SELECT n.doc_id, n.n_shingles, min(r.b) AS component_id FROM n JOIN r ON r.a = n
 @_query("op5_ngram_jaccard", OP5_SQL)
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose shingle sets are at least 75 % alike."""
-    return ngram_join.jaccard_components(read(spark, sf_dir, "documents"))
+    return ngram_join.jaccard_components(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 @_query("op6_secrets")

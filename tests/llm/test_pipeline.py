@@ -37,3 +37,25 @@ def test_odd_rows(spark, sf_dir):
     assert sorted(r.doc_id or 0 for r in a.collect()) == [0, 4, 4, 5]
     b = P.near_duplicates(spark, a, sf_dir)
     assert sorted(r.doc_id or 0 for r in b.collect()) == [0, 4]
+
+
+def test_ids_with_several_texts(spark, sf_dir):
+    """Every row by its own class: unlike texts under one id all stay, copies of one go."""
+    word = lambda c, n=12: " ".join(f"{c}{i}" for i in range(n))
+    rows = [(1, None), (1, word("a")), (1, word("b")), (1, word("b")), (2, word("b")), (2, word("c")), (3, word("c")), (4, ""), (4, ""), (5, word("d"))]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in order], "doc_id long, text string, lang string, source string, n_chars long")
+        got = sorted(((r.doc_id, r.text or "") for r in P.near_duplicates(spark, docs, sf_dir).collect()))
+        assert got == sorted([(1, ""), (1, word("a")), (1, word("b")), (2, word("c")), (4, ""), (4, ""), (5, word("d"))])
+
+
+def test_later_stages_take_odd_rows(spark, sf_dir):
+    rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "the and", "en", "s", 7), (3, "x " * 9000, "en", "s", 18000),
+            (3, "x " * 9000, "en", "s", 18000)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for part in (rows, []):
+        docs = spark.createDataFrame(part, schema)
+        for stage in (P.benchmark_free, P.without_secrets):
+            assert sorted(map(str, stage(spark, docs, sf_dir).collect())) == sorted(map(str, docs.collect()))
+        pieces = P.packed(spark, docs, sf_dir).collect()
+        assert sum(r.piece == 0 for r in pieces) == len(part)

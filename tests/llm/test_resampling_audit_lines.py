@@ -198,3 +198,22 @@ def test_line_dedup_two_or_three(spark):
         assert sum(got.values()) == gone and got[n - 1] == 0
     none = table(spark, [])
     assert line_dedup.digest(none, line_dedup.keep_bitmaps(none)).collect() == []
+
+
+# ---------------------------------------------------------------- earlier operators
+def test_pii_takes_numbers_of_any_length():
+    from gridloom.llm import pii
+    zeros = "0" * 5000
+    assert ("ip", 0, 5007) in pii.base_spans(zeros + "1.2.3.4")
+    assert [s for s in pii.base_spans("9" * 5000 + ".2.3.4") if s[0] == "ip"] == []
+
+
+def test_jaccard_of_an_id_with_two_texts(spark):
+    """Links do not depend on the order of rows where one id comes with two texts."""
+    from gridloom.llm import ngram_join
+    a, b = ([f"{c}{i}" for i in range(60)] for c in "ab")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join([*a[:-1], "x"])), (3, " ".join([*b[:-1], "y"]))]
+    for order in (rows, rows[::-1], rows[1:] + rows[:1]):
+        got = ngram_join.jaccard_components(spark.createDataFrame(order, "doc_id long, text string")).collect()
+        assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (1, 1), (2, 1), (3, 1)]
+        assert len({r.component_class for r in got}) == 2
