@@ -22,38 +22,48 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps texts whose language is told; learned from the labelled rows outside op7's
-    held-out fold."""
+    held-out fold.  Null texts and texts without a letter go; repeated rows all stay or all go."""
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
     return langid.accepted(docs.select(*COLUMNS), langid.train(docs.where(fold != 2)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of linked ones; documents
-    without id or words are linked with nothing and stay.  Rows that repeat an id are
-    copies of one document: one stays, the one with the smallest text."""
+    """Keeps one document of each group of linked ones: that with the smallest id, and of
+    several texts under that id the one with the smallest class; of rows that repeat it the
+    smallest.  Documents without id or words are linked with nothing and stay."""
     docs = docs.select(*COLUMNS)
-    groups = ngram_join.jaccard_components(docs)
-    gone = cut(groups.where("doc_id <> component_id").select("doc_id").distinct())
-    again = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    groups = cut(ngram_join.jaccard_components(docs).where("doc_id IS NOT NULL"))
+    again = cut(groups.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    gone = cut(groups.where("doc_id <> component_id").select("doc_id").distinct().join(again, "doc_id", "left_anti"))
     # only rows that may be concerned are exchanged; all others pass where they are
     bits = hashed_set(gone.union(again), "doc_id")
-    concerned = (rows_in_set(docs, "doc_id", bits, True).join(gone, "doc_id", "left_anti").groupBy("doc_id")
-                 .agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("d")).select("doc_id", "d.*"))
-    return rows_in_set(docs, "doc_id", bits, False).unionByName(concerned).select(*COLUMNS)
+    near = rows_in_set(docs, "doc_id", bits, True)
+    kept = (rows_in_set(docs, "doc_id", bits, False)
+            .unionByName(near.join(gone, "doc_id", "left_anti").join(again, "doc_id", "left_anti")))
+    if not again.isEmpty():                     # ids that come with several rows: every row by its own class
+        many = ngram_join.with_class(near.join(again, "doc_id", "left_semi"))
+        best = (groups.where("class_id IS NOT NULL").groupBy("component_class")
+                .agg(F.min(F.struct("doc_id", "class_id")).alias("m")).select("m.doc_id", "m.class_id"))
+        one = (many.join(best, ["doc_id", "class_id"], "left_semi").groupBy("doc_id", "class_id")
+               .agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("d")).select("doc_id", "d.*"))
+        kept = kept.unionByName(one).unionByName(many.where("class_id IS NULL").drop("class_id"))
+    return kept.select(*COLUMNS)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops documents that hold a benchmark item; null and empty texts stay, repeated rows are
+    judged alike."""
     return decontaminate.clean(docs.select(*COLUMNS), read(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces every secret in the texts by a mark; every document stays."""
+    """Replaces every secret in the texts by a mark; every document stays, null texts as they are."""
     return secrets.masked(docs.select(*COLUMNS), secrets.train(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, placed in sequences of 2048 tokens."""
+    """Pieces of all documents, placed in sequences of 2048 tokens; a null text is empty and one
+    piece, repeated rows are packed as often as they come."""
     return packing.pack(docs)
 
 
