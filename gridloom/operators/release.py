@@ -8,8 +8,7 @@ pass or one equi-join on the grid key:
               ``max_by(value, priority)`` in a single aggregation (partial
               aggregation map-side, no join).
 * gaps      — per time and release, whether any expected cell is missing.
-* equality  — full outer join on (block, cell), null-safe comparison,
-              ``bool_and`` per block.
+* equality  — order-free digests per block and side; one row a block meets, no cell.
 """
 
 from __future__ import annotations
@@ -38,13 +37,19 @@ def combine_releases(df: DataFrame, keys: Sequence[str], value: str = "value",
 
 
 def release_gaps(df: DataFrame, time_keys: Sequence[str], n_cells: int, cell: str = "cell",
-                 value: str = "value", expver: str = "expver") -> DataFrame:
-    """AG-1: per time, does each release lack any of the ``n_cells`` cells?"""
+                 value: str = "value", expver: str = "expver", expected: DataFrame | None = None) -> DataFrame:
+    """AG-1: per time, does each release lack any of the ``n_cells`` cells?
+
+    ``expected`` has one row for each step that the axis asks for (the ``time_keys`` columns): a
+    step without any row is a gap in both releases.  Without it only steps that have rows
+    are judged."""
     ok = F.col(value).isNotNull()
     n_final = F.count_distinct(F.when(ok & (F.col(expver) == fixed.RELEASE_FINAL), F.col(cell)))
     n_prelim = F.count_distinct(F.when(ok & (F.col(expver) == fixed.RELEASE_PRELIMINARY), F.col(cell)))
-    return df.groupBy(*time_keys).agg((n_final < n_cells).alias("gap_final"),
-                                      (n_prelim < n_cells).alias("gap_prelim"))
+    counts = df.groupBy(*time_keys).agg(n_final.alias("_f"), n_prelim.alias("_p"))
+    if expected is not None:
+        counts = expected.select(*time_keys).join(counts, list(time_keys), "left").na.fill(0, ["_f", "_p"])
+    return counts.select(*time_keys, (F.col("_f") < n_cells).alias("gap_final"), (F.col("_p") < n_cells).alias("gap_prelim"))
 
 
 def release_disjoint(gaps: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -60,13 +65,54 @@ def pair_releases(old: DataFrame, staged: DataFrame, rel: str = "relpath") -> Da
     return old.join(staged, rel, "inner")
 
 
+def block_digest(df: DataFrame, block: Sequence[str], cell_keys: Sequence[str], value: str = "value") -> DataFrame:
+    """Order-free digest of each block's cells: their number, two sums of 32 bits of a hash, and
+    the exclusive-or of a second hash.  Missing cells are as if absent.  One row a block and task
+    is exchanged, however many cells it has."""
+    some = F.col(value).isNotNull()
+    number = dict(df.dtypes)[value] in ("float", "double", "int", "bigint", "smallint", "tinyint")
+    v = F.col(value).cast("double") if number else F.col(value)
+    parts = [x for k in cell_keys for x in (F.col(k).isNull(), F.col(k))] + [v]
+    first = F.when(some, F.xxhash64(F.lit(1), *parts))
+    second = F.when(some, F.xxhash64(F.lit(2), *parts))
+    low, high = first.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(first, 32)
+    zero = F.lit(0).cast("long")
+    return df.groupBy(*block).agg(F.struct(
+        F.count_if(some).alias("n"), F.coalesce(F.sum(low), zero).alias("low"), F.coalesce(F.sum(high), zero).alias("high"),
+        F.coalesce(F.bit_xor(second), zero).alias("x")).alias("digest"))
+
+
+def compare_blocks(a: DataFrame, b: DataFrame, block: Sequence[str], cell_keys: Sequence[str],
+                   value: str = "value") -> DataFrame:
+    """Per block of either side: ``in_a``, ``in_b``, and whether both hold the same cells (``equal``).
+
+    Digests of both sides meet, never cells; they are equal for unlike blocks with a chance
+    of about 2^-128.  A missing value in ``block`` is a value like any other.  Columns of
+    ``b`` take the types of ``a``."""
+    b = b.select(*[F.col(k).cast(a.schema[k].dataType).alias(k) for k in [*block, *cell_keys]], value)
+    sides = block_digest(a, block, cell_keys, value).withColumn("_a", F.lit(True)).unionByName(
+        block_digest(b, block, cell_keys, value).withColumn("_a", F.lit(False)))
+    zero = F.lit(0).cast("long")
+    none = F.struct(*[zero.alias(n) for n in ("n", "low", "high", "x")])
+    of = lambda mine: F.max(F.when(F.col("_a") == F.lit(mine), F.col("digest")))
+    return sides.groupBy(*block).agg(F.bool_or("_a").alias("in_a"), F.bool_or(~F.col("_a")).alias("in_b"),
+                                     of(True).alias("_x"), of(False).alias("_y")).select(
+        *block, "in_a", "in_b", (F.coalesce("_x", none) == F.coalesce("_y", none)).alias("equal"))
+
+
 def blocks_equal(a: DataFrame, b: DataFrame, block: Sequence[str], cell_keys: Sequence[str],
                  value: str = "value") -> DataFrame:
-    """JN-8: whole-block equality; missing equals missing, present vs absent differs."""
-    keys = list(block) + list(cell_keys)
-    j = a.select(*keys, F.col(value).alias("_a")).join(
-        b.select(*keys, F.col(value).alias("_b")), keys, "full_outer")
-    return j.groupBy(*block).agg(F.bool_and(F.col("_a").eqNullSafe(F.col("_b"))).alias("equal"))
+    """JN-8: whole-block equality by digests; missing equals missing, present vs absent differs."""
+    return compare_blocks(a, b, block, cell_keys, value).select(*block, "equal")
+
+
+def block_audit(current: DataFrame, staged: DataFrame, block: Sequence[str], cell_keys: Sequence[str],
+                value: str = "value") -> DataFrame:
+    """SNK-13 / D8: per block ratified (staged copy equal), data_changed (different), absent (no
+    staged copy) or added (only staged)."""
+    status = (F.when(~F.col("in_b"), F.lit("absent")).when(~F.col("in_a"), F.lit("added"))
+              .when(F.col("equal"), F.lit("ratified")).otherwise(F.lit("data_changed")))
+    return compare_blocks(current, staged, block, cell_keys, value).select(*block, status.alias("status"))
 
 
 def audit_counts(equal: DataFrame) -> DataFrame:

@@ -6,7 +6,10 @@ DataFrames or store paths, so the same code runs on a laptop or a cluster.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime
+import uuid
+from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +18,9 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions import dates as D
 from ..operators import dims, fields, layout, manifest, met, regrid, release, spectral
+from ..sinks import axis
 from ..sinks import store as ST
+from ..sinks.journal import Journal
 
 
 def build_store(raw: DataFrame, path: str, keys: Sequence[str] = ("time", "lat_idx", "lon_idx"),
@@ -34,16 +39,25 @@ def build_store(raw: DataFrame, path: str, keys: Sequence[str] = ("time", "lat_i
     ST.write_store(n.select(*keys, "variable", "value", "date"), path, partition_by)
 
 
+def _record(spark: SparkSession, attrs_path: str | None, store_name: str, time_end: str | None, mode: str,
+            now: str | None) -> None:
+    """SNK-10 after a write, where the job was given an attributes table."""
+    if attrs_path and time_end:
+        stamp = now or str(datetime.datetime.now(datetime.timezone.utc))
+        ST.upsert_store_attrs_table(spark, attrs_path, store_name, time_end, mode, stamp)
+
+
 def update_daily(raw_releases: DataFrame, path: str, start: str, end: str,
                  keys: Sequence[str] = ("time", "lat_idx", "lon_idx"), attrs_path: str | None = None,
                  store_name: str = "store", mode: str = fixed.MODE_DAILY, now: str | None = None,
                  levels: DataFrame | None = None) -> None:
-    """Days [start, end]: combine releases (final over preliminary), overwrite those
-    day regions, then record the new validity end in the store's attributes.
+    """Days [start, end]: combine releases (final over preliminary), overwrite the steps that
+    arrived, then record the new validity end in the store's attributes.
 
     ``raw_releases`` are the single-level fields, ``levels`` (with a ``level`` column) the
     multi-level ones; both are merged (JN-1) into one set of rows, coordinates aligned (PRJ-3),
-    level NULL for single-level fields, and written together.
+    level NULL for single-level fields, and written together.  A region is one step of one
+    variable and level: hours of a day that did not arrive stay as they are.
     """
     raw, own = raw_releases, list(keys)
     if levels is not None:
@@ -52,21 +66,23 @@ def update_daily(raw_releases: DataFrame, path: str, start: str, end: str,
     raw = fields.align_coords(raw, [*own, *coords], [c for c in raw.columns if c not in (*own, *coords)])
     window = raw.where(F.col("time").cast("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     comb = release.combine_releases(window, [*own, *coords, "variable"]).drop("expver_used")
-    ST.overwrite_regions(comb.withColumn("date", F.col("time").cast("date")), path)
-    if attrs_path:
-        import datetime
-        stamp = now or str(datetime.datetime.now(datetime.timezone.utc))
-        ST.upsert_store_attrs_table(raw_releases.sparkSession, attrs_path, store_name, end, mode, stamp)
+    spark = raw_releases.sparkSession
+    ST.replace_regions(spark, path, comb.withColumn("date", F.col("time").cast("date")),
+                       [c for c in ("time", "level") if c in own])
+    _record(spark, attrs_path, store_name, end, mode, now)
 
 
 def update_files(spark: SparkSession, files: DataFrame, raw: DataFrame, path: str, init: str,
-                 steps_per_day: int = 24) -> None:
-    """Grouped files -> their regions and chunk variables -> region overwrite.
+                 steps_per_day: int = 24, attrs_path: str | None = None, store_name: str = "store",
+                 mode: str = fixed.MODE_DAILY, now: str | None = None) -> None:
+    """Grouped files -> their regions and chunk variables -> region overwrite -> validity end.
 
     ``raw`` is long (path, short_name, time, cell, value); only the variables
-    the file's chunk holds are written, only inside the file's region.
+    the file's chunk holds are written, only inside the file's region.  The end recorded in
+    ``attrs_path`` is the last day that a file covers.
     """
-    reg = ST.file_region(files, init, steps_per_day).select("path", "chunk", "region_start", "region_end")
+    regions = ST.file_region(files, init, steps_per_day)
+    reg = regions.select("path", "chunk", "region_start", "region_end")
     rows = raw.join(reg, "path").join(dims.chunk_variables(spark), ["chunk", "short_name"])
     # the file's region counts steps of the axis, not hours
     idx = F.floor(D.time_offset_hours(F.lit(init).cast("timestamp_ntz"), "time") / (24 // steps_per_day))
@@ -74,46 +90,67 @@ def update_files(spark: SparkSession, files: DataFrame, raw: DataFrame, path: st
     inner = [c for c in ("level", "step") if c in raw.columns]
     out = rows.select(F.col("short_name").alias("variable"), "time", *inner, "cell", "value",
                       F.col("time").cast("date").alias("date"))
-    ST.replace_regions(spark, path, out, inner)
+    ST.replace_regions(spark, path, out, ["time", *inner])
+    if attrs_path:
+        last = F.date_add(F.lit(init).cast("date"), (F.max("region_end") / steps_per_day).cast("int") - 1)
+        _record(spark, attrs_path, store_name, regions.agg(last.cast("string")).first()[0], mode, now)
 
 
 def reconcile_release(spark: SparkSession, current: DataFrame, staged: DataFrame, path: str,
-                      block: Sequence[str] = ("variable", "date"),
+                      block: Sequence[str] | None = None,
                       cell_keys: Sequence[str] = ("time", "lat_idx", "lon_idx"), audit_table: str | None = None,
                       staged_path: str | None = None, attrs_path: str | None = None, store_name: str = "store",
-                      time_end: str | None = None, now: str | None = None) -> DataFrame:
+                      time_end: str | None = None, now: str | None = None, journal_path: str | None = None) -> DataFrame:
     """Compare every current block with its staged final-release copy, rewrite the
-    changed blocks only, and return the audit (block, status) with counters.
-
-    One null-safe full outer join for all blocks; the overwrite touches only
-    the partitions of changed blocks.  The audit is written (under the shared
-    checkpoint folder) before the store changes, because it is computed from
-    the files the overwrite replaces.  Promotion (SNK-13) is complete with
-    ``audit_table`` (the audit is appended to it), ``staged_path`` (the staged store: the
-    copies of blocks now ratified, replaced or added are removed from it) and
-    ``attrs_path`` with ``time_end`` (the store's final validity end is recorded).
+    changed blocks only, and return the audit (block, status).
+
+    A block is a variable, date and, where the rows have one, level: a staged level
+    replaces that level and no other.  Blocks are compared by digests (``release.block_audit``);
+    cells move only where a block is rewritten.  Staged rows that still hold both releases
+    (``expver``) are combined first, final over preliminary (JN-4).
+
+    Promotion (SNK-13) is complete with ``audit_table`` (the audit is added to it, marked with
+    the ``run``), ``staged_path`` (the staged store: its partitions now ratified, replaced or
+    added are removed) and ``attrs_path`` with ``time_end`` (the store's final validity end).
+
+    Every step is entered in a journal beside the store (``journal_path``) once it is done; every
+    step may be repeated without harm.  After a failure the next call goes on with the audit
+    that was planned then, so store, audit and staging end as if nothing had failed.
     """
     from ..session import scratch_path
-    staged_blocks = staged.select(*block).distinct()
-    paired = current.join(staged_blocks, list(block), "left_semi")
-    eq = release.blocks_equal(paired, staged, list(block), list(cell_keys))
+    if block is None:
+        block = ["variable", "date", *(["level"] if "level" in current.columns and "level" in staged.columns else [])]
+    block = list(block)
+    within = [c for c in block if c not in ("variable", "date")]
+    if "expver" in staged.columns:
+        staged = release.combine_releases(staged, list(dict.fromkeys([*block, *cell_keys]))).drop("expver_used")
+    log = Journal(spark, journal_path or f"{path.rstrip('/')}.journal")
+    if not log.done("planned"):
+        log.clear()
+        plan = release.block_audit(current, staged, block, cell_keys)
+        plan.withColumn("run", F.lit(uuid.uuid4().hex)).write.parquet(log.at("plan"))
+        log.mark("planned")
+    audit = spark.read.parquet(log.at("plan"))
+    if not log.done("written"):
+        changed = audit.where(F.col("status").isin("data_changed", "added")).select(*block)
+        rows = staged.join(changed, ST.same(staged, changed, block), "left_semi")
+        ST.replace_regions(spark, path, rows.select(*current.columns), within)
+        log.mark("written")
+    if audit_table and not log.done("audited"):
+        # its own partition: a repeated step replaces what an interrupted one left
+        audit.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(audit_table)
+        log.mark("audited")
+    if staged_path and not log.done("dropped"):
+        parts = audit.where(F.col("status") != "absent").select("variable", "date").distinct()
+        ST.drop_blocks(spark, staged_path, parts)
+        log.mark("dropped")
+    if not log.done("recorded"):
+        _record(spark, attrs_path, store_name, time_end, fixed.MODE_FINAL, now)
+        log.mark("recorded")
     audit_path = scratch_path(spark, "audit")
-    added = (staged_blocks.join(current.select(*block).distinct(), list(block), "left_anti")
-             .withColumn("status", F.lit("added")))
-    ST.audit_status(current, eq.join(added, list(block), "left_anti"), list(block)).unionByName(added).write.parquet(audit_path)
-    audit = spark.read.parquet(audit_path)
-    changed = audit.where(F.col("status").isin("data_changed", "added")).select(*block)
-    new_rows = staged.join(changed, list(block), "left_semi")
-    ST.overwrite_regions(new_rows.select(*current.columns), path)
-    if audit_table:
-        audit.write.mode("append").parquet(audit_table)
-    if staged_path:
-        ST.drop_blocks(spark, staged_path, audit.where(F.col("status") != "absent").select(*block))
-    if attrs_path and time_end:
-        import datetime
-        stamp = now or str(datetime.datetime.now(datetime.timezone.utc))
-        ST.upsert_store_attrs_table(spark, attrs_path, store_name, time_end, fixed.MODE_FINAL, stamp)
-    return audit
+    audit.drop("run").write.parquet(audit_path)
+    log.clear()
+    return spark.read.parquet(audit_path)
 
 
 def check_availability(spark: SparkSession, today: str, mode: str, listing: DataFrame, root: str,
@@ -152,8 +189,8 @@ def assemble_native(wind: DataFrame, levels: DataFrame, surface: DataFrame, coef
                     keys: Sequence[str] = ("time",), k: str = "k") -> DataFrame:
     """MET-19: the native-level fields of every time step in the data, on a regular grid.
 
-    Spectral vorticity and divergence (``wind``: keys, k, n, m, vo_re, vo_im, d_re, d_im)
-    -> spectral (U, V) -> values on the reduced Gaussian grid (``n_half``, ``counts``: its
+    Spectral vorticity and divergence (``wind``: keys, k, vo_re, vo_im, d_re, d_im as arrays in
+    m-major order; or as rows with n, m) -> spectral (U, V) -> values on the reduced Gaussian grid (``n_half``, ``counts``: its
     points per latitude) -> divided by cos(latitude); geopotential from the grid's columns
     (``levels``: keys, k, cell, t, q and any further field; ``surface``: keys, cell, lnsp,
     zs); all fields -> regular grid -> long names.  Returns chunk rows (keys, k,
@@ -161,68 +198,109 @@ def assemble_native(wind: DataFrame, levels: DataFrame, surface: DataFrame, coef
     row, with missing values; wind and levels need not cover the same steps.
     """
     row = [*keys, k]
-    uv = spectral.vd2uv(wind, row)
-    parts = uv.select(*row, "n", "m", F.inline(F.array(
-        F.struct(F.lit("u").alias("variable"), F.col("u_re").alias("re"), F.col("u_im").alias("im")),
-        F.struct(F.lit("v").alias("variable"), F.col("v_re").alias("re"), F.col("v_im").alias("im")))))
-    lats, per_lat, first = regrid.reduced_gaussian_grid(n_half, counts)
-    on_grid = spectral.synthesise(parts, [*row, "variable"], list(lats), list(per_lat), truncation=truncation)
-    at = lambda a, x: F.element_at(F.array(*[F.lit(y.item()) for y in a]), x + 1)
-    fields_uv = on_grid.select(*row, "variable", (at(first, F.col("lat_idx")) + F.col("lon_idx")).alias("cell"),
-                               (F.col("value") / at(np.cos(np.radians(lats)), F.col("lat_idx"))).alias("value"))
+    parts = ["vo_re", "vo_im", "d_re", "d_im"]
+    if "n" in wind.columns:                  # coefficients as rows
+        wind = spectral.pack(wind, row, parts, truncation)
+    uv = spectral.vd2uv_fields(wind.select(*row, *parts), truncation)
+    uv = uv.select(*row, F.inline(F.array(*[F.struct(F.lit(x).alias("variable"), F.col(f"{x}_re").alias("re"),
+                                                     F.col(f"{x}_im").alias("im")) for x in ("u", "v")])))
+    lats, per_lat, _ = regrid.reduced_gaussian_grid(n_half, counts)
+    fields_uv = spectral.synthesise_fields(uv, "re", "im", lats, per_lat, truncation, 1.0 / np.cos(np.radians(lats)))
     column = [*keys, "cell"]
     z = met.geopotential_on_levels(met.full_level_pressure(levels, surface, coef, column, k), column, k)
     names = [c for c in (*levels.columns, "z") if c not in (*column, k)]
     fields_z = z.select(*row, "cell", *[F.col(c).cast("double").alias(c) for c in names]).unpivot(
         [*row, "cell"], names, "variable", "value").select(*row, "variable", "cell", "value")
-    cells = fields_uv.unionByName(fields_z)
-    packed = layout.chunk_pack(cells.withColumn("_ring", F.lit(0)), [*row, "variable"], 1, int(per_lat.sum()),
-                               "_ring", "cell")
+    # wind comes as arrays; only the column fields, computed cell by cell, are packed
+    packed = layout.chunk_pack(fields_z.withColumn("_ring", F.lit(0)), [*row, "variable"], 1, int(per_lat.sum()), "_ring", "cell")
+    packed = packed.select(*row, "variable", "values").unionByName(fields_uv.select(*row, "variable", "values"))
     out = regrid.gaussian_to_regular(packed, "values", n_half, n_lat, n_lon, counts=counts)
     long_name = F.coalesce(*[F.when(F.col("variable") == s, F.lit(n)) for s, n in fixed.SHORT_TO_LONG.items()],
                            F.col("variable"))
     return out.withColumn("variable", long_name)
 
 
-def init_native(spark: SparkSession, path: str, start: str, end: str, cells: DataFrame, n_levels: int,
-                variables: Sequence[str]) -> None:
+def init_native(spark: SparkSession, path: str, start: str, end: str, dims: Mapping[str, int], n_levels: int,
+                variables: Sequence[str], value_type: str = "double") -> None:
     """Native-vertical store skeleton: every hour of [start, end] (whole end day) x
-    hybrid levels x cells x variables, values missing."""
+    hybrid levels x cells x variables, missing.  Axis and arrays only; without ``dims`` a row of
+    the store holds a whole array."""
     hy = spark.range(1, n_levels + 1).select(F.col("id").cast("int").alias("k"))
     var = spark.createDataFrame([(v,) for v in variables], "variable string")
-    keys = var.crossJoin(hy).crossJoin(cells)
-    end_excl = F.date_add(F.lit(end).cast("date"), 1)
-    day_after = spark.range(1).select(end_excl.cast("string").alias("e")).first()["e"]
-    t = ST.hourly_template(spark, start, day_after, keys)
-    ST.write_store(t.withColumn("date", F.col("time").cast("date")), path)
+    day_after = datetime.date.fromisoformat(str(end)) + datetime.timedelta(days=1)
+    axis.create_store(spark, path, start, day_after, var.crossJoin(hy), dims, value_type)
+
+
+class NativeGrid(NamedTuple):
+    """Grids of the native-level job: spectral truncation, reduced Gaussian grid (latitudes per
+    hemisphere and, unless octahedral, points per latitude), regular grid."""
+    truncation: int
+    n_half: int
+    n_lat: int
+    n_lon: int
+    counts: Sequence[int] | None = None
+
+
+def incomplete_hours(hours: DataFrame, levels: DataFrame, surface: DataFrame, n_levels: int,
+                     keys: Sequence[str] = ("time", "cell"), wind: DataFrame | None = None) -> DataFrame:
+    """(time, reason) of the hours asked for that cannot be derived: no input at all, a column without
+    all its levels or without surface, spectral wind without all levels."""
+    per_col = levels.groupBy(*keys).agg(F.count_distinct("k").alias("n")).join(
+        surface.select(*keys, F.lit(True).alias("_sf")).distinct(), list(keys), "full_outer")
+    found = per_col.groupBy("time").agg(F.count_if(F.col("n").isNull() | (F.col("n") != n_levels)).alias("short"),
+                                        F.count_if(F.col("_sf").isNull()).alias("bare"))
+    out = hours.join(found, "time", "left")
+    reason = (F.when(F.col("short").isNull(), F.lit("absent")).when(F.col("short") > 0, F.lit("levels"))
+              .when(F.col("bare") > 0, F.lit("surface")))
+    if wind is not None:
+        have = wind.groupBy("time").agg(F.count_distinct("k").alias("w"))
+        out = out.join(have, "time", "left")
+        reason = F.coalesce(reason, F.when(F.coalesce("w", F.lit(0)) != n_levels, F.lit("wind")))
+    return out.select("time", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def update_native(spark: SparkSession, levels: DataFrame, surface: DataFrame, coef: DataFrame, path: str,
                   start: str, end: str, n_levels: int, on_error: str = "fail",
-                  keys: Sequence[str] = ("time", "cell")) -> DataFrame:
-    """Derive the native-vertical fields for every hour of [start, end] and
-    overwrite those hours in the store.
-
-    An hour is incomplete when a column lacks a level or its surface fields.
-    ``on_error="fail"`` (default) raises; ``"skip"`` leaves those hours
-    untouched and reports them — the returned DataFrame lists the skipped hours.
+                  keys: Sequence[str] = ("time", "cell"), wind: DataFrame | None = None, grid: NativeGrid | None = None,
+                  attrs_path: str | None = None, store_name: str = "store", mode: str = fixed.MODE_DAILY,
+                  now: str | None = None) -> DataFrame:
+    """Derive the native-vertical fields for every hour of [start, end], overwrite those hours in
+    the store, and record the new validity end.
+
+    With ``wind`` (spectral vorticity and divergence) and ``grid`` the hours are assembled as MET-19
+    does (wind, geopotential and column fields on the regular grid) and written as arrays; without, the column
+    fields are derived and written cell by cell.
+
+    An hour is incomplete when it has no input, when a column lacks a level or its surface
+    fields, or when the wind lacks a level.  ``on_error="fail"`` (default) raises before anything is
+    written; ``"skip"`` leaves those hours untouched.  The returned DataFrame lists them (time, reason).
     """
-    hours = spark.range(1).select(F.explode(D.hour_axis(F.lit(start), F.lit(end))).alias("time"))
-    lv = levels.join(hours, "time", "left_semi")
-    sf = surface.join(hours, "time", "left_semi")
-    per_col = lv.groupBy(*keys).agg(F.count_distinct("k").alias("n")).join(
-        sf.select(*keys, F.lit(True).alias("_sf")), list(keys), "full_outer")
-    bad_hours = per_col.where((F.col("n").isNull()) | (F.col("n") != n_levels) | F.col("_sf").isNull()) \
-        .select("time").distinct()
+    from ..session import scratch_path
+    if on_error not in ("fail", "skip"):
+        raise ValueError(f"on_error must be 'fail' or 'skip', not {on_error!r}")
+    t0, t1 = (datetime.datetime.fromisoformat(str(x)) for x in (start, end))
+    n_hours = ((t1 - t0).days + 1) * 24          # whole end day
+    hours = spark.range(n_hours).select(F.timestamp_add("HOUR", F.col("id"), F.lit(t0)).alias("time"))
+    asked = F.col("time").between(F.lit(t0), F.lit(t0 + datetime.timedelta(hours=n_hours - 1)))
+    lv, sf = levels.where(asked), surface.where(asked)
+    spectral_wind = None if wind is None else wind.where(asked)
+    report = scratch_path(spark, "incomplete")
+    incomplete_hours(hours, lv, sf, n_levels, keys, spectral_wind).write.parquet(report)
+    bad = spark.read.parquet(report)             # few rows, computed once, read before the write and after
     if on_error == "fail":
-        first_bad = bad_hours.limit(1).collect()
+        first_bad = bad.orderBy("time").limit(1).collect()
         if first_bad:
-            raise ValueError(f"incomplete input for hour {first_bad[0]['time']}")
-    elif on_error != "skip":
-        raise ValueError(f"on_error must be 'fail' or 'skip', not {on_error!r}")
-    good = lv.join(bad_hours, "time", "left_anti")
-    derived = derive(spark, good, sf, coef, keys)
-    names = [c for c in derived.columns if c not in (*keys, "k") and c not in ("p_above", "p_below", "z_half", "lnsp", "zs")]
-    long = derived.unpivot([*keys, "k"], names, "variable", "value").withColumn("date", F.col("time").cast("date"))
-    ST.overwrite_steps(spark, path, long)
-    return bad_hours
+            raise ValueError(f"incomplete input for hour {first_bad[0]['time']}: {first_bad[0]['reason']}")
+    good = lambda df: df.join(bad.select("time"), "time", "left_anti")
+    if wind is not None:
+        if grid is None:
+            raise ValueError("spectral wind needs a grid")
+        rows = assemble_native(good(spectral_wind), good(lv), good(sf), coef, grid.truncation, grid.n_half, grid.n_lat,
+                               grid.n_lon, grid.counts, [c for c in keys if c != "cell"])
+    else:
+        derived = derive(spark, good(lv), sf, coef, keys)
+        names = [c for c in derived.columns if c not in (*keys, "k") and c not in ("p_above", "p_below", "z_half", "lnsp", "zs")]
+        rows = derived.unpivot([*keys, "k"], names, "variable", "value")
+    ST.overwrite_steps(spark, path, rows.withColumn("date", F.col("time").cast("date")))
+    _record(spark, attrs_path, store_name, str(t1.date()), mode, now)
+    return bad

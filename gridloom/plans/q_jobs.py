@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.paths import grouped_file_path
-from ..operators import met
+from ..operators import layout, met
 from ..session import scratch_path
 from ..sinks import store as ST
 from ..sources import standins as S
 from ..sources.tables import table
 from . import jobs
-from .q_met import GEO, N_LEVELS, _e, _es, _td, d
+from .q_met import (GEO, N_LEVELS, NAT_COUNTS, NAT_HALF, NAT_NLAT, NAT_NLON, TRUNC, _e, _es, _sql_assemble_native, _td, d,
+                    native_inputs)
 from .q_release import SQL_COMBINED, _combined_and_reissued
 from .q_store import _events_window
 from .registry import register, with_views
@@ -136,3 +137,33 @@ def q_job_update_native(spark, sf_dir):
     jobs.update_native(spark, lv, S.v_surface(lv), met.hybrid_coefficients(spark, N_LEVELS), path, w["s"], w["e"],
                        N_LEVELS, on_error="skip")
     return ST.read_store(spark, path).select("time", "cell", "k", "variable", F.round("value", 3).alias("value"), "date")
+
+
+@register("job_update_native_wind", f"""
+WITH whole AS ({_sql_assemble_native()}),
+hours AS (SELECT TIMESTAMP '2020-01-01 00:00:00' + to_hours(CAST(vec_id // 7 AS BIGINT)) AS time FROM embeddings
+          GROUP BY vec_id // 7 HAVING count(DISTINCT vec_id % 7) = 7 AND (vec_id // 7) % 5 <> 3)
+SELECT whole.*, (SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT vec_id // 7 FROM embeddings)) AS n_hours,
+       (SELECT CAST(max(time) AS DATE) FROM hours) AS last_day
+FROM whole SEMI JOIN hours USING (time)""")
+def q_job_update_native_wind(spark, sf_dir):
+    """Job update_native as a whole: spectral wind and columns of every hour of the data -> fields on
+    the regular grid -> hour regions of an array store that starts as a skeleton -> validity end.
+    Hours that lack a level (every fifth, and a part hour at the end) are skipped."""
+    path, attrs = scratch_path(spark, "job-native-wind"), scratch_path(spark, "job-native-attrs")
+    wind, levels, surface = native_inputs(spark, sf_dir)
+    hour = F.timestamp_diff("HOUR", F.lit("2020-01-01 00:00:00").cast("timestamp_ntz"), F.col("time"))
+    levels = levels.where((hour % 5 != 3) | (F.col("k") != 4))
+    w = levels.agg(F.min("time").cast("date").cast("string"), F.max("time").cast("date").cast("string"),
+                   F.count_distinct("time")).first()
+    names = [fixed.SHORT_TO_LONG.get(c, c) for c in ("t", "q", "w", "z", "u", "v")]
+    jobs.init_native(spark, path, w[0], w[1], {}, N_LEVELS, names, "array<double>")
+    grid = jobs.NativeGrid(TRUNC, NAT_HALF, NAT_NLAT, NAT_NLON, NAT_COUNTS)
+    jobs.update_native(spark, levels, surface, met.hybrid_coefficients(spark, N_LEVELS), path, w[0], w[1], N_LEVELS,
+                       on_error="skip", wind=wind, grid=grid, attrs_path=attrs, store_name="native")
+    z = F.col("variable") == fixed.SHORT_TO_LONG["z"]
+    rows = layout.chunk_explode(ST.read_store(spark, path), "values", NAT_NLON, ["time", "k", "variable"])
+    end = spark.read.parquet(attrs).select(F.col("attrs")["valid_time_stop_era5t"].cast("date").alias("last_day"))
+    return rows.select("time", "k", "variable", "lat_idx", "lon_idx",
+                       F.when(z, F.round("value", 2)).otherwise(F.round("value", 6)).alias("value"),
+                       F.lit(w[2]).cast("long").alias("n_hours")).crossJoin(F.broadcast(end))

@@ -349,15 +349,12 @@ def q_orography_line(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ spectral / regrid
-def spectral_coefficients(spark, sf_dir):
-    """Stand-in spectral coefficients (T6, 28 per field) from the 64-float chunks."""
-    e = S.v_chunks(spark, sf_dir)
-    idx = spectral.spectral_index(spark, TRUNC)
-    j = e.crossJoin(F.broadcast(idx))
-    el = lambda off: F.element_at("embedding", off).cast("double")
-    return j.select("vec_id", F.col("label").alias("level"), "n", "m",
-                    el(F.col("idx") + 1).alias("vo_re"), el(F.col("idx") + 29).alias("vo_im"),
-                    el(F.lit(64) - F.col("idx")).alias("d_re"), el(F.lit(36) - F.col("idx")).alias("d_im"))
+def spectral_fields(spark, sf_dir):
+    """Stand-in spectral fields (T6, 28 coefficients in m-major order) from the 64-float chunks."""
+    x = S.v_chunks(spark, sf_dir).select("vec_id", F.col("label").alias("level"), F.col("embedding").cast("array<double>").alias("x"))
+    back = F.reverse("x")
+    return x.select("vec_id", "level", F.slice("x", 1, 28).alias("vo_re"), F.slice("x", 29, 28).alias("vo_im"),
+                    F.slice(back, 1, 28).alias("d_re"), F.slice(back, 29, 28).alias("d_im"))
 
 
 def _sql_vd2uv() -> str:
@@ -392,7 +389,8 @@ FROM cc"""
 @register("vd2uv", _sql_vd2uv())
 def q_vd2uv(spark, sf_dir):
     """MET-9 / WN-4: spectral vorticity + divergence -> spectral wind (U, V)."""
-    uv = spectral.vd2uv(spectral_coefficients(spark, sf_dir), ["vec_id", "level"])
+    out = ["u_re", "u_im", "v_re", "v_im"]
+    uv = spectral.unpack(spectral.vd2uv_fields(spectral_fields(spark, sf_dir), TRUNC), ["vec_id", "level"], out, TRUNC)
     return uv.select("vec_id", "level", "n", "m", *[F.round(c, 3).alias(c) for c in ("u_re", "u_im", "v_re", "v_im")])
 
 
@@ -434,10 +432,9 @@ FROM fm, lon GROUP BY 1, 2, 3, 4"""
 @register("spectral_synthesis", _sql_synthesis())
 def q_spectral_synthesis(spark, sf_dir):
     """MET-10: spectral vorticity -> values on a 4 x 16 latitude/longitude grid."""
-    co = spectral_coefficients(spark, sf_dir).select("vec_id", "level", "n", "m",
-                                                     F.col("vo_re").alias("re"), F.col("vo_im").alias("im"))
-    g = spectral.synthesise(co, ["vec_id", "level"], SYN_LATS, SYN_NLON, truncation=TRUNC)
-    return g.withColumn("value", F.round("value", 6))
+    g = spectral.synthesise_fields(spectral_fields(spark, sf_dir), "vo_re", "vo_im", SYN_LATS, SYN_NLON, TRUNC)
+    return layout.chunk_explode(g, "values", SYN_NLON, ["vec_id", "level"]).select(
+        "vec_id", "level", "lat_idx", "lon_idx", F.round("value", 6).alias("value"))
 
 
 @register("regrid_linear", with_views("""
@@ -548,8 +545,9 @@ def native_inputs(spark, sf_dir):
     e = S.v_chunks(spark, sf_dir)
     hour = F.timestamp_add("HOUR", F.floor(F.col("vec_id") / 7), F.lit("2020-01-01 00:00:00").cast("timestamp_ntz"))
     at = e.select("vec_id", hour.alias("time"), (F.col("vec_id") % 7 + 1).cast("int").alias("k"), "embedding")
-    co = spectral_coefficients(spark, sf_dir).join(at.drop("embedding"), "vec_id")
-    wind = co.select("time", "k", "n", "m", *[(F.col(c) * F.lit(1e-5)).alias(c) for c in ("vo_re", "vo_im", "d_re", "d_im")])
+    wind = spectral_fields(spark, sf_dir).select(
+        hour.alias("time"), (F.col("vec_id") % 7 + 1).cast("int").alias("k"),
+        *[F.transform(c, lambda x: x * F.lit(1e-5)).alias(c) for c in ("vo_re", "vo_im", "d_re", "d_im")])
     el = lambda off: F.element_at("embedding", off.cast("int")).cast("double")
     c = F.col("cell")
     cells = at.select("time", "k", "embedding", F.explode(F.sequence(F.lit(0), F.lit(sum(NAT_COUNTS) - 1))).alias("cell"))

@@ -15,6 +15,7 @@ from ..functions import fixed
 from ..functions.dates import time_offset_hours
 from ..operators import layout, manifest, release
 from ..session import scratch_path
+from ..sinks import axis
 from ..sinks import store as ST
 from ..sources import standins as S
 from ..sources.selection import expand_spec
@@ -75,15 +76,13 @@ SELECT time, hybrid, CAST((hybrid - 1) // 18 AS INT) AS hybrid_chunk, lat_idx, l
 FROM t, hy, cells""", "v_levels"))
 def q_template_native(spark, sf_dir):
     """SNK-2: native-vertical skeleton: every time of the data x hybrid levels x generated lat/lon axes."""
-    t = S.v_levels(spark, sf_dir).select("time").distinct()
-    hy = spark.range(1, 8).select(F.col("id").cast("int").alias("hybrid"))
-    cells = _cells(spark).select("lat_idx", "lon_idx",
-                                 (F.lit(90.0) - F.lit(60.0) * F.col("lat_idx")).cast("float").alias("latitude"),
-                                 (F.lit(60.0) * F.col("lon_idx")).cast("float").alias("longitude"))
-    axes = F.broadcast(hy.crossJoin(cells))
-    return t.crossJoin(axes).select("time", "hybrid", ((F.col("hybrid") - 1) / 18).cast("int").alias("hybrid_chunk"),
-                                    "lat_idx", "lon_idx", "latitude", "longitude",
-                                    F.lit(None).cast("float").alias("value"))
+    every = lambda a, b: F.explode(F.sequence(F.lit(a), F.lit(b)))
+    # the cells of a step are made where the step is: nothing is broadcast
+    t = S.v_levels(spark, sf_dir).select("time").distinct().withColumn("hybrid", every(1, 7))
+    t = t.withColumn("lat_idx", every(0, 3)).withColumn("lon_idx", every(0, 5))
+    return t.select("time", "hybrid", ((F.col("hybrid") - 1) / 18).cast("int").alias("hybrid_chunk"), "lat_idx", "lon_idx",
+                    (F.lit(90.0) - F.lit(60.0) * F.col("lat_idx")).cast("float").alias("latitude"),
+                    (F.lit(60.0) * F.col("lon_idx")).cast("float").alias("longitude"), F.lit(None).cast("float").alias("value"))
 
 
 # ------------------------------------------------------------------ build / region writes
@@ -96,10 +95,10 @@ def q_build_store(spark, sf_dir):
     return ST.read_store(spark, path)
 
 
-def _template_long(spark, sf_dir, start, end):
-    keys = S.v_grid(spark, sf_dir).select("variable").distinct().crossJoin(_cells(spark))
-    t = ST.hourly_template(spark, start, end, keys)
-    return t.withColumn("date", F.col("time").cast("date"))
+def _skeleton(spark, sf_dir, path, start, end, value_type="float"):
+    """A store of the grid's variables on hours [start, end): axis and arrays, no rows."""
+    return axis.create_store(spark, path, start, end, S.v_grid(spark, sf_dir).select("variable").distinct(),
+                             {"lat_idx": 4, "lon_idx": 6}, value_type)
 
 
 @register("init_store", f"""
@@ -108,12 +107,13 @@ w AS (SELECT * FROM w0), {SQL_HOURS}, {SQL_CELLS}, {SQL_VARS}
 SELECT time, variable, lat_idx, lon_idx, CAST(NULL AS FLOAT) AS value, CAST(time AS DATE) AS date
 FROM hours, vars, cells""")
 def q_init_store(spark, sf_dir):
-    """SNK-4: create the store skeleton only, its axis starting 5 days before the data."""
+    """SNK-4: create the store skeleton only (no cell is stored), its axis starting 5 days before
+    the data; the reader makes its missing cells."""
     s, e = _events_window(spark, sf_dir)
     init = str(datetime.date.fromisoformat(s) - datetime.timedelta(days=5))
     path = scratch_path(spark, "init")
-    ST.write_store(_template_long(spark, sf_dir, init, e), path)
-    return ST.read_store(spark, path)
+    _skeleton(spark, sf_dir, path, init, e)
+    return axis.read_filled(spark, path)
 
 
 @register("region_write_day", with_views(f"""
@@ -124,16 +124,13 @@ FROM hours h CROSS JOIN vars v CROSS JOIN cells c
 LEFT JOIN v_grid g ON g.time = h.time AND g.variable = v.variable AND g.lat_idx = c.lat_idx AND g.lon_idx = c.lon_idx""",
                                          "v_grid"))
 def q_region_write_day(spark, sf_dir):
-    """SNK-5: day regions (odd days) overwritten in a template store; other days untouched."""
+    """SNK-5: day regions (odd days) written into a skeleton; other days and cells stay missing."""
     s, e = _events_window(spark, sf_dir)
     path = scratch_path(spark, "day")
-    tmpl = _template_long(spark, sf_dir, s, e)
-    ST.write_store(tmpl, path)
-    g = S.v_grid(spark, sf_dir).select("time", "variable", *GRID_KEYS, F.col("value").cast("float").alias("v"))
-    days = tmpl.where(F.dayofmonth("time") % 2 == 1).drop("value")
-    region = days.join(g, ["time", "variable", *GRID_KEYS], "left").withColumnRenamed("v", "value")
-    ST.overwrite_regions(region.select(*tmpl.columns), path)
-    return ST.read_store(spark, path)
+    _skeleton(spark, sf_dir, path, s, e)
+    g = S.v_grid(spark, sf_dir).withColumn("date", F.col("time").cast("date"))
+    ST.replace_regions(spark, path, g.where(F.dayofmonth("time") % 2 == 1).drop("latitude", "longitude"), ["time"])
+    return axis.read_filled(spark, path)
 
 
 def _levels_long(spark, sf_dir):
@@ -153,7 +150,7 @@ def q_region_write_file(spark, sf_dir):
     ST.write_store(long.withColumn("value", F.col("value") * F.lit(0.0)), path)
     tw = set(fixed.CHUNK_VARIABLES["tw"])
     new = long.where(F.col("variable").isin(*tw) & (F.month("time") <= 6))
-    ST.overwrite_regions(new, path)
+    ST.replace_regions(spark, path, new, ["time"])
     return ST.read_store(spark, path)
 
 
@@ -191,42 +188,68 @@ def q_region_write_level(spark, sf_dir):
 
 
 @register("extend_axis", with_views("""
-WITH w AS (SELECT CAST(min(time) AS DATE) AS s, CAST(max(time) AS DATE) + 2 AS e FROM v_grid),
-axis AS (SELECT unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP) + INTERVAL 23 HOUR, INTERVAL 1 HOUR)) AS time FROM w),
-new_t AS (SELECT time FROM axis EXCEPT SELECT DISTINCT time FROM v_grid),
-k AS (SELECT DISTINCT variable, lat_idx, lon_idx FROM v_grid)
-SELECT new_t.time, k.variable, k.lat_idx, k.lon_idx, CAST(NULL AS DOUBLE) AS value FROM new_t, k""", "v_grid"))
+WITH w AS (SELECT CAST(max(time) AS DATE) AS s FROM v_grid),
+axis AS (SELECT unnest(generate_series(CAST(s AS TIMESTAMP), CAST(s AS TIMESTAMP) + INTERVAL 71 HOUR, INTERVAL 1 HOUR)) AS time FROM w),
+k AS (SELECT variable, CAST(i // 6 AS INT) AS lat_idx, CAST(i % 6 AS INT) AS lon_idx FROM (SELECT DISTINCT variable FROM v_grid), range(24) r(i)),
+g AS (SELECT time, variable, lat_idx, lon_idx, value FROM v_grid
+      UNION ALL SELECT time + INTERVAL 24 HOUR, variable, lat_idx, lon_idx, value FROM v_grid, w WHERE CAST(time AS DATE) = s)
+SELECT axis.time, k.variable, k.lat_idx, k.lon_idx, g.value, CAST(axis.time AS DATE) AS date
+FROM axis CROSS JOIN k LEFT JOIN g ON g.time = axis.time AND g.variable = k.variable AND g.lat_idx = k.lat_idx AND g.lon_idx = k.lon_idx""",
+                                   "v_grid"))
 def q_extend_axis(spark, sf_dir):
-    """SNK-9: rows appended to grow the time axis through end = last day + 2 (idempotent)."""
-    g = S.v_grid(spark, sf_dir)
-    w = g.agg(F.min("time").cast("date").alias("s"), F.date_add(F.max("time").cast("date"), 2).alias("e")).first()
-    new = ST.extend_time_axis(g, str(w["s"]), str(w["e"]), ["variable", *GRID_KEYS])
-    return new.withColumn("value", F.lit(None).cast("double"))
+    """SNK-9: a store whose axis ends with its data grows by two days (twice: the second run
+    changes nothing), gets a day beyond its old end, and is read from its old last day on."""
+    path = scratch_path(spark, "axis")
+    first, end = _events_window(spark, sf_dir)
+    _skeleton(spark, sf_dir, path, first, end, "double")
+    g = S.v_grid(spark, sf_dir).drop("latitude", "longitude").withColumn("date", F.col("time").cast("date"))
+    ST.replace_regions(spark, path, g, ["time"])
+    last = datetime.date.fromisoformat(end) - datetime.timedelta(days=1)
+    for _ in range(2):
+        axis.extend_axis(spark, path, last + datetime.timedelta(days=2))
+    later = F.timestamp_add("HOUR", F.lit(24), "time")
+    ST.replace_regions(spark, path, g.where(F.col("date") == F.lit(last)).withColumn("time", later)
+                       .withColumn("date", F.col("time").cast("date")), ["time"])
+    return axis.read_filled(spark, path, start=last)
 
 
-SQL_FC = """fc AS (SELECT DISTINCT CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_hours(CASE WHEN hour(ts) < 12 THEN 6 ELSE 18 END) AS time,
-                  CAST(user_id % 24 AS INT) AS cell FROM events)"""
+SQL_FC = f"""fc AS (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_hours(CASE WHEN hour(ts) < 12 THEN 6 ELSE 18 END) AS time,
+             CAST(event_id % {fixed.FORECAST_STEPS} AS INT) AS step, CAST(user_id % 24 AS INT) AS cell, max(value) AS value
+       FROM events GROUP BY 1, 2, 3)"""
 
 
 @register("extend_axis_forecast", f"""
 WITH {SQL_FC},
-w AS (SELECT CAST(min(time) AS DATE) AS s, CAST(max(time) AS DATE) + 3 AS e FROM fc),
-axis AS (SELECT unnest(generate_series(CAST(s AS TIMESTAMP) + INTERVAL 6 HOUR, CAST(e AS TIMESTAMP) + INTERVAL 18 HOUR,
+w AS (SELECT CAST(max(time) AS DATE) AS s FROM fc),
+axis AS (SELECT unnest(generate_series(CAST(s AS TIMESTAMP) + INTERVAL 6 HOUR, CAST(s AS TIMESTAMP) + INTERVAL 90 HOUR,
                                        INTERVAL 12 HOUR)) AS time FROM w),
-new_t AS (SELECT time FROM axis EXCEPT SELECT DISTINCT time FROM fc),
-k AS (SELECT DISTINCT cell FROM fc)
-SELECT new_t.time, k.cell, CAST(i AS INT) AS step, new_t.time + to_hours(CAST(i AS BIGINT)) AS valid_time
-FROM new_t, k, (SELECT unnest(range({fixed.FORECAST_STEPS})) AS i) i""")
+g AS (SELECT * FROM fc UNION ALL SELECT time + INTERVAL 24 HOUR, step, cell, value FROM fc, w WHERE CAST(time AS DATE) = s)
+SELECT axis.time, CAST(i AS INT) AS step, CAST(c AS INT) AS cell, axis.time + to_hours(CAST(i AS BIGINT)) AS valid_time, 'tp' AS variable,
+       g.value, CAST(axis.time AS DATE) AS date
+FROM axis CROSS JOIN range({fixed.FORECAST_STEPS}) i(i) CROSS JOIN range(24) c(c)
+LEFT JOIN g ON g.time = axis.time AND g.step = i AND g.cell = c""")
 def q_extend_axis_forecast(spark, sf_dir):
-    """SNK-9 (forecast form): twice-daily bases 06/18 UTC through end = last day + 3,
-    each appended base with its 19 valid times, one row per step."""
+    """SNK-9 (forecast form): bases 06 and 18 UTC, 19 steps each; the store grows by three days
+    (twice), gets the bases of one day beyond its old end, and is read from its old last day on,
+    each base with its valid times."""
+    path = scratch_path(spark, "axis-fc")
     e = table(spark, sf_dir, "events")
     base = F.timestamp_add("HOUR", F.when(F.hour("ts") < 12, F.lit(6)).otherwise(F.lit(18)),
                            F.col("ts").cast("date").cast("timestamp_ntz"))
-    fc = e.select(base.alias("time"), (F.col("user_id") % 24).cast("int").alias("cell")).distinct()
-    w = fc.agg(F.min("time").cast("date").alias("s"), F.date_add(F.max("time").cast("date"), 3).alias("e")).first()
-    new = ST.extend_time_axis(fc, str(w["s"]), str(w["e"]), ["cell"], steps_per_day=2, first_hour=6)
-    return new.select("time", "cell", F.posexplode(ST.valid_times("time")).alias("step", "valid_time"))
+    fc = (e.groupBy(base.alias("time"), (F.col("event_id") % fixed.FORECAST_STEPS).cast("int").alias("step"),
+                    (F.col("user_id") % 24).cast("int").alias("cell")).agg(F.max("value").alias("value"))
+          .withColumn("variable", F.lit("tp")).withColumn("date", F.col("time").cast("date")))
+    first, end = _events_window(spark, sf_dir)
+    axis.create_store(spark, path, f"{first} 06:00:00", end, spark.createDataFrame([("tp",)], "variable string"), {"cell": 24},
+                      "double", step_hours=12, forecast_steps=fixed.FORECAST_STEPS)
+    ST.replace_regions(spark, path, fc, ["time", "step"])
+    last = datetime.date.fromisoformat(end) - datetime.timedelta(days=1)
+    for _ in range(2):
+        axis.extend_axis(spark, path, last + datetime.timedelta(days=3))
+    later = F.timestamp_add("HOUR", F.lit(24), "time")
+    ST.replace_regions(spark, path, fc.where(F.col("date") == F.lit(last)).withColumn("time", later)
+                       .withColumn("date", F.col("time").cast("date")), ["time", "step"])
+    return axis.read_filled(spark, path, start=last)
 
 
 @register("store_attrs_upsert", """
@@ -317,10 +340,7 @@ def q_promote_audit(spark, sf_dir):
     new = (comb.where(F.dayofmonth("time") != 20)
            .withColumn("value", F.when(bump, F.col("value") + F.lit(1.0)).otherwise(F.col("value")))
            .withColumn("date", F.col("time").cast("date")))
-    staged_blocks = new.select("variable", "date").distinct()
-    paired_old = old.join(staged_blocks, ["variable", "date"], "left_semi")
-    eq = release.blocks_equal(paired_old, new, ["variable", "date"], ["time", "cell"])
-    audit = ST.audit_status(old, eq, ["variable", "date"])
+    audit = release.block_audit(old, new, ["variable", "date"], ["time", "cell"]).where(F.col("status") != "added")
     path = F.concat(F.lit("/archive/raw/"), F.date_format("date", "yyyy/MM/dd"), F.lit("/"), F.col("variable"),
                     F.lit("/surface.nc"))
     return audit.select("variable", "date", path.alias("path"), "status")

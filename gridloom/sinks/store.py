@@ -10,6 +10,7 @@ without locks.  At full scale the partition key is (variable, month) and
 
 from __future__ import annotations
 
+import functools
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,8 +101,11 @@ def overwrite_regions(df: DataFrame, path: str, partition_by=("variable", "date"
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-14: lazy store scan; filters on partition columns prune directories."""
-    return spark.read.option("basePath", path).parquet(path)
+    """SRC-14: lazy store scan; filters on partition columns prune directories.  A store that
+    has an axis but no rows yet is empty, not an error."""
+    from . import axis
+    reader, schema = spark.read.option("basePath", path), axis.row_schema(spark, path)
+    return (reader.schema(schema) if schema else reader).parquet(path)
 
 
 def read_staged(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
@@ -119,6 +123,12 @@ def store_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def same(left: DataFrame, right: DataFrame, keys) -> "F.Column":
+    """Join condition on ``keys`` in which a missing value (the level of a single-level field)
+    equals a missing value."""
+    return functools.reduce(lambda x, y: x & y, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
 def read_touched(spark: SparkSession, path: str, new: DataFrame, partition_by) -> DataFrame:
     """Rows of the store in the partitions that ``new`` has rows in.
 
@@ -135,17 +145,25 @@ def read_touched(spark: SparkSession, path: str, new: DataFrame, partition_by) -
         match = F.col(c).isin(values) if values else F.lit(False)
         store = store.where(match | F.col(c).isNull() if any(r[c] is None for r in touched) else match)
     if len(cols) > 1:        # the filters allow every combination of values
-        store = store.join(F.broadcast(spark.createDataFrame(touched, new.select(*cols).schema)), cols, "left_semi")
+        pairs = F.broadcast(spark.createDataFrame(touched, new.select(*cols).schema))
+        store = store.join(pairs, same(store, pairs, cols), "left_semi")
     return store
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what it holds; one that is not there is no error."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def drop_blocks(spark: SparkSession, path: str, blocks: DataFrame) -> None:
     """Remove whole partitions of a store: ``blocks`` has its partition columns, one row a
     partition.  Their folders (checked against the same bound) are found from the store's own
     file names, so a block that is not there is no error and a second run changes nothing."""
     folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-    found = (read_store(spark, path).withColumn("_folder", folder).join(blocks, blocks.columns, "left_semi")
-             .select("_folder").distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect())
+    # nothing but partition columns is read, so a store without any file left is no error either
+    rows = read_staged(spark, path, blocks).withColumn("_folder", folder)
+    found = (rows.join(blocks, same(rows, blocks, blocks.columns), "left_semi").select("_folder").distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect())
     if len(found) > MAX_TOUCHED_PARTITIONS:
         raise ValueError(f"one call drops over {MAX_TOUCHED_PARTITIONS} partitions; drop them in parts")
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
@@ -157,29 +175,38 @@ def drop_blocks(spark: SparkSession, path: str, blocks: DataFrame) -> None:
 def replace_regions(spark: SparkSession, path: str, new: DataFrame, region=(),
                     partition_by=("variable", "date"), staging: str | None = None) -> None:
     """Replace exactly the regions that ``new`` has rows in: a region is one value of the
-    partition columns and of ``region`` (``time``, ``level``, ``step``).  All stored rows of
-    those regions go, also cells that ``new`` lacks; all others stay.
-
-    Reads the touched partitions, drops the regions (``left_anti`` on one row per region),
-    adds the new rows, stages the result and overwrites the partitions from the staged
-    copy — a job never reads and writes one path.  Without a store it is created.
+    partition columns and of ``region`` (``time``, ``level``, ``step``); a missing value
+    (the level of a single-level field) is a value like any other.  All stored rows of those
+    regions go, also cells that ``new`` lacks; all others stay.
+
+    Every write to a store takes this way.  ``new`` is computed once, into a staging folder;
+    touched partitions and regions are taken from there.  Rows of the touched
+    partitions outside the regions are staged too, then the partitions are overwritten from
+    the staged rows: a job never reads and writes one path.  Rows outside the store's axis
+    (``axis.py``) are an error before anything is written.  Without a store it is created.
     """
     from ..session import scratch_path
+    from . import axis
     cols = list(partition_by)
-    known = store_exists(spark, path)
-    if not known and new.isEmpty():          # no rows: no store either
-        return
-    if not known or not region:
-        overwrite_regions(new, path, partition_by)
-        return
-    current = read_touched(spark, path, new, cols)
-    # the store's partition columns may have been read back in another type
-    key = [*cols, *region]
-    kept = current.join(new.select(*key).distinct(), key, "left_anti")
-    merged = kept.unionByName(new.select(*current.columns))
     stage = staging or scratch_path(spark, "stage")
-    merged.write.mode("errorifexists").partitionBy(*cols).parquet(stage)
-    overwrite_regions(read_staged(spark, stage, merged), path, partition_by)
+    new.write.mode("errorifexists").partitionBy(*cols).parquet(f"{stage}/new")
+    staged = read_staged(spark, f"{stage}/new", new)
+    if staged.isEmpty():                     # no rows: nothing changes, no store either
+        delete(spark, stage)
+        return
+    axis.check_rows(axis.read_axis(spark, path), staged)
+    if store_exists(spark, path):
+        current = read_touched(spark, path, staged, cols)
+        # rows take the store's types (partition columns may have been read back in another one)
+        staged = staged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in current.schema])
+        if region:
+            key = [*cols, *region]
+            regions = staged.select(*key).distinct()
+            kept = current.join(regions, same(current, regions, key), "left_anti")
+            kept.write.partitionBy(*cols).parquet(f"{stage}/kept")
+            staged = read_staged(spark, f"{stage}/kept", current).select(*current.columns).unionByName(staged)
+    overwrite_regions(staged, path, partition_by)
+    delete(spark, stage)
 
 
 def overwrite_steps(spark: SparkSession, path: str, new: DataFrame, region=(), step_col: str = "time",
@@ -189,25 +216,6 @@ def overwrite_steps(spark: SparkSession, path: str, new: DataFrame, region=(), s
     replace_regions(spark, path, new, [*region, step_col], partition_by, staging)
 
 
-def extend_time_axis(store: DataFrame, init: str, end_date: str, keys, steps_per_day: int = 24,
-                     time_col: str = "time", first_hour: int = 0) -> DataFrame:
-    """SNK-9: rows to append so the axis holds (days + 1) * steps_per_day steps
-    from ``init`` through ``end_date``; existing steps are not repeated, so a
-    second run appends nothing (idempotent).  Forecast stores use
-    ``steps_per_day=2, first_hour=6`` (bases 06 and 18 UTC)."""
-    spark = store.sparkSession
-    hours = 24 // steps_per_day
-    n_steps = F.datediff(F.lit(end_date).cast("date"), F.lit(init).cast("date")) * steps_per_day + steps_per_day
-    t0 = F.timestamp_add("HOUR", F.lit(first_hour), F.lit(init).cast("timestamp_ntz"))
-    axis = spark.range(1).select(F.explode(F.sequence(F.lit(0), n_steps - 1)).alias("_i")).select(
-        F.timestamp_add("HOUR", F.col("_i") * F.lit(hours), t0).alias(time_col))
-    existing = store.select(time_col).distinct()
-    new_times = axis.join(existing, time_col, "left_anti")
-    key_rows = store.select(*keys).distinct()
-    # the new steps are few (axis growth); they are the broadcast side when bounded
-    return dims.checked_product(key_rows, new_times).select(time_col, *keys)
-
-
 def valid_times(base, steps: int = fixed.FORECAST_STEPS) -> "F.Column":
     """SNK-9 / DT-7: the forecast valid-time row of a base time (base + 0..steps-1 hours)."""
     b = base if not isinstance(base, str) else F.col(base)
@@ -243,15 +251,6 @@ def resize_metadata(doc, total, keep_chunk) -> "F.Column":
     return json_set_fields(source, {"shape": shape, "chunks": chunks})
 
 
-def audit_status(old_blocks: DataFrame, equal: DataFrame, block_keys) -> DataFrame:
-    """SNK-13 / D8: audit row per current block: ratified (staged copy equal),
-    data_changed (different, promoted) or absent (no staged copy)."""
-    j = old_blocks.select(*block_keys).distinct().join(equal, list(block_keys), "left")
-    status = F.when(F.col("equal").isNull(), F.lit("absent")) \
-        .when(F.col("equal"), F.lit("ratified")).otherwise(F.lit("data_changed"))
-    return j.select(*block_keys, status.alias("status"))
-
-
 def rechunk_time(df: DataFrame, keys, time_index: str, steps: int, value: str = "value") -> DataFrame:
     """SNK-14: re-block along time into chunks of ``steps`` (must divide 24);
     one row per (keys, chunk) with a dense array ordered by time."""

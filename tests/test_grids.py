@@ -54,6 +54,7 @@ def test_chunk_pack_fills_and_refuses(spark):
 
 
 def test_no_input_stays_persisted(spark, sf_dir):
+    from gridloom.plans import catalog  # noqa: F401  (registers every query)
     from gridloom.plans.registry import QUERIES
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     for name in ("manifest_ar", "missing_files", "sample_line"):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from gridloom.plans import jobs
 from gridloom.session import scratch_path
+from gridloom.sinks import axis
 from gridloom.sinks import store as ST
 from gridloom.sources import standins as S
 
@@ -103,22 +104,22 @@ def test_derive_field_set(spark, sf_dir):
 def test_native_init_and_hourly_update_with_skip(spark):
     import pytest
     from gridloom.operators import met
-    cells = spark.range(2).select(F.col("id").cast("int").alias("cell"))
     path = scratch_path(spark, "t-native")
     names = ["temperature", "specific_humidity", "geopotential", "p", "r", "td"]
-    jobs.init_native(spark, path, "2024-01-01", "2024-01-01", cells, 3, names)
-    assert ST.read_store(spark, path).count() == 24 * 3 * 2 * len(names)
+    jobs.init_native(spark, path, "2024-01-01", "2024-01-01", {"cell": 2}, 3, names)
+    assert ST.read_store(spark, path).count() == 0 and axis.read_filled(spark, path).count() == 24 * 3 * 2 * len(names)
     rows = [(f"2024-01-01 0{h}:00:00", c, k, 250.0 + 10 * k, 0.001 * k) for h in (1, 2) for c in (0, 1) for k in (1, 2, 3)]
     rows = [r for r in rows if not (r[0].startswith("2024-01-01 02") and r[1] == 1 and r[2] == 2)]  # hour 2 incomplete
     lv = spark.createDataFrame(rows, "time string, cell int, k int, t double, q double") \
         .withColumn("time", F.col("time").cast("timestamp_ntz"))
     sf = lv.select("time", "cell").distinct().select("time", "cell", F.lit(11.5).alias("lnsp"), F.lit(0.0).alias("zs"))
     coef = met.hybrid_coefficients(spark, 3)
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="absent"):
         jobs.update_native(spark, lv, sf, coef, path, "2024-01-01", "2024-01-01", 3)
     skipped = jobs.update_native(spark, lv, sf, coef, path, "2024-01-01", "2024-01-01", 3, on_error="skip")
-    assert [r[0].hour for r in skipped.collect()] == [2]
-    st = ST.read_store(spark, path)
+    got = {r["time"].hour: r["reason"] for r in skipped.collect()}
+    assert got == {h: "levels" if h == 2 else "absent" for h in range(24) if h != 1}
+    st = axis.read_filled(spark, path)
     assert st.where((F.hour("time") == 1) & F.col("value").isNotNull()).count() == 2 * 3 * len(names)
     assert st.where((F.hour("time") == 2) & F.col("value").isNotNull()).count() == 0
     assert st.count() == 24 * 3 * 2 * len(names)

@@ -43,15 +43,6 @@ def test_partition_filters_prune(spark, sf_dir):
     assert "PartitionFilters" in plan and "click" in plan
 
 
-def test_extend_axis_twice_is_once(spark, sf_dir):
-    g = S.v_grid(spark, sf_dir).select("time", "variable", "lat_idx", "lon_idx")
-    w = g.agg(F.min("time").cast("date").alias("s"), F.date_add(F.max("time").cast("date"), 1).alias("e")).first()
-    add = ST.extend_time_axis(g, str(w["s"]), str(w["e"]), ["variable", "lat_idx", "lon_idx"])
-    grown = g.unionByName(add)
-    again = ST.extend_time_axis(grown, str(w["s"]), str(w["e"]), ["variable", "lat_idx", "lon_idx"])
-    assert add.count() > 0 and again.count() == 0
-
-
 def test_pivot_unpivot_round_trip(spark, sf_dir):
     g = S.v_grid(spark, sf_dir).select("time", "lat_idx", "lon_idx", "variable", "value")
     names = [r[0] for r in g.select("variable").distinct().collect()]
