@@ -47,6 +47,17 @@ def chunk_explode(df: DataFrame, array_col: str, n_lon: int, keep: Sequence[str]
         (F.col("pos") % n_lon).cast("int").alias("lon_idx"), "value")
 
 
+def dense_entries(entries: str, n: int, nothing: Column, what: str = "chunk") -> Column:
+    """The (k, v) entries of positions 0..n-1, in order, from an array that has some of them;
+    ``nothing`` where there is none.  n log n steps.  Two entries for a position, or one outside,
+    raise."""
+    rest = F.transform(F.array_except(F.sequence(F.lit(0), F.lit(n - 1)), F.transform(entries, lambda e: e["k"])),
+                       lambda k: F.struct(k.alias("k"), nothing.alias("v")))
+    whole = F.sort_array(F.concat(entries, rest))
+    return F.when(F.size(whole) == n, whole).otherwise(
+        F.raise_error(F.lit(f"a {what} of {n} cells holds a cell twice or one outside it")))
+
+
 def chunk_pack(df: DataFrame, keys: Sequence[str], n_lat: int, n_lon: int,
                lat: str = "lat_idx", lon: str = "lon_idx", value: str = "value") -> DataFrame:
     """long -> chunk: a dense row-major array per key; cells without a value are NULL.
@@ -55,16 +66,11 @@ def chunk_pack(df: DataFrame, keys: Sequence[str], n_lat: int, n_lon: int,
     added as missing, and the entries sorted by position: n log n steps for a chunk of n
     cells.  Two values for one cell, or a cell outside the grid, raise.
     """
-    n = n_lat * n_lon
     pos = (F.col(lat) * n_lon + F.col(lon)).cast("int")
     packed = df.groupBy(*keys).agg(F.collect_list(F.struct(pos.alias("k"), F.col(value).alias("v"))).alias("_e"))
     nothing = F.lit(None).cast(df.schema[value].dataType)
-    rest = F.transform(F.array_except(F.sequence(F.lit(0), F.lit(n - 1)), F.transform("_e", lambda e: e["k"])),
-                       lambda k: F.struct(k.alias("k"), nothing.alias("v")))
-    cells = packed.select(*keys, F.sort_array(F.concat("_e", rest)).alias("_e"))
-    return cells.select(*keys, F.when(F.size("_e") == n, F.transform("_e", lambda e: e["v"]))
-                        .otherwise(F.raise_error(F.lit(f"a chunk of {n} cells holds a cell twice or one outside it")))
-                        .alias("values"))
+    cells = packed.select(*keys, dense_entries("_e", n_lat * n_lon, nothing).alias("_e"))
+    return cells.select(*keys, F.transform("_e", lambda e: e["v"]).alias("values"))
 
 
 def array_region_get(arr, offset, length) -> Column:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from .layout import dense_entries
 
 
 def spectral_index(spark: SparkSession, truncation: int) -> DataFrame:
@@ -53,13 +54,15 @@ def pack(df: DataFrame, keys: Sequence[str], values: Sequence[str], truncation:
     """Rows (keys, n, m, values) -> one row a field, an array for each of ``values``; a
     coefficient without a row is zero.  One aggregation: a group is one field, bounded by the
     truncation, and the only shuffle between coefficients and grid."""
-    at = F.map_from_entries(F.collect_list(F.struct(position(truncation), F.struct(*values))))
-    whole = F.sequence(F.lit(0), F.lit(coefficients(truncation) - 1))
-    packed = df.where(F.col("m").between(0, F.col("n")) & (F.col("n") <= truncation)).groupBy(*keys).agg(at.alias("_at"))
+    own = F.struct(*[F.coalesce(F.col(v).cast("double"), F.lit(0.0)).alias(v) for v in values])
+    zero = F.struct(*[F.lit(0.0).alias(v) for v in values])
+    rows = df.where(F.col("m").between(0, F.col("n")) & (F.col("n") <= truncation))
+    packed = rows.groupBy(*keys).agg(F.collect_list(F.struct(position(truncation).alias("k"), own.alias("v"))).alias("_e"))
+    cells = packed.select(*keys, dense_entries("_e", coefficients(truncation), zero, "field").alias("_e"))
 
     def aligned(v: str) -> Column:
-        return F.transform(whole, lambda i: F.coalesce(F.try_element_at(F.col("_at"), i)[v], F.lit(0.0))).alias(v)
-    return packed.select(*keys, *[aligned(v) for v in values])
+        return F.transform("_e", lambda e: e["v"][v]).alias(v)
+    return cells.select(*keys, *[aligned(v) for v in values])
 
 
 def unpack(df: DataFrame, keys: Sequence[str], values: Sequence[str], truncation: int) -> DataFrame:
