@@ -134,7 +134,7 @@ def test_hourly_grid_stream_equals_batch(spark, sf_dir):
 
 
 def test_complete_dates_stream(spark):
-    """Repeated files count once, a date may fill over several drops, old dates leave the state."""
+    """Repeated files count once, a date may fill over several drops, a back-filled one too."""
     from gridloom.streaming.windows import record_complete_dates
     landing, out, ckpt = (scratch_path(spark, n) for n in ("t-landed", "t-dates", "t-cd-ckpt"))
     expected = spark.createDataFrame([("2024-01-01", 2), ("2024-01-02", 3), ("2024-03-01", 1), ("2023-06-01", 1)],
@@ -147,10 +147,34 @@ def test_complete_dates_stream(spark):
     for rows in drops:
         spark.createDataFrame(rows, "path string, date string").select("path", F.col("date").cast("date").alias("date")) \
             .write.mode("append").parquet(landing)
-        record_complete_dates(spark, landing, "path string, date date", expected, out, ckpt, lateness="90 days")
+        record_complete_dates(spark, landing, "path string, date date", expected, out, ckpt)
         got.append(sorted((str(r["date"]), r["n_present"]) for r in spark.read.parquet(out).collect()))
     assert got == [[], [], [("2024-01-01", 2), ("2024-03-01", 1)],
-                   [("2024-01-01", 2), ("2024-01-02", 3), ("2024-03-01", 1)]]
+                   [("2023-06-01", 1), ("2024-01-01", 2), ("2024-01-02", 3), ("2024-03-01", 1)]]
+
+
+def test_late_rows_are_kept_aside_and_counted(spark, tmp_path):
+    import datetime
+
+    from gridloom.streaming.windows import hourly_grid_to_store
+    landing, store, ckpt = (str(tmp_path / n) for n in ("landing", "store", "ck"))
+    schema = "ts timestamp_ntz, cell int, value double"
+    at = lambda day, hour, minute=0: datetime.datetime(2024, 1, day, hour, minute)
+    drops = [[(at(1, 1), 0, 1.0), (at(3, 12), 0, 2.0)],
+             [(at(3, 10, 30), 0, 5.0), (at(3, 9, 59), 0, 9.0), (at(1, 1, 30), 0, 7.0), (at(3, 12, 59), 0, 1.0), (at(4, 0), 1, 3.0)],
+             [(at(3, 12), 0, 99.0), (at(4, 0, 5), 1, 4.0)]]
+    late = []
+    for rows in drops:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(landing)
+        late.append(hourly_grid_to_store(spark, landing, schema, store, ckpt, "ts", ["cell"], lateness="2 hours"))
+    # closed before the second drop: hours that end by 10:00 of the 3rd; before the third: by 22:00 of it
+    assert late == [0, 2, 3]
+    assert sorted((r.ts, r.value) for r in spark.read.parquet(f"{store}.late").collect()) == [
+        (at(1, 1, 30), 7.0), (at(3, 9, 59), 9.0), (at(3, 12), 99.0)]
+    got = {(r.window_start, r.cell): (r.n, r.max_value) for r in ST.read_store(spark, store).collect()}
+    assert got == {(at(1, 1), 0): (1, 1.0), (at(3, 10), 0): (1, 5.0), (at(3, 12), 0): (2, 2.0), (at(4, 0), 1): (2, 4.0)}
+    assert hourly_grid_to_store(spark, landing, schema, store, ckpt, "ts", ["cell"], lateness="2 hours") == 3
+    assert {r.date.day for r in spark.read.parquet(f"{store}.parts").select("date").collect()} == {3, 4}
 
 
 def test_disjoint_region_writes_commute(spark, sf_dir):
