@@ -35,7 +35,7 @@ def level_group(spark: SparkSession, group: str = "full_37") -> DataFrame:
                                              "level int, level_index int"))
 
 
-def checked_product(left: DataFrame, right: DataFrame) -> DataFrame:
+def product(left: DataFrame, right: DataFrame) -> DataFrame:
     """Every row of ``left`` with every row of ``right`` (a manifest or template product).
 
     No hint and no count: Spark broadcasts a side whose size it knows to be below

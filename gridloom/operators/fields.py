@@ -97,9 +97,10 @@ def level_index(level, group: str = "full_37") -> Column:
 
 def area_subset(df: DataFrame, north: float, west: float, south: float, east: float,
                 lat: str = "latitude", lon: str = "longitude") -> DataFrame:
-    """PRJ-9: [lat1, lon1, lat2, lon2] box, edges included."""
-    return df.where(F.col(lat).between(min(north, south), max(north, south))
-                    & F.col(lon).between(min(west, east), max(west, east)))
+    """PRJ-9: [lat1, lon1, lat2, lon2] box, edges included; one whose west is greater than its
+    east crosses the meridian where longitudes begin."""
+    across = (F.col(lon) >= west) | (F.col(lon) <= east) if west > east else F.col(lon).between(west, east)
+    return df.where(F.col(lat).between(min(north, south), max(north, south)) & across)
 
 
 def thin(df: DataFrame, every: int, lat: str = "lat_idx", lon: str = "lon_idx") -> DataFrame:
@@ -191,6 +192,22 @@ def nan_to_null(x) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def attribute_maps(samples: DataFrame, variable: str, doc: str, order) -> DataFrame:
+    """SRC-12: (variable, attrs), the attributes of each variable's first sample by ``order``
+    (a JSON document of scalars), with ``short_name`` set to the variable."""
+    first = samples.groupBy(variable).agg(F.min_by(F.col(doc), order).alias("_doc"))
+    held = F.coalesce(F.from_json("_doc", "map<string,string>"), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
+    kept = F.map_filter(held, lambda k, v: k != "short_name")
+    return first.select(variable, F.map_concat(kept, F.create_map(F.lit("short_name"), F.col(variable))).alias("attrs"))
+
+
+def long_named(attrs: DataFrame, variable: str, names: Mapping[str, str] = fixed.SHORT_TO_LONG) -> DataFrame:
+    """SRC-12, native-vertical form: the map of each variable under its long name; the short one
+    stays in ``short_name``.  A variable without a long name keeps its own."""
+    known = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
+    return attrs.withColumn(variable, F.coalesce(F.try_element_at(known, F.col(variable)), F.col(variable)))
+
+
 def json_field(doc, path: str) -> Column:
     """JSN-1 read: one field of a JSON document."""
     return F.get_json_object(_c(doc), path)

@@ -37,7 +37,7 @@ def ar_manifest(spark: SparkSession, dates: DataFrame, variables: DataFrame, roo
                 group: str = "full_37") -> DataFrame:
     """SRC-1: expected analysis-ready raw files for each date (column ``date``)."""
     vl = variable_levels(spark, variables, group)
-    return (dims.checked_product(dates.select(F.col("date").cast("date").alias("date")), vl)
+    return (dims.product(dates.select(F.col("date").cast("date").alias("date")), vl)
             .select("date", "variable", "level",
                     ar_file_path(F.lit(root), "date", "variable", "level").alias("path")))
 

@@ -99,13 +99,13 @@ def full_level_pressure(levels: DataFrame, surface: DataFrame, coef: DataFrame,
 
     The coefficient table is tiny and broadcast; the adjacent-pair lookup is
     two equi-join columns (a and b of half levels k-1 and k), no window.  Levels of a
-    column without surface fields stay, with NULL pressures.
+    column without surface fields, and levels outside the table, stay with NULL pressures.
     """
     c = coef
     up = c.select(F.col("half_level").alias("_hu"), F.col("a").alias("_au"), F.col("b").alias("_bu"))
     dn = c.select(F.col("half_level").alias("_hd"), F.col("a").alias("_ad"), F.col("b").alias("_bd"))
     j = levels.join(surface, list(keys), "left")
-    j = j.join(F.broadcast(up), F.col(k) - 1 == F.col("_hu")).join(F.broadcast(dn), F.col(k) == F.col("_hd"))
+    j = j.join(F.broadcast(up), F.col(k) - 1 == F.col("_hu"), "left").join(F.broadcast(dn), F.col(k) == F.col("_hd"), "left")
     ps = F.exp(F.col("lnsp"))
     j = j.withColumn("p_above", F.col("_au") + F.col("_bu") * ps) \
         .withColumn("p_below", F.col("_ad") + F.col("_bd") * ps)

@@ -129,10 +129,13 @@ def reduced_gaussian_grid(n_half: int, counts: Sequence[int] | None = None) -> t
 
 
 def _gaussian_neighbours(grid: tuple, d: np.ndarray, n_lon_dst: int, lat0: float, dlat: float) -> tuple:
-    """(4, len(d)) source cells and weights of destination cells ``d``."""
+    """(4, len(d)) source cells and weights of destination cells ``d`` of a regular grid."""
+    return _ring_neighbours(grid, lat0 - dlat * (d // n_lon_dst), 360.0 * (d % n_lon_dst) / n_lon_dst)
+
+
+def _ring_neighbours(grid: tuple, lat: np.ndarray, lon: np.ndarray) -> tuple:
+    """(4, points) source cells and weights: two rings, two points on each."""
     lats, counts, offsets = grid
-    lat = lat0 - dlat * (d // n_lon_dst)
-    lon = 360.0 * (d % n_lon_dst) / n_lon_dst
     # ring above (j) and below (j + 1): latitudes are descending
     j = np.searchsorted(-lats, -lat, side="right") - 1
     top, bottom = j < 0, j >= len(lats) - 1
@@ -151,6 +154,69 @@ def _gaussian_neighbours(grid: tuple, d: np.ndarray, n_lon_dst: int, lat0: float
     return np.stack(src), np.stack(w)
 
 
+def _nearest_on_rings(grid: tuple, lat: np.ndarray, lon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(cell, great-circle distance in degrees) nearest to each point; ties to the smaller cell.
+
+    On a ring the nearest point is the nearest in longitude.  Rings are taken outward from the
+    point's latitude until their latitude alone is farther than the best found so far, so near
+    a pole, where a point across it may be nearer, they are all looked at."""
+    lats, counts, offsets = grid
+    best, cell = np.full(len(lat), np.inf), np.full(len(lat), np.iinfo(np.int64).max)
+    below = np.searchsorted(-lats, -lat, side="right")
+    for s in range(len(lats)):
+        busy = False
+        for ring in (below - 1 - s, below + s):
+            at = np.flatnonzero((ring >= 0) & (ring < len(lats)))
+            at = at[np.abs(lats[ring[at]] - lat[at]) <= best[at] + 1e-9]
+            if not len(at):
+                continue
+            busy = True
+            r = ring[at]
+            x = lon[at] / 360.0 * counts[r]
+            for i in (np.floor(x).astype(np.int64) % counts[r], (np.floor(x).astype(np.int64) + 1) % counts[r]):
+                a, b = np.radians(lats[r]), np.radians(lat[at])
+                half = np.sin((a - b) / 2) ** 2 + np.cos(a) * np.cos(b) * np.sin(np.radians(360.0 * i / counts[r] - lon[at]) / 2) ** 2
+                dist, c = np.degrees(2 * np.arcsin(np.sqrt(np.minimum(half, 1.0)))), offsets[r] + i
+                better = (dist < best[at]) | ((dist == best[at]) & (c < cell[at]))
+                best[at[better]], cell[at[better]] = dist[better], c[better]
+        if not busy and s > 0:
+            break
+    return cell, best
+
+
+def gaussian_point_cells(points: DataFrame, point_keys: Sequence[str], n_half: int, counts: Sequence[int] | None = None,
+                         nearest: bool = False, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """JN-12 / MET-12 on a reduced Gaussian grid: (point keys, cell, w), the cells that each point is
+    sampled from.  ``nearest``: the one nearest on the sphere (w = 1); otherwise up to four,
+    bilinear between the two bracketing rings and the two bracketing points of each (beyond the
+    outermost rings the nearest ring).  Rows stay where they are; the grid is a few arrays."""
+    grid = reduced_gaussian_grid(n_half, counts)
+    keys = points.select(*point_keys)
+    schema = ", ".join(f"`{n}` {t}" for n, t in keys.dtypes) + ", cell long, w double"
+
+    def find(batches):
+        for pdf in batches:
+            y, x = pdf["_lat"].to_numpy(float), pdf["_lon"].to_numpy(float) % 360.0
+            src, w = _ring_neighbours(grid, y, x) if not nearest else (_nearest_on_rings(grid, y, x)[0][None, :], np.ones((1, len(y))))
+            out = pd.concat([pdf[list(point_keys)]] * len(src), ignore_index=True)
+            out["cell"], out["w"] = src.ravel(), w.ravel()
+            yield out[out["w"] > 0]
+    here = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    return here.select(*point_keys, F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon")).mapInPandas(find, schema)
+
+
+def sample_cells(field: DataFrame, cells: DataFrame, point_keys: Sequence[str], keys: Sequence[str], values: Sequence[str],
+                 cell: str = "cell") -> DataFrame:
+    """``values`` of a (keys, cell) field at points, from :func:`gaussian_point_cells`: one equi-join
+    on the cell; the weights of missing sources fall to the others."""
+    j = field.join(cells.withColumnRenamed("cell", cell), cell)
+    out = []
+    for v in values:
+        here = F.when(F.col(v).isNotNull(), F.col("w"))
+        out.append((F.try_divide(F.sum(here * F.col(v)), F.sum(here))).alias(v))
+    return j.groupBy(*point_keys, *keys).agg(*out)
+
+
 def gaussian_to_regular_weights(spark: SparkSession, n_half: int, n_lat_dst: int, n_lon_dst: int,
                                 lat0: float = 90.0, dlat: float | None = None, n_partitions: int | None = None,
                                 counts: Sequence[int] | None = None) -> DataFrame:

@@ -134,6 +134,38 @@ def merge_conflicts(a: DataFrame, b: DataFrame, keys: Sequence[str], variables:
     return j.agg(*aggs)
 
 
+def merge_stores(a: DataFrame, b: DataFrame, keys: Sequence[str], on_conflict: str = "raise") -> DataFrame:
+    """JN-2 with JN-9: full outer merge on ``keys`` (a missing key equals a missing key).  A variable
+    that both sides have takes the value that is there; where both have one they must agree.
+
+    ``on_conflict="raise"`` fails the job at the first row that does not, while it is merged;
+    ``"count"`` keeps the value of ``a`` and adds ``n_conflicts``, the number of such variables in a
+    row.  One join either way, no pass before it."""
+    if on_conflict not in ("raise", "count"):
+        raise ValueError(f"on_conflict must be 'raise' or 'count', not {on_conflict!r}")
+    x = a.select(*[F.col(c).alias(f"_a_{c}") for c in a.columns])
+    y = b.select(*[F.col(c).alias(f"_b_{c}") for c in b.columns])
+    on = [F.col(f"_a_{k}").eqNullSafe(F.col(f"_b_{k}")) for k in keys]
+    j = x.join(y, on, "full_outer")
+    shared = [c for c in a.columns if c in b.columns and c not in keys]
+    unlike = {v: F.coalesce(F.col(f"_a_{v}") != F.col(f"_b_{v}"), F.lit(False)) for v in shared}
+    out = [F.coalesce(F.col(f"_a_{k}"), F.col(f"_b_{k}")).alias(k) for k in keys]
+    for v in [*a.columns, *[c for c in b.columns if c not in a.columns]]:
+        if v in keys:
+            continue
+        one = F.coalesce(*[F.col(f"_{s}_{v}") for s, df in (("a", a), ("b", b)) if v in df.columns])
+        if v in unlike and on_conflict == "raise":
+            where = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(f"_a_{k}").cast("string"), F.lit("missing"))) for k in keys])
+            one = F.when(unlike[v], F.raise_error(F.concat(F.lit(f"conflicting values of {v} at "), where))).otherwise(one)
+        out.append(one.alias(v))
+    if on_conflict == "count":
+        n = F.lit(0)
+        for c in unlike.values():
+            n = n + c.cast("int")
+        out.append(n.alias("n_conflicts"))
+    return j.select(*out)
+
+
 def assert_no_conflicts(conflicts: DataFrame, variables: Sequence[str]) -> None:
     row = conflicts.first()
     bad = [v for v in variables if row[f"{v}_conflicts"]]

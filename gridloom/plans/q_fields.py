@@ -212,6 +212,13 @@ def q_area_subset(spark, sf_dir):
     return fields.area_subset(S.v_grid(spark, sf_dir), 90, 60, -30, 240)
 
 
+@register("area_subset_wrapped", with_views(
+    "SELECT * FROM v_grid WHERE latitude BETWEEN -30 AND 90 AND (longitude >= 240 OR longitude <= 60)", "v_grid"))
+def q_area_subset_wrapped(spark, sf_dir):
+    """PRJ-9: a box across the meridian where longitudes begin."""
+    return fields.area_subset(S.v_grid(spark, sf_dir), 90, 240, -30, 60)
+
+
 @register("thin_grid", with_views("SELECT * FROM v_grid WHERE lat_idx % 2 = 0 AND lon_idx % 2 = 0", "v_grid"))
 def q_thin_grid(spark, sf_dir):
     """PRJ-10: every 2nd latitude and longitude."""
@@ -335,15 +342,17 @@ def q_json_attrs(spark, sf_dir):
 
 
 @register("var_attrs", """
-SELECT event_type AS variable, event_type AS short_name,
-       CAST(arg_min(CAST(json_extract_string(props, '$.k') AS INT), ts) AS VARCHAR) AS first_k, count(*) AS n
+SELECT CASE event_type WHEN 'click' THEN 'click_rate' WHEN 'view' THEN 'view_rate' ELSE event_type END AS variable,
+       ['k', 'short_name'] AS attr_names, [json_extract_string(arg_min(props, ts), '$.k'), event_type] AS attr_values
 FROM events GROUP BY event_type""")
 def q_var_attrs(spark, sf_dir):
-    """SRC-12: attribute record per variable from its first sample, plus short_name."""
-    e = table(spark, sf_dir, "events")
-    return e.groupBy(F.col("event_type").alias("variable")).agg(
-        F.min_by(fields.json_field("props", "$.k").cast("int"), "ts").cast("string").alias("first_k"),
-        F.count(F.lit(1)).alias("n")).select("variable", F.col("variable").alias("short_name"), "first_k", "n")
+    """SRC-12: attribute map of each variable from its first sample, with short_name, under the
+    variable's long name where it has one."""
+    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("variable"), "props", "ts")
+    a = fields.long_named(fields.attribute_maps(e, "variable", "props", F.col("ts")), "variable",
+                          {"click": "click_rate", "view": "view_rate"})
+    names = F.array_sort(F.map_keys("attrs"))
+    return a.select("variable", names.alias("attr_names"), F.transform(names, lambda n: F.element_at("attrs", n)).alias("attr_values"))
 
 
 def _raw_blocks(spark, sf_dir):

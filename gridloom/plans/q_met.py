@@ -558,6 +558,47 @@ def native_inputs(spark, sf_dir):
     return wind, levels, surface
 
 
+def _sql_native_points() -> str:
+    """CTEs ``ring``, ``pts`` (point_id, lat, lon) and ``f`` (the columns of the native grid)."""
+    lat1, lon1, lat2, lon2, n = LINE
+    return f"""{_sql_ring(NAT_HALF, NAT_COUNTS)},
+pts AS (SELECT CAST(i AS INT) AS point_id, {d(lat1)} + {d(lat2 - lat1)} * (i / {d(n - 1)}) AS lat, {d(lon1)} + {d(lon2 - lon1)} * (i / {d(n - 1)}) AS lon
+        FROM range({n}) r(i)),
+f AS (SELECT TIMESTAMP '2020-01-01 00:00:00' + to_hours(CAST(vec_id // 7 AS BIGINT)) AS time, CAST(vec_id % 7 + 1 AS INT) AS k, c AS cell,
+             250.0 + 10.0 * CAST(embedding[c + 1] AS DOUBLE) AS t, abs(CAST(embedding[64 - c] AS DOUBLE)) / 100.0 AS q,
+             CAST(embedding[c + 20] AS DOUBLE) AS w FROM embeddings, range({sum(NAT_COUNTS)}) r(c))"""
+
+
+@register("profile_gaussian", f"""
+WITH {_sql_native_points()},
+cell AS (SELECT ring.first + i AS cell, ring.lat AS clat, 360.0 * i / n_lon AS clon FROM ring, range({max(NAT_COUNTS)}) r(i) WHERE i < n_lon),
+near AS (SELECT point_id, arg_min(cell, 2 * asin(sqrt(least(1.0, pow(sin(radians(clat - lat) / 2), 2)
+                + cos(radians(clat)) * cos(radians(lat)) * pow(sin(radians(clon - lon) / 2), 2))))) AS cell FROM pts, cell GROUP BY point_id)
+SELECT point_id, time, k, CAST(cell AS INT) AS cell, round(t, 6) AS t, round(q, 9) AS q, round(w, 6) AS w FROM f JOIN near USING (cell)""")
+def q_profile_gaussian(spark, sf_dir):
+    """MET-12 / JN-12 on a reduced Gaussian grid: the profile of the column nearest on the sphere to
+    each point of a line."""
+    _, levels, _ = native_inputs(spark, sf_dir)
+    pts = regrid.line_points(spark, *LINE)
+    near = regrid.gaussian_point_cells(pts, ["point_id"], NAT_HALF, NAT_COUNTS, nearest=True)
+    return levels.join(near.drop("w"), "cell").select(
+        "point_id", "time", "k", F.col("cell").cast("int").alias("cell"), F.round("t", 6).alias("t"), F.round("q", 9).alias("q"),
+        F.round("w", 6).alias("w"))
+
+
+@register("sample_gaussian", f"""
+WITH {_sql_native_points()},
+{_sql_gaussian_weights(2, 2).replace(_sql_gaussian_weights(2, 2).split("near AS")[0], "dst AS (SELECT point_id AS dst_cell, lat, lon FROM pts)," + chr(10))}
+SELECT dst_cell AS point_id, time, k, round(sum(wt.w * t) / sum(wt.w), 6) AS t, round(sum(wt.w * f.w) / sum(wt.w), 6) AS w
+FROM f JOIN wt ON f.cell = wt.src_cell GROUP BY 1, 2, 3""")
+def q_sample_gaussian(spark, sf_dir):
+    """JN-12 on a reduced Gaussian grid: fields along a line, bilinear between rings."""
+    _, levels, _ = native_inputs(spark, sf_dir)
+    cells = regrid.gaussian_point_cells(regrid.line_points(spark, *LINE), ["point_id"], NAT_HALF, NAT_COUNTS)
+    out = regrid.sample_cells(levels.withColumnRenamed("w", "omega"), cells, ["point_id"], ["time", "k"], ["t", "omega"])
+    return out.select("point_id", "time", "k", F.round("t", 6).alias("t"), F.round("omega", 6).alias("w"))
+
+
 def _sql_assemble_native() -> str:
     uv = _sql_vd2uv().rsplit("SELECT vec_id, level, n, m,", 1)[0].rstrip()
     a = fixed.EARTH_RADIUS

@@ -134,29 +134,44 @@ def q_merge_conflicts(spark, sf_dir):
 
 
 @register("merge_groups", with_views("""
-SELECT coalesce(l.time, s.time) AS time, coalesce(l.cell, s.cell) AS cell, l.k, l.t, l.q, s.lnsp, s.zs
+SELECT coalesce(l.time, s.time) AS time, coalesce(l.cell, s.cell) AS cell, l.k, l.t, l.q, l.w, l.x, s.lnsp, s.zs
 FROM v_levels l FULL OUTER JOIN v_surface s ON l.time = s.time AND l.cell = s.cell""", "v_levels", "v_surface"))
 def q_merge_groups(spark, sf_dir):
     """JN-1: merge the level group with the surface group on shared coords."""
     lv = S.v_levels(spark, sf_dir)
-    return lv.select("time", "cell", "k", "t", "q").join(S.v_surface(lv), ["time", "cell"], "full_outer")
+    return release.merge_stores(lv, S.v_surface(lv), ["time", "cell"])
 
 
 @register("merge_stores", with_views("""
 WITH sp AS (SELECT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS time, CAST(l_partkey % 24 AS INT) AS cell,
                    CAST(max(l_quantity) AS DOUBLE) AS sp
             FROM lineitem GROUP BY 1, 2)
-SELECT coalesce(l.time, sp.time) AS time, coalesce(l.cell, sp.cell) AS cell, l.k, l.t, sp.sp
+SELECT coalesce(l.time, sp.time) AS time, coalesce(l.cell, sp.cell) AS cell, l.k, l.t, l.q, l.w, l.x, sp.sp
 FROM v_levels l FULL OUTER JOIN sp ON l.time = sp.time AND l.cell = sp.cell""", "v_levels"))
 def q_merge_stores(spark, sf_dir):
-    """JN-2: native-vertical store merged with another store's surface part."""
-    lv = S.v_levels(spark, sf_dir).select("time", "cell", "k", "t")
+    """JN-2: native-vertical store merged with another store's surface part; a conflict would fail it."""
     li = table(spark, sf_dir, "lineitem")
     from ..functions.dates import trunc_ntz
     sp = li.groupBy(trunc_ntz("month", "l_shipdate").alias("time"),
                     (F.col("l_partkey") % 24).cast("int").alias("cell")).agg(
         F.max("l_quantity").cast("double").alias("sp"))
-    return lv.join(sp, ["time", "cell"], "full_outer")
+    return release.merge_stores(S.v_levels(spark, sf_dir), sp, ["time", "cell"])
+
+
+@register("merge_stores_conflicts", with_views("""
+WITH b AS (SELECT time, cell, k, CASE WHEN cell % 5 = 3 THEN t + 1 WHEN cell % 5 <> 1 THEN t END AS t, q, w * 2 AS w2 FROM v_levels WHERE k <> 2)
+SELECT coalesce(a.time, b.time) AS time, coalesce(a.cell, b.cell) AS cell, coalesce(a.k, b.k) AS k, coalesce(a.t, b.t) AS t,
+       coalesce(a.q, b.q) AS q, a.w, b.w2, CAST(coalesce(a.t <> b.t, false) AS INT) + CAST(coalesce(a.q <> b.q, false) AS INT) AS n_conflicts
+FROM (SELECT time, cell, k, t, q, w FROM v_levels WHERE k <> 5) a
+FULL OUTER JOIN b ON a.time = b.time AND a.cell = b.cell AND a.k = b.k""", "v_levels"))
+def q_merge_stores_conflicts(spark, sf_dir):
+    """JN-2 with JN-9 in one plan: two stores that share t and q; t disagrees on some cells and is
+    missing on others; each lacks a level that the other has."""
+    lv = S.v_levels(spark, sf_dir)
+    c = F.col("cell") % 5
+    b = lv.where(F.col("k") != 2).select("time", "cell", "k", F.when(c == 3, F.col("t") + 1).when(c != 1, F.col("t")).alias("t"),
+                                         "q", (F.col("w") * 2).alias("w2"))
+    return release.merge_stores(lv.where(F.col("k") != 5).drop("x"), b, ["time", "cell", "k"], on_conflict="count")
 
 
 @register("align_outer", with_views(f"""

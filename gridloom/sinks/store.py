@@ -60,7 +60,7 @@ def hourly_template(spark: SparkSession, start: str, end: str, keys: DataFrame,
     hours = (datetime.fromisoformat(str(end)) - datetime.fromisoformat(str(start))) // timedelta(hours=1)
     axis = spark.range(hours + 1 if end_inclusive else hours).select(
         F.timestamp_add("HOUR", F.col("id"), F.lit(str(start)).cast("timestamp_ntz")).alias("time"))
-    return dims.checked_product(axis, keys).withColumn("value", F.lit(None).cast(dtype))
+    return dims.product(axis, keys).withColumn("value", F.lit(None).cast(dtype))
 
 
 def chunk_template(spark: SparkSession, start: str, end: str, var_levels: DataFrame, n_cells: int,

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import trunc_ntz
-from ..operators.dims import checked_product
+from ..operators.dims import product
 from .tables import table
 
 
@@ -66,7 +66,7 @@ def v_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     dates = o.select(F.col("o_orderdate").alias("date")).distinct()
     chunks = o.select(F.col("o_orderpriority").alias("chunk")).distinct()
-    return checked_product(dates, chunks)
+    return product(dates, chunks)
 
 
 def v_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
