@@ -4,7 +4,7 @@ The ascent is sequential in height.  Each column's levels are gathered into
 arrays (one row per column, at most 137 levels — bounded by the level axis
 whatever the data volume), and an Arrow-batched pandas UDF runs the ascent
 for a whole batch of columns at once, vectorised across columns (the loop
-is over levels only).  Everything around it (pressure, dewpoint, selection)
+is over levels only).  LFC and EL lie where buoyancy changes sign between levels.  Everything around it (pressure, dewpoint, selection)
 stays in DataFrame expressions.
 """
 
@@ -68,6 +68,12 @@ def _pack(rows) -> tuple[np.ndarray, np.ndarray]:
     return out, lens
 
 
+def _crossing(lnp, buoy, idx, i, j):
+    """Pressure where buoyancy is zero between levels i and j, linear in ln p."""
+    b0, b1 = buoy[idx, i], buoy[idx, j]
+    return np.exp(lnp[idx, i] + b0 / (b0 - b1) * (lnp[idx, j] - lnp[idx, i]))
+
+
 def batch_indices(ps, ts, qs, mode: str = "surface") -> dict:
     """Indices of a batch of columns, vectorised across columns.
 
@@ -111,16 +117,22 @@ def batch_indices(ps, ts, qs, mode: str = "surface") -> dict:
         buoy = tp - t
         lnp = np.log(p)
         cape, cin = np.zeros(n), np.zeros(n)
-        lfc, el = np.full(n, np.nan), np.full(n, np.nan)
+        lfc, last = np.full(n, np.nan), np.full(n, -1)
         for i in range(1, width):
             valid = (i > start) & (i < lens)
             layer = fixed.R_DRY * 0.5 * (buoy[:, i] + buoy[:, i - 1]) * (lnp[:, i - 1] - lnp[:, i])
             pos = valid & (p[:, i] <= p_lcl) & (buoy[:, i] > 0)
-            lfc = np.where(pos & np.isnan(lfc), p[:, i], lfc)
-            el = np.where(pos, p[:, i], el)
+            # buoyant from where buoyancy changes sign, but not below the LCL
+            base = np.where(buoy[:, i - 1] <= 0, np.minimum(_crossing(lnp, buoy, idx, i - 1, i), p_lcl), p_lcl)
+            lfc = np.where(pos & np.isnan(lfc), base, lfc)
+            last = np.where(pos, i, last)
             has_lfc = ~np.isnan(lfc)
             cape += np.where(valid & (layer > 0) & has_lfc, layer, 0.0)
             cin += np.where(valid & (layer < 0) & ~has_lfc, layer, 0.0)
+        # buoyant up to where buoyancy changes sign above the last buoyant level; to that level at the top
+        above = np.minimum(last + 1, width - 1)
+        el = np.where(last + 1 < lens, _crossing(lnp, buoy, idx, last, above), p[idx, last])
+        el[last < 0] = np.nan
     short = lens < 2
     for arr in (t_lcl, p_lcl, lfc, el):
         arr[short] = np.nan

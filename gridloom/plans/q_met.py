@@ -223,11 +223,73 @@ def q_lcl(spark, sf_dir):
     return p.select("time", "cell", F.round(t_lcl, 4).alias("lcl_t"), F.round(p_lcl / F.lit(100.0), 3).alias("lcl_hpa"))
 
 
-@register("parcel_indices", None)
+def _sql_parcel(mode: str) -> str:
+    """The ascent in SQL: eight steps a layer by recursion, from the LCL up; then buoyancy, layers
+    and crossings with windows."""
+    kappa, rd, cp, lv = d(fixed.R_DRY / fixed.CP_DRY), d(fixed.R_DRY), d(fixed.CP_DRY), d(parcel.LV)
+    es = lambda t: f"({d(fixed.ES_A1)} * exp({d(fixed.ES_A3_WATER)} * ({t} - {d(fixed.T_ZERO)}) / ({t} - {d(fixed.ES_A4_WATER)})))"
+    rs = lambda t, p: f"({d(fixed.EPSILON)} * {es(t)} / greatest({p} - {es(t)}, 1.0))"
+    ln = f"ln(greatest({_e('q', 'p')}, 1e-10) / {d(fixed.ES_A1)})"
+    td = f"(({d(fixed.ES_A3_WATER * fixed.T_ZERO)} - {d(fixed.ES_A4_WATER)} * {ln}) / ({d(fixed.ES_A3_WATER)} - {ln}))"
+    best = "0" if mode == "surface" else "arg_max(i, theta_e) FILTER (WHERE p >= p_low - 30000.0)"
+    zero = lambda p0, b0, p1, b1: f"exp(ln({p0}) + {b0} / ({b0} - {b1}) * (ln({p1}) - ln({p0})))"
+    return f"""WITH RECURSIVE {PRES},
+lev AS (SELECT time, cell, p, t, q, {td} AS td, row_number() OVER (PARTITION BY time, cell ORDER BY p DESC, t DESC, q DESC) - 1 AS i
+        FROM pf WHERE p IS NOT NULL AND t IS NOT NULL AND q IS NOT NULL),
+warm AS (SELECT *, max(p) OVER (PARTITION BY time, cell) AS p_low, t * pow(100000.0 / p, {kappa}) * exp({lv} * {rs('td', 'p')} / ({cp} * t)) AS theta_e
+         FROM lev),
+st AS (SELECT time, cell, {best} AS s, count(*) AS n FROM warm GROUP BY 1, 2),
+par AS (SELECT time, cell, s, n, p AS p0, t AS t0, least(td, t) AS td0 FROM st JOIN lev USING (time, cell) WHERE i = s),
+lcl AS (SELECT *, 1.0 / (1.0 / (td0 - 56.0) + ln(t0 / td0) / 800.0) + 56.0 AS t_lcl FROM par),
+lc AS (SELECT *, p0 * pow(t_lcl / t0, {d(fixed.CP_DRY / fixed.R_DRY)}) AS p_lcl FROM lcl),
+lay AS (SELECT l.time, l.cell, l.i, ln(l.p) AS l1,
+               ln(CASE WHEN lag(l.p) OVER w IS NULL THEN c.p_lcl ELSE lag(l.p) OVER w END) AS l0, lag(l.p) OVER w IS NULL AS lowest
+        FROM lev l JOIN lc c USING (time, cell) WHERE l.i >= c.s AND l.p < c.p_lcl WINDOW w AS (PARTITION BY l.time, l.cell ORDER BY l.i)),
+up(time, cell, i, step, lp, t) AS (
+  SELECT lay.time, lay.cell, lay.i, 0, lay.l0, lc.t_lcl FROM lay JOIN lc USING (time, cell) WHERE lowest
+  UNION ALL
+  SELECT time, cell, i, step, lp + (l1 - l0) / 8, t + (l1 - l0) / 8 * ({rd} * t + {lv} * r)
+         / ({cp} + {lv} * {lv} * r * {d(fixed.EPSILON)} / ({rd} * t * t))
+  FROM (SELECT x.time, x.cell, x.i, x.step, x.t, y.l0, y.l1, CASE WHEN x.step = 1 THEN y.l0 ELSE x.lp END AS lp,
+               {rs('x.t', 'exp(CASE WHEN x.step = 1 THEN y.l0 ELSE x.lp END)')} AS r
+        FROM (SELECT time, cell, lp, t, CASE WHEN step = 8 THEN i + 1 ELSE i END AS i, CASE WHEN step = 8 THEN 1 ELSE step + 1 END AS step FROM up) x
+        JOIN lay y ON y.time = x.time AND y.cell = x.cell AND y.i = x.i)),
+b AS (SELECT l.time, l.cell, l.i, l.p, c.p_lcl, c.s, c.n,
+             CASE WHEN l.p >= c.p_lcl THEN c.t0 * pow(l.p / c.p0, {kappa}) ELSE u.t END - l.t AS b
+      FROM lev l JOIN lc c USING (time, cell) LEFT JOIN up u ON u.time = l.time AND u.cell = l.cell AND u.i = l.i AND u.step = 8
+      WHERE l.i >= c.s),
+e AS (SELECT *, lag(p) OVER w AS pd, lag(b) OVER w AS bd, lead(p) OVER w AS pu, lead(b) OVER w AS bu FROM b
+      WINDOW w AS (PARTITION BY time, cell ORDER BY i)),
+f AS (SELECT *, i > s AND p <= p_lcl AND b > 0 AS pos, CASE WHEN i > s THEN {rd} * 0.5 * (b + bd) * (ln(pd) - ln(p)) END AS layer FROM e),
+g AS (SELECT time, cell, min(i) FILTER (WHERE pos) AS lo, max(i) FILTER (WHERE pos) AS hi FROM f GROUP BY 1, 2),
+h AS (SELECT f.time, f.cell,
+             max(CASE WHEN i = lo THEN CASE WHEN bd <= 0 THEN least({zero('pd', 'bd', 'p', 'b')}, p_lcl) ELSE p_lcl END END) AS lfc_p,
+             max(CASE WHEN i = hi THEN CASE WHEN pu IS NULL THEN p ELSE {zero('p', 'b', 'pu', 'bu')} END END) AS el_p,
+             coalesce(sum(CASE WHEN layer > 0 AND i >= lo THEN layer END), 0) AS cape,
+             coalesce(sum(CASE WHEN layer < 0 AND (lo IS NULL OR i < lo) THEN layer END), 0) AS cin
+      FROM f JOIN g USING (time, cell) GROUP BY 1, 2)
+SELECT k.time, k.cell, CASE WHEN n >= 2 THEN round(p_lcl, 3) END AS lcl_p, CASE WHEN n >= 2 THEN round(t_lcl, 4) END AS lcl_t,
+       CASE WHEN n >= 2 THEN round(lfc_p, 3) END AS lfc_p, CASE WHEN n >= 2 THEN round(el_p, 3) END AS el_p,
+       CASE WHEN n >= 2 THEN round(cape, 3) ELSE 0 END AS cape, CASE WHEN n >= 2 THEN round(cin, 3) ELSE 0 END AS cin
+FROM (SELECT DISTINCT time, cell FROM v_levels) k LEFT JOIN lc USING (time, cell) LEFT JOIN h USING (time, cell)"""
+
+
+def _parcel(spark, sf_dir, mode):
+    r = parcel.parcel_indices(levels_with_pressure(spark, sf_dir), ["time", "cell"], mode=mode)
+    places = {"lcl_p": 3, "lcl_t": 4, "lfc_p": 3, "el_p": 3, "cape": 3, "cin": 3}
+    return r.select("time", "cell", *[(F.round(c, n) + F.lit(0.0)).alias(c) for c, n in places.items()])
+
+
+@register("parcel_indices", with_views(_sql_parcel("surface"), "v_levels", "v_surface"))
 def q_parcel_indices(spark, sf_dir):
     """MET-13: LCL, LFC, EL, CAPE, CIN per column (grouped pandas ascent)."""
-    p = levels_with_pressure(spark, sf_dir)
-    return parcel.parcel_indices(p, ["time", "cell"])
+    return _parcel(spark, sf_dir, "surface")
+
+
+@register("parcel_most_unstable", with_views(_sql_parcel("most_unstable"), "v_levels", "v_surface"))
+def q_parcel_most_unstable(spark, sf_dir):
+    """MET-13, the most unstable parcel of the lowest 300 hPa."""
+    return _parcel(spark, sf_dir, "most_unstable")
 
 
 # ------------------------------------------------------------------ sampling / sections

@@ -73,8 +73,9 @@ def with_views(body: str, *views: str) -> str:
         needed.insert(needed.index("v_surface"), "v_levels")
     ctes = ",\n".join(f"{v} AS ({defs[v]})" for v in needed)
     body = body.strip()
-    if body.upper().startswith("WITH "):
-        return f"WITH {ctes},\n{body[5:]}"
+    for head in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(head):
+            return f"{head}{ctes},\n{body[len(head):]}"
     return f"WITH {ctes}\n{body}"
 
 

@@ -130,9 +130,10 @@ def column_indices(p: np.ndarray, t: np.ndarray, q: np.ndarray, mode: str = "sur
         b = 0.5 * (buoy[i] + buoy[i - 1])
         layer = fixed.R_DRY * b * (lnp[i - 1] - lnp[i])
         if p[i] <= p_lcl and buoy[i] > 0:
+            zero = lambda j: np.exp(lnp[j] + buoy[j] / (buoy[j] - buoy[j + 1]) * (lnp[j + 1] - lnp[j]))
             if np.isnan(lfc):
-                lfc = p[i]
-            el = p[i]
+                lfc = min(zero(i - 1), p_lcl) if buoy[i - 1] <= 0 else p_lcl
+            el = zero(i) if i + 1 < len(p) and buoy[i + 1] <= 0 else p[i]
         if layer > 0 and not np.isnan(lfc):
             cape += layer
         elif layer < 0 and np.isnan(lfc):
