@@ -18,25 +18,47 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions import dates as D
 from ..operators import dims, fields, layout, manifest, met, regrid, release, spectral
-from ..sinks import axis
+from ..sinks import axis, chunks
 from ..sinks import store as ST
 from ..sinks.journal import Journal
 
 
 def build_store(raw: DataFrame, path: str, keys: Sequence[str] = ("time", "lat_idx", "lon_idx"),
-                partition_by=("variable", "date")) -> None:
-    """Normalise raw blocks, combine releases where they are marked (one row per cell), write
-    the store (refuses an existing one)."""
+                partition_by=("variable", "date"), levels: DataFrame | None = None, start: str | None = None,
+                end: str | None = None, dims: Mapping[str, int] | None = None, chunking: chunks.Chunking | None = None) -> None:
+    """Bulk build: normalise raw blocks, combine releases where they are marked (one row per cell),
+    merge the level fields in, and write the store (refuses an existing one).
+
+    ``levels`` (with a ``level`` column) are the multi-level fields, ``raw`` then the single-level ones
+    (JN-1); level is missing for the latter.  Three layouts: rows as they are; with ``start``, ``end``
+    (exclusive) and ``dims``, rows on an axis (SNK-1, SNK-4) whose other cells are missing; with
+    ``chunking`` as well, arrays re-blocked into chunks (SNK-14), the first dimension, ``step``, counting hours
+    from ``start``."""
+    own = list(keys)
+    if levels is not None:
+        raw, own = raw.unionByName(levels, allowMissingColumns=True), [*own, "level"]
+    if "path" in raw.columns:
+        fields.assert_one_variable_per_file(raw)
     if "expver" in raw.columns:
         time_col = "time" if "time" in raw.columns else "valid_time"
-        cell = [time_col if k == "time" else k for k in keys]
-        if "path" in raw.columns:
-            fields.assert_one_variable_per_file(raw)
+        cell = [time_col if k == "time" else k for k in own]
         raw = release.combine_releases(raw.withColumn("value", fields.nan_to_null("value")), [*cell, "variable"])
         raw = raw.drop("expver_used")
-    n = fields.normalize_raw(raw, check="path" in raw.columns)
-    n = n.withColumn("date", F.col("time").cast("date"))
-    ST.write_store(n.select(*keys, "variable", "value", "date"), path, partition_by)
+    n = fields.normalize_raw(raw, check=False).select(*own, "variable", "value")
+    arrays = ["variable", *(["level"] if "level" in own else [])]
+    if chunking is not None:
+        if start is None:
+            raise ValueError("chunks count steps from a start")
+        step = D.time_offset_hours(F.lit(str(start)).cast("timestamp_ntz"), "time").cast("int")
+        chunks.build(n.withColumn(chunking.names[0], step), path, chunking, arrays)
+        return
+    rows = n.withColumn("date", F.col("time").cast("date"))
+    if start is None:
+        ST.write_store(rows, path, partition_by)
+        return
+    spark = raw.sparkSession
+    axis.create_store(spark, path, start, end, n.select(*arrays).distinct(), dims or {}, n.schema["value"].dataType.simpleString())
+    ST.replace_regions(spark, path, rows, [c for c in ("time", "level") if c in own], partition_by)
 
 
 def _record(spark: SparkSession, attrs_path: str | None, store_name: str, time_end: str | None, mode: str,

@@ -3,21 +3,25 @@ under the checkpoint folder and returns what the job leaves there."""
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.paths import grouped_file_path
+from ..functions.paths import ar_file_path, grouped_file_path
 from ..operators import layout, met
 from ..session import scratch_path
+from ..sinks import axis, chunks
 from ..sinks import store as ST
 from ..sources import standins as S
 from ..sources.tables import table
 from . import jobs
+from .q_manifest import ROOT, SQL_VAR_LEVELS, _grid_variables, _sql_year_manifest
 from .q_met import (GEO, N_LEVELS, NAT_COUNTS, NAT_HALF, NAT_NLAT, NAT_NLON, TRUNC, _e, _es, _sql_assemble_native, _td, d,
                     native_inputs)
 from .q_release import SQL_COMBINED, _combined_and_reissued
 from .q_store import _events_window
-from .registry import register, with_views
+from .registry import register, sql_ar_path, sql_grouped_path, sql_list, with_views
 
 SQL_RELEASE_MERGED = """m AS (SELECT time, variable, cell, arg_max(value, CASE WHEN expver = 1 THEN 2 ELSE 1 END) AS value
       FROM v_release WHERE value IS NOT NULL GROUP BY time, variable, cell)"""
@@ -37,6 +41,103 @@ def q_job_build_store(spark, sf_dir):
     return ST.read_store(spark, path).select("time", "variable", "cell", "value", "date")
 
 
+def _both_groups(spark, sf_dir):
+    """Raw blocks of both releases: single-level fields, and multi-level ones at one level."""
+    r = S.v_release(spark, sf_dir).withColumnRenamed("time", "valid_time")
+    multi = F.length("variable") <= 5
+    return r.where(~multi), r.where(multi).withColumn("level", F.lit(500))
+
+
+SQL_BOTH = f"""{SQL_RELEASE_MERGED}, w AS (SELECT CAST(min(ts) AS DATE) AS s, CAST(max(ts) AS DATE) + 1 AS e FROM events),
+v AS (SELECT DISTINCT event_type AS variable, CASE WHEN length(event_type) <= 5 THEN 500 END AS level FROM events)"""
+
+
+@register("job_build_filled", with_views(f"""WITH {SQL_BOTH},
+hours AS (SELECT unnest(generate_series(CAST(s - 2 AS TIMESTAMP), CAST(e AS TIMESTAMP) - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS time FROM w)
+SELECT hours.time, v.variable, v.level, CAST(c AS INT) AS cell, m.value, CAST(hours.time AS DATE) AS date
+FROM hours CROSS JOIN v CROSS JOIN range(24) r(c) LEFT JOIN m ON m.time = hours.time AND m.variable = v.variable AND m.cell = c""",
+                                        "v_release"))
+def q_job_build_filled(spark, sf_dir):
+    """Job build_store as a whole: both groups merged, releases combined, written on an axis that begins
+    two days before the data; read with all its missing cells."""
+    path = scratch_path(spark, "job-build-axis")
+    single, multi = _both_groups(spark, sf_dir)
+    first, end = _events_window(spark, sf_dir)
+    start = str(datetime.date.fromisoformat(first) - datetime.timedelta(days=2))
+    jobs.build_store(single, path, ("time", "cell"), levels=multi, start=start, end=end, dims={"cell": 24})
+    return axis.read_filled(spark, path)
+
+
+@register("job_build_chunks", with_views(f"""WITH {SQL_BOTH}
+SELECT m.variable, v.level, CAST(date_diff('hour', CAST(s AS TIMESTAMP), m.time) AS INT) AS step, m.cell, m.value
+FROM m JOIN v USING (variable), w""", "v_release"))
+def q_job_build_chunks(spark, sf_dir):
+    """Job build_store into chunks of 48 hours x 10 cells: the cells that the store holds."""
+    path = scratch_path(spark, "job-build-chunks")
+    single, multi = _both_groups(spark, sf_dir)
+    first, end = _events_window(spark, sf_dir)
+    n = 24 * (datetime.date.fromisoformat(end) - datetime.date.fromisoformat(first)).days
+    by = chunks.Chunking(("step", "cell"), (n, 24), (48, 10))
+    jobs.build_store(single, path, ("time", "cell"), levels=multi, start=first, end=end, chunking=by)
+    return chunks.to_cells(chunks.read(spark, path, by), ["variable", "level"], by).where(F.col("value").isNotNull())
+
+
+LISTED_LEVEL = fixed.PRESSURE_LEVEL_GROUPS["full_37"]
+
+
+@register("job_check_availability", f"""
+WITH {SQL_VAR_LEVELS},
+day AS (SELECT CAST(max(ts) AS DATE) - 6 AS date FROM events),
+ml AS (SELECT unnest({sql_list(fixed.MODEL_LEVEL_CHUNKS)}) AS chunk),
+expected AS (SELECT {sql_grouped_path(ROOT, 'date', 'chunk', False)} AS path FROM day, ml
+             UNION ALL SELECT {sql_ar_path(ROOT, 'date', 'variable', 'level')} AS path FROM day, vl),
+here AS (SELECT DISTINCT CAST(ts AS DATE) AS date, event_type AS variable,
+                CASE WHEN length(event_type) <= 5 THEN CAST({sql_list(LISTED_LEVEL)}[CAST(event_id % 37 AS INT) + 1] AS INT) END AS level FROM events),
+listed AS (SELECT {sql_ar_path(ROOT, 'date', 'variable', 'level')} AS path FROM here)
+SELECT count(*) AS n_missing, count(*) > 0 AS data_is_missing FROM expected WHERE path NOT IN (SELECT path FROM listed)""")
+def q_job_check_availability(spark, sf_dir):
+    """Job check_availability, daily mode: files of the refresh day that the listing (the fields and
+    levels that have events) lacks."""
+    e = table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("date"), F.col("event_type").alias("variable"), "event_id")
+    level = F.when(F.length("variable") <= 5, F.element_at(F.array(*[F.lit(x) for x in LISTED_LEVEL]), (F.col("event_id") % 37 + 1).cast("int")))
+    listing = e.select("date", "variable", level.alias("level")).distinct().select(
+        ar_file_path(F.lit(ROOT), "date", "variable", F.col("level")).alias("path"))
+    today = e.agg(F.max("date").cast("string")).first()[0]
+    return jobs.check_availability(spark, today, fixed.MODE_DAILY, listing, ROOT, _grid_variables(spark, sf_dir))
+
+
+SQL_LISTED_NAMES = f"""SELECT DISTINCT 'raw/ERA5GRIB/HRES/Daily/' || strftime(o_orderdate, '%Y') || '/' || strftime(o_orderdate, '%Y%m%d') || '_hres_'
+       || {sql_list([*fixed.CHECK_DAILY_CHUNKS, 'stray'])}[CAST(o_custkey % {len(fixed.CHECK_DAILY_CHUNKS) + 1} AS INT) + 1]
+       || CASE WHEN o_orderkey % 11 = 0 THEN '.tmp' ELSE '.grb2' END AS name FROM orders"""
+
+
+@register("job_check_consistency", f"""
+SELECT name FROM ({SQL_LISTED_NAMES}) WHERE name NOT IN (SELECT name FROM ({_sql_year_manifest()}))""")
+def q_job_check_consistency(spark, sf_dir):
+    """Job check_consistency: names under the year prefixes (one a day and chunk with orders, some of
+    them strays) that the archive does not expect."""
+    o = table(spark, sf_dir, "orders")
+    names = [*fixed.CHECK_DAILY_CHUNKS, "stray"]
+    chunk = F.element_at(F.array(*[F.lit(x) for x in names]), (F.col("o_custkey") % len(names) + 1).cast("int"))
+    listing = o.select(F.concat(F.lit("raw/ERA5GRIB/HRES/Daily/"), F.date_format("o_orderdate", "yyyy"), F.lit("/"),
+                                F.date_format("o_orderdate", "yyyyMMdd"), F.lit("_hres_"), chunk,
+                                F.when(F.col("o_orderkey") % 11 == 0, F.lit(".tmp")).otherwise(F.lit(".grb2"))).alias("name")).distinct()
+    return jobs.check_consistency(spark, o.select(F.year("o_orderdate").alias("year")).distinct(), listing)
+
+
+@register("job_derive", with_views(f"""WITH {GEO}
+SELECT time, cell, k, round(p, 4) AS p, round(z, 3) AS geopotential, round({d(100.0)} * {_e('q', 'p')} / {_es('t')}, 4) AS r,
+       round({_td('q', 'p')}, 4) AS td, round(sqrt(u * u + v * v), 6) AS ws, t AS temperature, q AS specific_humidity
+FROM gz""", "v_levels", "v_surface"))
+def q_job_derive(spark, sf_dir):
+    """Job derive: pressure, geopotential, humidity, dewpoint and wind speed of every column, under long names."""
+    lv = S.v_levels(spark, sf_dir)
+    wind = lv.withColumn("u", F.col("x") / F.lit(1000.0) - F.lit(50.0)).withColumn("v", F.col("t") - F.lit(255.0))
+    out = jobs.derive(spark, wind, S.v_surface(lv), met.hybrid_coefficients(spark, N_LEVELS))
+    places = {"p": 4, "geopotential": 3, "r": 4, "td": 4, "ws": 6}
+    return out.select("time", "cell", "k", *[F.round(c, n).alias(c) for c, n in places.items()], "temperature", "specific_humidity")
+
+
 @register("job_update_daily", with_views(f"""
 WITH w AS (SELECT CAST(min(ts) AS DATE) + 9 AS s, CAST(min(ts) AS DATE) + 11 AS e FROM events), {SQL_RELEASE_MERGED},
 x AS (SELECT time, variable, cell, value FROM v_release, w WHERE expver = 5 AND NOT CAST(time AS DATE) BETWEEN s AND e
