@@ -150,6 +150,22 @@ def drop_dims(df: DataFrame, dim: str) -> DataFrame:
     return df.drop(*gone)
 
 
+def drop_dim_of_tables(tables: Sequence[tuple[DataFrame, Sequence[str]]], dim: str) -> DataFrame:
+    """PRJ-14 on tables not merged yet, each with the dimensions of its rows: what is left of their
+    merge once every variable with ``dim`` is dropped.
+
+    A table with ``dim`` gives only its other coordinates (distinct, partial sums before the
+    exchange); its variables are never joined.  Tables without it are merged on the dimensions they share."""
+    out: DataFrame | None = None
+    have: list[str] = []
+    for df, dims in tables:
+        rest = [x for x in dims if x != dim]
+        part = df.select(*rest).distinct() if dim in dims else df
+        on = [x for x in rest if x in have]
+        out, have = (part if out is None else out.join(part, on, "full_outer")), list(dict.fromkeys([*have, *rest]))
+    return out
+
+
 def data_vars(schema: DataFrame) -> DataFrame:
     """PRJ-16 / AG-9: array names that are not dimension names, and whether they
     have a time axis.  ``schema`` is (name, dims)."""

@@ -134,6 +134,20 @@ def availability_manifest(spark: SparkSession, window: DataFrame, mode: str, roo
     return out
 
 
+def split_parents(spark: SparkSession, promoted: DataFrame, staged_root: str, root: str) -> DataFrame:
+    """SNK-13: the month files behind promoted blocks of split variables.
+
+    Some chunks (soil, precipitation) are split, from one month file, into a file a variable;
+    when such a block (``store``, ``chunk``, ``date``) is promoted, so is the month file it came from.
+    Returns one row a file: store, month, staged_path, path."""
+    sc = dims.store_chunks(spark).where(F.col("chunk").contains("_")).select("store", "chunk")
+    parent = F.split_part("chunk", F.lit("_"), F.lit(1))
+    month = F.trunc("date", "MM")
+    name = lambda r: grouped_file_path(F.lit(r), month, parent, F.lit(True))
+    return (promoted.join(sc, ["store", "chunk"]).select("store", month.alias("month"), name(staged_root).alias("staged_path"),
+                                                         name(root).alias("path")).distinct())
+
+
 def missing(expected: DataFrame, actual: DataFrame, on) -> DataFrame:
     """JN-5: expected rows with no actual counterpart (left anti join)."""
     return expected.join(actual, on, "left_anti")

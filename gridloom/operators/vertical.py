@@ -83,12 +83,11 @@ def hodograph_bins(df: DataFrame, keys: Sequence[str], level: str, p: str, u: st
                                                            & (F.col(p) >= F.element_at(lo_arr, i + 1)))).alias("bin"))
     wb = Window.partitionBy(*keys, "bin")
     inbin = inbin.withColumn("_kmax", F.max(level).over(wb))
-    pts = inbin.select(*keys, "bin", F.col(level).alias("k"), F.col(u).alias("u"), F.col(v).alias("v"),
-                       F.col(p).alias("p"), F.lit(False).alias("is_edge"))
-    edge = inbin.where((F.col(level) == F.col("_kmax")) & F.col("_next").isNotNull()).select(
-        *keys, "bin", F.col("_next.k").alias("k"), F.col("_next.u").alias("u"), F.col("_next.v").alias("v"),
-        F.col("_next.p").alias("p"), F.lit(True).alias("is_edge"))
-    out = pts.unionByName(edge)
+    # a row gives its point and, where it is the bin's last, the next level's: one pass
+    own = F.struct(F.col(level).alias("k"), F.col(u).alias("u"), F.col(v).alias("v"), F.col(p).alias("p"), F.lit(False).alias("is_edge"))
+    last = (F.col(level) == F.col("_kmax")) & F.col("_next").isNotNull()
+    edge = F.when(last, F.struct("_next.k", "_next.u", "_next.v", "_next.p", F.lit(True).alias("is_edge")))
+    out = inbin.select(*keys, "bin", F.inline(F.array_compact(F.array(own, edge))))
     return out.select(*keys, F.element_at(hi_arr, F.col("bin") + 1).alias("bin_bottom"),
                       F.element_at(lo_arr, F.col("bin") + 1).alias("bin_top"), "k", "u", "v", "p", "is_edge")
 

@@ -175,6 +175,23 @@ def reconcile_release(spark: SparkSession, current: DataFrame, staged: DataFrame
     return spark.read.parquet(audit_path)
 
 
+def promote_parents(spark: SparkSession, promoted: DataFrame, staged_root: str, root: str) -> int:
+    """SNK-13: replace the month files behind promoted blocks of split variables by their staged
+    copies, which are then removed.  One that is not staged (any more) is left alone, so a rerun is
+    harmless.  Returns the number of files replaced; there is one a month and family."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf, n = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    for r in manifest.split_parents(spark, promoted, staged_root, root).collect():
+        source, target = hadoop.Path(r["staged_path"]), hadoop.Path(r["path"])
+        files, there = source.getFileSystem(conf), target.getFileSystem(conf)
+        if files.exists(source):
+            # the staged copy goes only once the new file is whole
+            hadoop.FileUtil.copy(files, source, there, target, False, True, conf)
+            files.delete(source, False)
+            n += 1
+    return n
+
+
 def check_availability(spark: SparkSession, today: str, mode: str, listing: DataFrame, root: str,
                        variables: DataFrame) -> DataFrame:
     """Refresh window of the mode -> expected files -> missing ones (path) with a flag."""

@@ -253,24 +253,14 @@ def q_expand_level(spark, sf_dir):
     return fields.expand_dim(S.v_grid(spark, sf_dir), "level", 1000)
 
 
-def _merged_with_dims(spark, sf_dir):
-    """Levels and per-column surface fields merged, each column tagged with its dims."""
-    lv = S.v_levels(spark, sf_dir)
-    sf = S.v_surface(lv)
-    m = lv.join(sf, ["time", "cell"], "full_outer")
-    return m.select(fields.with_dims("time", ["time"]), fields.with_dims("cell", ["cell"]),
-                    fields.with_dims("k", ["k"]),
-                    *[fields.with_dims(v, ["time", "k", "cell"]) for v in ("t", "q", "w", "x")],
-                    *[fields.with_dims(v, ["time", "cell"]) for v in ("lnsp", "zs")])
-
-
 @register("drop_dims", with_views("""
 SELECT DISTINCT l.time, l.cell, ln(98000.0 + s.x * 0.04) AS lnsp, s.w * 10000.0 AS zs
 FROM v_levels l LEFT JOIN (SELECT * FROM v_levels WHERE k = 7) s ON l.time = s.time AND l.cell = s.cell""",
                                   "v_levels"))
 def q_drop_dims(spark, sf_dir):
-    """PRJ-14: drop every variable with a level dimension -> the surface fields."""
-    return fields.drop_dims(_merged_with_dims(spark, sf_dir), "k").distinct()
+    """PRJ-14: drop every variable with a level dimension -> the surface fields of all columns."""
+    lv = S.v_levels(spark, sf_dir)
+    return fields.drop_dim_of_tables([(lv, ["time", "cell", "k"]), (S.v_surface(lv), ["time", "cell"])], "k")
 
 
 @register("data_vars", with_views(f"""

@@ -144,6 +144,25 @@ def q_extra_files(spark, sf_dir):
     return manifest.extra(listed, expected, ["date", "chunk"])
 
 
+SPLIT = [(s, c) for s, cs in fixed.STORE_CHUNKS.items() for c in cs]
+SQL_PARENT = ("'{root}/ERA5GRIB/HRES/Month/' || strftime(date, '%Y') || '/' || strftime(date, '%Y%m') || '_hres_' || "
+              "split_part(chunk, '_', 1) || '.grb2'")
+
+
+@register("split_parents", f"""
+WITH c AS (SELECT {sql_list([s for s, _ in SPLIT])}[i + 1] AS store, {sql_list([c for _, c in SPLIT])}[i + 1] AS chunk, i FROM range({len(SPLIT)}) r(i)),
+p AS (SELECT DISTINCT store, chunk, CAST(o_orderdate AS DATE) AS date FROM orders JOIN c ON o_custkey % {len(SPLIT)} = i WHERE o_orderstatus = 'F')
+SELECT DISTINCT store, CAST(date_trunc('month', date) AS DATE) AS month, {SQL_PARENT.format(root='/archive/staging')} AS staged_path,
+       {SQL_PARENT.format(root=ROOT)} AS path FROM p WHERE contains(chunk, '_')""")
+def q_split_parents(spark, sf_dir):
+    """SNK-13: month files of soil and precipitation to promote with the split blocks (one a filled order)."""
+    o = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+    at = (F.col("o_custkey") % len(SPLIT) + 1).cast("int")
+    pick = lambda i: F.element_at(F.array(*[F.lit(x[i]) for x in SPLIT]), at)
+    promoted = o.select(pick(0).alias("store"), pick(1).alias("chunk"), F.col("o_orderdate").cast("date").alias("date")).distinct()
+    return manifest.split_parents(spark, promoted, "/archive/staging", ROOT)
+
+
 @register("missing_flag", with_views("""
 SELECT count(*) AS n_missing, count(*) > 0 AS data_is_missing
 FROM (SELECT date, chunk FROM v_expected EXCEPT ALL SELECT date, chunk FROM v_actual) m""", "v_expected", "v_actual"))

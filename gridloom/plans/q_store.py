@@ -174,12 +174,12 @@ PLEVEL_SQL = f"{sql_list(fixed.PRESSURE_LEVEL_GROUPS['full_37'])}[CAST((cell + k
 SELECT time, cell, variable, CASE WHEN level IN (500, 850) THEN value ELSE value * 0.0 END AS value,
        CAST(time AS DATE) AS date, level
 FROM (SELECT time, cell, CAST({PLEVEL_SQL} AS INT) AS level, variable, value
-      FROM v_levels UNPIVOT (value FOR variable IN (t, q)))""", "v_levels"))
+      FROM v_levels UNPIVOT (value FOR variable IN (t, q, w, x)))""", "v_levels"))
 def q_region_write_level(spark, sf_dir):
     """SNK-8: a pressure-level file overwrites its (time, level) region only."""
     from .q_fields import _plevels
     path = scratch_path(spark, "level")
-    p = layout.unpivot_long(_plevels(spark, sf_dir), ["time", "cell", "level"], ["t", "q"]).withColumn(
+    p = layout.unpivot_long(_plevels(spark, sf_dir), ["time", "cell", "level"], ["t", "q", "w", "x"]).withColumn(
         "date", F.col("time").cast("date"))
     ST.write_store(p.withColumn("value", F.col("value") * F.lit(0.0)), path)
     # (time, level) regions merged into their (variable, date) partitions, staged

@@ -189,8 +189,8 @@ def replace_regions(spark: SparkSession, path: str, new: DataFrame, region=(),
     from . import axis
     cols = list(partition_by)
     stage = staging or scratch_path(spark, "stage")
-    new.write.mode("errorifexists").partitionBy(*cols).parquet(f"{stage}/new")
-    staged = read_staged(spark, f"{stage}/new", new)
+    new.write.parquet(f"{stage}/new")
+    staged = spark.read.schema(new.schema).parquet(f"{stage}/new")
     if staged.isEmpty():                     # no rows: nothing changes, no store either
         delete(spark, stage)
         return
@@ -203,8 +203,8 @@ def replace_regions(spark: SparkSession, path: str, new: DataFrame, region=(),
             key = [*cols, *region]
             regions = staged.select(*key).distinct()
             kept = current.join(regions, same(current, regions, key), "left_anti")
-            kept.write.partitionBy(*cols).parquet(f"{stage}/kept")
-            staged = read_staged(spark, f"{stage}/kept", current).select(*current.columns).unionByName(staged)
+            kept.write.parquet(f"{stage}/kept")
+            staged = spark.read.schema(current.schema).parquet(f"{stage}/kept").unionByName(staged)
     overwrite_regions(staged, path, partition_by)
     delete(spark, stage)
 

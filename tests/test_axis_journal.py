@@ -232,3 +232,53 @@ def test_a_step_without_rows_is_a_gap(spark):
     expected = spark.createDataFrame([("t", x) for x in t], "variable string, time timestamp_ntz")
     got = {r.time.hour: (r.gap_final, r.gap_prelim) for r in release.release_gaps(df, ["variable", "time"], 2, expected=expected).collect()}
     assert got == {0: (False, True), 1: (True, True), 2: (True, True)}
+
+
+def test_month_files_follow_their_split_blocks(spark, tmp_path):
+    old, new = tmp_path / "raw", tmp_path / "staged"
+    folder = "ERA5GRIB/HRES/Month/2024"
+    for root, text in ((old, "old"), (new, "new")):
+        (root / folder).mkdir(parents=True)
+        for name in ("202402_hres_soil.grb2", "202402_hres_pcp.grb2"):
+            (root / folder / name).write_text(text)
+    promoted = spark.createDataFrame([("single-level-reanalysis", c, datetime.date(2024, 2, d)) for c, d in (
+        ("soil_depthBelowLandLayer_stl1", 1), ("soil_depthBelowLandLayer_stl2", 9), ("cape", 3), ("soil_surface_tsn", 1))],
+        "store string, chunk string, date date")
+    assert jobs.promote_parents(spark, promoted, str(new), str(old)) == 1
+    assert jobs.promote_parents(spark, promoted, str(new), str(old)) == 0
+    assert (old / folder / "202402_hres_soil.grb2").read_text() == "new" and not (new / folder / "202402_hres_soil.grb2").exists()
+    assert (old / folder / "202402_hres_pcp.grb2").read_text() == "old"
+
+
+@pytest.mark.parametrize("on_conflict", ["raise", "count"])
+def test_merge_checks_while_it_merges(spark, on_conflict):
+    a = spark.createDataFrame([(0, None, 1.0, 5.0), (1, 500, None, 5.0), (2, 500, 3.0, 5.0)], "cell int, level int, t double, w double")
+    b = spark.createDataFrame([(0, None, 1.0), (1, 500, 2.0), (3, None, 4.0)], "cell int, level int, t double")
+    same = release.merge_stores(a, b, ["cell", "level"], on_conflict)
+    got = {(r.cell, r.level): (r.t, r.w) for r in same.collect()}
+    assert got == {(0, None): (1.0, 5.0), (1, 500): (2.0, 5.0), (2, 500): (3.0, 5.0), (3, None): (4.0, None)}
+    worse = release.merge_stores(a, b.unionByName(spark.createDataFrame([(2, 500, 9.0)], b.schema)), ["cell", "level"], on_conflict)
+    if on_conflict == "raise":
+        with pytest.raises(Exception, match="conflicting values of t at cell=2, level=500"):
+            worse.collect()
+    else:
+        assert {r.cell: r.n_conflicts for r in worse.collect()} == {0: 0, 1: 0, 2: 1, 3: 0}
+
+
+def test_nearest_on_rings_is_the_nearest_of_all():
+    import numpy as np
+
+    from gridloom.operators import regrid
+    rng = np.random.default_rng(4)
+    for n_half, counts in ((2, [8, 12, 12, 8]), (8, None), (3, [1, 7, 30]), (4, [4, 4, 50, 50])):
+        grid = regrid.reduced_gaussian_grid(n_half, counts)
+        lat, lon = np.degrees(np.arcsin(rng.uniform(-1, 1, 400))), rng.uniform(0, 360, 400)
+        lat[:4], lon[:4] = [90, -90, 89.9, 0], [0, 10, 359.9, 0]
+        cell, dist = regrid._nearest_on_rings(grid, lat, lon)
+        clat = np.repeat(grid[0], grid[1])
+        clon = np.concatenate([360.0 * np.arange(n) / n for n in grid[1]])
+        a, b = np.radians(clat)[None, :], np.radians(lat)[:, None]
+        half = np.sin((a - b) / 2) ** 2 + np.cos(a) * np.cos(b) * np.sin(np.radians(clon[None, :] - lon[:, None]) / 2) ** 2
+        every = np.degrees(2 * np.arcsin(np.sqrt(np.minimum(half, 1))))
+        np.testing.assert_allclose(dist, every.min(axis=1), atol=1e-9)
+        np.testing.assert_allclose(every[np.arange(400), cell], every.min(axis=1), atol=1e-9)
