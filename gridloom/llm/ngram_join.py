@@ -9,12 +9,18 @@ shingles, where a row meets only rows of its size band (``n`` to ``n * 100 / 75`
 Hashed bitmap signatures bound each candidate's overlap from above by bit counts; what
 the bound leaves is decided by exact intersection of the sorted arrays.
 
-Skew.  A tile never lists its pairs outright.  Round 1 ties each row of a tile to the
-tile's pivot (the row richest in frequent shingles).  Round 2 looks only at tiles that
-still hold two components, compares their pivots, and opens the members of two pivots only
-where the triangle inequality of the Jaccard distance leaves room:
-``d(p, q) - r(p) - r(q) <= 0.25``.  So thousands of near copies cost one comparison each,
-and no link is lost.  Frequent shingles go to the end of the order.  They are found
+Skew.  A tile never lists its pairs outright.  Pivot rounds come first: each ties the
+classes of a tile that are still alone to one of them, the tile's pivot (in the first round
+the row richest in frequent shingles, then one picked by hash), and they go on while a
+round ties a twentieth of the classes left.  So every group of near copies becomes a cluster
+about a lead at one comparison a copy.  Then only tiles that still hold two components count.
+Their leads are compared, and two clusters are looked into only where the triangle inequality
+of the Jaccard distance leaves room: ``d(p, q) - r(p) - r(q) <= 0.25``.  Between two clusters of
+several members each, a member stays only if what it shares with the union of the
+other cluster's sets could make a link; the likeliest member of either side is compared with
+all of the other's, and a link there settles the pair.  Members are listed against each
+other only where all this leaves both open.  Every step but the last costs one
+comparison a member, and no link is lost.  Frequent shingles go to the end of the order.  They are found
 from shingles seen twice or more within a block of texts: one held by d texts over t blocks
 gathers about d * d / t sightings, so the cut-off follows the square root of their number.
 The order, being one and the same for all texts, is free to be any; only speed hangs on it.
@@ -26,6 +32,7 @@ as they came; an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +47,7 @@ from gridloom.llm.io import cut, hashed_set, in_set
 SIMILARITY = 75               # percent
 FREQUENT = 64                 # sightings from which a shingle counts as frequent
 BLOCK_SHINGLES = 2_000_000    # shingles counted together in a task
+LEAST_TIED = 20               # pivot rounds go on while one class in so many is tied
 NARROW, WIDE = 1024, 8192     # bits of a signature: up to NARROW shingles, and beyond
 
 
@@ -288,17 +296,22 @@ class _Verifier:
                 .select("a", "b", "na", "nb", "bits_a", "bits_b")
                 .mapInArrow(T.bounded(_bound(self.pct)), "a long, b long, na long, nb long, most long"))
 
+    def sets(self, need: DataFrame) -> DataFrame | None:
+        """(cls, set) of the classes in ``need``, read from the texts anew; None if there are none."""
+        need = cut(need.join(self.classes.select("cls", "rep"), "cls"))
+        if need.isEmpty():
+            return None
+        return cut(T.map_batches(self.docs, ["doc_id", "text"], "cls long, set binary", _sets(hashed_set(need, "rep")))
+                   .join(need.select("cls"), "cls").groupBy("cls").agg(F.first("set").alias("set")))
+
     def links(self, bounded: DataFrame) -> DataFrame:
         """Linked pairs (a, b, na, nb, both)."""
         p = self.pct
         left = cut(bounded.where(F.expr(f"most * {100 + p} >= {p} * (na + nb)")))
-        need = cut(left.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-                   .join(self.classes.select("cls", "rep"), "cls"))
-        if need.isEmpty():
+        need = left.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        sets = self.sets(need)
+        if sets is None:
             return left.select("a", "b", "na", "nb", F.lit(0).cast("long").alias("both")).limit(0)
-        wanted = hashed_set(need, "rep")
-        sets = cut(T.map_batches(self.docs, ["doc_id", "text"], "cls long, set binary", _sets(wanted))
-                   .join(need.select("cls"), "cls").groupBy("cls").agg(F.first("set").alias("set")))
         side = lambda x: sets.select(F.col("cls").alias(x), F.col("set").alias(f"set_{x}"))
         return cut(left.join(side("a"), "a").join(side("b"), "b")
                    .select("a", "b", "na", "nb", "set_a", "set_b")
@@ -306,10 +319,60 @@ class _Verifier:
                    .where(F.expr(f"both * {100 + p} >= {p} * (na + nb)")))
 
 
+def _stars(tiles: DataFrame, pct: int) -> DataFrame:
+    """Pairs (a, b, na, nb): each class with the pivot that it meets in most of ``tiles``."""
+    return cut(tiles.where("cls <> pivot").where(_in_band("n", "pn", pct))
+               .groupBy("cls", "pivot").agg(F.count(F.lit(1)).alias("k"), F.max("n").cast("long").alias("na"),
+                                            F.max("pn").cast("long").alias("nb"))
+               .groupBy(F.col("cls").alias("a")).agg(F.max(F.struct("k", "nb", "pivot", "na")).alias("m"))
+               .select("a", F.col("m.pivot").alias("b"), "m.na", "m.nb"))
+
+
 def _in_band(na: str, nb: str, pct: int) -> str:
     return f"100 * least({na}, {nb}) >= {pct} * greatest({na}, {nb})"
 
 
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for cls, held in zip(b.column("cls").to_pylist(), b.column("set").to_pylist()):
+            s = np.frombuffer(held, dtype=np.int64)
+            for i in range(0, len(s), 100_000):
+                part = s[i:i + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), cls, dtype=np.int64)), pa.array(part)],
+                                                 names=["cls", "g"])
+
+
+def _between(check: _Verifier, near: DataFrame, members: DataFrame, pct: int) -> tuple[DataFrame, DataFrame]:
+    """Clusters of several members each (``near``: pairs of leads pa < pb; ``members``: cls, n, lead).
+
+    Returns links (a, b, na, nb, both) between them, and (cls, other): members that cannot be linked
+    with any of the other lead's.  Pairs of clusters with no more pairs of members than members
+    are left as they are."""
+    none = near.select(F.col("pa").alias("a"), F.col("pb").alias("b"), *(F.lit(0).cast("long").alias(x) for x in ("na", "nb", "both"))).limit(0)
+    size = members.groupBy("lead").agg(F.count("cls").alias("k"), F.min("n").alias("least"), F.max("n").alias("most"))
+    side = lambda x, y: size.select(F.col("lead").alias(x), *(F.col(c).alias(f"{c}_{y}") for c in ("k", "least", "most")))
+    wide = cut(near.join(side("pa", "a"), "pa").join(side("pb", "b"), "pb").where("k_a * k_b > k_a + k_b"))
+    arms = cut(wide.select(F.col("pa").alias("lead"), F.col("pb").alias("other"), F.col("least_b").alias("least"), F.col("most_b").alias("most"))
+               .union(wide.select("pb", "pa", "least_a", "most_a")).join(members, "lead"))
+    sets = check.sets(arms.select("cls").distinct())
+    if sets is None:
+        return none, none.select(F.col("a").alias("cls"), F.col("b").alias("other"))
+    each = cut(sets.mapInArrow(T.bounded(_elements), "cls long, g long"))
+    union = each.join(members.select("cls", "lead"), "cls").select(F.col("lead").alias("other"), "g").distinct()
+    share = (arms.select("cls", "other").join(each, "cls").join(union, ["other", "g"])
+             .groupBy("cls", "other").agg(F.count(F.lit(1)).alias("share")))
+    mate = f"greatest(least, cast(ceil({pct} * n / 100) AS bigint))"     # the smallest that could be linked
+    arms = cut(arms.join(share, ["cls", "other"], "left").withColumn("share", F.coalesce("share", F.lit(0)))
+               .withColumn("open", F.expr(f"{mate} <= most AND share * {100 + pct} >= {pct} * (n + {mate})")))
+    open_ = arms.where("open")
+    best = (open_.groupBy("lead", "other").agg(F.max(F.struct(F.expr(f"share * {100 + pct} - {pct} * n").alias("room"), "cls", "n")).alias("m"))
+            .select(F.col("lead").alias("other"), F.col("other").alias("lead"), F.col("m.cls").alias("b"), F.col("m.n").alias("nb")))
+    pairs = (open_.join(best, ["lead", "other"]).where(_in_band("n", "nb", pct))
+             .select(F.least("cls", "b").alias("a"), F.greatest("cls", "b").alias("b"),
+                     F.expr("if(cls < b, n, nb)").alias("na"), F.expr("if(cls < b, nb, n)").alias("nb")).distinct())
+    return check.links(check.bounded(cut(pairs))), cut(arms.where("NOT open").select("cls", "other"))
+
+
 def jaccard_components(documents: DataFrame, pct: int = SIMILARITY, frequent: int = FREQUENT) -> DataFrame:
     """One row per row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id, class_id (of
     equal sets) and component_class (which tells components apart where an id has several texts)."""
@@ -342,16 +405,22 @@ def jaccard_components(documents: DataFrame, pct: int = SIMILARITY, frequent: in
     tiles = rare.union(tail.join(pivots, "s").select("s", "cls", "n", "rest", "pivot", "pn"))
 
     check = _Verifier(docs, classes, pct)
-    # each class with the pivot that it meets in most tiles
-    stars = cut(tiles.where("cls <> pivot").where(_in_band("n", "pn", pct))
-                .groupBy("cls", "pivot").agg(F.count(F.lit(1)).alias("k"), F.max("n").cast("long").alias("na"),
-                                             F.max("pn").cast("long").alias("nb"))
-                .groupBy(F.col("cls").alias("a")).agg(F.max(F.struct("k", "nb", "pivot", "na")).alias("m"))
-                .select("a", F.col("m.pivot").alias("b"), "m.na", "m.nb"))
-    first = check.links(check.bounded(stars))
+    first = check.links(check.bounded(_stars(tiles, pct)))
+    for turn in itertools.count(1):
+        tied = first.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        free = tiles.select("s", "cls", "n").join(tied, "cls", "left_anti")
+        pivots = (free.groupBy("s").agg(F.max(F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), "n", "cls")).alias("p"),
+                                        F.count("cls").alias("k"))
+                  .where("k > 1").select("s", F.col("p.cls").alias("pivot"), F.col("p.n").alias("pn")))
+        stars = _stars(free.join(pivots, "s"), pct)
+        more = check.links(check.bounded(stars))
+        first = first.union(more)
+        if LEAST_TIED * more.count() <= stars.count():
+            break
+    first = cut(first)
     label = connected(first)
 
-    # round 2: tiles that still hold two components
+    # tiles that still hold two components
     dist = F.expr("1 - both / (na + nb - both)")
     centre = first.select(F.col("b").alias("cls")).distinct()
     arm = (first.join(centre.select(F.col("cls").alias("a")), "a", "left_anti")
@@ -385,17 +454,25 @@ def jaccard_components(documents: DataFrame, pct: int = SIMILARITY, frequent: in
             .where(F.expr(f"1 - most / (na + nb - most) - ra - rb <= {(100 - pct) / 100} + 1e-9"))
             .select(F.col("a").alias("pa"), F.col("b").alias("pb")))
     near = cut(near)
-    m = open_.select("s", "cls", "n", "rest", "label", "lead")
-    m1 = m.select("s", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("lead").alias("pa"),
+    both = near.union(near.select(F.col("pb").alias("pa"), F.col("pa").alias("pb")))
+    members = cut(open_.groupBy("cls").agg(F.max("n").alias("n"), F.first("lead").alias("lead"))
+                  .join(both.select(F.col("pa").alias("lead")).distinct(), "lead", "left_semi"))
+    found, closed = _between(check, near, members, pct)
+    first = first.union(found)
+    now = connected(first).withColumnRenamed("node", "cls").withColumnRenamed("label", "now")
+    m = (open_.select("s", "cls", "n", "rest", "lead").join(members.select("cls"), "cls", "left_semi")
+         .join(now, "cls", "left").withColumn("now", F.coalesce("now", "cls")))
+    m1 = m.select("s", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("now").alias("la"), F.col("lead").alias("pa"),
                   F.col("rest").alias("ta"))
-    m2 = m.select("s", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("lead").alias("pb"),
+    m2 = m.select("s", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("now").alias("lb"), F.col("lead").alias("pb"),
                   F.col("rest").alias("tb"))
-    touched = near.select(F.explode(F.array("pa", "pb")).alias("p")).distinct()
-    m1 = m1.join(touched.select(F.col("p").alias("pa")), "pa", "left_semi")
-    m2 = m2.join(touched.select(F.col("p").alias("pb")), "pb", "left_semi")
-    rest = (m1.join(m2, "s").where("la <> lb AND pa < pb").where(_in_band("na", "nb", pct))
+    # a member goes into a tile's join once for each cluster there that it is still open to
+    meets = cut(x.join(y, "s").where("a < b AND la <> lb").select("s", F.col("a").alias("pa"), F.col("b").alias("pb"))
+                .join(near, ["pa", "pb"], "left_semi"))
+    m1 = (m1.join(meets, ["s", "pa"]).join(closed.select(F.col("cls").alias("a"), F.col("other").alias("pb")), ["a", "pb"], "left_anti"))
+    m2 = (m2.join(meets, ["s", "pb"]).join(closed.select(F.col("cls").alias("b"), F.col("other").alias("pa")), ["b", "pa"], "left_anti"))
+    rest = (m1.join(m2, ["s", "pa", "pb"]).where("la <> lb").where(_in_band("na", "nb", pct))
             .where(f"least(ta, tb) * {100 + pct} >= {pct} * (na + nb)")
-            .join(near, ["pa", "pb"], "left_semi")
             .groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb")))
     second = check.links(check.bounded(cut(rest)))
 

@@ -84,6 +84,44 @@ def test_jaccard_frequent_tiles_and_second_round(spark):
     assert got == components(rows)
 
 
+def test_jaccard_clusters_just_apart_are_not_listed_in_pairs(spark, monkeypatch):
+    """Two groups of near copies a little over the distance: comparisons follow the number of copies."""
+    asked, bounded = [], ngram_join._Verifier.bounded
+    monkeypatch.setattr(ngram_join._Verifier, "bounded", lambda self, p: (asked.append(p.count()), bounded(self, p))[1])
+    rng = np.random.default_rng(8)
+    core = [[f"w{i}" if c == 0 or i % 30 else f"v{i}" for i in range(15, 215)] for c in (0, 1)]
+
+    def pairs(n):
+        rows = []
+        for c in range(2 * n):
+            w = list(core[c % 2])
+            w[int(rng.integers(200))] = f"x{c}"
+            rows.append((c, " ".join(w)))
+        asked.clear()
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df).collect()}
+        return got, rows, sum(asked)
+
+    got, rows, few = pairs(20)
+    assert got == components(rows) and {c for _, c in got.values()} == {0, 1}
+    assert pairs(40)[2] <= 2.5 * few and few <= 8 * 40
+
+
+def test_jaccard_links_between_clusters(spark):
+    """Groups of near copies where only some members of one are linked with some of the other."""
+    rng = np.random.default_rng(9)
+    for k in (4, 6):
+        rows = []
+        for c in range(36):
+            w = [f"w{i}" if c % 3 == 0 or i % 200 // 8 % 12 >= k or i % 8 else f"g{c % 3}v{i}" for i in range(200)]
+            for at in rng.choice(200, size=int(rng.integers(0, 3)), replace=False):
+                w[at] = f"x{rng.integers(1e6)}"
+            rows.append((c, " ".join(w)))
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df).collect()}
+        assert got == components(rows)
+
+
 def test_bitmap_bound_is_never_below():
     rng = np.random.default_rng(1)
     for n in (5, 200, 3000):
