@@ -309,7 +309,7 @@ class _Verifier:
         p = self.pct
         left = cut(bounded.where(F.expr(f"most * {100 + p} >= {p} * (na + nb)")))
         need = left.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        sets = self.sets(need)
+        sets = None if left.isEmpty() else self.sets(need)
         if sets is None:
             return left.select("a", "b", "na", "nb", F.lit(0).cast("long").alias("both")).limit(0)
         side = lambda x: sets.select(F.col("cls").alias(x), F.col("set").alias(f"set_{x}"))
@@ -352,9 +352,9 @@ def _between(check: _Verifier, near: DataFrame, members: DataFrame, pct: int) ->
     size = members.groupBy("lead").agg(F.count("cls").alias("k"), F.min("n").alias("least"), F.max("n").alias("most"))
     side = lambda x, y: size.select(F.col("lead").alias(x), *(F.col(c).alias(f"{c}_{y}") for c in ("k", "least", "most")))
     wide = cut(near.join(side("pa", "a"), "pa").join(side("pb", "b"), "pb").where("k_a * k_b > k_a + k_b"))
-    arms = cut(wide.select(F.col("pa").alias("lead"), F.col("pb").alias("other"), F.col("least_b").alias("least"), F.col("most_b").alias("most"))
+    arms = (wide.select(F.col("pa").alias("lead"), F.col("pb").alias("other"), F.col("least_b").alias("least"), F.col("most_b").alias("most"))
                .union(wide.select("pb", "pa", "least_a", "most_a")).join(members, "lead"))
-    sets = check.sets(arms.select("cls").distinct())
+    sets = None if wide.isEmpty() else check.sets(arms.select("cls").distinct())
     if sets is None:
         return none, none.select(F.col("a").alias("cls"), F.col("b").alias("other"))
     each = cut(sets.mapInArrow(T.bounded(_elements), "cls long, g long"))
@@ -413,6 +413,8 @@ def jaccard_components(documents: DataFrame, pct: int = SIMILARITY, frequent: in
                                         F.count("cls").alias("k"))
                   .where("k > 1").select("s", F.col("p.cls").alias("pivot"), F.col("p.n").alias("pn")))
         stars = _stars(free.join(pivots, "s"), pct)
+        if stars.isEmpty():
+            break
         more = check.links(check.bounded(stars))
         first = first.union(more)
         if LEAST_TIED * more.count() <= stars.count():
@@ -435,7 +437,7 @@ def jaccard_components(documents: DataFrame, pct: int = SIMILARITY, frequent: in
     split = (named.groupBy("s").agg(F.min("label").alias("l1"), F.max("label").alias("l2"))
              .where("l1 <> l2").select("s"))
     open_ = cut(named.join(split, "s"))
-    lead = open_.groupBy("s", "lead", "ln", "label").agg(F.max("d").alias("r"), F.max("rest").alias("rest"))
+    lead = cut(open_.groupBy("s", "lead", "ln", "label").agg(F.max("d").alias("r"), F.max("rest").alias("rest")))
     # a row that stands for itself alone obeys the bounds of its own tile
     x = lead.select("s", F.col("lead").alias("a"), F.col("ln").alias("na"), F.col("label").alias("la"), F.col("r").alias("ra"),
                     F.when(F.col("r") == 0, F.col("rest")).alias("ta"))
@@ -458,8 +460,10 @@ def jaccard_components(documents: DataFrame, pct: int = SIMILARITY, frequent: in
     members = cut(open_.groupBy("cls").agg(F.max("n").alias("n"), F.first("lead").alias("lead"))
                   .join(both.select(F.col("pa").alias("lead")).distinct(), "lead", "left_semi"))
     found, closed = _between(check, near, members, pct)
-    first = first.union(found)
-    now = connected(first).withColumnRenamed("node", "cls").withColumnRenamed("label", "now")
+    if not found.isEmpty():
+        first = first.union(found)
+        label = connected(first)
+    now = label.withColumnRenamed("node", "cls").withColumnRenamed("label", "now")
     m = (open_.select("s", "cls", "n", "rest", "lead").join(members.select("cls"), "cls", "left_semi")
          .join(now, "cls", "left").withColumn("now", F.coalesce("now", "cls")))
     m1 = m.select("s", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("now").alias("la"), F.col("lead").alias("pa"),
@@ -476,7 +480,7 @@ def jaccard_components(documents: DataFrame, pct: int = SIMILARITY, frequent: in
             .groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb")))
     second = check.links(check.bounded(cut(rest)))
 
-    final = connected(first.select("a", "b").union(second.select("a", "b")))
+    final = label if second.isEmpty() else connected(first.select("a", "b").union(second.select("a", "b")))
     ids = (classes.select("cls", "rep").join(final.withColumnRenamed("node", "cls"), "cls", "left")
            .select("cls", "rep", F.coalesce("label", "cls").alias("label")))
     least = ids.groupBy("label").agg(F.min("rep").alias("component_id"))
