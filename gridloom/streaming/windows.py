@@ -70,7 +70,8 @@ def complete_dates_stream(landed: DataFrame, expected_per_date: DataFrame, key:
     """STM-3 streaming gate: a date, once, as soon as its landed files reach the expected count.
 
     ``landed`` is a stream of (path, date); ``expected_per_date`` a static
-    (date, n_expected) table (a manifest aggregate).  State is kept by date
+    (date, n_expected) table (a manifest aggregate), which every micro-batch reads anew: best stored,
+    as the plans of micro-batches do not adapt to the sizes that they meet.  State is kept by date
     (``transformWithState``), so a date's files may arrive in any number of drops and more than
     once.  There is no watermark: late and back-filled dates are decided like all others.  The
     state of a date holds its paths until it is complete and then one flag.  For update mode; the
@@ -86,10 +87,16 @@ def complete_dates_stream(landed: DataFrame, expected_per_date: DataFrame, key:
 def record_complete_dates(spark, landing: str, schema, expected_per_date: DataFrame, out: str, checkpoint: str,
                           key: str = "date", file_col: str = "path") -> None:
     """Run :func:`complete_dates_stream` over new landing files and append each date to the
-    table ``out`` once; a replayed batch finds its dates there and adds nothing."""
+    table ``out`` once; a replayed batch finds its dates there and adds nothing.
+
+    ``expected_per_date`` is worked out once, as a batch job, and stored for the run: within a micro-batch
+    its product of dates and chunks would be a task for every pair of shuffle partitions."""
+    from ..session import scratch_path
     from ..sinks.store import store_exists
 
-    dates = complete_dates_stream(spark.readStream.schema(schema).parquet(landing), expected_per_date, key, file_col)
+    days = scratch_path(spark, "expected-dates")
+    expected_per_date.select(key, "n_expected").write.parquet(days)
+    dates = complete_dates_stream(spark.readStream.schema(schema).parquet(landing), spark.read.parquet(days), key, file_col)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         sp = df.sparkSession

@@ -153,6 +153,30 @@ def test_complete_dates_stream(spark):
                    [("2023-06-01", 1), ("2024-01-01", 2), ("2024-01-02", 3), ("2024-03-01", 1)]]
 
 
+def test_expected_dates_are_stored_before_the_stream(spark, tmp_path, monkeypatch):
+    """The product behind the expected counts is no part of the micro-batches' plans."""
+    from gridloom.operators.dims import product
+    from gridloom.streaming import windows
+    day = lambda d: F.to_date(F.lit(f"2024-01-0{d}")).alias("date")
+    expected = (product(spark.range(1).select(day(1)).union(spark.range(1).select(day(2))).distinct(),
+                        spark.range(2).selectExpr("cast(id AS string) AS chunk").distinct())
+                .groupBy("date").agg(F.count(F.lit(1)).alias("n_expected")))
+    plans, stream = [], windows.complete_dates_stream
+
+    def spy(landed, days, *a):
+        plans.append(days._jdf.queryExecution().executedPlan().toString())
+        return stream(landed, days, *a)
+
+    monkeypatch.setattr(windows, "complete_dates_stream", spy)
+    landing, out, ckpt = (str(tmp_path / n) for n in ("landing", "out", "ck"))
+    (spark.createDataFrame([("a", 1), ("b", 1), ("a", 2)], "path string, d int")
+     .select("path", F.make_date(F.lit(2024), F.lit(1), "d").alias("date")).write.parquet(landing))
+    windows.record_complete_dates(spark, landing, "path string, date date", expected, out, ckpt)
+    assert [(str(r.date), r.n_present, r.n_expected) for r in spark.read.parquet(out).collect()] == [("2024-01-01", 2, 2)]
+    assert len(plans) == 1 and "FileScan" in plans[0]
+    assert not any(x in plans[0] for x in ("Cartesian", "NestedLoop", "Exchange"))
+
+
 def test_late_rows_are_kept_aside_and_counted(spark, tmp_path):
     import datetime
 
