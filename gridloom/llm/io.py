@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +13,7 @@ from pyspark.sql import functions as F
 from gridloom.session import checkpoint_root
 
 HOLD_WORDS = 1 << 16          # longs in a hashed set: 4 Mi bits, 512 KB whatever the data
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +27,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextlib.contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Frames planned herein give up their shuffle files as soon as an execution of theirs ends.
+    Else those of every step stay on disk until the driver happens to collect its garbage."""
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREED)
+        else:
+            spark.conf.set(FREED, before)
+
+
 def hashed_set(df: DataFrame, key: str, words: int = HOLD_WORDS) -> np.ndarray:
     """Bit array of ``words`` longs with the bit of every key (a long) set.
 

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import textkit as T
 from gridloom.llm.components import connected
-from gridloom.llm.io import cut, hashed_set, in_set
+from gridloom.llm.io import cut, hashed_set, in_set, shuffles_freed
 
 SIMILARITY = 75               # percent
 FREQUENT = 64                 # sightings from which a shingle counts as frequent
@@ -376,6 +376,11 @@ def _between(check: _Verifier, near: DataFrame, members: DataFrame, pct: int) ->
 def jaccard_components(documents: DataFrame, pct: int = SIMILARITY, frequent: int = FREQUENT) -> DataFrame:
     """One row per row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id, class_id (of
     equal sets) and component_class (which tells components apart where an id has several texts)."""
+    with shuffles_freed(documents.sparkSession):
+        return _components(documents, pct, frequent)
+
+
+def _components(documents: DataFrame, pct: int, frequent: int) -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = cut(T.map_batches(docs, ["doc_id", "text"],
                                "doc_id long, n long, cls long, cls2 long, bits binary, hot long, seen long", _sketch))
@@ -402,7 +407,8 @@ def jaccard_components(documents: DataFrame, pct: int = SIMILARITY, frequent: in
     tail = cut(tail.join(low, "s").where(F.expr(f"rest * {100 + pct} >= {pct} * (n + {mate})")).drop("low"))
     pivots = (tail.groupBy("s").agg(F.max(F.struct("rich", "n", "cls")).alias("p"), F.count("cls").alias("k"))
               .where("k > 1").select("s", F.col("p.cls").alias("pivot"), F.col("p.n").alias("pn")))
-    tiles = rare.union(tail.join(pivots, "s").select("s", "cls", "n", "rest", "pivot", "pn"))
+    tail = cut(tail.join(pivots, "s").select("s", "cls", "n", "rest", "pivot", "pn"))
+    tiles = rare.union(tail)
 
     check = _Verifier(docs, classes, pct)
     first = check.links(check.bounded(_stars(tiles, pct)))

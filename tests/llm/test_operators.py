@@ -4,6 +4,7 @@ import hashlib
 import json
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -449,6 +450,31 @@ def test_jaccard_row_without_id_before_its_copy(spark):
     assert got == {None: None, **{i: c for i, (_, c) in components(rows).items()}} == {None: None, 1: 1, 2: 1}
 
 
+def test_jaccard_gives_up_its_shuffle_files(spark):
+    """Shuffle files of the steps go when they end, not with the driver's next garbage collection."""
+    from gridloom.llm.io import FREED
+    texts = [" ".join(f"w{(i // 4) * 50 + j}" for j in range(40)) + f" end{i}" for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffles():
+        return set(re.findall(r"shuffle_(\d+)_", disk.getAllBlocks().mkString(" ")))
+
+    before, earlier = spark.conf.get(FREED), shuffles()
+    hold = []                                       # keeps every frame, and so its files, from the garbage collector
+    with pytest.MonkeyPatch.context() as m:
+        kept = ngram_join.cut
+        m.setattr(ngram_join, "cut", lambda d: hold.append(d) or kept(d))
+        got = ngram_join.jaccard_components(df)
+    for _ in range(50):                             # files are removed in the background
+        if len(left := shuffles() - earlier) < 5:   # a stage that was called off may end after its execution
+            break
+        time.sleep(0.2)
+    assert len(hold) > 10 and len(left) < 5
+    assert spark.conf.get(FREED) == before
+    assert {r.doc_id: r.component_id for r in got.collect()} == {i: i // 4 * 4 for i in range(60)}
+
+
 def test_decontamination_blocks_change_nothing(spark):
     """Passages that many items share weigh less, whichever block holds those items."""
     rng = np.random.default_rng(2)
