@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import decontaminate, langid, ngram_join, packing, secrets
-from gridloom.llm.io import cut, hashed_set, read, rows_in_set
+from gridloom.llm.io import cut_close, hashed_set, read, rows_in_set
 from gridloom.session import checkpoint_root
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -32,9 +32,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     several texts under that id the one with the smallest class; of rows that repeat it the
     smallest.  Documents without id or words are linked with nothing and stay."""
     docs = docs.select(*COLUMNS)
-    groups = cut(ngram_join.jaccard_components(docs).where("doc_id IS NOT NULL"))
-    again = cut(groups.groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    gone = cut(groups.where("doc_id <> component_id").select("doc_id").distinct().join(again, "doc_id", "left_anti"))
+    groups = cut_close(ngram_join.jaccard_components(docs).where("doc_id IS NOT NULL"))
+    again = cut_close(groups.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    gone = cut_close(groups.where("doc_id <> component_id").select("doc_id").distinct().join(again, "doc_id", "left_anti"))
     # only rows that may be concerned are exchanged; all others pass where they are
     bits = hashed_set(gone.union(again), "doc_id")
     near = rows_in_set(docs, "doc_id", bits, True)

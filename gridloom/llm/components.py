@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.io import cut
+from gridloom.llm.io import cut_close
 
 
 def connected(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 40) -> DataFrame:
@@ -16,23 +16,22 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 40
     of rounds follows the logarithm of the longest path, every round is two aggregations
     with partial sums and two equi-joins, and a checkpoint cuts the lineage.
     No edges: no rows.  Raises if ``max_rounds`` do not settle it."""
-    e = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-            .where("u <> v").distinct())
+    e = cut_close(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+                  .where("u <> v").distinct())
     for _ in range(max_rounds):
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = e.selectExpr("inline(array(struct(u, v), struct(v AS u, u AS v)))")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .distinct())
+        # at most one row for each edge, so what comes twice may stay until the end of the round
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
-        small = (joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .union(low.select("u", F.col("m").alias("v"))).distinct())
-        small = cut(small)
+        # the row that holds a node's smallest neighbour hangs the node itself on it
+        small = cut_close(large.join(low, "u").select(F.expr("if(v <> m, v, u)").alias("u"), F.col("m").alias("v"))
+                          .distinct())
         # settled when no node is both a child and a parent, and each child has one parent
-        child = small.groupBy("u").agg(F.count("v").alias("n"))
-        open_ = child.where("n > 1").select("u").union(
-            small.select("v").distinct().join(child.select(F.col("u").alias("v")), "v", "left_semi")
-            .select(F.col("v").alias("u")))
+        open_ = (small.selectExpr("inline(array(struct(u AS node, v AS parent), struct(v AS node, null AS parent)))")
+                 .groupBy("node").agg(F.min("parent").alias("least"), F.max("parent").alias("most"),
+                                      F.max(F.col("parent").isNull()).alias("has_child"))
+                 .where("least <> most OR least IS NOT NULL AND has_child"))
         if open_.isEmpty():
             return (small.select(F.col("u").alias("node"), F.col("v").alias("label"))
                     .union(small.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("label"))))

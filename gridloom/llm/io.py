@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.session import checkpoint_root
 
+PART_ROWS = 10_000            # rows from which a partition is worth a task of its own
 HOLD_WORDS = 1 << 16          # longs in a hashed set: 4 Mi bits, 512 KB whatever the data
 FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -27,6 +28,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def cut_close(df: DataFrame, rows: int = PART_ROWS) -> DataFrame:
+    """``cut``, read again in as many tasks as the rows are worth: one for ``rows`` of them, two a
+    core at least, never more than were written.  For steps that leave few rows of many, where each
+    later stage would else run a task for every all but empty partition."""
+    checkpoint_root(df.sparkSession)
+    seen = Observation()
+    kept = df.observe(seen, F.count(F.lit(1)).alias("n")).checkpoint()
+    n = seen.get["n"]
+    return kept.coalesce(max(-(-n // rows), min(n, 2 * df.sparkSession.sparkContext.defaultParallelism), 1))
+
+
 @contextlib.contextmanager
 def shuffles_freed(spark: SparkSession) -> Iterator[None]:
     """Frames planned herein give up their shuffle files as soon as an execution of theirs ends.

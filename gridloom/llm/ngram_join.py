@@ -42,12 +42,14 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import textkit as T
 from gridloom.llm.components import connected
-from gridloom.llm.io import cut, hashed_set, in_set, shuffles_freed
+from gridloom.llm.io import cut_close, hashed_set, in_set, shuffles_freed
+from gridloom.llm.io import cut_close as cut
 
 SIMILARITY = 75               # percent
 FREQUENT = 64                 # sightings from which a shingle counts as frequent
 BLOCK_SHINGLES = 2_000_000    # shingles counted together in a task
 LEAST_TIED = 20               # pivot rounds go on while one class in so many is tied
+SET_ROWS = 500                # sets read in a task, at least
 NARROW, WIDE = 1024, 8192     # bits of a signature: up to NARROW shingles, and beyond
 
 
@@ -232,8 +234,8 @@ def _bound(pct: int):
                 for own, other, n in ((x, y, na), (y, x, nb)):
                     alone = np.bitwise_count(own & ~other).sum(axis=1, dtype=np.int64)
                     most[at] = np.minimum(most[at], n[at] - alone)
-            cols = [b.column(c) for c in ("a", "b", "na", "nb")]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(most)], names=["a", "b", "na", "nb", "most"])
+            cols = [b.column(c) for c in ("a", "b", "na", "nb", "rep_a", "rep_b")]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(most)], names=["a", "b", "na", "nb", "rep_a", "rep_b", "most"])
     return run
 
 
@@ -289,29 +291,26 @@ class _Verifier:
         self.docs, self.classes, self.pct = docs, classes, pct
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b, na, nb) with ``most``, the bound on their overlap."""
+        """Pairs (a, b, na, nb) with the ids that stand for their classes and ``most``, the bound on their overlap."""
         c = self.classes
-        side = lambda x: c.select(F.col("cls").alias(x), F.col("bits").alias(f"bits_{x}"))
+        side = lambda x: c.select(F.col("cls").alias(x), *(F.col(y).alias(f"{y}_{x}") for y in ("bits", "rep")))
         return (pairs.join(side("a"), "a").join(side("b"), "b")
-                .select("a", "b", "na", "nb", "bits_a", "bits_b")
-                .mapInArrow(T.bounded(_bound(self.pct)), "a long, b long, na long, nb long, most long"))
+                .select("a", "b", "na", "nb", "rep_a", "rep_b", "bits_a", "bits_b")
+                .mapInArrow(T.bounded(_bound(self.pct)),
+                            "a long, b long, na long, nb long, rep_a long, rep_b long, most long"))
 
-    def sets(self, need: DataFrame) -> DataFrame | None:
-        """(cls, set) of the classes in ``need``, read from the texts anew; None if there are none."""
-        need = cut(need.join(self.classes.select("cls", "rep"), "cls"))
-        if need.isEmpty():
-            return None
-        return cut(T.map_batches(self.docs, ["doc_id", "text"], "cls long, set binary", _sets(hashed_set(need, "rep")))
-                   .join(need.select("cls"), "cls").groupBy("cls").agg(F.first("set").alias("set")))
+    def sets(self, need: DataFrame) -> DataFrame:
+        """(cls, set) of the classes in ``need`` (cls, rep), read from the texts anew."""
+        return cut_close(T.map_batches(self.docs, ["doc_id", "text"], "cls long, set binary", _sets(hashed_set(need, "rep")))
+                         .join(need.select("cls").distinct(), "cls").groupBy("cls").agg(F.first("set").alias("set")), SET_ROWS)
 
     def links(self, bounded: DataFrame) -> DataFrame:
         """Linked pairs (a, b, na, nb, both)."""
         p = self.pct
         left = cut(bounded.where(F.expr(f"most * {100 + p} >= {p} * (na + nb)")))
-        need = left.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        sets = None if left.isEmpty() else self.sets(need)
-        if sets is None:
+        if left.isEmpty():
             return left.select("a", "b", "na", "nb", F.lit(0).cast("long").alias("both")).limit(0)
+        sets = self.sets(left.selectExpr("inline(array(struct(a AS cls, rep_a AS rep), struct(b AS cls, rep_b AS rep)))"))
         side = lambda x: sets.select(F.col("cls").alias(x), F.col("set").alias(f"set_{x}"))
         return cut(left.join(side("a"), "a").join(side("b"), "b")
                    .select("a", "b", "na", "nb", "set_a", "set_b")
@@ -354,10 +353,10 @@ def _between(check: _Verifier, near: DataFrame, members: DataFrame, pct: int) ->
     wide = cut(near.join(side("pa", "a"), "pa").join(side("pb", "b"), "pb").where("k_a * k_b > k_a + k_b"))
     arms = (wide.select(F.col("pa").alias("lead"), F.col("pb").alias("other"), F.col("least_b").alias("least"), F.col("most_b").alias("most"))
                .union(wide.select("pb", "pa", "least_a", "most_a")).join(members, "lead"))
-    sets = None if wide.isEmpty() else check.sets(arms.select("cls").distinct())
-    if sets is None:
+    if wide.isEmpty():
         return none, none.select(F.col("a").alias("cls"), F.col("b").alias("other"))
-    each = cut(sets.mapInArrow(T.bounded(_elements), "cls long, g long"))
+    need = cut(arms.select("cls").distinct().join(check.classes.select("cls", "rep"), "cls"))
+    each = cut(check.sets(need).mapInArrow(T.bounded(_elements), "cls long, g long"))
     union = each.join(members.select("cls", "lead"), "cls").select(F.col("lead").alias("other"), "g").distinct()
     share = (arms.select("cls", "other").join(each, "cls").join(union, ["other", "g"])
              .groupBy("cls", "other").agg(F.count(F.lit(1)).alias("share")))

@@ -475,6 +475,59 @@ def test_jaccard_gives_up_its_shuffle_files(spark):
     assert {r.doc_id: r.component_id for r in got.collect()} == {i: i // 4 * 4 for i in range(60)}
 
 
+def test_jaccard_runs_no_task_for_every_empty_partition(spark):
+    """Few rows over many partitions: later stages read them in few tasks, so tasks do not multiply."""
+    texts = [" ".join(f"w{(i // 4) * 50 + j}" for j in range(40)) + f" end{i}" for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4).cache()
+    df.count()
+    sc, track = spark.sparkContext, spark.sparkContext.statusTracker()
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(held, ("96", "false")):
+            spark.conf.set(k, v)
+        sc.setJobGroup("jaccard-tasks", "")
+        got = ngram_join.jaccard_components(df)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    stages = {i for j in track.getJobIdsForGroup("jaccard-tasks") if (x := track.getJobInfo(j)) for i in x.stageIds}
+    tasks = [x.numCompletedTasks for i in stages if (x := track.getStageInfo(i)) and x.numCompletedTasks]
+    assert len(tasks) > 20 and sum(tasks) < 0.7 * 96 * len(tasks), (len(tasks), sum(tasks))
+    assert {r.doc_id: r.component_id for r in got.collect()} == {i: i // 4 * 4 for i in range(60)}
+
+
+def test_rows_read_again_in_as_many_tasks_as_they_are_worth(spark):
+    from gridloom.llm.io import cut_close
+    least = 2 * spark.sparkContext.defaultParallelism
+    few, none, many = (cut_close(spark.range(0, n, 1, 64), 100) for n in (1000, 0, 50 * least * 100))
+    assert few.rdd.getNumPartitions() == max(10, min(64, least)) and none.rdd.getNumPartitions() == 1
+    assert many.rdd.getNumPartitions() == 64
+    assert sorted(r.id for r in few.collect()) == list(range(1000)) and none.collect() == [] and many.count() == 50 * least * 100
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_of_random_edges(spark, seed):
+    """Repeated and reversed edges, self loops, hubs and long paths."""
+    from gridloom.llm.components import connected
+    rng = np.random.default_rng(seed)
+    edges = [(int(a), int(b)) for a, b in rng.integers(-60, 60, (70, 2))]
+    edges += [(b, a) for a, b in edges[:20]] + edges[10:30] + [(x, 200) for x in range(201, 220)]
+    edges += [(300 + i, 301 + i) for i in range(30)] + [(400, 400)]
+    up = {x: x for e in edges for x in e}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for a, b in edges:
+        x, y = sorted((top(a), top(b)))
+        up[y] = x
+    got = connected(spark.createDataFrame(edges, "a long, b long")).collect()
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    assert len(got) == len(linked) and {r.node: r.label for r in got} == {x: top(x) for x in linked}
+
+
 def test_decontamination_blocks_change_nothing(spark):
     """Passages that many items share weigh less, whichever block holds those items."""
     rng = np.random.default_rng(2)
