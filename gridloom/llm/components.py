@@ -21,8 +21,8 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 40
     for _ in range(max_rounds):
         both = e.selectExpr("inline(array(struct(u, v), struct(v AS u, u AS v)))")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        # at most one row for each edge, so what comes twice may stay until the end of the round
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = (both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         # the row that holds a node's smallest neighbour hangs the node itself on it
         small = cut_close(large.join(low, "u").select(F.expr("if(v <> m, v, u)").alias("u"), F.col("m").alias("v"))
