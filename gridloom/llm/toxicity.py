@@ -14,8 +14,8 @@ the fold takes the threshold of all languages together.
 
 The bound, for fit and language guess only: at most ``SAMPLE`` rows of each label, those
 smallest by hash of the id, among texts of at most ``SAMPLE_WORDS`` words; the driver then
-holds at most 2 * SAMPLE * SAMPLE_WORDS words.  Calibration and scoring cover every word of
-every text.
+holds at most 2 * SAMPLE * SAMPLE_WORDS words of 4 bytes, and works on few texts of them at a
+time.  Calibration and scoring cover every word of every text.
 
 Edge cases: a null, empty or word-less text is scored from the bias alone; without labels of
 both kinds every score is 0; repeated rows are scored as often as they come; an empty table
@@ -38,12 +38,14 @@ from gridloom.llm.io import hashed_set, rows_in_set
 SAMPLE = 4000
 SAMPLE_WORDS = 4000
 BUCKETS = 1 << 16
+ROW = np.uint16               # holds a row of the tables
 STEM = 5
 WIDTHS = (1, 2, 3)
 FILTERS = 8
 DIM = 6                       # per table
 EPOCHS = 14
 CHUNK = 600_000
+CELLS = 1 << 18               # words times languages of the sample that the driver calibrates at once
 STEPS, FARTHEST = 64, 40      # steps of a logit that are counted apart, up to this size
 ENOUGH = 20                   # rows of each label for a threshold of a language's own
 
@@ -178,6 +180,18 @@ def threshold(counts: dict[int, tuple[int, int]]) -> float:
     return (low + below) / 2
 
 
+def portions(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Runs (start, end) of items that together have at most ``most``; a larger item stands alone."""
+    start = total = 0
+    for i, n in enumerate(sizes):
+        if i > start and total + n > most:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 class Model:
     """Network, language guess and a threshold per language."""
 
@@ -194,11 +208,15 @@ class Model:
         self.words = np.log((self.words + 0.1) / (self.words.sum(axis=0) + 0.1 * BUCKETS))
         self.net = Net()
         self.net.fit([s[0] for s in sample], y)
-        cuts = np.concatenate(([0], np.cumsum([s[0].shape[1] for s in sample])))
-        b = np.concatenate([s[0] for s in sample], axis=1)
         # holds until calibrated, and where the fold has not both labels
-        self.calibrate(Counter(zip(self.guess(b, cuts).tolist(), step_of(self.net.logits(b, cuts)).tolist(),
-                                   y.astype(int).tolist())))
+        counts: Counter = Counter()
+        for at, end in portions([s[0].shape[1] for s in sample], CELLS // max(1, len(self.langs))):
+            part = [s[0] for s in sample[at:end]]
+            cuts = np.concatenate(([0], np.cumsum([w.shape[1] for w in part])))
+            b = np.concatenate(part, axis=1)
+            counts.update(zip(self.guess(b, cuts).tolist(), step_of(self.net.logits(b, cuts)).tolist(),
+                              y[at:end].astype(int).tolist()))
+        self.calibrate(counts)
 
     def calibrate(self, counts: dict[tuple[int, int, int], int]) -> None:
         """Thresholds from the rows by (language, step, label), if there are rows of both labels."""
@@ -249,7 +267,7 @@ def train(documents: DataFrame, labels: DataFrame, per_label: int = SAMPLE, most
                 ids, cuts = word_ids(held)
                 for i in range(len(held)):
                     if 0 < cuts[i + 1] - cuts[i] <= most_words:
-                        out.append(ids[:, cuts[i]:cuts[i + 1]].astype(np.int32).tobytes())
+                        out.append(ids[:, cuts[i]:cuts[i + 1]].astype(ROW).tobytes())
                         keep.append(first + i)
             b = b.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "toxic", "lang")),
@@ -260,7 +278,7 @@ def train(documents: DataFrame, labels: DataFrame, per_label: int = SAMPLE, most
     got = []
     for label in (0, 1):
         got += hashed.where(F.col("toxic") == label).orderBy(*by, "words").limit(per_label).collect()
-    model = Model([(np.frombuffer(r["words"], dtype=np.int32).reshape(2, -1), r["toxic"], r["lang"]) for r in got])
+    model = Model([(np.frombuffer(r["words"], dtype=ROW).reshape(2, -1), r["toxic"], r["lang"]) for r in got])
     if model.trained:
         model.calibrate(fold_counts(documents, ids.where(rest == 1).distinct(), model))
     return model

@@ -5,6 +5,7 @@ import json
 import math
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -420,6 +421,29 @@ def test_toxicity_thresholds_cover_all_labelled_rows(spark):
         assert f1(model.cut[k]) >= max(map(f1, zk)) - 0.02
 
 
+def test_toxicity_sample_is_calibrated_in_portions(monkeypatch):
+    """Thresholds of a large sample are those of all its texts at once, with little memory beside it."""
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(toxicity.Net, "fit", lambda *a: None)
+    assert np.iinfo(toxicity.ROW).max >= toxicity.BUCKETS - 1
+    sample = [(rng.integers(0, toxicity.BUCKETS, (2, toxicity.SAMPLE_WORDS if i % 9 else 3)).astype(toxicity.ROW),
+               int(i % 3 == 0), "ab"[i % 2]) for i in range(300)]
+    tracemalloc.start()
+    try:
+        model = toxicity.Model(sample)
+        assert tracemalloc.get_traced_memory()[1] < 50e6           # 19 MB; 132 MB with all texts at once
+    finally:
+        tracemalloc.stop()
+    got = model.cut.copy()
+    cuts = np.concatenate(([0], np.cumsum([s[0].shape[1] for s in sample])))
+    b = np.concatenate([s[0] for s in sample], axis=1)
+    model.calibrate(Counter(zip(model.guess(b, cuts).tolist(), toxicity.step_of(model.net.logits(b, cuts)).tolist(),
+                                [s[1] for s in sample])))
+    assert np.array_equal(got, model.cut)
+    assert list(toxicity.portions([5, 1, 2, 9, 0, 3, 3], 5)) == [(0, 1), (1, 3), (3, 4), (4, 6), (6, 7)]
+    assert list(toxicity.portions([], 5)) == [] and list(toxicity.portions([9], 5)) == [(0, 1)]
+
+
 def test_language_counts_cover_all_words(spark):
     """The n-grams of words beyond those looked up count, and no language is left out."""
     rng = np.random.default_rng(3)
